@@ -3,14 +3,28 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+_BAD = "_unreadable"
+
+
+def _parsed(df: DataFrame, schema: StructType, value: str) -> DataFrame:
+    with_bad = StructType(schema.fields + [StructField(_BAD, StringType())])
+    return df.withColumn("_record", F.from_json(
+        F.col(value), with_bad, {"columnNameOfCorruptRecord": _BAD}))
 
 
 def parse_records(df: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
-    """JSON text to typed columns. Text that is not a JSON object gives no row."""
-    parsed = df.select(F.from_json(F.col(value), schema).alias("_r"), F.col(value).alias("_v"))
-    is_object = F.json_object_keys(F.col("_v")).isNotNull()
-    return parsed.where(is_object).select("_r.*")
+    """JSON text to typed columns; see `unreadable_records` for what does not fit."""
+    good = _parsed(df, schema, value).where(F.col(f"_record.{_BAD}").isNull()
+                                            & F.col("_record").isNotNull())
+    return good.select(*[F.col(f"_record.{f.name}") for f in schema.fields])
+
+
+def unreadable_records(df: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
+    """The messages `parse_records` leaves out, as they came."""
+    bad = F.col(f"_record.{_BAD}").isNotNull() | F.col("_record").isNull()
+    return _parsed(df, schema, value).where(bad).select(value)
 
 
 def to_record(df: DataFrame, *columns: str) -> Column:
