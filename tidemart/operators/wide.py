@@ -17,12 +17,12 @@ def order_side(orders: DataFrame) -> DataFrame:
         "if_first_order", "province_name", "province_area_code", "user_age_group", "user_gender")
 
 
-def detail_side(details: DataFrame) -> DataFrame:
-    """Line columns under their wide-table names."""
+def detail_side(details: DataFrame, *more: Column) -> DataFrame:
+    """Line columns under their wide-table names, and whatever else is asked for."""
     return details.select(
         F.col("id").alias("order_detail_id"), "order_id", "sku_id", "sku_name",
         F.col("order_price").alias("sku_price"), "sku_num",
-        "spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name")
+        "spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name", *more)
 
 
 def to_wide(orders: DataFrame, details: DataFrame) -> DataFrame:
@@ -44,13 +44,16 @@ def with_line_shares(wide: DataFrame) -> DataFrame:
 def apportion(wide: DataFrame) -> DataFrame:
     """Fill `final_detail_amount` so that an order's lines add up to what was paid.
 
-    Every line gets its rounded share; the line with the greatest id gets what is
-    left over. The rest of an order is paid minus all shares, a plain sum, so no
-    order's lines have to meet in one task or be sorted.
+    Every line gets its rounded share; the last one, that with the greatest id
+    (lines of no amount aside), also gets what is left over. The rest of an order
+    is paid minus all shares, a plain sum, so no order's lines have to meet in one
+    task or be sorted.
     """
     lines = with_line_shares(wide)
     rest = lines.groupBy("order_id").agg(
-        (F.max("_paid") - F.sum("_share")).alias("_rest"), F.max("order_detail_id").alias("_last"))
+        (F.max("_paid") - F.sum("_share")).alias("_rest"),
+        F.coalesce(F.max(F.when(F.col("_line") != 0, F.col("order_detail_id"))),
+                   F.max("order_detail_id")).alias("_last"))
     extra = F.when(F.col("order_detail_id") == F.col("_last"), F.col("_rest")).otherwise(F.lit(0))
     return (lines.join(rest, "order_id")
             .withColumn("final_detail_amount", from_cents(F.col("_share") + extra))

@@ -6,13 +6,18 @@ dimensions are opaque strings: they are only compared, never computed with.
 
 from __future__ import annotations
 
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampType
 
 
 def _struct(**fields) -> StructType:
     return StructType([StructField(name, kind) for name, kind in fields.items()])
 
 
+def extended(base: StructType, **fields) -> StructType:
+    """A new schema with more fields (`add` alone would change the given one)."""
+    return StructType(base.fields + _struct(**fields).fields)
+
+
 _s, _l, _d = StringType(), LongType(), DoubleType()
 
 ORDER_INFO = _struct(
@@ -50,6 +55,11 @@ CATEGORY3 = _struct(id=_s, name=_s, category2_id=_s)
 SPU = _struct(id=_s, spu_name=_s)
 SKU = _struct(id=_s, spu_id=_s, price=_s, sku_name=_s, tm_id=_s, category3_id=_s, create_time=_s)
 
+USER_DESCRIBED = extended(USER, age_group=_s, gender_name=_s)
+SKU_ENRICHED = extended(SKU, category3_name=_s, spu_name=_s, tm_name=_s)
+DONE_ORDER = _struct(order_id=_l, last_id=_s, rest=_l, tm_id=_s, tm_name=_s, dt=_s)
+WINDOW_COUNT = _struct(window_start=TimestampType(), n=_l)
+
 USER_STATUS = _struct(user_id=_l, if_consumed=_s)
 
 START_LOG = StructType([

@@ -8,7 +8,9 @@ counts exactly once, also when it is run again after a lost driver or executor.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructType
+
+from tidemart.schemas import extended
 
 BATCH = "batch_id"
 
@@ -27,7 +29,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
 # --- append log -----------------------------------------------------------
 
 def append_batch(df: DataFrame, batch_id: int, path: str, *partitions: str) -> None:
-    """Add one micro-batch's rows under `batch_id=<n>`, replacing a former attempt."""
+    """Add one micro-batch's rows under `batch_id=<n>`, replacing a former attempt.
+
+    Rows are brought together by partition value first, so that a folder gets few
+    files; a value with very many rows is split over several tasks (rebalance)."""
+    if partitions:
+        df = df.hint("rebalance", *partitions)
     writer = df.write.mode("overwrite")
     if partitions:
         writer = writer.partitionBy(*partitions)
@@ -38,7 +45,7 @@ def read_batches(spark: SparkSession, path: str, schema: StructType,
                  before: int | None = None) -> DataFrame:
     """All committed rows, or only those of earlier batches (for lookups that must
     not see a former attempt of the running batch). Empty before the first write."""
-    full = StructType(schema.fields).add(BATCH, "long")
+    full = extended(schema, **{BATCH: LongType()})
     if not _exists(spark, path):
         return spark.createDataFrame([], full)
     df = spark.read.schema(full).parquet(path)
@@ -112,5 +119,5 @@ def latest_by_key(rows: DataFrame, key: str | tuple[str, ...], version: str | No
 
 def land_raw(messages: DataFrame, batch_id: int, path: str, day: str = "dt") -> None:
     """Raw message text, one folder per day."""
-    messages.select("value", day).write.mode("overwrite").partitionBy(day) \
+    messages.select("value", day).hint("rebalance", day).write.mode("overwrite").partitionBy(day) \
         .text(f"{path}/{BATCH}={batch_id}")
