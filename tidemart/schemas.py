@@ -57,7 +57,9 @@ SKU = _struct(id=_s, spu_id=_s, price=_s, sku_name=_s, tm_id=_s, category3_id=_s
 
 USER_DESCRIBED = extended(USER, age_group=_s, gender_name=_s)
 SKU_ENRICHED = extended(SKU, category3_name=_s, spu_name=_s, tm_name=_s)
-DONE_ORDER = _struct(order_id=_l, last_id=_s, rest=_l, tm_id=_s, tm_name=_s, dt=_s)
+DONE_ORDER = _struct(order_id=_l, last_id=_s, rest=_l, tm_id=_s, tm_name=_s, dt=_s, month=_s)
+ORDER_DOCUMENT = extended(ORDER_INFO_ENRICHED, month=_s)
+STORED_WIDE = extended(ORDER_WIDE, month=_s)
 WINDOW_COUNT = _struct(window_start=TimestampType(), n=_l)
 
 USER_STATUS = _struct(user_id=_l, if_consumed=_s)

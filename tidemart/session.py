@@ -19,6 +19,8 @@ RUNTIME_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+PARTITIONS = "spark.sql.shuffle.partitions"
+
 
 def build_session(app: str = "tidemart", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -33,9 +35,19 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    if not spark.sparkContext.getConf().contains(PARTITIONS):
+        spark.conf.set(PARTITIONS, str(_default_partitions(spark)))
     return spark
 
 
+def _default_partitions(spark: SparkSession) -> int:
+    """Shuffle partitions where the session sets none: three per core on a cluster
+    (AQE joins small ones), one per core on a single machine. State stores keep the
+    number of their first run."""
+    sc = spark.sparkContext
+    return sc.defaultParallelism if sc.master.startswith("local") else max(200, 3 * sc.defaultParallelism)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 

@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 from tidemart import schemas
 from tidemart.functions.money import from_cents
 from tidemart.functions.records import as_messages, parse_records
-from tidemart.functions.times import event_time
+from tidemart.functions.times import event_time, month_of
 from tidemart.operators import dau, orders as order_rules, stats
 from tidemart.operators.dims import describe_users, enrich_sku, rows_of_keys
 from tidemart.operators.wide import detail_side, order_side, with_line_shares
@@ -87,7 +87,7 @@ def publish_batch(df: DataFrame, batch_id: int, topic: str) -> None:
 
 def enrich_orders(messages: DataFrame, dims: str, status: str, docs: str, topic: str) -> DataStreamWriter:
     """Flag first orders, add province and user, then store the new users' status,
-    the order documents by day and the messages for the next layer."""
+    the order documents and the messages for the next layer."""
     def sink(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         rows = order_rules.with_date_hour(parse_records(df, schemas.ORDER_INFO)).persist()
@@ -99,7 +99,7 @@ def enrich_orders(messages: DataFrame, dims: str, status: str, docs: str, topic:
         full = order_rules.join_user(order_rules.join_province(flagged, province), users) \
             .select(*schemas.ORDER_INFO_ENRICHED.fieldNames()).persist()
         append_batch(order_rules.first_order_users(full), batch_id, status)
-        append_batch(full.withColumn("dt", F.col("create_date")), batch_id, docs, "dt")
+        append_batch(full.withColumn("month", month_of(F.col("create_date"))), batch_id, docs, "month")
         publish_batch(full, batch_id, topic)
         full.unpersist()
         rows.unpersist()
@@ -167,14 +167,14 @@ def publish(rows: DataFrame, topic: str) -> DataStreamWriter:
 
 
 def store_shares(wide: DataFrame, out: str, brand_stat: str | None = None) -> DataStreamWriter:
-    """Wide messages to stored rows with each line's rounded share, by day, and
+    """Wide messages to stored rows with each line's rounded share, by month, and
     the batch's brand sums. Needs no state: a share depends on its own row only."""
     rows = with_line_shares(parse_records(wide, schemas.ORDER_WIDE)) \
         .withColumn("final_detail_amount", from_cents(F.col("_share"))) \
         .select(*schemas.ORDER_WIDE.fieldNames())
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        append_batch(df, batch_id, out, "dt")
+        append_batch(df.withColumn("month", month_of(F.col("dt"))), batch_id, out, "month")
         if brand_stat:
             store_brand_stat(df, batch_id, f"{brand_stat}/part=lines")
     return each_batch(rows, sink)
@@ -203,11 +203,12 @@ def complete_orders(wide: DataFrame, lateness: str = LATENESS) -> DataFrame:
 def store_complete(done: DataFrame, out: str, brand_stat: str | None = None) -> DataStreamWriter:
     """Store each order's completion once, and its rest as a brand sum."""
     def sink(df: DataFrame, batch_id: int) -> None:
+        keys = ["month", "order_id"]
+        rows = df.withColumn("month", month_of(F.col("dt")))
         before = read_batches(df.sparkSession, out, schemas.DONE_ORDER, before=batch_id)
-        keys = ["dt", "order_id"]
-        before = before.join(df.select(*keys), keys, "left_semi").select(*keys)
-        fresh = df.join(before, keys, "left_anti").persist()
-        append_batch(fresh, batch_id, out, "dt")
+        before = before.join(rows.select(*keys), keys, "left_semi").select(*keys)
+        fresh = rows.join(before, keys, "left_anti").persist()
+        append_batch(fresh, batch_id, out, "month")
         if brand_stat:
             rest = fresh.withColumn("final_detail_amount", from_cents(F.col("rest")))
             store_brand_stat(rest, batch_id, f"{brand_stat}/part=rest")
