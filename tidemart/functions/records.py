@@ -8,23 +8,31 @@ from pyspark.sql.types import StringType, StructField, StructType
 _BAD = "_unreadable"
 
 
-def _parsed(df: DataFrame, schema: StructType, value: str) -> DataFrame:
+def once(value: Column) -> Column:
+    """A column computed exactly once per row, for `select`. Spark copies a plain
+    expression into every later filter and field that uses it, which is costly for
+    JSON; a one-element explode is a step of its own that nothing is moved across."""
+    return F.explode(F.array(value))
+
+
+def _parsed(df: DataFrame, schema: StructType, value: str, *keep: str) -> DataFrame:
     with_bad = StructType(schema.fields + [StructField(_BAD, StringType())])
-    return df.withColumn("_record", F.from_json(
-        F.col(value), with_bad, {"columnNameOfCorruptRecord": _BAD}))
+    record = F.from_json(F.col(value), with_bad, {"columnNameOfCorruptRecord": _BAD})
+    return df.select(*keep, once(record).alias("_record"))
 
 
-def parse_records(df: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
-    """JSON text to typed columns; see `unreadable_records` for what does not fit."""
-    good = _parsed(df, schema, value).where(F.col(f"_record.{_BAD}").isNull()
-                                            & F.col("_record").isNotNull())
-    return good.select(*[F.col(f"_record.{f.name}") for f in schema.fields])
+def parse_records(df: DataFrame, schema: StructType, value: str = "value", *keep: str) -> DataFrame:
+    """JSON text to typed columns (and the columns to keep beside them);
+    see `unreadable_records` for what does not fit."""
+    good = F.col("_record").isNotNull() & F.col(f"_record.{_BAD}").isNull()
+    return _parsed(df, schema, value, *keep).where(good).select(
+        *[F.col(f"_record.{f.name}") for f in schema.fields], *keep)
 
 
 def unreadable_records(df: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
     """The messages `parse_records` leaves out, as they came."""
-    bad = F.col(f"_record.{_BAD}").isNotNull() | F.col("_record").isNull()
-    return _parsed(df, schema, value).where(bad).select(value)
+    bad = F.col("_record").isNull() | F.col(f"_record.{_BAD}").isNotNull()
+    return _parsed(df, schema, value, value).where(bad).select(value)
 
 
 def to_record(df: DataFrame, *columns: str) -> Column:

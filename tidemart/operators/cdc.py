@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemart.functions.records import once
 from tidemart.schemas import DIM_SCHEMAS, FACT_SCHEMAS
 
 
 def split_canal(envelopes: DataFrame, value: str = "value") -> DataFrame:
     """Envelopes `{table, type, data: [..]}`: inserts of any table, one message per row."""
-    env = F.from_json(value, "table string, type string, data array<string>").alias("e")
+    env = once(F.from_json(value, "table string, type string, data array<string>")).alias("e")
     return (envelopes.select(env)
             .where(F.col("e.type") == "INSERT")
             .select(F.concat(F.lit("ods_"), F.col("e.table")).alias("topic"),
@@ -19,7 +20,7 @@ def split_canal(envelopes: DataFrame, value: str = "value") -> DataFrame:
 def split_maxwell(envelopes: DataFrame, value: str = "value", drop_deletes: bool = False) -> DataFrame:
     """Envelopes `{table, type, data: {..}}` with data: inserts of the two fact
     tables, changes of any kind of the six dimension tables, nothing else."""
-    env = F.from_json(value, "table string, type string, data string").alias("e")
+    env = once(F.from_json(value, "table string, type string, data string")).alias("e")
     table, kind = F.col("e.table"), F.col("e.type")
     wanted = (table.isin(*FACT_SCHEMAS) & (kind == "insert")) | table.isin(*DIM_SCHEMAS)
     if drop_deletes:
@@ -34,5 +35,5 @@ def route_logs(logs: DataFrame, value: str = "value", start_topic: str = "log_st
                event_topic: str = "log_event") -> DataFrame:
     """Device logs with a `start` object go to one topic, all others to the second."""
     is_start = F.json_object_keys(F.get_json_object(value, "$.start")).isNotNull()
-    return logs.select(F.when(is_start, start_topic).otherwise(event_topic).alias("topic"),
-                       F.col(value).alias("value"))
+    topic = F.when(is_start, start_topic).otherwise(event_topic)
+    return logs.select(once(topic).alias("topic"), F.col(value).alias("value"))

@@ -116,7 +116,7 @@ def _one_day(day: str) -> tuple[str, str]:
 
 @query
 def json_parse(t):
-    messages = as_messages(fixtures.order_detail(t))
+    messages = as_messages(fixtures.order_detail(t, spread=True))
     rows = parse_records(messages, schemas.ORDER_DETAIL)
     return rows.select("id", "order_id", "sku_id", "sku_num", "order_price", "sku_name")
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemart.functions.money import from_cents, line_cents, to_cents
-from tidemart.functions.records import to_record
+from tidemart.functions.records import once, to_record
 from tidemart.sources.tables import Tables
 
 AS_OF = "2001-08-01"
@@ -35,9 +35,9 @@ def _orders(t: Tables, days: Days) -> DataFrame:
     return orders if days is None else orders.where(_between(F.col("o_orderdate"), days))
 
 
-def order_detail(t: Tables, days: Days = None) -> DataFrame:
+def order_detail(t: Tables, days: Days = None, spread: bool = False) -> DataFrame:
     """Order lines; an id is the text of the columns that tell lines apart."""
-    lines = t("lineitem")
+    lines = t.spread("lineitem") if spread else t("lineitem")
     if days is not None:
         wanted = _orders(t, days).select(F.col("o_orderkey").alias("l_orderkey"))
         lines = lines.join(wanted, "l_orderkey", "left_semi")
@@ -139,7 +139,7 @@ def sku_info(t: Tables) -> DataFrame:
 
 def device_logs(t: Tables, days: Days = None) -> DataFrame:
     """Device log messages: events of type `error` have no `start` object."""
-    events = t("events")
+    events = t.spread("events")
     if days is not None:
         events = events.where(_between(F.col("ts"), days))
     user = F.col("user_id").cast("string")
@@ -150,12 +150,12 @@ def device_logs(t: Tables, days: Days = None) -> DataFrame:
                    F.struct(F.lit("icon").alias("entry"), F.col("event_id")))
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
     record = events.select(common.alias("common"), start.alias("start"), ms.alias("ts"))
-    return record.select(to_record(record).alias("value"))
+    return record.select(once(to_record(record)).alias("value"))
 
 
 def canal_envelopes(t: Tables) -> DataFrame:
     """One envelope per order line and one per order; half-done orders are updates."""
-    details = order_detail(t)
+    details = order_detail(t, spread=True)
     lines = details.select(F.lit("order_detail").alias("table"), F.lit("INSERT").alias("type"),
                            F.array(F.struct(*details.columns)).alias("data"))
     orders = t("orders").select(
@@ -164,14 +164,14 @@ def canal_envelopes(t: Tables) -> DataFrame:
     kind = F.when(F.col("order_status") == "P", "UPDATE").otherwise("INSERT")
     heads = orders.select(F.lit("order_info").alias("table"), kind.alias("type"),
                           F.array(F.struct(*orders.columns)).alias("data"))
-    return lines.select(to_record(lines).alias("value")).unionByName(
-        heads.select(to_record(heads).alias("value")))
+    return lines.select(once(to_record(lines)).alias("value")).unionByName(
+        heads.select(once(to_record(heads)).alias("value")))
 
 
 def _envelope(df: DataFrame, table: str, kind: Column, data: Column | None = None) -> DataFrame:
     body = F.struct(*df.columns) if data is None else data
     out = df.select(F.lit(table).alias("table"), kind.alias("type"), body.alias("data"))
-    return out.select(to_record(out).alias("value"))
+    return out.select(once(to_record(out)).alias("value"))
 
 
 def maxwell_envelopes(t: Tables) -> DataFrame:
@@ -188,7 +188,7 @@ def maxwell_envelopes(t: Tables) -> DataFrame:
     suppliers = t("supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
     parts = [
         _envelope(orders, "order_info", kinds),
-        _envelope(order_detail(t), "order_detail", F.lit("insert")),
+        _envelope(order_detail(t, spread=True), "order_detail", F.lit("insert")),
         _envelope(users, "user_info", F.lit("bootstrap-insert"), user_body),
         _envelope(base_province(t), "base_province", F.lit("update")),
         _envelope(sku_info(t), "sku_info", F.lit("delete")),

@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
-Tables = Callable[[str], DataFrame]
+class Tables:
+    """Reader of `<folder>/<name>.parquet`."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def __call__(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+
+    def spread(self, name: str) -> DataFrame:
+        """The table with its rows dealt out to all cores, for heavy work per row,
+        where its files come to fewer tasks than there are cores."""
+        df, cores = self(name), self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def parquet_tables(spark: SparkSession, folder: str) -> Tables:
-    """Reader of `<folder>/<name>.parquet`."""
-    return lambda name: spark.read.parquet(f"{folder}/{name}.parquet")
+    return Tables(spark, folder)
 
 
 def jdbc_query(spark: SparkSession, url: str, query: str, partition_column: str | None = None,

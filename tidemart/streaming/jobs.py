@@ -50,16 +50,11 @@ def keep_dim(messages: DataFrame, schema: StructType, out: str) -> DataStreamWri
     version = "timestamp" if "timestamp" in messages.columns else None
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        rows = parse_records(df, schema) if version is None else _parse_with(df, schema, version)
+        rows = parse_records(df, schema, "value", *([version] if version else []))
         upsert_dim(rows, batch_id, out, schema, version=version)
     return each_batch(messages, sink)
 
 
-def _parse_with(df: DataFrame, schema: StructType, column: str) -> DataFrame:
-    record = F.from_json("value", schema)
-    return df.select(record.alias("r"), column).where(F.col("r").isNotNull()).select("r.*", column)
-
-
 def keep_users(messages: DataFrame, out: str, as_of: str | None = None) -> DataStreamWriter:
     def sink(df: DataFrame, batch_id: int) -> None:
         day = None if as_of is None else F.lit(as_of).cast("date")
