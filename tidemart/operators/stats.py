@@ -17,6 +17,15 @@ def brand_amounts(wide: DataFrame) -> DataFrame:
     return wide.groupBy("tm_id", "tm_name").agg(sum_amount("final_detail_amount").alias("amount"))
 
 
+def brand_amounts_of_lines(lines: DataFrame, sku: DataFrame, *by: str) -> DataFrame:
+    """Sales per brand (and the columns `by`) of lines that have no brand yet: sums
+    per SKU first, so that only these and not the lines are joined."""
+    per_sku = lines.groupBy(*by, "sku_id").agg(F.sum(to_cents(F.col("final_detail_amount"))).alias("_cents"))
+    brands = sku.select(F.col("id").cast("long").alias("sku_id"), "tm_id", "tm_name")
+    return (per_sku.join(brands, "sku_id", "left").groupBy(*by, "tm_id", "tm_name")
+            .agg(from_cents(F.sum("_cents")).alias("amount")))
+
+
 def brand_stat_rows(wide: DataFrame, stat_time: Column) -> DataFrame:
     """Brand sales of one batch as rows of the statistics table."""
     return brand_amounts(wide).select(
@@ -38,10 +47,10 @@ def chart_points(top: DataFrame) -> DataFrame:
                       F.lit(1).alias("s"))
 
 
-def shares(df: DataFrame, group: str) -> DataFrame:
-    """Row count per group and its part of all rows. The window runs over the few
-    counted groups, not over the rows."""
-    counts = df.groupBy(group).agg(F.count("*").alias("n"))
+def shares(df: DataFrame, group: str, count: Column | None = None) -> DataFrame:
+    """Row count per group and its part of all rows; `count` sums rows counted
+    before. The window runs over the few counted groups, not over the rows."""
+    counts = df.groupBy(group).agg((F.count("*") if count is None else F.sum(count)).alias("n"))
     total = F.sum("n").over(Window.partitionBy())
     return counts.withColumn("share", round_half_up(F.col("n") / total, 6))
 

@@ -41,21 +41,28 @@ def with_line_shares(wide: DataFrame) -> DataFrame:
     }).withColumn("_share", share_cents(F.col("_paid"), F.col("_line"), F.col("_listed")))
 
 
-def apportion(wide: DataFrame) -> DataFrame:
-    """Fill `final_detail_amount` so that an order's lines add up to what was paid.
+def order_rests(wide: DataFrame) -> DataFrame:
+    """Per order: what its lines' rounded shares leave of the payment, in cents, and
+    the id of the line that gets it, the greatest one (lines of no amount aside).
 
-    Every line gets its rounded share; the last one, that with the greatest id
-    (lines of no amount aside), also gets what is left over. The rest of an order
-    is paid minus all shares, a plain sum, so no order's lines have to meet in one
+    Paid minus all shares is a plain sum, so no order's lines have to meet in one
     task or be sorted.
     """
-    lines = with_line_shares(wide)
-    rest = lines.groupBy("order_id").agg(
+    return with_line_shares(wide).groupBy("order_id").agg(
         (F.max("_paid") - F.sum("_share")).alias("_rest"),
         F.coalesce(F.max(F.when(F.col("_line") != 0, F.col("order_detail_id"))),
                    F.max("order_detail_id")).alias("_last"))
+
+
+def apportion(wide: DataFrame, rests: DataFrame | None = None) -> DataFrame:
+    """Fill `final_detail_amount` so that an order's lines add up to what was paid.
+
+    `rests` are the `order_rests` of the same lines, when they can be had from rows
+    without the dimension columns.
+    """
+    rests = order_rests(wide) if rests is None else rests
     extra = F.when(F.col("order_detail_id") == F.col("_last"), F.col("_rest")).otherwise(F.lit(0))
-    return (lines.join(rest, "order_id")
+    return (with_line_shares(wide).join(rests, "order_id")
             .withColumn("final_detail_amount", from_cents(F.col("_share") + extra))
             .select(*wide.columns))
 

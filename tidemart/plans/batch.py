@@ -87,11 +87,9 @@ def paid_wide(t: Tables, days=None) -> DataFrame:
 
 
 def brand_wide(t: Tables) -> DataFrame:
-    """Apportioned lines with their brand; the other dimensions stay null."""
-    head = dated_orders(t)
-    for name in ("if_first_order", "province_name", "province_area_code", "user_age_group", "user_gender"):
-        head = head.withColumn(name, F.lit(None).cast("string"))
-    return wide.apportion(wide.to_wide(head, enriched_details(t)))
+    """Apportioned wide rows with their brand and product filled in."""
+    lines = paid_wide(t).drop("spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name")
+    return orders.join_sku(lines, sku(t)).select(*schemas.ORDER_WIDE.fieldNames())
 
 
 def start_rows(t: Tables, days=None) -> DataFrame:
@@ -246,7 +244,7 @@ def order_detail_join(t):
 
 @query
 def order_wide(t):
-    return wide.apportion(wide_rows(t))
+    return wide.apportion(wide_rows(t), wide.order_rests(plain_wide(t)))
 
 
 @query
@@ -280,15 +278,14 @@ def apportion_balance(t):
 
 @query
 def brand_amount(t):
-    return stats.brand_amounts(brand_wide(t))
+    return stats.brand_amounts_of_lines(paid_wide(t), sku(t))
 
 
 def _brand_stats(t: Tables) -> DataFrame:
     """Statistics rows with each day of orders as one batch."""
-    lines = brand_wide(t)
-    return (lines.groupBy(F.concat("dt", F.lit(" 00:00:00")).alias("stat_time"),
-                          F.col("tm_id").alias("trademark_id"), F.col("tm_name").alias("trademark_name"))
-            .agg(stats.sum_amount("final_detail_amount").alias("amount")))
+    daily = stats.brand_amounts_of_lines(paid_wide(t), sku(t), "dt")
+    return daily.select(F.concat("dt", F.lit(" 00:00:00")).alias("stat_time"),
+                        F.col("tm_id").alias("trademark_id"), F.col("tm_name").alias("trademark_name"), "amount")
 
 
 STAT_RANGE = ("1996-01-01 00:00:00", "2000-12-31 00:00:00")
@@ -326,20 +323,20 @@ def province_sales(t):
 
 
 def _buyers(t: Tables) -> DataFrame:
-    """Order lines with the buyer's attributes."""
+    """Orders with the buyer's attributes and the number of their lines."""
     head = orders.join_user(fixtures.order_info(t), users(t))
-    return fixtures.order_detail(t).select("order_id").join(
-        head.select(F.col("id").alias("order_id"), "user_gender", "user_age_group"), "order_id")
+    lines = fixtures.order_detail(t).groupBy("order_id").agg(F.count("*").alias("lines"))
+    return lines.join(head.select(F.col("id").alias("order_id"), "user_gender", "user_age_group"), "order_id")
 
 
 @query
 def gender_share(t):
-    return stats.shares(_buyers(t), "user_gender")
+    return stats.shares(_buyers(t), "user_gender", F.col("lines"))
 
 
 @query
 def age_share(t):
-    return stats.shares(_buyers(t), "user_age_group")
+    return stats.shares(_buyers(t), "user_age_group", F.col("lines"))
 
 
 @query
