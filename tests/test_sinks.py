@@ -61,3 +61,38 @@ def test_raw_landing_by_day(spark, rows):
     sinks.land_raw(df, 0, path)
     back = spark.read.schema("value string, batch_id long, dt string").text(path)
     assert rows(back.where(F.col("dt") == "2024-01-02"), "value") == [("m2",)]
+
+
+def test_compacted_log_reads_the_same(spark, rows):
+    path = new_workdir(spark, "t")
+
+    def put(n, *pairs):
+        append_batch(spark.createDataFrame(list(pairs), schemas.TRADEMARK), n, path)
+
+    def state():
+        return (rows(sinks.latest_rows(spark, path, schemas.TRADEMARK)),
+                read_batches(spark, path, schemas.TRADEMARK, before=2).count())
+    put(0, ("1", "a"), ("2", "b"))
+    put(1, ("2", "c"))
+    put(2, ("3", "d"))
+    assert state() == ([("1", "a"), ("2", "c"), ("3", "d")], 3)
+    sinks.compact_batches(spark, path, schemas.TRADEMARK, 1)
+    assert state() == ([("1", "a"), ("2", "c"), ("3", "d")], 3)
+    sinks.compact_batches(spark, path, schemas.TRADEMARK, 2, key="id")
+    assert state()[0] == [("1", "a"), ("2", "c"), ("3", "d")]
+    assert read_batches(spark, path, schemas.TRADEMARK).count() == 3
+    put(3, ("1", "z"))
+    of = spark.createDataFrame([("1",), ("9",)], "id string")
+    assert rows(sinks.latest_rows(spark, path, schemas.TRADEMARK, of=of)) == [("1", "z")]
+    fs, root = sinks._fs_path(spark, path)
+    assert sorted(s.getPath().getName() for s in fs.listStatus(root)) == ["batch_id=2", "batch_id=3"]
+
+
+def test_compacted_log_keeps_its_partitions(spark, rows):
+    path = new_workdir(spark, "t")
+    df = spark.createDataFrame([("m1", "2024-01-01"), ("m2", "2024-01-02")], "mid string, dt string")
+    append_batch(df, 0, path, "dt")
+    append_batch(df, 1, path, "dt")
+    sinks.compact_batches(spark, path, df.schema, 0, partitions=("dt",))
+    got = read_batches(spark, path, df.schema)
+    assert rows(got.where(F.col("dt") == "2024-01-02"), "mid", "batch_id") == [("m2", 0), ("m2", 1)]

@@ -7,7 +7,7 @@ from tidemart import schemas
 from tidemart.functions.times import event_time
 from tidemart.operators import cdc
 from tidemart.session import new_workdir
-from tidemart.sources.sinks import read_batches, read_dim, upsert_dim
+from tidemart.sources.sinks import latest_rows, read_batches, upsert_dim
 from tidemart.sources.topics import append_file_topic, file_topic, to_console
 from tidemart.streaming import jobs
 from tidemart.streaming.run import each_batch, run_once
@@ -80,7 +80,7 @@ def test_names_are_looked_up_anew_in_every_batch(spark, work, rows):
 
     def run():
         run_once(jobs.keep_skus(file_topic(spark, f"{work}/in"), f"{work}/dims", f"{work}/sku"), f"{work}/cp")
-        return rows(read_dim(spark, f"{work}/sku", schemas.SKU_ENRICHED), "id", "tm_name")
+        return rows(latest_rows(spark, f"{work}/sku", schemas.SKU_ENRICHED), "id", "tm_name")
     put(spark, f"{work}/in", sku)
     assert run() == [("5", None)]
     upsert_dim(spark.createDataFrame([("1", "brand")], schemas.TRADEMARK), 0, f"{work}/dims/base_trademark",
@@ -92,7 +92,7 @@ def test_names_are_looked_up_anew_in_every_batch(spark, work, rows):
 def test_users_are_described(spark, work, rows):
     put(spark, f"{work}/in", {"id": "1", "birthday": "2000-01-01", "gender": "M"}, {"id": "2", "gender": None})
     run_once(jobs.keep_users(file_topic(spark, f"{work}/in"), f"{work}/out", "2021-01-01"), f"{work}/cp")
-    assert rows(read_dim(spark, f"{work}/out", schemas.USER_DESCRIBED), "id", "age_group", "gender_name") == [
+    assert rows(latest_rows(spark, f"{work}/out", schemas.USER_DESCRIBED), "id", "age_group", "gender_name") == [
         ("1", "20_30", "male"), ("2", None, "female")]
 
 

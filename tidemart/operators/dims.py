@@ -29,7 +29,12 @@ def enrich_sku(sku: DataFrame, category3: DataFrame, trademark: DataFrame, spu:
             .select(*sku.columns, "category3_name", "spu_name", "tm_name"))
 
 
+def keys_of(facts: DataFrame, fact_key: str, dim_key: str = "id", kind: str = "string") -> DataFrame:
+    """The distinct keys some facts refer to, under the dimension's name and type."""
+    return facts.select(F.col(fact_key).cast(kind).alias(dim_key)).distinct()
+
+
 def rows_of_keys(dim: DataFrame, facts: DataFrame, fact_key: str, dim_key: str = "id") -> DataFrame:
     """Only the dimension rows some fact refers to, each once."""
-    keys = facts.select(F.col(fact_key).cast(dim.schema[dim_key].dataType).alias(dim_key)).distinct()
-    return dim.join(keys, dim_key, "left_semi")
+    kind = dim.schema[dim_key].dataType.simpleString()
+    return dim.join(keys_of(facts, fact_key, dim_key, kind), dim_key, "left_semi")

@@ -18,7 +18,7 @@ def flag_first_order(orders: DataFrame, status: DataFrame) -> DataFrame:
     known = status.select("user_id").distinct().withColumn("_known", F.lit(True))
     flag = F.when(F.col("_known").isNotNull(), "0").otherwise("1")
     return orders.join(known, "user_id", "left").select(
-        *[orders[c] for c in orders.columns], flag.alias("if_first_order"))
+        *orders.columns, flag.alias("if_first_order"))
 
 
 def flag_first_order_by_day(orders: DataFrame) -> DataFrame:
@@ -26,7 +26,7 @@ def flag_first_order_by_day(orders: DataFrame) -> DataFrame:
     first_day = orders.groupBy("user_id").agg(F.min("create_date").alias("_first"))
     flag = F.when(F.col("create_date") == F.col("_first"), "1").otherwise("0")
     return orders.join(first_day, "user_id").select(
-        *[orders[c] for c in orders.columns], flag.alias("if_first_order"))
+        *orders.columns, flag.alias("if_first_order"))
 
 
 def keep_one_first_order(orders: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def keep_one_first_order(orders: DataFrame) -> DataFrame:
                 .agg(F.min(F.struct("create_time", "id")).alias("_e"))
                 .select(F.col("_e.id").alias("id"), F.lit("1").alias("_flag")))
     return orders.join(earliest, "id", "left").select(
-        *[orders[c] for c in orders.columns if c != "if_first_order"],
+        *[c for c in orders.columns if c != "if_first_order"],
         F.coalesce("_flag", F.lit("0")).alias("if_first_order"))
 
 
@@ -55,7 +55,7 @@ def join_province(orders: DataFrame, province: DataFrame) -> DataFrame:
                           F.col("area_code").alias("province_area_code"),
                           F.col("iso_code").alias("province_iso_code"))
     return orders.join(dim, "province_id", "left").select(
-        *[orders[c] for c in orders.columns],
+        *orders.columns,
         "province_name", "province_area_code", "province_iso_code")
 
 
@@ -65,11 +65,11 @@ def join_user(orders: DataFrame, users: DataFrame) -> DataFrame:
                        F.col("age_group").alias("user_age_group"),
                        F.col("gender_name").alias("user_gender"))
     return orders.join(dim, "user_id", "left").select(
-        *[orders[c] for c in orders.columns], "user_age_group", "user_gender")
+        *orders.columns, "user_age_group", "user_gender")
 
 
 def join_sku(details: DataFrame, sku: DataFrame) -> DataFrame:
     """Order lines with product, brand and category; an unknown SKU leaves nulls."""
     names = ["spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name"]
     dim = sku.select(F.col("id").cast("long").alias("sku_id"), *names)
-    return details.join(dim, "sku_id", "left").select(*[details[c] for c in details.columns], *names)
+    return details.join(dim, "sku_id", "left").select(*details.columns, *names)

@@ -89,4 +89,4 @@ def running_totals(df: DataFrame, key: str, order: str, sums: dict[str, Column],
     ran = rows.select(*df.columns, "_chunk",
                       *[F.sum(f"_v_{n}").over(inside).alias(f"_r_{n}") for n in sums])
     return ran.join(starts, [key, "_chunk"]).select(
-        *[ran[c] for c in df.columns], *[(F.col(f"_s_{n}") + F.col(f"_r_{n}")).alias(n) for n in sums])
+        *df.columns, *[(F.col(f"_s_{n}") + F.col(f"_r_{n}")).alias(n) for n in sums])

@@ -50,6 +50,12 @@ def sku(t: Tables) -> DataFrame:
                            fixtures.base_trademark(t), fixtures.spu_info(t))
 
 
+def branded_sku(t: Tables) -> DataFrame:
+    """SKU rows with the name of their brand only."""
+    return fixtures.sku_info(t).join(
+        fixtures.base_trademark(t).withColumnRenamed("id", "tm_id"), "tm_id", "left")
+
+
 def dated_orders(t: Tables, days=None) -> DataFrame:
     return orders.with_date_hour(fixtures.order_info(t, days))
 
@@ -70,16 +76,21 @@ def wide_rows(t: Tables) -> DataFrame:
     return wide.to_wide(enriched_orders(t), enriched_details(t))
 
 
+ORDER_DIMS = ("if_first_order", "province_name", "province_area_code", "user_age_group", "user_gender")
+SKU_DIMS = ("spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name")
+
+
+def with_nulls(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """Add text columns nobody is going to fill in."""
+    missing = [n for n in names if n not in df.columns]
+    return df.select("*", *[F.lit(None).cast("string").alias(n) for n in missing])
+
+
 def plain_wide(t: Tables, days=None) -> DataFrame:
     """Wide rows with the order, line and amount columns only, for the reports that
     need no dimension; the dimension columns are null."""
-    head = dated_orders(t, days)
-    for name in ("if_first_order", "province_name", "province_area_code", "user_age_group", "user_gender"):
-        head = head.withColumn(name, F.lit(None).cast("string"))
-    lines = fixtures.order_detail(t, days)
-    for name in ("spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name"):
-        lines = lines.withColumn(name, F.lit(None).cast("string"))
-    return wide.to_wide(head, lines)
+    return wide.to_wide(with_nulls(dated_orders(t, days), ORDER_DIMS),
+                        with_nulls(fixtures.order_detail(t, days), SKU_DIMS))
 
 
 def paid_wide(t: Tables, days=None) -> DataFrame:
@@ -88,7 +99,7 @@ def paid_wide(t: Tables, days=None) -> DataFrame:
 
 def brand_wide(t: Tables) -> DataFrame:
     """Apportioned wide rows with their brand and product filled in."""
-    lines = paid_wide(t).drop("spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name")
+    lines = paid_wide(t).drop(*SKU_DIMS)
     return orders.join_sku(lines, sku(t)).select(*schemas.ORDER_WIDE.fieldNames())
 
 
@@ -278,12 +289,12 @@ def apportion_balance(t):
 
 @query
 def brand_amount(t):
-    return stats.brand_amounts_of_lines(paid_wide(t), sku(t))
+    return stats.brand_amounts_of_lines(paid_wide(t), branded_sku(t))
 
 
 def _brand_stats(t: Tables) -> DataFrame:
     """Statistics rows with each day of orders as one batch."""
-    daily = stats.brand_amounts_of_lines(paid_wide(t), sku(t), "dt")
+    daily = stats.brand_amounts_of_lines(paid_wide(t), branded_sku(t), "dt")
     return daily.select(F.concat("dt", F.lit(" 00:00:00")).alias("stat_time"),
                         F.col("tm_id").alias("trademark_id"), F.col("tm_name").alias("trademark_name"), "amount")
 
@@ -314,12 +325,8 @@ def order_amount_hour(t):
 @query
 def province_sales(t):
     head = orders.join_province(dated_orders(t), fixtures.base_province(t))
-    for name in ("if_first_order", "user_age_group", "user_gender"):
-        head = head.withColumn(name, F.lit(None).cast("string"))
-    lines = fixtures.order_detail(t)
-    for name in ("spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name"):
-        lines = lines.withColumn(name, F.lit(None).cast("string"))
-    return stats.province_sales(wide.apportion(wide.to_wide(head, lines)))
+    rows = wide.to_wide(with_nulls(head, ORDER_DIMS), with_nulls(fixtures.order_detail(t), SKU_DIMS))
+    return stats.province_sales(wide.apportion(rows, wide.order_rests(plain_wide(t))))
 
 
 def _buyers(t: Tables) -> DataFrame:
@@ -343,9 +350,7 @@ def age_share(t):
 def sale_detail_page(t):
     days = _one_day(SALES_DAY)
     head = orders.join_user(dated_orders(t, days), users(t))
-    for name in ("if_first_order", "province_name", "province_area_code"):
-        head = head.withColumn(name, F.lit(None).cast("string"))
-    rows = wide.to_wide(head, orders.join_sku(fixtures.order_detail(t, days), sku(t)))
+    rows = wide.to_wide(with_nulls(head, ORDER_DIMS), orders.join_sku(fixtures.order_detail(t, days), sku(t)))
     people = users(t).withColumn("user_age", age_years(F.to_date("birthday"), as_of()))
     return reports.sale_detail_page(rows, people, SALES_DAY, "item", start_page=1, size=20)
 

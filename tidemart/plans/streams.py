@@ -12,18 +12,17 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemart import schemas
-from tidemart.functions.money import from_cents
-from tidemart.functions.records import as_messages
+from tidemart.functions.records import as_messages, parse_records
 from tidemart.functions.times import event_time
 from tidemart.operators import cdc, stats
 from tidemart.plans import batch
 from tidemart.session import configure, new_workdir
 from tidemart.sources import fixtures
-from tidemart.sources.sinks import latest_documents, read_batches, read_dim, upsert_dim
+from tidemart.sources.sinks import append_batch, latest_documents, read_batches, upsert_dim
 from tidemart.sources.tables import Tables, parquet_tables
 from tidemart.sources.topics import append_file_topic, file_topic
 from tidemart.streaming import jobs
-from tidemart.streaming.run import run_once
+from tidemart.streaming.run import each_batch, run_once
 
 ORDER_CUTS = ("1997-03-01", "1999-06-01")
 VISIT_CUTS = ("2024-01-11", "2024-01-21")
@@ -85,8 +84,7 @@ def _order_messages(t: Tables) -> DataFrame:
 def _put_dims(t: Tables, dims: str) -> None:
     """Dimension tables as their jobs would have left them."""
     upsert_dim(fixtures.base_province(t), 0, f"{dims}/base_province", schemas.PROVINCE)
-    upsert_dim(batch.users(t), 0, f"{dims}/user_info", schemas.USER_DESCRIBED)
-    upsert_dim(batch.sku(t), 0, f"{dims}/sku_info", schemas.SKU_ENRICHED)
+    append_batch(batch.users(t), 0, f"{dims}/user_info")
 
 
 @query
@@ -230,9 +228,6 @@ class _Lost(Exception):
 def stream_idempotent_replay(spark, t, work):
     """Brand sums when every batch is written, lost before it counts as done, and
     run again by the restarted query."""
-    from tidemart.functions.records import parse_records
-    from tidemart.streaming.run import each_batch
-
     parts = _stage(as_messages(batch.brand_wide(t)), _order_day(), ORDER_CUTS, f"{work}/staged")
 
     def write_then_fail(df, batch_id):

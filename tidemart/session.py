@@ -15,6 +15,11 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A join whose shuffled partitions all turn out small is hashed, not sorted.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # Files hold compressed columns: count them four times as large when a side's
+    # size is checked for a broadcast.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }

@@ -49,9 +49,46 @@ def read_batches(spark: SparkSession, path: str, schema: StructType,
     if not _exists(spark, path):
         return spark.createDataFrame([], full)
     df = spark.read.schema(full).parquet(path)
+    bases = _versions(spark, f"{path}.base")
+    if bases:
+        base = spark.read.schema(full).parquet(f"{path}.base/v={bases[-1]}")
+        df = df.where(F.col(BATCH) > bases[-1]).unionByName(base)
     return df if before is None else df.where(F.col(BATCH) < before)
 
 
+def compact_batches(spark: SparkSession, path: str, schema: StructType, upto: int,
+                    key: str | None = None, partitions: tuple[str, ...] = ()) -> None:
+    """Put the rows of all batches up to `upto` into few files, with a `key` only the
+    newest row of each. `upto` must be a batch that has been committed.
+
+    Readers change over when the new base is complete. Batch folders the base before
+    this one already covered are dropped; the others stay for readers under way.
+    """
+    done = _versions(spark, f"{path}.base")
+    rows = read_batches(spark, path, schema, before=upto + 1)
+    rows = latest_by_key(rows, key, BATCH) if key else rows
+    writer = rows.hint("rebalance", *partitions).write.mode("overwrite")
+    if partitions:
+        writer = writer.partitionBy(*partitions)
+    writer.parquet(f"{path}.base/v={upto}")
+    if done:
+        fs, root = _fs_path(spark, path)
+        for status in fs.listStatus(root):
+            name = status.getPath().getName()
+            if name.startswith(f"{BATCH}=") and int(name[len(BATCH) + 1:]) <= done[-1]:
+                fs.delete(status.getPath(), True)
+
+
+def latest_rows(spark: SparkSession, path: str, schema: StructType, key: str = "id",
+                of: DataFrame | None = None) -> DataFrame:
+    """The newest row per key of an append log, or of only the keys in `of` (a
+    one-column frame), which are picked before rows are compared."""
+    rows = read_batches(spark, path, schema)
+    if of is not None:
+        rows = rows.join(of, key, "left_semi")
+    return latest_by_key(rows, key, BATCH).select(*schema.fieldNames())
+
+
 # --- documents by id ------------------------------------------------------
 
 def upsert_documents(df: DataFrame, batch_id: int, path: str) -> None:
@@ -67,7 +104,10 @@ def latest_documents(docs: DataFrame, key: tuple[str, ...] = ("dt", "id"),
     return docs.groupBy(*key).agg(newest).select(*key, "_doc.*")
 
 
-# --- dimension tables -----------------------------------------------------
+# --- small dimension tables -----------------------------------------------
+# Rewritten whole by each batch that changes them, so that their size is known and
+# Spark can broadcast them. Large ones (users, SKUs) are append logs, read with
+# `latest_rows` and kept short by `compact_batches`.
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
     """Ids of the completely written versions of a dimension table, ascending."""

@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 class Tables:
-    """Reader of `<folder>/<name>.parquet`."""
+    """Reader of `<folder>/<name>.parquet`. A file's schema is looked up once."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+        self.spark, self.folder, self.schemas = spark, folder, {}
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if name not in self.schemas:
+            df = self.spark.read.parquet(path)
+            self.schemas[name] = df.schema
+            return df
+        return self.spark.read.schema(self.schemas[name]).parquet(path)
 
     def spread(self, name: str) -> DataFrame:
         """The table with its rows dealt out to all cores, for heavy work per row,

@@ -18,9 +18,10 @@ from tidemart.functions.money import from_cents
 from tidemart.functions.records import as_messages, parse_records
 from tidemart.functions.times import event_time, month_of
 from tidemart.operators import dau, orders as order_rules, stats
-from tidemart.operators.dims import describe_users, enrich_sku, rows_of_keys
+from tidemart.operators.dims import describe_users, enrich_sku, keys_of, rows_of_keys
 from tidemart.operators.wide import detail_side, order_side, with_line_shares
-from tidemart.sources.sinks import (append_batch, land_raw, read_batches, read_dim, upsert_dim)
+from tidemart.sources.sinks import (append_batch, land_raw, latest_by_key, latest_rows, read_batches,
+                                    read_dim, upsert_dim)
 from tidemart.streaming.run import each_batch
 
 LATENESS = "10 minutes"
@@ -56,10 +57,11 @@ def keep_dim(messages: DataFrame, schema: StructType, out: str) -> DataStreamWri
 
 
 def keep_users(messages: DataFrame, out: str, as_of: str | None = None) -> DataStreamWriter:
+    """Described users, appended batch by batch (see `sinks.latest_rows`)."""
     def sink(df: DataFrame, batch_id: int) -> None:
         day = None if as_of is None else F.lit(as_of).cast("date")
         rows = describe_users(parse_records(df, schemas.USER), day)
-        upsert_dim(rows, batch_id, out, schemas.USER_DESCRIBED)
+        append_batch(latest_by_key(rows, "id"), batch_id, out)
     return each_batch(messages, sink)
 
 
@@ -69,7 +71,8 @@ def keep_skus(messages: DataFrame, dims: str, out: str) -> DataStreamWriter:
         spark = df.sparkSession
         tables = [read_dim(spark, f"{dims}/{name}", schemas.DIM_SCHEMAS[name])
                   for name in ("base_category3", "base_trademark", "spu_info")]
-        upsert_dim(enrich_sku(parse_records(df, schemas.SKU), *tables), batch_id, out, schemas.SKU_ENRICHED)
+        rows = enrich_sku(latest_by_key(parse_records(df, schemas.SKU), "id"), *tables)
+        append_batch(rows, batch_id, out)
     return each_batch(messages, sink)
 
 
@@ -90,7 +93,7 @@ def enrich_orders(messages: DataFrame, dims: str, status: str, docs: str, topic:
                              rows, "user_id", "user_id")
         flagged = order_rules.keep_one_first_order(order_rules.flag_first_order(rows, known))
         province = read_dim(spark, f"{dims}/base_province", schemas.PROVINCE)
-        users = rows_of_keys(read_dim(spark, f"{dims}/user_info", schemas.USER_DESCRIBED), rows, "user_id")
+        users = latest_rows(spark, f"{dims}/user_info", schemas.USER_DESCRIBED, of=keys_of(rows, "user_id"))
         full = order_rules.join_user(order_rules.join_province(flagged, province), users) \
             .select(*schemas.ORDER_INFO_ENRICHED.fieldNames()).persist()
         append_batch(order_rules.first_order_users(full), batch_id, status)
@@ -104,7 +107,7 @@ def enrich_orders(messages: DataFrame, dims: str, status: str, docs: str, topic:
 def enrich_details(messages: DataFrame, dims: str, topic: str) -> DataStreamWriter:
     def sink(df: DataFrame, batch_id: int) -> None:
         rows = parse_records(df, schemas.ORDER_DETAIL)
-        sku = rows_of_keys(read_dim(df.sparkSession, f"{dims}/sku_info", schemas.SKU_ENRICHED), rows, "sku_id")
+        sku = latest_rows(df.sparkSession, f"{dims}/sku_info", schemas.SKU_ENRICHED, of=keys_of(rows, "sku_id"))
         publish_batch(order_rules.join_sku(rows, sku), batch_id, topic)
     return each_batch(messages, sink)
 
