@@ -56,16 +56,16 @@ def branded_sku(t: Tables) -> DataFrame:
         fixtures.base_trademark(t).withColumnRenamed("id", "tm_id"), "tm_id", "left")
 
 
-def dated_orders(t: Tables, days=None) -> DataFrame:
-    return orders.with_date_hour(fixtures.order_info(t, days))
+def dated_orders(t: Tables, days=None, province: bool = False) -> DataFrame:
+    return orders.with_date_hour(fixtures.order_info(t, days, province))
 
 
-def flagged_orders(t: Tables) -> DataFrame:
-    return orders.keep_one_first_order(orders.flag_first_order_by_day(dated_orders(t)))
+def flagged_orders(t: Tables, province: bool = False) -> DataFrame:
+    return orders.keep_one_first_order(orders.flag_first_order_by_day(dated_orders(t, province=province)))
 
 
 def enriched_orders(t: Tables) -> DataFrame:
-    return orders.join_user(orders.join_province(flagged_orders(t), fixtures.base_province(t)), users(t))
+    return orders.join_user(orders.join_province(flagged_orders(t, province=True), fixtures.base_province(t)), users(t))
 
 
 def enriched_details(t: Tables) -> DataFrame:
@@ -220,7 +220,7 @@ def order_join_province(t):
 
 @query
 def order_join_user(t):
-    return orders.join_user(fixtures.order_info(t), users(t)).select(
+    return orders.join_user(fixtures.order_info(t, province=False), users(t)).select(
         "id", "user_id", "user_age_group", "user_gender")
 
 
@@ -324,14 +324,14 @@ def order_amount_hour(t):
 
 @query
 def province_sales(t):
-    head = orders.join_province(dated_orders(t), fixtures.base_province(t))
+    head = orders.join_province(dated_orders(t, province=True), fixtures.base_province(t))
     rows = wide.to_wide(with_nulls(head, ORDER_DIMS), with_nulls(fixtures.order_detail(t), SKU_DIMS))
     return stats.province_sales(wide.apportion(rows, wide.order_rests(plain_wide(t))))
 
 
 def _buyers(t: Tables) -> DataFrame:
     """Orders with the buyer's attributes and the number of their lines."""
-    head = orders.join_user(fixtures.order_info(t), users(t))
+    head = orders.join_user(fixtures.order_info(t, province=False), users(t))
     lines = fixtures.order_detail(t).groupBy("order_id").agg(F.count("*").alias("lines"))
     return lines.join(head.select(F.col("id").alias("order_id"), "user_gender", "user_age_group"), "order_id")
 

@@ -135,7 +135,7 @@ def stream_dim_refresh(spark, t, work):
 def stream_interval_join(spark, t, work):
     """Orders and lines within the bound; returned lines come too late for theirs."""
     orders = t("orders").select(F.col("o_orderkey").alias("id"),
-                                fixtures._order_time().cast("string").alias("create_time"))
+                                fixtures.order_time().cast("string").alias("create_time"))
     lines = fixtures.timed_detail(t, delay_returned=True).select("id", "order_id", "create_time")
     topics = {f"{work}/orders": _stage(as_messages(orders), _order_day(), ORDER_CUTS, f"{work}/s1"),
               f"{work}/lines": _stage(as_messages(lines), _order_day(), ORDER_CUTS, f"{work}/s2")}
@@ -252,15 +252,15 @@ def stream_layers(spark, t, work):
     dims, ods = f"{work}/dims", f"{work}/ods"
     orders = fixtures.order_info(t)
     kind = F.when(F.col("order_status") == "O", "insert").otherwise("update")
-    facts = fixtures._envelope(orders, "order_info", kind).unionByName(
-        fixtures._envelope(fixtures.timed_detail(t), "order_detail", F.lit("insert")))
+    facts = fixtures.envelope(orders, "order_info", kind).unionByName(
+        fixtures.envelope(fixtures.timed_detail(t), "order_detail", F.lit("insert")))
     day = F.substring(F.get_json_object("value", "$.data.create_time"), 1, 10)
     parts = _stage(facts, day, ORDER_CUTS[:1], f"{work}/staged")
     sides = {"base_province": fixtures.base_province(t), "user_info": fixtures.user_info(t),
              "base_trademark": fixtures.base_trademark(t), "base_category3": fixtures.base_category3(t),
              "spu_info": fixtures.spu_info(t), "sku_info": fixtures.sku_info(t)}
     for name, df in sides.items():
-        append_file_topic(fixtures._envelope(df, name, F.lit("insert")), f"{work}/db")
+        append_file_topic(fixtures.envelope(df, name, F.lit("insert")), f"{work}/db")
 
     def topic(name: str) -> DataFrame:
         rows = spark.readStream.schema("value string, topic string").format("text").load(ods)

@@ -23,7 +23,7 @@ def _between(moment: Column, days: Days) -> Column:
     return (moment >= F.lit(low).cast("timestamp_ntz")) & (moment < F.lit(high).cast("timestamp_ntz"))
 
 
-def _order_time() -> Column:
+def order_time() -> Column:
     """Midnight of the order's day plus a time of day derived from its key."""
     hours, minutes = (F.col("o_orderkey") * 7919) % 24, F.col("o_orderkey") % 60
     return F.col("o_orderdate") + F.make_dt_interval(
@@ -51,26 +51,28 @@ def order_detail(t: Tables, days: Days = None, spread: bool = False) -> DataFram
         F.concat(F.lit("item "), F.col("l_partkey")).alias("sku_name"))
 
 
-def order_info(t: Tables, days: Days = None) -> DataFrame:
-    """Orders that have lines; the listed total is the sum of the lines."""
+def order_info(t: Tables, days: Days = None, province: bool = True) -> DataFrame:
+    """Orders that have lines; the listed total is the sum of the lines. Without
+    `province` that column is null and the customers are not joined."""
     listed = order_detail(t, days).groupBy("order_id").agg(
         F.sum(line_cents(F.col("order_price"), F.col("sku_num"))).alias("_listed"))
-    customers = t("customer").select("c_custkey", F.col("c_nationkey").cast("long").alias("province_id"))
+    orders = _orders(t, days).join(listed, F.col("o_orderkey") == F.col("order_id"))
+    place = F.lit(None).cast("long")
+    if province:
+        customers = t("customer").select("c_custkey", "c_nationkey")
+        orders = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
+        place = F.col("c_nationkey").cast("long")
     paid = to_cents(F.col("o_totalprice"))
-    moment = _order_time().cast("string")
-    return (_orders(t, days)
-            .join(listed, F.col("o_orderkey") == F.col("order_id"))
-            .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-            .select(
-                F.col("o_orderkey").alias("id"), "province_id",
-                F.col("o_orderstatus").alias("order_status"), F.col("o_custkey").alias("user_id"),
-                F.col("o_totalprice").alias("final_total_amount"),
-                from_cents(F.greatest(F.col("_listed") - paid, F.lit(0))).alias("benefit_reduce_amount"),
-                from_cents(F.col("_listed")).alias("original_total_amount"),
-                from_cents(F.greatest(paid - F.col("_listed"), F.lit(0))).alias("feight_fee"),
-                F.lit(None).cast("string").alias("expire_time"),
-                moment.alias("create_time"),
-                F.lit(None).cast("string").alias("operate_time")))
+    return orders.select(
+        F.col("o_orderkey").alias("id"), place.alias("province_id"),
+        F.col("o_orderstatus").alias("order_status"), F.col("o_custkey").alias("user_id"),
+        F.col("o_totalprice").alias("final_total_amount"),
+        from_cents(F.greatest(F.col("_listed") - paid, F.lit(0))).alias("benefit_reduce_amount"),
+        from_cents(F.col("_listed")).alias("original_total_amount"),
+        from_cents(F.greatest(paid - F.col("_listed"), F.lit(0))).alias("feight_fee"),
+        F.lit(None).cast("string").alias("expire_time"),
+        order_time().cast("string").alias("create_time"),
+        F.lit(None).cast("string").alias("operate_time"))
 
 
 def timed_detail(t: Tables, delay_returned: bool = False) -> DataFrame:
@@ -82,7 +84,7 @@ def timed_detail(t: Tables, delay_returned: bool = False) -> DataFrame:
     after = F.col("l_linenumber") * 5
     if delay_returned:
         after = F.when(F.col("l_returnflag") == "R", 120).otherwise(after)
-    orders = t("orders").select(F.col("o_orderkey").alias("order_id"), _order_time().alias("_t"))
+    orders = t("orders").select(F.col("o_orderkey").alias("order_id"), order_time().alias("_t"))
     moment = F.col("_t") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), after)
     count = F.col("l_quantity").cast("long")
     return keys.join(orders, "order_id").select(
@@ -103,11 +105,11 @@ def base_province(t: Tables) -> DataFrame:
 
 
 def user_info(t: Tables) -> DataFrame:
-    days = ((F.col("c_custkey") * 37) % 20000).cast("int") + 3650
+    age = ((F.col("c_custkey") * 37) % 20000).cast("int") + 3650
     code = F.col("c_custkey") % 3
     return t("customer").select(
         F.col("c_custkey").cast("string").alias("id"), F.col("c_mktsegment").alias("user_level"),
-        F.date_sub(F.lit(AS_OF).cast("date"), days).cast("string").alias("birthday"),
+        F.date_sub(F.lit(AS_OF).cast("date"), age).cast("string").alias("birthday"),
         F.when(code == 0, "M").when(code == 1, "F").alias("gender"))
 
 
@@ -168,7 +170,7 @@ def canal_envelopes(t: Tables) -> DataFrame:
         heads.select(once(to_record(heads)).alias("value")))
 
 
-def _envelope(df: DataFrame, table: str, kind: Column, data: Column | None = None) -> DataFrame:
+def envelope(df: DataFrame, table: str, kind: Column, data: Column | None = None) -> DataFrame:
     body = F.struct(*df.columns) if data is None else data
     out = df.select(F.lit(table).alias("table"), kind.alias("type"), body.alias("data"))
     return out.select(once(to_record(out)).alias("value"))
@@ -187,12 +189,12 @@ def maxwell_envelopes(t: Tables) -> DataFrame:
     user_body = F.when(F.col("c_acctbal") >= 0, F.struct("id", "user_level"))
     suppliers = t("supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
     parts = [
-        _envelope(orders, "order_info", kinds),
-        _envelope(order_detail(t, spread=True), "order_detail", F.lit("insert")),
-        _envelope(users, "user_info", F.lit("bootstrap-insert"), user_body),
-        _envelope(base_province(t), "base_province", F.lit("update")),
-        _envelope(sku_info(t), "sku_info", F.lit("delete")),
-        _envelope(suppliers, "supplier_info", F.lit("insert")),
+        envelope(orders, "order_info", kinds),
+        envelope(order_detail(t, spread=True), "order_detail", F.lit("insert")),
+        envelope(users, "user_info", F.lit("bootstrap-insert"), user_body),
+        envelope(base_province(t), "base_province", F.lit("update")),
+        envelope(sku_info(t), "sku_info", F.lit("delete")),
+        envelope(suppliers, "supplier_info", F.lit("insert")),
     ]
     out = parts[0]
     for part in parts[1:]:
