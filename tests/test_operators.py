@@ -177,3 +177,16 @@ def test_only_dimension_rows_in_use(spark, rows):
     sku = spark.createDataFrame([("1",), ("2",)], "id string")
     facts = spark.createDataFrame([(2,), (2,), (7,), (None,)], "sku_id long")
     assert rows(dims.rows_of_keys(sku, facts, "sku_id")) == [("2",)]
+
+
+def test_keys_are_broadcast_only_when_few(spark, rows):
+    table = spark.range(100).withColumn("d", F.col("id") % 10)
+
+    def joined(most):
+        df = table.join(dims.broadcast_if_few(spark.range(5), most), "id", "left_semi")
+        return df.count(), "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert joined(5) == (5, True)
+    assert joined(4) == (5, False)
+    picked = table.where(F.col("d") < 2)
+    assert dims.in_folders_of(table, picked, "d", 2).count() == 20
+    assert dims.in_folders_of(table, picked, "d", 1).count() == 100

@@ -1,8 +1,9 @@
 """Dimension rows and lookups into dimension tables.
 
-No join here carries a broadcast hint: Spark broadcasts a side when its known
-size is below `spark.sql.autoBroadcastJoinThreshold` and sort-merges otherwise,
-splitting hot keys (see `session.RUNTIME_CONF`).
+Joins leave the choice to Spark, which broadcasts a side whose size is below
+`spark.sql.autoBroadcastJoinThreshold` and otherwise shuffles both, splitting hot
+keys (see `session.RUNTIME_CONF`). Only the keys of a micro-batch carry a hint, once
+they have been counted: their size cannot be known from files.
 """
 
 from __future__ import annotations
@@ -38,3 +39,16 @@ def rows_of_keys(dim: DataFrame, facts: DataFrame, fact_key: str, dim_key: str =
     """Only the dimension rows some fact refers to, each once."""
     kind = dim.schema[dim_key].dataType.simpleString()
     return dim.join(keys_of(facts, fact_key, dim_key, kind), dim_key, "left_semi")
+
+
+def broadcast_if_few(keys: DataFrame, most: int = 500_000) -> DataFrame:
+    """Keys marked for broadcast when counted to be few, so that the large table they
+    are looked up in is not shuffled; more keys take the shuffled join."""
+    return F.broadcast(keys) if keys.limit(most + 1).count() <= most else keys
+
+
+def in_folders_of(table: DataFrame, rows: DataFrame, column: str, most: int = 1000) -> DataFrame:
+    """The table cut to the partition values `rows` have, so that other folders are
+    not read; the whole table where they have very many."""
+    values = [r[0] for r in rows.select(column).distinct().limit(most + 1).collect()]
+    return table.where(F.col(column).isin(values)) if len(values) <= most else table

@@ -18,7 +18,8 @@ from tidemart.functions.money import from_cents
 from tidemart.functions.records import as_messages, parse_records
 from tidemart.functions.times import event_time, month_of
 from tidemart.operators import dau, orders as order_rules, stats
-from tidemart.operators.dims import describe_users, enrich_sku, keys_of, rows_of_keys
+from tidemart.operators.dims import (broadcast_if_few, describe_users, enrich_sku, in_folders_of,
+                                     keys_of)
 from tidemart.operators.wide import detail_side, order_side, with_line_shares
 from tidemart.sources.sinks import (append_batch, land_raw, latest_by_key, latest_rows, read_batches,
                                     read_dim, upsert_dim)
@@ -89,11 +90,13 @@ def enrich_orders(messages: DataFrame, dims: str, status: str, docs: str, topic:
     def sink(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         rows = order_rules.with_date_hour(parse_records(df, schemas.ORDER_INFO)).persist()
-        known = rows_of_keys(read_batches(spark, status, schemas.USER_STATUS, before=batch_id),
-                             rows, "user_id", "user_id")
+        buyers = broadcast_if_few(keys_of(rows, "user_id", "user_id", "long"))
+        known = read_batches(spark, status, schemas.USER_STATUS, before=batch_id) \
+            .join(buyers, "user_id", "left_semi")
         flagged = order_rules.keep_one_first_order(order_rules.flag_first_order(rows, known))
         province = read_dim(spark, f"{dims}/base_province", schemas.PROVINCE)
-        users = latest_rows(spark, f"{dims}/user_info", schemas.USER_DESCRIBED, of=keys_of(rows, "user_id"))
+        users = latest_rows(spark, f"{dims}/user_info", schemas.USER_DESCRIBED,
+                            of=broadcast_if_few(keys_of(rows, "user_id")))
         full = order_rules.join_user(order_rules.join_province(flagged, province), users) \
             .select(*schemas.ORDER_INFO_ENRICHED.fieldNames()).persist()
         append_batch(order_rules.first_order_users(full), batch_id, status)
@@ -107,7 +110,8 @@ def enrich_orders(messages: DataFrame, dims: str, status: str, docs: str, topic:
 def enrich_details(messages: DataFrame, dims: str, topic: str) -> DataStreamWriter:
     def sink(df: DataFrame, batch_id: int) -> None:
         rows = parse_records(df, schemas.ORDER_DETAIL)
-        sku = latest_rows(df.sparkSession, f"{dims}/sku_info", schemas.SKU_ENRICHED, of=keys_of(rows, "sku_id"))
+        sku = latest_rows(df.sparkSession, f"{dims}/sku_info", schemas.SKU_ENRICHED,
+                          of=broadcast_if_few(keys_of(rows, "sku_id")))
         publish_batch(order_rules.join_sku(rows, sku), batch_id, topic)
     return each_batch(messages, sink)
 
@@ -203,8 +207,9 @@ def store_complete(done: DataFrame, out: str, brand_stat: str | None = None) ->
     def sink(df: DataFrame, batch_id: int) -> None:
         keys = ["month", "order_id"]
         rows = df.withColumn("month", month_of(F.col("dt")))
-        before = read_batches(df.sparkSession, out, schemas.DONE_ORDER, before=batch_id)
-        before = before.join(rows.select(*keys), keys, "left_semi").select(*keys)
+        before = in_folders_of(read_batches(df.sparkSession, out, schemas.DONE_ORDER, before=batch_id),
+                               rows, "month")
+        before = before.join(broadcast_if_few(rows.select(*keys)), keys, "left_semi").select(*keys)
         fresh = rows.join(before, keys, "left_anti").persist()
         append_batch(fresh, batch_id, out, "month")
         if brand_stat:
@@ -250,11 +255,12 @@ def store_visits(messages: DataFrame, out: str) -> DataStreamWriter:
     rows = dau.flatten_start_logs(parse_records(messages, schemas.START_LOG))
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        firsts = dau.first_visits(df)
+        firsts = dau.first_visits(df).persist()
         keys = ["dt", "mid"]
-        stored = read_batches(df.sparkSession, out, schemas.DAU, before=batch_id)
-        stored = stored.join(firsts.select(*keys), keys, "left_semi").select(*keys)
+        stored = in_folders_of(read_batches(df.sparkSession, out, schemas.DAU, before=batch_id), firsts, "dt")
+        stored = stored.join(broadcast_if_few(firsts.select(*keys)), keys, "left_semi").select(*keys)
         append_batch(firsts.join(stored, keys, "left_anti"), batch_id, out, "dt")
+        firsts.unpersist()
     return each_batch(rows, sink)
 
 
