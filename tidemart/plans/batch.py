@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemart import schemas
-from tidemart.functions.money import from_cents, line_cents, round_half_up
+from tidemart.functions.money import from_cents, line_cents, round_half_up, to_cents
 from tidemart.functions.people import age_years
 from tidemart.functions.records import as_messages, parse_records
 from tidemart.functions.times import day_after, day_before
@@ -265,14 +265,16 @@ def order_apportion(t):
 
 @query
 def order_running_sum(t):
-    lines = paid_wide(t)
+    lines = paid_wide(t).select(
+        "order_id", "order_detail_id",
+        line_cents(F.col("sku_price"), F.col("sku_num")).alias("origin"),
+        to_cents(F.col("final_detail_amount")).alias("split"))
     # the id starts with the order, the line number and the part: stretches of an
     # order are its lines with equal line number and leading two part digits
-    stretch = F.substring_index("order_detail_id", "-", 2)
-    stretch = F.col("order_detail_id").substr(F.lit(1), F.length(stretch) + 3)
-    ran = wide.running_totals(lines, "order_id", "order_detail_id", {
-        "origin_sum": line_cents(F.col("sku_price"), F.col("sku_num")),
-        "split_sum": F.floor(F.col("final_detail_amount") * 100 + 0.5)}, stretch)
+    head = F.length(F.substring_index("order_detail_id", "-", 2))
+    stretch = F.col("order_detail_id").substr(F.lit(1), head + 3)
+    ran = wide.running_totals(lines, "order_id", "order_detail_id",
+                              {"origin_sum": F.col("origin"), "split_sum": F.col("split")}, stretch)
     return ran.select("order_id", "order_detail_id", from_cents(F.col("origin_sum")).alias("origin_sum"),
                       from_cents(F.col("split_sum")).alias("split_sum"))
 
