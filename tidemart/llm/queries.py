@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import exact_dedup, mixing, sharding, topk
+from tidemart.llm import exact_dedup, language, mixing, quality, sharding, topk
 from tidemart.llm.common import table, written
 from tidemart.session import new_workdir
 
@@ -26,6 +26,11 @@ def op1_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
 
 
+def op4_random_index_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0)
@@ -35,6 +40,11 @@ def op6_content_sort_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op7_viterbi_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language.label(docs, language.fit(docs)).drop("spans")
+
+
 def op9_water_filling_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -42,7 +52,7 @@ def op9_water_filling_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {q.__name__: q for q in (
-        op1_slot_sharding, op5_pivot_topk, op6_content_sort_dedup, op9_water_filling_mix)}
+        op1_slot_sharding, op4_random_index_quality, op5_pivot_topk, op6_content_sort_dedup, op7_viterbi_language, op9_water_filling_mix)}
 
 
 def llm_oracle_sql() -> dict[str, str]:
