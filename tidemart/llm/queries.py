@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import exact_dedup, language, mixing, quality, sharding, topk
-from tidemart.llm.common import table, written
+from tidemart.llm import exact_dedup, language, mixing, quality, sharding, suffix_tree, topk
+from tidemart.llm.common import id_remainder, table, written
 from tidemart.session import new_workdir
 
 
@@ -50,9 +50,16 @@ def op9_water_filling_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_suffix_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    train = docs.where(id_remainder(F.col("doc_id"), suffix_tree.FOLDS) != suffix_tree.HELD_OUT)
+    return suffix_tree.score(docs, suffix_tree.fit(train))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {q.__name__: q for q in (
-        op1_slot_sharding, op4_random_index_quality, op5_pivot_topk, op6_content_sort_dedup, op7_viterbi_language, op9_water_filling_mix)}
+        op1_slot_sharding, op4_random_index_quality, op5_pivot_topk, op6_content_sort_dedup, op7_viterbi_language, op9_water_filling_mix,
+        op10_suffix_tree_score)}
 
 
 def llm_oracle_sql() -> dict[str, str]:

@@ -141,3 +141,36 @@ def list_array(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa
     offsets = np.zeros(len(lengths) + 1, np.int32)
     np.cumsum(lengths, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
+
+
+def find(keys: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Place of each value in sorted distinct keys, -1 if it is not there."""
+    if not len(keys):
+        return np.full(len(values), -1)
+    at = np.minimum(np.searchsorted(keys, values), len(keys) - 1)
+    return np.where(keys[at] == values, at, -1)
+
+
+class Counter:
+    """Counts of 64-bit values, merged whenever the pending ones outgrow the distinct ones."""
+
+    def __init__(self) -> None:
+        self.values, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pending: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, values: np.ndarray) -> None:
+        self.pending.append(values)
+        self.size += len(values)
+        if self.size > max(2_000_000, len(self.values)):
+            self.merge()
+
+    def merge(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.pending:
+            new, n = np.unique(np.concatenate(self.pending), return_counts=True)
+            both, where = np.unique(np.concatenate([self.values, new]), return_inverse=True)
+            counts = np.zeros(len(both), np.int64)
+            np.add.at(counts, where[: len(self.values)], self.counts)
+            np.add.at(counts, where[len(self.values):], n)
+            self.values, self.counts, self.pending, self.size = both, counts, [], 0
+        return self.values, self.counts
