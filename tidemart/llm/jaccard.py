@@ -84,6 +84,24 @@ def links(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * shared >= 75 * (len(a) + len(b) - shared)
 
 
+def sketch(h: np.ndarray) -> bytes:
+    """A bitmap of as many bits as a power of two at or above the set's size, at least 64."""
+    bits = np.zeros(max(64, 1 << (len(h) - 1).bit_length() if len(h) else 0), bool)
+    bits[(mix(h ^ np.uint64(0x1F2E3D)) & np.uint64(len(bits) - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def may_link(a: bytes, n_a: int, b: bytes, n_b: int) -> bool:
+    """False only if the bitmaps show that too many shingles of a set are not in the other."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] | x[len(x) // 2:]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] | y[len(y) // 2:]
+    need = -(-3 * (n_a + n_b) // 7)
+    return int(np.bitwise_count(x & ~y).sum()) <= n_a - need and int(np.bitwise_count(y & ~x).sum()) <= n_b - need
+
+
 def _band_starts(most: int = 1 << 40) -> np.ndarray:
     starts, x = [1], 1.0
     while x < most:
@@ -144,16 +162,17 @@ def _pair_keys(n: int, n_single: int, often: np.ndarray) -> Iterator[np.ndarray]
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, s1, s2): size and signature of each document's set."""
+    """(doc_id, n, s1, s2, bits): size, signature and bitmap of each document's set."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, texts in slices(batch.column(1)):
                 sets = [h for h, _ in shingles(texts)]
                 signs = np.array([signature(h) for h in sets], np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[first:last], pa.array([len(h) for h in sets], pa.int64()),
-                                                  pa.array(signs[:, 0]), pa.array(signs[:, 1])], ["doc_id", "n", "s1", "s2"])
+                                                  pa.array(signs[:, 0]), pa.array(signs[:, 1]), pa.array([sketch(h) for h in sets], pa.binary())],
+                                                 ["doc_id", "n", "s1", "s2", "bits"])
 
-    return docs.mapInArrow(read, "doc_id long, n long, s1 long, s2 long")
+    return docs.mapInArrow(read, "doc_id long, n long, s1 long, s2 long, bits binary")
 
 
 def _common(counts: DataFrame, least: float) -> np.ndarray:
@@ -277,9 +296,24 @@ def _star_rows(kind: int, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
                                          ["kind", "key", "wn", "id", "hub"])
 
 
-def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def _possible(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs that their bitmaps do not rule out; these are a fiftieth of the texts in size."""
+    side = lambda x: rows.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").where("7 * least(n_a, n_b) >= 3 * (n_a + n_b)")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, _, n_a, bits_a, n_b, bits_b = (c.to_pylist() for c in batch.columns)
+            keep = pa.array([may_link(*x) for x in zip(bits_a, n_a, bits_b, n_b, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in (0, 1)], ["a", "b"])
+
+    return written(both.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(compare, "a long, b long").distinct(), "jaccard-possible")
+
+
+def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of documents whose whole sets link."""
     spark = docs.sparkSession
+    pairs = _possible(rows, pairs)
     ids = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "jaccard-ids")
     few = ids.count() <= BROADCAST_IDS
     texts = docs.withColumnRenamed("doc_id", "id").join(F.broadcast(ids) if few else ids, "id", "left_semi")
@@ -335,7 +369,7 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     tested = as_node(as_node(met, "id", "x"), "hub", "y")
     tested = written(tested.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct(), "jaccard-pairs")
     # A class whose id also stands for another class joins both.
-    linked = _verified(docs, tested).union(node_of.where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b")))
+    linked = _verified(docs, rows, tested).union(node_of.where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b")))
     group = components(linked)
 
     members = as_node(found.where(F.col("kind") == _MEMBER).select("key", "wn", "id").distinct(), "id", "node")
@@ -351,7 +385,7 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                                    & (shared * 7 >= (n("l") + n("r")) * 3))
               .select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct())
     rest = written(across.join(tested, ["a", "b"], "left_anti"), "jaccard-rest")
-    group = components(linked.union(_verified(docs, rest)))
+    group = components(linked.union(_verified(docs, rows, rest)))
     reached = F.coalesce("component", "node")
     known = lambda c: F.when(c != NO_ID, c)
     return (nodes.join(group.withColumnRenamed("id", "node"), "node", "left")
