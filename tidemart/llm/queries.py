@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import exact_dedup, jaccard, language, mixing, quality, sharding, suffix_tree, topk
+from tidemart.llm import exact_dedup, jaccard, language, mixing, pieces, quality, sharding, suffix_tree, topk
 from tidemart.llm.common import id_remainder, table, written
 from tidemart.session import new_workdir
 
@@ -49,6 +49,12 @@ def op7_viterbi_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.label(docs, language.fit(docs)).drop("spans")
 
 
+def op8_gumbel_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return (pieces.sample(docs).withColumn("n_pieces", F.size("ids"))
+            .withColumn("ids_crc32", F.crc32(F.concat_ws(",", F.col("ids").cast("array<string>")))).drop("ids"))
+
+
 def op9_water_filling_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -62,7 +68,7 @@ def op10_suffix_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {q.__name__: q for q in (
-        op1_slot_sharding, op2_combination_jaccard, op4_random_index_quality, op5_pivot_topk, op6_content_sort_dedup, op7_viterbi_language, op9_water_filling_mix,
+        op1_slot_sharding, op2_combination_jaccard, op4_random_index_quality, op5_pivot_topk, op6_content_sort_dedup, op7_viterbi_language, op8_gumbel_pieces, op9_water_filling_mix,
         op10_suffix_tree_score)}
 
 
