@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm.common import named, text_of
-from tidemart.llm.text import find, mix, number_hash, slices
+from tidemart.llm.text import SLICE_BYTES, find, list_array, mix, number_hash, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
@@ -47,22 +47,11 @@ class Vocabulary:
     longest: int
     first_byte: int
     byte_weight: float
-    texts: list[str]
+    written: list[bytes]    # what each id stands for, spaces as such
 
     def decode(self, ids: list[int]) -> str:
         """The text of a segmentation."""
-        out, held = [], bytearray()
-        for i in ids:
-            b = i - self.first_byte
-            if 0 <= b < 256:
-                held.append(b)
-                continue
-            if held:
-                out.append(held.decode("utf-8"))
-                held.clear()
-            out.append(self.texts[i].replace(chr(SPACE), " "))
-        out.append(held.decode("utf-8"))
-        return "".join(out)[1:]
+        return b"".join(map(self.written.__getitem__, ids)).decode("utf-8")[1:]
 
 
 def load(path: str = MODEL) -> Vocabulary:
@@ -86,8 +75,9 @@ def load(path: str = MODEL) -> Vocabulary:
     single = np.zeros(LITERAL + 1, bool)
     single[[c[0] for c in codes if len(c) == 1]] = True
     first_byte = next(i for i, p in enumerate(model.pieces) if p.piece == "<0x00>")
+    written = [bytes([i - first_byte]) if 0 <= i - first_byte < 256 else p.piece.replace(chr(SPACE), " ").encode() for i, p in enumerate(model.pieces)]
     return Vocabulary(hashes[order], np.array(ids)[order], np.array(weights)[order], single, max(map(len, codes)), first_byte,
-                      -float(np.log(len(model.pieces))), [p.piece for p in model.pieces])
+                      -float(np.log(len(model.pieces))), written)
 
 
 def _hash(code: np.ndarray) -> np.uint64:
@@ -161,7 +151,7 @@ class Lattices:
         ids.append(-1 - code[loose])
         weights.append(n_bytes * v.byte_weight)
         place, size, piece, weight = (np.concatenate(x) for x in (where, sizes, ids, weights))
-        order = np.lexsort((size, place))
+        order = np.argsort(place, kind="stable")
         self.place, self.size, self.piece, weight = place[order], size[order], piece[order], weight[order]
         self.first = np.searchsorted(self.place, np.arange(len(code) + 1))
         beta = np.zeros(len(code) + 1)
@@ -178,18 +168,31 @@ class Lattices:
             beta[at] = np.logaddexp.reduceat(weight[e] + np.where(last[e], 0.0, beta[target[e]]), head)
         self.logp = np.minimum(weight + np.where(last, 0.0, beta[target]) - beta[self.place], 0.0)
         p = np.exp(self.logp)
+        self._likeliest_first(p)
         total = np.concatenate([[0.0], np.cumsum(p)])
         inside = total[1:] - total[self.first[self.place]]
-        self.before = inside - p
         self.upto = self.place + np.minimum(inside, 1.0)
         self.upto[self.first[1:] - 1] = np.arange(len(code)) + 1.0
         self.options = np.diff(self.first)
         self.p = p
 
+    def _likeliest_first(self, p: np.ndarray) -> None:
+        """Exchange each place's likeliest edge with its first one; most draws end there."""
+        head = self.first[:-1]
+        if not len(head):
+            return
+        best = np.flatnonzero(p == np.maximum.reduceat(p, head)[self.place])
+        best = best[np.searchsorted(self.place[best], np.arange(len(head)))]
+        for x in (self.size, self.piece, self.logp, p):
+            x[head], x[best] = x[best], x[head].copy()
+
     def draw(self, place: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge from each place."""
-        e = np.searchsorted(self.upto, place + u, side="right")
-        return np.clip(e, self.first[place], self.first[place + 1] - 1)
+        e = self.first[place]
+        other = np.flatnonzero((u >= self.p[e]) & (self.options[place] > 1))
+        at = np.searchsorted(self.upto, place[other] + u[other], side="right")
+        e[other] = np.clip(at, e[other], self.first[place[other] + 1] - 1)
+        return e
 
     def sample(self, kinds: np.ndarray, places: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
         """Edges from the given places to the ends of their units, in order, and the unit of each."""
@@ -276,18 +279,22 @@ def segmentations(lattices: Lattices, kinds: np.ndarray, k: int, rng: np.random.
     return out
 
 
-def _ids(v: Vocabulary, piece: np.ndarray) -> list[int]:
+def _ids(v: Vocabulary, piece: np.ndarray) -> np.ndarray:
     """Piece ids, characters without a piece as bytes."""
-    if (piece >= 0).all():
-        return piece.tolist()
-    out = []
-    for p in piece.tolist():
-        if p >= 0:
-            out.append(p)
-        else:
-            c = -1 - p
-            out += [v.first_byte + b for b in chr(SPACE if c == LITERAL else c).encode()]
-    return out
+    loose = np.flatnonzero(piece < 0)
+    if not len(loose):
+        return piece
+    code = -1 - piece[loose]
+    code[code == LITERAL] = SPACE
+    if (code < 0x80).all():
+        out = piece.copy()
+        out[loose] = v.first_byte + code
+        return out
+    parts, at = [], 0
+    for i, c in zip(loose, code, strict=True):
+        parts += [piece[at:i], np.frombuffer(chr(c).encode(), np.uint8).astype(np.int64) + v.first_byte]
+        at = i + 1
+    return np.concatenate([*parts, piece[at:]])
 
 
 def encode(v: Vocabulary, keys: list, texts: list[str], k: int, seed: int) -> Iterator[tuple[int, list]]:
@@ -298,7 +305,7 @@ def encode(v: Vocabulary, keys: list, texts: list[str], k: int, seed: int) -> It
     j = 0
     for i, (key, c) in enumerate(zip(keys, code, strict=True)):
         if not len(c):
-            yield i, [([], 0.0, 0.0, 1.0)]
+            yield i, [(np.zeros(0, np.int64), 0.0, 0.0, 1.0)]
             continue
         rng = np.random.Generator(np.random.Philox(key=[seed, zlib.crc32(repr(key).encode())]))
         kinds = lattices.kind[lattices.unit_edge[j]: lattices.unit_edge[j + 1]]
@@ -318,19 +325,19 @@ def sample(df: DataFrame, k: int = SAMPLES, id_col: str = "doc_id", text_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, last, _ in slices(batch.column(1)):
+            for first, last, _ in slices(batch.column(1), 2 * SLICE_BYTES):
                 keys, texts = batch.column(0)[first:last], batch.column(1)[first:last].to_pylist()
                 rows, ranks, ids, numbers, good = [], [], [], [], []
                 for i, found in encode(v, keys.to_pylist(), texts, k, seed):
                     for rank, (piece_ids, *scores) in enumerate(found, 1):
                         rows.append(i)
                         ranks.append(rank)
-                        ids.append(piece_ids)
+                        ids.append(piece_ids.astype(np.int32))
                         numbers.append(scores)
-                        good.append(v.decode(piece_ids) == texts[i])
+                        good.append(v.decode(piece_ids.tolist()) == texts[i])
                 columns = zip(*numbers, strict=True)
                 yield pa.RecordBatch.from_arrays(
-                    [keys.take(pa.array(rows, pa.int64())), pa.array(ranks, pa.int32()), pa.array(ids, pa.list_(pa.int32()))]
+                    [keys.take(pa.array(rows, pa.int64())), pa.array(ranks, pa.int32()), list_array(np.concatenate(ids), np.array([len(x) for x in ids]), pa.int32())]
                     + [pa.array(c, pa.float64()) for c in columns] + [pa.array(good, pa.bool_())],
                     ["doc_id", "rank", "ids", "log_prob", "perturbed", "inclusion", "round_trip"])
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import exact_dedup, jaccard, language, mixing, pieces, quality, sharding, suffix_tree, topk
+from tidemart.llm import exact_dedup, jaccard, language, mixing, pieces, pii, quality, sharding, suffix_tree, topk
 from tidemart.llm.common import id_remainder, table, written
 from tidemart.session import new_workdir
 
@@ -30,6 +30,10 @@ def op2_combination_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_copies(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_surrogate_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.with_surrogates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_random_index_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -68,7 +72,7 @@ def op10_suffix_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {q.__name__: q for q in (
-        op1_slot_sharding, op2_combination_jaccard, op4_random_index_quality, op5_pivot_topk, op6_content_sort_dedup, op7_viterbi_language, op8_gumbel_pieces, op9_water_filling_mix,
+        op1_slot_sharding, op2_combination_jaccard, op3_surrogate_pii, op4_random_index_quality, op5_pivot_topk, op6_content_sort_dedup, op7_viterbi_language, op8_gumbel_pieces, op9_water_filling_mix,
         op10_suffix_tree_score)}
 
 
