@@ -39,7 +39,8 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass
 class Vocabulary:
-    """Pieces as hashes of their code points, with ids and log weights, and which code points have one."""
+    """Beginnings of pieces as hashes of their code points, with ids (-1: no whole piece) and log weights,
+    and which code points have a piece."""
     hashes: np.ndarray
     ids: np.ndarray
     weights: np.ndarray
@@ -70,21 +71,31 @@ def load(path: str = MODEL) -> Vocabulary:
             codes.append(np.array([ord(c) for c in p.piece], np.int64))
             ids.append(i)
             weights.append(-np.log(2.0 - p.score))
-    hashes = np.array([_hash(c) for c in codes], np.uint64)
-    order = np.argsort(hashes)
+    hashes, piece, weight = _beginnings(codes, ids, weights)
     single = np.zeros(LITERAL + 1, bool)
     single[[c[0] for c in codes if len(c) == 1]] = True
     first_byte = next(i for i, p in enumerate(model.pieces) if p.piece == "<0x00>")
     written = [bytes([i - first_byte]) if 0 <= i - first_byte < 256 else p.piece.replace(chr(SPACE), " ").encode() for i, p in enumerate(model.pieces)]
-    return Vocabulary(hashes[order], np.array(ids)[order], np.array(weights)[order], single, max(map(len, codes)), first_byte,
+    return Vocabulary(hashes, piece, weight, single, max(map(len, codes)), first_byte,
                       -float(np.log(len(model.pieces))), written)
 
 
-def _hash(code: np.ndarray) -> np.uint64:
-    h = np.zeros(1, np.uint64)
-    for c in code:
-        h = mix(h * _STEP + np.uint64(c))
-    return h[0]
+def _beginnings(codes: list[np.ndarray], ids: list[int], weights: list[float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct beginnings of the pieces by their hash, the whole pieces with id and weight."""
+    size = np.array([len(c) for c in codes])
+    padded = np.zeros((len(codes), size.max()), np.uint64)
+    for row, c in zip(padded, codes, strict=True):
+        row[: len(c)] = c
+    found: dict[int, tuple[int, float]] = {}
+    h = np.zeros(len(codes), np.uint64)
+    for n in range(1, int(size.max()) + 1):
+        h = mix(h * _STEP + padded[:, n - 1])
+        for i in np.flatnonzero(size >= n).tolist():
+            whole = (ids[i], weights[i]) if size[i] == n else (-1, 0.0)
+            if whole[0] >= 0 or int(h[i]) not in found:
+                found[int(h[i])] = whole
+    keys = sorted(found)
+    return np.array(keys, np.uint64), np.array([found[k][0] for k in keys]), np.array([found[k][1] for k in keys])
 
 
 def symbols(text: str) -> np.ndarray:
@@ -112,7 +123,10 @@ class Lattices:
         starts[1:] |= (code[1:] == SPACE) & (code[:-1] != SPACE) | loose[1:] | loose[:-1]
         begin = np.flatnonzero(starts)
         length = np.diff(np.append(begin, len(code)))
-        upto = np.concatenate([[np.uint64(0)], np.cumsum(mix(code.astype(np.uint64) * _STEP + np.uint64(1)) * self._place_power(begin, length), dtype=np.uint64)])
+        sign = number_hash(np.arange(code.max() + 1 if len(code) else 1))[code] if len(code) > 1 << 16 else number_hash(code)
+        power = number_hash(np.arange(length.max() if len(length) else 0)) | np.uint64(1)
+        upto = np.zeros(len(code) + 1, np.uint64)
+        np.cumsum(sign * power[np.arange(len(code)) - np.repeat(begin, length)], out=upto[1:])
         h = mix((upto[begin + length] - upto[begin]) ^ number_hash(length))
         _, first, kind = np.unique(h, return_index=True, return_inverse=True)
         self.kind = kind                                   # of each unit of all texts in order
@@ -123,11 +137,6 @@ class Lattices:
         at = np.repeat(begin[first] - self.start, n) + np.arange(n.sum())
         self._edges(v, code[at], np.repeat(self.end, n))
 
-    @staticmethod
-    def _place_power(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
-        place = np.arange(length.sum()) - np.repeat(begin, length)
-        return number_hash(place) | np.uint64(1)
-
     def _edges(self, v: Vocabulary, code: np.ndarray, end: np.ndarray) -> None:
         place = np.arange(len(code))
         where, sizes, ids, weights = [], [], [], []
@@ -138,7 +147,8 @@ class Lattices:
                 break
             h[live] = mix(h[live] * _STEP + code[live + size - 1].astype(np.uint64))
             hit = find(v.hashes, h[live])
-            got = hit >= 0
+            live, hit = live[hit >= 0], hit[hit >= 0]     # no piece begins like the others
+            got = v.ids[hit] >= 0
             where.append(live[got])
             sizes.append(np.full(got.sum(), size))
             ids.append(v.ids[hit[got]])
@@ -175,6 +185,7 @@ class Lattices:
         self.upto[self.first[1:] - 1] = np.arange(len(code)) + 1.0
         self.options = np.diff(self.first)
         self.p = p
+        self.top = np.where(self.options > 1, p[self.first[:-1]], 1.0) if len(code) else p
 
     def _likeliest_first(self, p: np.ndarray) -> None:
         """Exchange each place's likeliest edge with its first one; most draws end there."""
@@ -189,9 +200,9 @@ class Lattices:
     def draw(self, place: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge from each place."""
         e = self.first[place]
-        other = np.flatnonzero((u >= self.p[e]) & (self.options[place] > 1))
+        other = np.flatnonzero(u >= self.top[place])
         at = np.searchsorted(self.upto, place[other] + u[other], side="right")
-        e[other] = np.clip(at, e[other], self.first[place[other] + 1] - 1)
+        e[other] = np.minimum(np.maximum(at, e[other]), self.first[place[other] + 1] - 1)
         return e
 
     def sample(self, kinds: np.ndarray, places: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
@@ -230,7 +241,7 @@ def segmentations(lattices: Lattices, kinds: np.ndarray, k: int, rng: np.random.
     queue: list[tuple[float, int, int]] = []
 
     def gumbel(n: int | None = None) -> np.ndarray | float:
-        return -np.log(-np.log(np.clip(rng.random(n), 1e-300, 1 - 1e-16)))
+        return -np.log(rng.standard_exponential(n) + 1e-300)
 
     def add(edges: np.ndarray, units: np.ndarray, bound: float, since: int, taken: list[int]) -> None:
         logp = lattices.logp[edges]
