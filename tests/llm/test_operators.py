@@ -1,0 +1,243 @@
+"""Each operator on small rows: nulls, empty and long texts, ties, repeated rows, empty tables, clashing names."""
+
+import itertools
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemart.llm import exact_dedup, jaccard, language, mixing, pieces, pii, quality, sharding, suffix_tree, topk
+
+SCHEMA = "doc_id long, text string, lang string, source string, keep_id string, shard string"
+LONG = " ".join(f"w{i % 97}x{i}" for i in range(3000))
+ROWS = [(1, "The quick brown fox jumps over the lazy dog today", "en", "a", "x", "y"),
+        (2, "The  quick\tbrown fox jumps over the lazy dog today", "en", "a", None, None),
+        (3, "the quick brown fox jumps over the lazy dog today", "en", "b", None, None),
+        (4, "", "en", "b", None, None), (5, None, None, None, None, None), (6, None, "de", None, None, None),
+        (7, "eins zwei", "de", "a", None, None), (8, "eins  zwei ", "de", "a", None, None),
+        (9, LONG, "en", "c", None, None), (10, LONG + " tail", "en", "c", None, None),
+        (11, " \n ", "de", "c", None, None), (12, "mail bo@ex.org or 10.1.2.3", "en", "a", None, None)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(ROWS, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def by_id(df, *columns):
+    return {r["doc_id"]: tuple(r[c] for c in columns) if len(columns) > 1 else r[columns[0]] for r in df.collect()}
+
+
+def test_exact_copies(docs, none):
+    found = exact_dedup.mark_copies(docs)
+    assert set(found.columns) == {"doc_id", "text", "lang", "source", "shard", *exact_dedup.RESULTS}
+    keep = by_id(found, "keep_id", "group_size", "kept")
+    assert keep[1] == (1, 2, True) and keep[2] == (1, 2, False) and keep[3] == (3, 1, True)
+    assert keep[4] == (4, 3, True) and keep[6] == (4, 3, False) and keep[11] == (11, 1, True)
+    assert exact_dedup.mark_copies(none).count() == 0
+    twice = docs.union(docs)
+    assert sorted(r[0] for r in exact_dedup.drop_copies(twice).select("doc_id").collect()) == [1, 3, 4, 7, 8, 9, 10, 11, 12]
+    assert exact_dedup.drop_copies(docs).columns == docs.columns
+
+
+def test_hot_copies_are_split(spark):
+    hot = spark.range(900).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "same").otherwise(F.col("id").cast("string")).alias("text"))
+    found = exact_dedup.mark_copies(hot).where("group_size > 1")
+    assert found.count() == 300 and found.where("kept").select("doc_id").first()[0] == 0
+
+
+def brute_components(rows):
+    def words(t):
+        return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
+    sets = {}
+    for i, t in rows:
+        w = words(t)
+        sets[i] = {tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+    comp = {i: i for i in sets}
+    for _ in sets:
+        for a, b in itertools.combinations(sets, 2):
+            if sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                comp[a] = comp[b] = min(comp[a], comp[b])
+    return {i: (len(sets[i]), comp[i]) for i in sets}
+
+
+def test_near_copies_equal_brute_force(spark, docs, none):
+    assert by_id(jaccard.near_copies(docs), "n_shingles", "component_id") == brute_components([(r[0], r[1]) for r in ROWS])
+    assert jaccard.near_copies(none).count() == 0
+    rng = np.random.default_rng(3)
+    base = [f"t{i}" for i in range(60)]
+    rows = []
+    for i in range(250):    # one large family whose members drift apart, over common shingles
+        w = list(base)
+        for j in rng.integers(0, 60, rng.integers(0, 5)):
+            w[j] = f"n{rng.integers(0, 40)}"
+        rows.append((i, " ".join(w)))
+    found = by_id(jaccard.near_copies(spark.createDataFrame(rows, "doc_id long, text string")), "n_shingles", "component_id")
+    assert found == brute_components(rows)
+
+
+def test_prefix_keys_meet_for_all_linking_sets():
+    rng = np.random.default_rng(5)
+    pool = np.sort(rng.integers(0, 2**63, 400).astype(np.uint64))
+    frequent = pool[:300].view(np.int64)
+    for _ in range(400):
+        n = int(rng.integers(2, 80))
+        a = np.sort(rng.choice(pool, n, replace=False))
+        b = np.unique(np.concatenate([a[rng.random(n) > 0.12], rng.choice(pool, int(rng.integers(0, max(1, n // 8)) + 0))]))
+        if len(b) > 1 and jaccard.links(a, b) and not np.array_equal(a, b):
+            rare = lambda h: ~np.isin(h, pool[:350])
+            (x, n_a), (y, n_b) = jaccard.prefix_keys(a, rare(a), frequent), jaccard.prefix_keys(b, rare(b), frequent)
+            shared = np.intersect1d(x, y)
+            wn = np.array([(n_a << 32) + len(a)]), np.array([(n_b << 32) + len(b)])
+            assert any(jaccard._can_link(np.array([k]), *wn)[0] for k in shared)
+            assert jaccard.may_link(jaccard.sketch(a), len(a), jaccard.sketch(b), len(b))
+
+
+def test_surrogates(docs, none):
+    found = by_id(pii.with_surrogates(docs), "text", "n_entities")
+    assert found[12][1] == 2 and "bo@ex.org" not in found[12][0] and "10.1.2.3" not in found[12][0]
+    assert found[5] == (None, 0) and all(found[r[0]][0] == r[1] for r in ROWS if r[0] != 12)
+    assert pii.with_surrogates(none).count() == 0
+
+
+def test_surrogates_keep_format_gender_and_stay_distinct(spark):
+    text, kinds = pii.replace("Mr. John Smith, Mrs Smith; +1 (017) 555-7713; 4111 1111 1111 1111", "k", {})
+    assert kinds == ["given-m", "surname", "phone", "card"]
+    assert re.match(r"Mr\. (\w+) (\w+), Mrs \2; \+1 \(\d{3}\) \d{3}-\d{4}; ", text)
+    assert pii.luhn(re.sub(r"\D", "", text[-19:])) == 0
+    rows = [(i, f"Mr {n} Smith") for i, n in enumerate(pii.GIVEN["Latin", "m"])]
+    new = [r["text"] for r in pii.with_surrogates(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(set(new)) == len(rows) and not {r[1] for r in rows} & set(new)
+
+
+def test_shards(docs, none):
+    slotted = sharding.with_slots(docs, 4)
+    totals = sharding.slot_totals(slotted)
+    owner = sharding.rebalance(sharding.first_map(4), {s: t[0] for s, t in totals.items()}, 4)
+    spark = docs.sparkSession
+    rows = [(1, s, k, *totals[s]) for s, k in owner.items()]
+    placed = sharding.place(slotted, spark.createDataFrame(rows, sharding.MAP_SCHEMA)).collect()
+    assert {(r["doc_id"], r["size"], r["text_crc32"]) for r in placed} == {(r[0], len((r[1] or "").encode()) + 1, zlib.crc32((r[1] or "").encode())) for r in ROWS}
+    for k in range(4):
+        mine = sorted(r["slot"] for r in placed if r["shard"] == k)
+        assert mine == list(range(len(mine)))
+    assert sharding.with_slots(none, 4).count() == 0
+
+
+def test_rebalance_evens_out_and_keeps_most_slots():
+    rng = np.random.default_rng(1)
+    size = {s: int(x) for s, x in enumerate(rng.pareto(1.5, 4096) * 1000)}
+    first = sharding.first_map(16)
+    owner = sharding.rebalance(first, size, 16)
+    load = [sum(size[s] for s in owner if owner[s] == k) for k in range(16)]
+    assert max(load) - min(load) <= 0.01 * sum(load) / 16
+    assert sharding.rebalance(owner, size, 16) == owner
+
+
+def test_mix(docs, none):
+    found = by_id(mixing.mix(docs), "size", "source_size", "target", "taken")
+    total = sum(x[0] for x in found.values())
+    assert found[5] == (0, 0, 0.0, 0) and found[9][0] == 3000
+    assert all(x[3] <= 2 * x[0] and x[2] <= 2 * x[1] for x in found.values())
+    assert found == by_id(mixing.mix(docs), "size", "source_size", "target", "taken") and total == 6039
+    assert mixing.mix(none).count() == 0 and mixing.mixed_rows(docs).columns == docs.columns
+
+
+def test_quality(spark, docs, none):
+    rows = [(i, ("good calm words here " if i % 2 else "BAD!! BAD!! $$$ ") * (1 + i % 5)) for i in range(200)]
+    train = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)] + [(None, 1), (3, None)], "doc_id long, quality int")
+    found = quality.score(train, quality.fit(train, labels)).collect()
+    assert all(r["predicted"] == r["doc_id"] % 2 and 0 <= r["score"] <= 1 for r in found if r["held_out"])
+    model = quality.fit(docs, spark.createDataFrame([], "doc_id long, quality int"))
+    assert {r["score"] for r in quality.score(docs, model).collect()} == {0.5}
+    assert quality.keep_good(docs, model).columns == docs.columns and quality.score(none, model).count() == 0
+
+
+def test_language_spans():
+    counts, scripts = np.zeros((2, language.TRIGRAMS)), np.ones((2, len(language.SCRIPT_NAMES)))
+    en, de = "the cat and the dog went there with them", "der hund und die katze gehen nicht dorthin"
+    for i, t in enumerate((de, en)):
+        counts[i] = np.bincount(language.Letters([t]).trigram, minlength=language.TRIGRAMS)
+    model = language.Model(["de", "en"], counts, scripts)
+    texts = [de, en, f"{de} {de} {en} {en}", "", "12 34", LONG]
+    found = model.label(texts)
+    assert [f[0] for f in found[:2]] == ["de", "en"] and [f[0] for f in found[3:5]] == ["und", "und"]
+    assert [s[2] for s in found[2][2]] == ["de", "en"] and all(0 <= f[1] <= 1 for f in found)
+
+
+def test_language_of_rows(docs, none):
+    model = language.fit(docs)
+    assert {r["lang_pred"] for r in language.label(docs, model).collect()} <= {"de", "en", "und"}
+    assert language.label(none, language.fit(none)).count() == 0
+
+
+def test_pieces(docs, none):
+    found = pieces.sample(docs, 3).collect()
+    assert all(r["round_trip"] and 0 <= r["inclusion"] <= 1 for r in found)
+    for doc_id in {r["doc_id"] for r in found}:
+        mine = [tuple(r["ids"]) for r in found if r["doc_id"] == doc_id]
+        assert len(set(mine)) == len(mine)
+    assert sorted(map(str, found)) == sorted(map(str, pieces.sample(docs, 3).collect())) and pieces.sample(none).count() == 0
+
+
+def test_pieces_are_a_sample_without_replacement():
+    v = pieces.load()
+    lattices = pieces.Lattices(v, [pieces.symbols("end▁ \U0001F600\n")])
+    tally = {}
+    for seed in range(1500):
+        found = pieces.segmentations(lattices, lattices.kind, 2, np.random.default_rng(seed))
+        for edges, logp, _, inclusion in found:
+            n, p = tally.get(tuple(edges), (0.0, 0))
+            tally[tuple(edges)] = (n + 1 / inclusion, np.exp(logp))
+        assert v.decode(pieces._ids(v, lattices.piece[found[0][0]]).tolist()) == "end▁ \U0001F600\n"
+    assert sum(p for _, p in tally.values()) == pytest.approx(1, abs=0.05)
+    assert all(abs(n / 1500 - 1) < 0.2 for n, p in tally.values() if p > 0.2)
+
+
+def test_suffix_tree(docs, none):
+    found = suffix_tree.score(docs, suffix_tree.fit(docs)).collect()
+    assert len(found) == len(ROWS) and all(r["score"] <= 0 and r["n_known"] == r["n_tokens"] for r in found)
+    assert suffix_tree.score(docs, suffix_tree.fit(none)).where("n_known > 0").count() == 0
+
+
+def test_suffix_tree_probabilities_sum_to_one():
+    common, counts = np.array([3, 5, 8, 9]), np.array([40, 30, 20, 10])
+    tree = suffix_tree.Tree(common, counts, 100, 5)      # 5 symbols in all, so one share is left for a new one
+    tree.grow(np.array([3]), np.array([0]), np.array([40.0]), np.array([0, 0]), np.array([1, 2]), np.array([30.0, 5.0]))
+    p = 10 ** tree.log10(np.ones(4, np.int64), np.arange(4))[0]
+    root = (counts + 1) / 106
+    rest = 10 ** tree.rest[1] * (1 - root.sum())
+    assert len(tree.parent) == 2 and p.sum() + rest == pytest.approx(1)
+
+
+def test_top_k(spark):
+    rng = np.random.default_rng(2)
+    m = rng.normal(size=(300, 8)).astype(np.float32)
+    m[100:160] = m[100]
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(m)] + [(900, None), (901, [float("nan")] * 8), (902, [None] + [1.0] * 7)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in topk.top_k(df, F.col("vec_id") % 50 == 0, block=64).collect()}
+    x = np.floor(m.astype(float) * 256).astype(int)
+    for q in range(0, 300, 50):
+        best = sorted((-int(x[q] @ x[i]), i) for i in range(300) if i != q)[:5]
+        assert [found[q, r] for r in range(1, 6)] == [(i, -s) for s, i in best]
+    assert topk.top_k(df.limit(0), F.lit(True)).count() == 0
+
+
+def test_pipeline(spark):
+    import corpus_pipeline
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    found = corpus_pipeline.run(spark, folder)
+    ids = {r[0] for r in found.select("doc_id").distinct().collect()}
+    assert found.where("NOT round_trip").count() == 0 and ids and ids <= {r[0] for r in docs.select("doc_id").collect()}
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, folder).columns == docs.columns
