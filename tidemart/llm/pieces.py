@@ -312,7 +312,7 @@ def encode(v: Vocabulary, keys: list, texts: list[str], k: int, seed: int) -> It
     """For each text its place and [(ids, log probability, perturbed, inclusion)], best first."""
     code = [symbols(t) if t else np.zeros(0, np.int64) for t in texts]
     full = [c for c in code if len(c)]
-    lattices = Lattices(v, full)
+    lattices = Lattices(v, full) if full else None
     j = 0
     for i, (key, c) in enumerate(zip(keys, code, strict=True)):
         if not len(c):
