@@ -23,7 +23,8 @@ order_info AS (
          greatest(listed - paid, 0) / 1e2 AS benefit_reduce_amount, listed / 1e2 AS original_total_amount,
          greatest(paid - listed, 0) / 1e2 AS feight_fee, strftime(moment, '%Y-%m-%d %H:%M:%S') AS create_time,
          strftime(moment, '%Y-%m-%d') AS create_date, strftime(moment, '%H') AS create_hour, paid, listed
-  FROM order_time JOIN listed ON o_orderkey = order_id LEFT JOIN customer ON o_custkey = c_custkey),
+  FROM (SELECT t.*, coalesce(l.listed, 0) AS listed FROM order_time t LEFT JOIN listed l ON o_orderkey = order_id)
+  LEFT JOIN customer ON o_custkey = c_custkey),
 base_province AS (
   SELECT n_nationkey AS id, n_name AS name, r_name AS area_code, concat('ISO-', n_nationkey) AS iso_code
   FROM nation JOIN region ON n_regionkey = r_regionkey),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -56,13 +57,15 @@ def _default_partitions(spark: SparkSession) -> int:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
-    Only when the session names none (tests on one machine) a local one is made
-    and set, so that later calls and `checkpoint()` use the same.
+    Only when the session names none and runs on one machine (tests) a local one is
+    made and set, so that later calls and `checkpoint()` use the same.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") \
         or spark.conf.get("spark.checkpoint.dir", None) \
         or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tidemart-")
         spark.sparkContext.setCheckpointDir(base)
     return base

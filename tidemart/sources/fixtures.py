@@ -52,11 +52,13 @@ def order_detail(t: Tables, days: Days = None, spread: bool = False) -> DataFram
 
 
 def order_info(t: Tables, days: Days = None, province: bool = True) -> DataFrame:
-    """Orders that have lines; the listed total is the sum of the lines. Without
-    `province` that column is null and the customers are not joined."""
+    """All orders; the listed total is the sum of the lines, 0 without lines. The left
+    join onto it is dropped by Spark where no amount is asked for. Without `province`
+    that column is null and the customers are not joined."""
     listed = order_detail(t, days).groupBy("order_id").agg(
         F.sum(line_cents(F.col("order_price"), F.col("sku_num"))).alias("_listed"))
-    orders = _orders(t, days).join(listed, F.col("o_orderkey") == F.col("order_id"))
+    orders = (_orders(t, days).join(listed, F.col("o_orderkey") == F.col("order_id"), "left")
+              .withColumn("_listed", F.coalesce("_listed", F.lit(0).cast("long"))))
     place = F.lit(None).cast("long")
     if province:
         customers = t("customer").select("c_custkey", "c_nationkey")
