@@ -34,6 +34,7 @@ SEED = 17
 
 SPACE = 0x2581          # stands for a space
 LITERAL = 0x110000      # stands for the character SPACE itself, which is written as bytes
+NO_MASS = 760.0         # exp(-NO_MASS) is 0
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -54,6 +55,14 @@ class Vocabulary:
         """The text of a segmentation."""
         return b"".join(map(self.written.__getitem__, ids)).decode("utf-8")[1:]
 
+    def decode_all(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+        """The UTF-8 texts of segmentations laid end to end, each with the space in front."""
+        done = pa.array(self.written, pa.large_binary()).take(pa.array(ids))
+        data = done.buffers()[2] or b""
+        at = np.frombuffer(done.buffers()[1], np.int64)[: len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
+        ends = at[np.cumsum(sizes)]
+        return [bytes(memoryview(data)[a:b]) for a, b in zip(np.append(0, ends[:-1]), ends, strict=True)]
+
 
 def load(path: str = MODEL) -> Vocabulary:
     """Read the pieces of a BPE model with byte fallback; done once, by the driver."""
@@ -108,8 +117,8 @@ class Lattices:
     """The lattices of the distinct units of some texts.
 
     Places number the units' characters one after another. Edges are ordered by place; `upto` has at
-    each edge its place plus the probability of the place's edges up to it, so that one search finds
-    the edge for a place and a draw.
+    each edge its place plus the probability of the place's edges up to it, likeliest first: a draw
+    takes the first edge that reaches it.
     """
 
     def __init__(self, vocabulary: Vocabulary, texts: list[np.ndarray]) -> None:
@@ -177,8 +186,7 @@ class Lattices:
             e = np.repeat(self.first[at] - head, n) + np.arange(n.sum())
             beta[at] = np.logaddexp.reduceat(weight[e] + np.where(last[e], 0.0, beta[target[e]]), head)
         self.logp = np.minimum(weight + np.where(last, 0.0, beta[target]) - beta[self.place], 0.0)
-        p = np.exp(self.logp)
-        self._likeliest_first(p)
+        p = self._likeliest_first(np.exp(self.logp))
         total = np.concatenate([[0.0], np.cumsum(p)])
         inside = total[1:] - total[self.first[self.place]]
         self.upto = self.place + np.minimum(inside, 1.0)
@@ -187,22 +195,24 @@ class Lattices:
         self.p = p
         self.top = np.where(self.options > 1, p[self.first[:-1]], 1.0) if len(code) else p
 
-    def _likeliest_first(self, p: np.ndarray) -> None:
-        """Exchange each place's likeliest edge with its first one; most draws end there."""
-        head = self.first[:-1]
-        if not len(head):
-            return
-        best = np.flatnonzero(p == np.maximum.reduceat(p, head)[self.place])
-        best = best[np.searchsorted(self.place[best], np.arange(len(head)))]
-        for x in (self.size, self.piece, self.logp, p):
-            x[head], x[best] = x[best], x[head].copy()
+    def _likeliest_first(self, p: np.ndarray) -> np.ndarray:
+        """Order each place's edges from the likeliest on, as most draws end with the first two."""
+        order = np.argsort(self.place - 0.5 * p, kind="stable")
+        self.size, self.piece, self.logp = self.size[order], self.piece[order], self.logp[order]
+        return p[order]
 
     def draw(self, place: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge from each place."""
         e = self.first[place]
         other = np.flatnonzero(u >= self.top[place])
-        at = np.searchsorted(self.upto, place[other] + u[other], side="right")
-        e[other] = np.minimum(np.maximum(at, e[other]), self.first[place[other] + 1] - 1)
+        if len(other):
+            start = place[other]
+            want, at, end = start + u[other], e[other] + 1, self.first[start + 1] - 1
+            on = np.flatnonzero((self.upto[at] <= want) & (at < end))
+            while len(on):
+                at[on] += 1
+                on = on[(self.upto[at[on]] <= want[on]) & (at[on] < end[on])]
+            e[other] = at
         return e
 
     def sample(self, kinds: np.ndarray, places: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
@@ -230,7 +240,7 @@ class _Path:
     edges: np.ndarray
     units: np.ndarray
     bound: float
-    left: np.ndarray        # bounds of the regions that leave the path at each edge
+    left: np.ndarray        # bounds of the regions that leave the path at each edge, as far as they have mass
     upto: np.ndarray        # log probability before each edge
     taken: dict[int, list[int]]   # edges besides the path's that a region must avoid, too
 
@@ -246,15 +256,18 @@ def segmentations(lattices: Lattices, kinds: np.ndarray, k: int, rng: np.random.
     def add(edges: np.ndarray, units: np.ndarray, bound: float, since: int, taken: list[int]) -> None:
         logp = lattices.logp[edges]
         upto = np.concatenate([[0.0], np.cumsum(logp)])
-        rest = 1 - lattices.p[edges]
         room = lattices.options[lattices.place[edges]] > 1
+        # regions beyond have no mass a double holds; cut only where k others come before them
+        n = int(np.searchsorted(-upto[:-1], NO_MASS))
+        n = n if n > since and np.count_nonzero(room[since + 1: n]) >= k else len(edges)
+        rest, room = 1 - lattices.p[edges[:n]], room[:n]
         if taken:
             rest[since] -= lattices.p[taken].sum()
             room[since] = lattices.options[lattices.place[edges[since]]] > 1 + len(taken)
-        mass = np.where(room, upto[:-1] + np.log(np.maximum(rest, 1e-300)), -np.inf)
+        mass = np.where(room, upto[:n] + np.log(np.maximum(rest, 1e-300)), -np.inf)
         mass[:since] = -np.inf
         with np.errstate(over="ignore"):
-            left = -np.log(np.exp(-bound) + np.exp(-(mass + gumbel(len(edges)))))
+            left = -np.log(np.exp(-bound) + np.exp(-(mass + gumbel(n))))
         left[~np.isfinite(mass)] = -np.inf
         paths.append(_Path(edges, units, bound, left, upto, {since: taken} if taken else {}))
         push(len(paths) - 1)
@@ -338,17 +351,18 @@ def sample(df: DataFrame, k: int = SAMPLES, id_col: str = "doc_id", text_col: st
         for batch in batches:
             for first, last, _ in slices(batch.column(1), 2 * SLICE_BYTES):
                 keys, texts = batch.column(0)[first:last], batch.column(1)[first:last].to_pylist()
-                rows, ranks, ids, numbers, good = [], [], [], [], []
+                rows, ranks, ids, numbers = [], [], [], []
                 for i, found in encode(v, keys.to_pylist(), texts, k, seed):
                     for rank, (piece_ids, *scores) in enumerate(found, 1):
                         rows.append(i)
                         ranks.append(rank)
                         ids.append(piece_ids.astype(np.int32))
                         numbers.append(scores)
-                        good.append(v.decode(piece_ids.tolist()) == texts[i])
+                flat, sizes = np.concatenate(ids), np.array([len(x) for x in ids])
+                good = [back == (f" {texts[i]}".encode() if texts[i] else b"") for i, back in zip(rows, v.decode_all(flat, sizes), strict=True)]
                 columns = zip(*numbers, strict=True)
                 yield pa.RecordBatch.from_arrays(
-                    [keys.take(pa.array(rows, pa.int64())), pa.array(ranks, pa.int32()), list_array(np.concatenate(ids), np.array([len(x) for x in ids]), pa.int32())]
+                    [keys.take(pa.array(rows, pa.int64())), pa.array(ranks, pa.int32()), list_array(flat, sizes, pa.int32())]
                     + [pa.array(c, pa.float64()) for c in columns] + [pa.array(good, pa.bool_())],
                     ["doc_id", "rank", "ids", "log_prob", "perturbed", "inclusion", "round_trip"])
 
