@@ -67,3 +67,19 @@ def test_messages_carry_key_and_all_fields(spark):
     df = spark.createDataFrame([(7, "a")], "id long, name string")
     m = as_messages(df, key="id").first()
     assert (m["key"], m["value"]) == ("7", '{"id":7,"name":"a"}')
+
+
+def test_numbers_sent_as_text(spark, rows):
+    df = spark.createDataFrame([('{"id":"7","user_id":"3","final_total_amount":"12.30"}',), ('{"id":8,"user_id":3}',),
+                                ('{"id":"seven"}',), ('{"id":',)], "value string")
+    good = parse_records(df, schemas.ORDER_INFO)
+    assert rows(good, "id", "user_id", "final_total_amount") == [(7, 3, 12.3), (8, 3, None)]
+    assert rows(unreadable_records(df, schemas.ORDER_INFO)) == [('{"id":"seven"}',), ('{"id":',)]
+
+
+def test_words_of_scripts_without_spaces(spark):
+    def found(title, query):
+        return one(spark, text.matches_any_word(F.lit(title), query))
+    assert found("红海行动2018", "红海") and found("看红海行动", "行动")
+    assert found("红海abc行动", "abc") and found("カメラ用red", "red")
+    assert not found("redder", "red") and not found("incident", "红")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import NumericType, StringType, StructField, StructType
 
 _BAD = "_unreadable"
 
@@ -15,24 +15,42 @@ def once(value: Column) -> Column:
     return F.explode(F.array(value))
 
 
+def _is_number(field: StructField) -> bool:
+    return isinstance(field.dataType, NumericType)
+
+
 def _parsed(df: DataFrame, schema: StructType, value: str, *keep: str) -> DataFrame:
-    with_bad = StructType(schema.fields + [StructField(_BAD, StringType())])
+    """Numbers are read as text first: many sources write every value as a string."""
+    loose = [StructField(f.name, StringType()) if _is_number(f) else f for f in schema.fields]
+    with_bad = StructType(loose + [StructField(_BAD, StringType())])
     record = F.from_json(F.col(value), with_bad, {"columnNameOfCorruptRecord": _BAD})
     return df.select(*keep, once(record).alias("_record"))
 
 
+def _field(field: StructField) -> Column:
+    value = F.col(f"_record.{field.name}")
+    return value.try_cast(field.dataType).alias(field.name) if _is_number(field) else value
+
+
+def _unreadable(schema: StructType) -> Column:
+    """Broken JSON, or a text that is no number where one belongs."""
+    bad = F.col("_record").isNull() | F.col(f"_record.{_BAD}").isNotNull()
+    for f in schema.fields:
+        if _is_number(f):
+            bad = bad | (F.col(f"_record.{f.name}").isNotNull() & _field(f).isNull())
+    return bad
+
+
 def parse_records(df: DataFrame, schema: StructType, value: str = "value", *keep: str) -> DataFrame:
-    """JSON text to typed columns (and the columns to keep beside them);
-    see `unreadable_records` for what does not fit."""
-    good = F.col("_record").isNotNull() & F.col(f"_record.{_BAD}").isNull()
-    return _parsed(df, schema, value, *keep).where(good).select(
-        *[F.col(f"_record.{f.name}") for f in schema.fields], *keep)
+    """JSON text to typed columns (and the columns to keep beside them), numbers also
+    from text; see `unreadable_records` for what does not fit."""
+    return _parsed(df, schema, value, *keep).where(~_unreadable(schema)).select(
+        *[_field(f) for f in schema.fields], *keep)
 
 
 def unreadable_records(df: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
     """The messages `parse_records` leaves out, as they came."""
-    bad = F.col("_record").isNull() | F.col(f"_record.{_BAD}").isNotNull()
-    return _parsed(df, schema, value, value).where(bad).select(value)
+    return _parsed(df, schema, value, value).where(_unreadable(schema)).select(value)
 
 
 def to_record(df: DataFrame, *columns: str) -> Column:

@@ -6,15 +6,29 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-# A word is a run of letters and digits of any script.
-WORD = r"[\p{L}\p{N}]"
+# Code points of scripts that put no spaces between words (fixed values).
+UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF),
+            (0x3400, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)]
+# A letter or digit of the other scripts: their words end where none follows. Between
+# letters of the scripts above every place may be a word's edge.
+WORD = r"[\p{L}\p{N}&&[^" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in UNSPACED) + "]]"
+
+
+def _bounded(word: str) -> str:
+    """The word, with an edge wanted on each side that is of a spaced script."""
+    def spaced(letter: str) -> bool:
+        return not any(a <= ord(letter) <= b for a, b in UNSPACED)
+
+    before = f"(?<!{WORD})" if spaced(word[0]) else ""
+    after = f"(?!{WORD})" if spaced(word[-1]) else ""
+    return before + re.escape(word) + after
 
 
 def _pattern(query: str) -> str:
-    words = [re.escape(w) for w in query.split()]
+    words = [_bounded(w) for w in query.split()]
     if not words:
         raise ValueError("empty search text")
-    return rf"(?iu)(?<!{WORD})(?:{'|'.join(words)})(?!{WORD})"
+    return rf"(?iu)(?:{'|'.join(words)})"
 
 
 def matches_any_word(text: Column, query: str) -> Column:

@@ -32,6 +32,13 @@ def new_visits(rows: DataFrame, seen: DataFrame) -> DataFrame:
     return first_visits(rows).join(seen.select("dt", "mid"), ["dt", "mid"], "left_anti")
 
 
+def first_hours(rows: DataFrame) -> DataFrame:
+    """Day, device and hour of each first visit. The hour follows from the earliest time
+    alone, a number, so this is a hash aggregate where whole rows need a sorting one."""
+    return rows.groupBy("dt", "mid").agg(F.min("ts").alias("ts")) \
+        .select("dt", "mid", hour_of_millis(F.col("ts")).alias("hr"))
+
+
 def active_per_hour(visits: DataFrame) -> DataFrame:
     return visits.groupBy("dt", "hr").agg(F.count("*").alias("n"))
 

@@ -32,10 +32,11 @@ def flag_first_order_by_day(orders: DataFrame) -> DataFrame:
 def keep_one_first_order(orders: DataFrame) -> DataFrame:
     """Within the given orders leave the flag only on each user's earliest one.
 
-    The earliest order is found by a partial aggregate and matched on the unique
+    Without a flag every order is looked at. The earliest order is found by a partial aggregate and matched on the unique
     order id, so a user with very many orders is never brought into one task.
     """
-    earliest = (orders.where(F.col("if_first_order") == "1").groupBy("user_id")
+    flagged = orders.where(F.col("if_first_order") == "1") if "if_first_order" in orders.columns else orders
+    earliest = (flagged.groupBy("user_id")
                 .agg(F.min(F.struct("create_time", "id")).alias("_e"))
                 .select(F.col("_e.id").alias("id"), F.lit("1").alias("_flag")))
     return orders.join(earliest, "id", "left").select(

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemart import schemas
 from tidemart.functions.money import from_cents, line_cents, round_half_up, to_cents
 from tidemart.functions.people import age_years
-from tidemart.functions.records import as_messages, parse_records
+from tidemart.functions.records import as_messages, parse_records, unreadable_records
 from tidemart.functions.times import day_after, day_before
 from tidemart.operators import cdc, dau, dims, orders, search, stats, wide
 from tidemart.plans import reports
@@ -61,7 +61,7 @@ def dated_orders(t: Tables, days=None, province: bool = False) -> DataFrame:
 
 
 def flagged_orders(t: Tables, province: bool = False) -> DataFrame:
-    return orders.keep_one_first_order(orders.flag_first_order_by_day(dated_orders(t, province=province)))
+    return orders.keep_one_first_order(dated_orders(t, province=province))
 
 
 def enriched_orders(t: Tables) -> DataFrame:
@@ -191,6 +191,24 @@ def cdc_maxwell_split(t):
     return rows.select("topic", F.get_json_object("value", "$.id").alias("id"))
 
 
+def _canal_orders(t: Tables) -> DataFrame:
+    return cdc.split_canal(fixtures.canal_text_envelopes(t)).where(F.col("topic") == "ods_order_info")
+
+
+@query
+def cdc_canal_typed(t):
+    """Records whose values are all text, two in a message, to typed orders."""
+    rows = parse_records(_canal_orders(t), schemas.ORDER_INFO)
+    return rows.select("id", "user_id", "order_status", "final_total_amount")
+
+
+@query
+def dead_letters(t):
+    """Order records with a text that is no number, kept as they came."""
+    bad = unreadable_records(_canal_orders(t), schemas.ORDER_INFO)
+    return bad.select(*[F.get_json_object("value", f"$.{n}").alias(n) for n in ("id", "user_id", "order_status")])
+
+
 # --- dimensions and lookups ------------------------------------------------
 
 @query
@@ -294,24 +312,25 @@ def brand_amount(t):
     return stats.brand_amounts_of_lines(paid_wide(t), branded_sku(t))
 
 
-def _brand_stats(t: Tables) -> DataFrame:
+def _brand_stats(t: Tables, days=None) -> DataFrame:
     """Statistics rows with each day of orders as one batch."""
-    daily = stats.brand_amounts_of_lines(paid_wide(t), branded_sku(t), "dt")
+    daily = stats.brand_amounts_of_lines(paid_wide(t, days), branded_sku(t), "dt")
     return daily.select(F.concat("dt", F.lit(" 00:00:00")).alias("stat_time"),
                         F.col("tm_id").alias("trademark_id"), F.col("tm_name").alias("trademark_name"), "amount")
 
 
 STAT_RANGE = ("1996-01-01 00:00:00", "2000-12-31 00:00:00")
+STAT_DAYS = ("1996-01-01", "2001-01-01")  # days whose rows may be inside, for the scan
 
 
 @query
 def brand_topn(t):
-    return stats.top_brands(_brand_stats(t), *STAT_RANGE, 10)
+    return stats.top_brands(_brand_stats(t, STAT_DAYS), *STAT_RANGE, 10)
 
 
 @query
 def brand_topn_xys(t):
-    return stats.chart_points(stats.top_brands(_brand_stats(t), *STAT_RANGE, 5))
+    return stats.chart_points(stats.top_brands(_brand_stats(t, STAT_DAYS), *STAT_RANGE, 5))
 
 
 @query
@@ -371,7 +390,7 @@ def dau_total(t):
 
 @query
 def dau_hour(t):
-    return dau.active_per_hour(visits(t))
+    return dau.active_per_hour(dau.first_hours(start_rows(t)))
 
 
 @query
@@ -381,7 +400,7 @@ def new_devices(t):
 
 @query
 def dau_today_yesterday(t):
-    return reports.realtime_hour("dau", VISIT_DAY, visits=visits(t, _two_days(VISIT_DAY)))
+    return reports.realtime_hour("dau", VISIT_DAY, visits=dau.first_hours(start_rows(t, _two_days(VISIT_DAY))))
 
 
 @query

@@ -132,6 +132,13 @@ _OVER_BASE = {
         UNION ALL SELECT 'ods_user_info', CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal >= 0
         UNION ALL SELECT 'ods_base_province', CAST(id AS VARCHAR) FROM base_province
         UNION ALL SELECT 'ods_sku_info', CAST(id AS VARCHAR) FROM sku_info""",
+    "cdc_canal_typed": """SELECT o_orderkey AS id, o_custkey AS user_id, o_orderstatus AS order_status,
+        paid / 1e2 AS final_total_amount FROM order_time WHERE o_orderstatus <> 'P'
+        UNION ALL SELECT -o_orderkey, o_custkey, o_orderstatus, paid // 4 / 1e2 FROM order_time
+        WHERE o_orderstatus <> 'P'""",
+    "dead_letters": """SELECT CAST(o_orderkey AS VARCHAR) AS id, 'unknown' AS user_id, 'P' AS order_status
+        FROM orders WHERE o_orderstatus = 'P'
+        UNION ALL SELECT CAST(-o_orderkey AS VARCHAR), 'unknown', 'P' FROM orders WHERE o_orderstatus = 'P'""",
     "dim_latest_by_key": """SELECT p_name AS id, p_brand AS tm_name, p_partkey AS version FROM
         (SELECT *, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey DESC) AS rn FROM part) WHERE rn = 1""",
     "dim_semi_lookup": """SELECT CAST(id AS VARCHAR) AS id, spu_id, tm_id FROM sku_info
@@ -209,9 +216,7 @@ _OVER_BASE = {
         GROUP BY 1""",
     "stream_brand_amount": _BRAND_SUM,
     "stream_idempotent_replay": _BRAND_SUM,
-    "stream_layers": f"""SELECT tm_id, tm_name, {_sum()} AS amount FROM split s
-        JOIN order_info o ON s.order_id = o.id JOIN sku_info k ON s.sku_id = k.id
-        WHERE o.order_status = 'O' GROUP BY ALL""",
+    "stream_layers": _BRAND_SUM,
 }
 
 _OVER_WIDE = {

@@ -116,7 +116,7 @@ def stream_dim_refresh(spark, t, work):
     upsert_dim(fixtures.base_category3(t), 0, f"{dims}/base_category3", schemas.CATEGORY3)
     upsert_dim(fixtures.spu_info(t), 0, f"{dims}/spu_info", schemas.SPU)
     former = fixtures.base_trademark(t).withColumn("tm_name", F.concat(F.lit("former "), "tm_name"))
-    brands = [as_messages(former), as_messages(fixtures.base_trademark(t))]
+    brands = [as_messages(fixtures.sent_brands(b)) for b in (former, fixtures.base_trademark(t))]
     skus = [as_messages(fixtures.sku_info(t))] * 2
     for _ in _rounds({f"{work}/brands": brands, f"{work}/skus": skus}):
         run_once(jobs.keep_dim(file_topic(spark, f"{work}/brands"), schemas.TRADEMARK,
@@ -248,16 +248,17 @@ def stream_idempotent_replay(spark, t, work):
 @query
 def stream_layers(spark, t, work):
     """All layers in a row: change records are split by table, dimensions kept,
-    orders and lines enriched, joined, paid shares spread and brands summed."""
+    orders and lines enriched, joined, paid shares spread and brands summed. Every
+    order is inserted; those no longer open are updated, too."""
     dims, ods = f"{work}/dims", f"{work}/ods"
     orders = fixtures.order_info(t)
-    kind = F.when(F.col("order_status") == "O", "insert").otherwise("update")
-    facts = fixtures.envelope(orders, "order_info", kind).unionByName(
+    updated = fixtures.envelope(orders.where(F.col("order_status") != "O"), "order_info", F.lit("update"))
+    facts = fixtures.envelope(orders, "order_info", F.lit("insert")).unionByName(updated).unionByName(
         fixtures.envelope(fixtures.timed_detail(t), "order_detail", F.lit("insert")))
     day = F.substring(F.get_json_object("value", "$.data.create_time"), 1, 10)
-    parts = _stage(facts, day, ORDER_CUTS[:1], f"{work}/staged")
+    parts = _stage(facts, day, ORDER_CUTS, f"{work}/staged")
     sides = {"base_province": fixtures.base_province(t), "user_info": fixtures.user_info(t),
-             "base_trademark": fixtures.base_trademark(t), "base_category3": fixtures.base_category3(t),
+             "base_trademark": fixtures.sent_brands(fixtures.base_trademark(t)), "base_category3": fixtures.base_category3(t),
              "spu_info": fixtures.spu_info(t), "sku_info": fixtures.sku_info(t)}
     for name, df in sides.items():
         append_file_topic(fixtures.envelope(df, name, F.lit("insert")), f"{work}/db")

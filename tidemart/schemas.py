@@ -51,6 +51,7 @@ ORDER_WIDE = _struct(
 PROVINCE = _struct(id=_s, name=_s, area_code=_s, iso_code=_s)
 USER = _struct(id=_s, user_level=_s, birthday=_s, gender=_s)
 TRADEMARK = _struct(id=_s, tm_name=_s)
+TRADEMARK_MESSAGE = extended(TRADEMARK, tm_id=_s)   # the source names the key tm_id
 CATEGORY3 = _struct(id=_s, name=_s, category2_id=_s)
 SPU = _struct(id=_s, spu_name=_s)
 SKU = _struct(id=_s, spu_id=_s, price=_s, sku_name=_s, tm_id=_s, category3_id=_s, create_time=_s)

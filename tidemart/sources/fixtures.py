@@ -120,6 +120,11 @@ def base_trademark(t: Tables) -> DataFrame:
                             F.col("p_brand").alias("tm_name")).distinct()
 
 
+def sent_brands(brands: DataFrame) -> DataFrame:
+    """Brand rows as the source database names their columns."""
+    return brands.withColumnRenamed("id", "tm_id")
+
+
 def base_category3(t: Tables) -> DataFrame:
     return t("part").select(F.lower("p_type").alias("id"), F.col("p_type").alias("name")).distinct() \
         .withColumn("category2_id", F.lit("1"))
@@ -172,6 +177,23 @@ def canal_envelopes(t: Tables) -> DataFrame:
         heads.select(once(to_record(heads)).alias("value")))
 
 
+def canal_text_envelopes(t: Tables) -> DataFrame:
+    """Envelopes as the source database sends them: every value a text, several rows in
+    one record. Each order comes with its deposit, which has the negative id and a
+    quarter of the amount; half-done orders have a user id that is no number."""
+    user = F.when(F.col("o_orderstatus") == "P", F.lit("unknown")).otherwise(F.col("o_custkey").cast("string"))
+    cents = to_cents(F.col("o_totalprice"))
+
+    def row(key: Column, amount: Column) -> Column:
+        return F.struct(key.cast("string").alias("id"), user.alias("user_id"),
+                        F.col("o_orderstatus").alias("order_status"),
+                        amount.cast("string").alias("final_total_amount"))
+    key = F.col("o_orderkey")
+    data = F.array(row(key, from_cents(cents)), row(-key, from_cents(F.floor(cents / 4))))
+    out = t("orders").select(F.lit("order_info").alias("table"), F.lit("INSERT").alias("type"), data.alias("data"))
+    return out.select(once(to_record(out)).alias("value"))
+
+
 def envelope(df: DataFrame, table: str, kind: Column, data: Column | None = None) -> DataFrame:
     body = F.struct(*df.columns) if data is None else data
     out = df.select(F.lit(table).alias("table"), kind.alias("type"), body.alias("data"))

@@ -52,7 +52,10 @@ def keep_dim(messages: DataFrame, schema: StructType, out: str) -> DataStreamWri
     version = "timestamp" if "timestamp" in messages.columns else None
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        rows = parse_records(df, schema, "value", *([version] if version else []))
+        brands = schema == schemas.TRADEMARK
+        rows = parse_records(df, schemas.TRADEMARK_MESSAGE if brands else schema, "value", *([version] if version else []))
+        if brands:
+            rows = rows.withColumn("id", F.coalesce("id", "tm_id")).drop("tm_id")
         upsert_dim(rows, batch_id, out, schema, version=version)
     return each_batch(messages, sink)
 
@@ -99,11 +102,13 @@ def enrich_orders(messages: DataFrame, dims: str, status: str, docs: str, topic:
                             of=broadcast_if_few(keys_of(rows, "user_id")))
         full = order_rules.join_user(order_rules.join_province(flagged, province), users) \
             .select(*schemas.ORDER_INFO_ENRICHED.fieldNames()).persist()
-        append_batch(order_rules.first_order_users(full), batch_id, status)
-        append_batch(full.withColumn("month", month_of(F.col("create_date"))), batch_id, docs, "month")
-        publish_batch(full, batch_id, topic)
-        full.unpersist()
-        rows.unpersist()
+        try:
+            append_batch(order_rules.first_order_users(full), batch_id, status)
+            append_batch(full.withColumn("month", month_of(F.col("create_date"))), batch_id, docs, "month")
+            publish_batch(full, batch_id, topic)
+        finally:
+            full.unpersist()
+            rows.unpersist()
     return each_batch(messages, sink)
 
 
@@ -211,11 +216,13 @@ def store_complete(done: DataFrame, out: str, brand_stat: str | None = None) ->
                                rows, "month")
         before = before.join(broadcast_if_few(rows.select(*keys)), keys, "left_semi").select(*keys)
         fresh = rows.join(before, keys, "left_anti").persist()
-        append_batch(fresh, batch_id, out, "month")
-        if brand_stat:
-            rest = fresh.withColumn("final_detail_amount", from_cents(F.col("rest")))
-            store_brand_stat(rest, batch_id, f"{brand_stat}/part=rest")
-        fresh.unpersist()
+        try:
+            append_batch(fresh, batch_id, out, "month")
+            if brand_stat:
+                rest = fresh.withColumn("final_detail_amount", from_cents(F.col("rest")))
+                store_brand_stat(rest, batch_id, f"{brand_stat}/part=rest")
+        finally:
+            fresh.unpersist()
     return each_batch(done, sink, mode="update")
 
 
@@ -259,8 +266,10 @@ def store_visits(messages: DataFrame, out: str) -> DataStreamWriter:
         keys = ["dt", "mid"]
         stored = in_folders_of(read_batches(df.sparkSession, out, schemas.DAU, before=batch_id), firsts, "dt")
         stored = stored.join(broadcast_if_few(firsts.select(*keys)), keys, "left_semi").select(*keys)
-        append_batch(firsts.join(stored, keys, "left_anti"), batch_id, out, "dt")
-        firsts.unpersist()
+        try:
+            append_batch(firsts.join(stored, keys, "left_anti"), batch_id, out, "dt")
+        finally:
+            firsts.unpersist()
     return each_batch(rows, sink)
 
 
