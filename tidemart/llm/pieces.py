@@ -349,7 +349,7 @@ def sample(df: DataFrame, k: int = SAMPLES, id_col: str = "doc_id", text_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, last, _ in slices(batch.column(1), 2 * SLICE_BYTES):
+            for first, last, _ in slices(batch.column(1), SLICE_BYTES // 2):
                 keys, texts = batch.column(0)[first:last], batch.column(1)[first:last].to_pylist()
                 rows, ranks, ids, numbers = [], [], [], []
                 for i, found in encode(v, keys.to_pylist(), texts, k, seed):
