@@ -232,6 +232,13 @@ def test_top_k(spark):
     assert topk.top_k(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_top_k_of_copies_in_the_querys_own_block(spark):
+    rows = [(i, [4.0, 0.0]) for i in range(6)] + [(i, [-1.0, -float(i)]) for i in range(6, 40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = topk.top_k(df, F.col("vec_id") == 2, pivots=1, annuli=2)
+    assert sorted((r["rank"], r["vec_id"], r["score"]) for r in found.collect()) == [(i + 1, v, 16 * 256**2) for i, v in enumerate((0, 1, 3, 4, 5))]
+
+
 def test_pipeline(spark):
     import corpus_pipeline
     folder = "/root/testdata/sf0.001"

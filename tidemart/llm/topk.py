@@ -125,10 +125,11 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id
                 ids, m = ids[order], _matrix([r["x"] for r in found], dim)[order]
                 q_ids, q = np.array([r["vec_id"] for r in asked]), _matrix([r["x"] for r in asked], dim)
                 products = _products(q, m)
-                products[q_ids[:, None] == ids[None]] = np.iinfo(np.int64).min
-                best = np.argsort(-products, axis=1, kind="stable")[:, :k]
+                own = q_ids[:, None] == ids[None]
+                products[own] = np.iinfo(np.int64).min
+                best = np.argsort(~products, axis=1, kind="stable")[:, :k]   # ~x falls as x grows, as -x, but cannot overflow
                 s = np.take_along_axis(products, best, axis=1)
-                real = s > np.iinfo(np.int64).min
+                real = ~np.take_along_axis(own, best, axis=1)
                 yield pd.DataFrame({"query_id": np.repeat(q_ids, best.shape[1])[real.ravel()], "vec_id": ids[best].ravel()[real.ravel()],
                                     "score": s.ravel()[real.ravel()]})
 
