@@ -117,6 +117,15 @@ def test_surrogates_keep_format_gender_and_stay_distinct(spark):
     assert len(set(new)) == len(rows) and not {r[1] for r in rows} & set(new)
 
 
+def test_fast_test_of_numbers_skips_none():
+    for secret in ("AKIA" + "QWERTYUIOPASDFGH", "+٩٦٦ ٥٠ ١٢٣ ٤٥٦٧", "abcdef" * 6, "ABCDEF" * 6, "sk-" + "a" * 20):
+        for text in (secret, f"the key {secret} here"):
+            assert pii.NUMBERS.search(text) and [m.group() for m in pii.entities(text)] == [secret]
+    for long_key in ("0a" * 128, "AB" * 200):
+        assert [m.group() for m in pii.entities(f"key {long_key}.")] == [long_key]
+        assert long_key not in pii.replace(f"key {long_key}.", "k", {})[0]
+
+
 def test_shards(docs, none):
     slotted = sharding.with_slots(docs, 4)
     totals = sharding.slot_totals(slotted)

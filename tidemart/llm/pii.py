@@ -55,14 +55,14 @@ NUMBERS = re.compile("|".join([
     r"(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))",
     r"(?P<card>(?<![\w.-])(?:\d{4}([ -])\d{4}\7\d{4}\7\d{4}|\d{15,16})(?![\w-]))".replace(r"\7", r"(?P=sep)").replace(r"([ -])", r"(?P<sep>[ -])"),
     r"(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w))",
-    r"(?P<secret>(?<!\w)(?:(?:sk|pk|ghp|gho|xoxb|xoxp)[-_][A-Za-z0-9_-]{16,}|AKIA[0-9A-Z]{16}|[0-9a-f]{32,128}|[0-9A-F]{32,128})(?!\w))",
+    r"(?P<secret>(?<!\w)(?:(?:sk|pk|ghp|gho|xoxb|xoxp)[-_][A-Za-z0-9_-]{16,}|AKIA[0-9A-Z]{16}|[0-9a-f]{32,}|[0-9A-F]{32,})(?!\w))",
 ]))
 NAMES = re.compile("|".join([
     rf"(?P<titled>(?<!\w)(?P<title>{'|'.join(sorted(_TITLE, key=len, reverse=True))})(?P<gap>\.? )(?P<names>{_CAPITAL}(?: {_CAPITAL})?)(?!\w))",
     rf"(?P<person>(?<!\w)(?P<given>{'|'.join(sorted(_GIVEN, key=len, reverse=True))}) (?P<surname>{_CAPITAL})(?!\w))",
 ]))
 # A text without these has no entity; most texts stop here.
-_NUMBER_SIGN = re.compile(r"[0-9@]|(?:sk|pk|ghp|gho|xoxb|xoxp)[-_]")
+_NUMBER_SIGN = re.compile(r"[\d@]|(?:sk|pk|ghp|gho|xoxb|xoxp)[-_]|AKIA|[0-9a-f]{32}|[0-9A-F]{32}")
 _NAME_SIGN = re.compile(rf"(?:{'|'.join(sorted([*_TITLE, *_GIVEN]))})[. ]")
 _KINDS = ("email", "ip", "phone", "ssn", "card", "iban", "secret", "titled", "person")
 
