@@ -83,6 +83,30 @@ def test_near_copies_equal_brute_force(spark, docs, none):
     assert found == brute_components(rows)
 
 
+def brute_links(rows):
+    sets = []
+    for _, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower())
+        sets.append({tuple(w[i: i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    return [sum(bool(x) and i != j and 100 * len(x & y) >= 75 * len(x | y) for j, y in enumerate(sets)) for i, x in enumerate(sets)]
+
+
+def test_near_copies_count_all_links(spark, docs, none):
+    found = by_id(jaccard.near_copies(docs), "n_links")
+    assert [found[r[0]] for r in ROWS] == brute_links([(r[0], r[1]) for r in ROWS])
+    assert "n_links" in jaccard.near_copies(none).columns
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(300):    # a large family of many sizes, more than two blocks, some of it copies
+        w = [f"t{j}" for j in range(int(rng.integers(50, 70)))]
+        for j in rng.integers(0, 50, rng.integers(0, 4)):
+            w[j] = f"n{rng.integers(0, 9)}"
+        rows.append((i, " ".join(w)))
+    rows += [(300 + i, rows[i][1]) for i in range(20)] + [(5, "a b c d e f g"), (330, "a b c d e f g"), (331, "x")]
+    got = jaccard.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["n_links"]) for r in got) == sorted((r[0], n) for r, n in zip(rows, brute_links(rows), strict=True))
+
+
 def test_prefix_keys_meet_for_all_linking_sets():
     rng = np.random.default_rng(5)
     pool = np.sort(rng.integers(0, 2**63, 400).astype(np.uint64))

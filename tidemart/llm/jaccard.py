@@ -18,8 +18,12 @@ do not meet. Classes only steer the work; whatever they are, no linking pair esc
 Keys are sorted by ranges, so that a key of any frequency is spread over tasks. In a range each key
 links its documents to the most central one (a star); stars are verified on whole sets, and connected
 components formed. Only documents of one key that are then in different components are paired, verified
-and joined: within a component no further pair can change the result, so groups of copies need not be
+and joined: within a component no further pair can change the component, so groups of copies need not be
 expanded. Equal sets are one node from the start.
+
+Every link lies inside a component, so the links of each row are counted there: all distinct sets of a
+component are compared in blocks, by exact intersection sizes. Only sums leave a block, and a set
+counts as often as rows have it.
 """
 
 from __future__ import annotations
@@ -41,6 +45,9 @@ MOST_COMMON = 2_000_000  # or with at most 1/MOST_COMMON of all: so many common
 BAND = 1.05             # ratio of a size band's bounds
 BROADCAST_IDS = 1_000_000  # ids looked up by broadcast at most; more are joined by shuffle
 NO_ID = 2**63 - 1       # stands for a missing id
+LINK_BLOCK = 128        # sets in a block of a large component, about
+LINK_BYTES = 4 << 20    # and bytes of their hashes
+LINK_BAND = 1.34        # ratio of a link band's bounds; above 4/3, so linked sets are at most one band apart
 PAIR_BIT = np.int64(1)  # lowest bit of a key made of two frequent shingles
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -339,19 +346,128 @@ def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame) -> DataFrame:
         spark.conf.set(limit, before)
 
 
+def shared_sizes(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each set of `a` has in common with each of `b`."""
+    n_a, n_b = (np.array([len(h) for h in x], np.int64) for x in (a, b))
+    _, at, times = np.unique(np.concatenate([*a, *b]), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(a) + len(b)), np.concatenate([n_a, n_b]))
+    row, at = row[times[at] > 1], (np.cumsum(times > 1) - 1)[at[times[at] > 1]]
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
+    out = np.zeros((len(a), len(b)), np.int64)
+    for first in range(0, int(at[-1]) + 1 if len(at) else 0, 4096):
+        x, y = np.searchsorted(at, [first, first + 4096])
+        held = np.zeros((len(a) + len(b), 4096), np.float32)
+        held[row[x:y], at[x:y] - first] = 1
+        out += (held[: len(a)] @ held[len(a):].T).astype(np.int64)
+    return out
+
+
+def _count_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From blocks (alone, sets), each set's links to the other side, or within the block if it is alone."""
+    for batch in batches:
+        ids, counts = [], []
+        for alone, sets in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            left = [x for x in sets if x["side"] == 0]
+            right = left if alone else [x for x in sets if x["side"] == 1]
+            if not left or not right:
+                continue
+            a, b = ([np.frombuffer(x["h"], np.uint64) for x in side] for side in (left, right))
+            shared = shared_sizes(a, b)
+            n_a, n_b = (np.array([len(h) for h in x], np.int64) for x in (a, b))
+            linked = 100 * shared >= 75 * (n_a[:, None] + n_b[None] - shared)
+            if alone:
+                np.fill_diagonal(linked, False)
+            for mine, theirs, link in [(left, right, linked)] + ([] if alone else [(right, left, linked.T)]):
+                ids.append(np.array([x["sid"] for x in mine], np.int64))
+                counts.append(link.astype(np.int64) @ np.array([x["copies"] for x in theirs], np.int64))
+        if ids:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ids, counts)], ["sid", "linked"])
+
+
+def _link_counts(docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(sid, linked): for sets (sid, n, component, copies, rep), the rows of the other sets that link with it.
+
+    A small component is one block. The sets of a large one are cut into blocks by size band and hash,
+    and every two blocks of the same or adjacent bands meet.
+    """
+    spark = docs.sparkSession
+    several = sets.groupBy("component").agg(F.count(F.lit(1)).alias("g"), F.sum("n").alias("all")).where("g > 1")
+    wanted = written(sets.join(several, "component"), "jaccard-several")
+    ids = wanted.select(F.col("rep").alias("doc_id")).distinct()
+    few = wanted.count() <= BROADCAST_IDS
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, texts in slices(batch.column(0)):
+                found = [(*signature(h), h) for h, _ in shingles(texts)]
+                yield pa.RecordBatch.from_arrays([pa.array([len(h) for _, _, h in found], pa.int64()), pa.array([x for x, _, _ in found], pa.int64()),
+                                                  pa.array([y for _, y, _ in found], pa.int64()), pa.array([h.tobytes() for _, _, h in found], pa.binary())],
+                                                 ["n", "s1", "s2", "h"])
+
+    hashes = (docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").select("text").mapInArrow(read, "n long, s1 long, s2 long, h binary")
+              .select(_set_id().alias("sid"), "h").groupBy("sid").agg(F.first("h").alias("h")))
+    held = written(wanted.join(hashes, "sid").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / float(np.log(LINK_BAND))).cast("int")), "jaccard-sets")
+
+    large = held.where((F.col("g") > LINK_BLOCK) | (F.col("all") * 8 > LINK_BYTES))
+    blocks = (large.groupBy("component", "band").agg(F.greatest(F.ceil(F.count(F.lit(1)) / LINK_BLOCK), F.ceil(F.sum("n") * 8 / LINK_BYTES)).cast("int").alias("blocks"))
+              .groupBy("component").agg(F.map_from_entries(F.collect_list(F.struct("band", "blocks"))).alias("blocks")))
+    upto = lambda c: F.when(F.col(c) > 0, F.sequence(F.lit(0), F.col(c) - 1)).otherwise(F.array().cast("array<int>"))
+    place = lambda low, i, high, j, side: F.struct(low.alias("low"), i.alias("i"), high.alias("high"), j.alias("j"), F.lit(side).alias("side") if isinstance(side, int) else side.alias("side"))
+    at, band = F.col("at"), F.col("band")
+    of = lambda k: F.coalesce(F.element_at("blocks", k), F.lit(0))
+    spread = (held.join(F.broadcast(blocks), "component", "left")
+              .withColumn("same", F.when(F.col("blocks").isNull(), 1).otherwise(of(band))).withColumn("above", of(band + 1)).withColumn("below", of(band - 1))
+              .withColumn("band", F.when(F.col("blocks").isNull(), 0).otherwise(band))
+              .withColumn("at", F.pmod(F.xxhash64("sid", F.lit(7)), F.col("same")).cast("int"))
+              .withColumn("to", F.explode(F.concat(
+                  F.transform(upto("same"), lambda j: place(band, F.least(at, j), band, F.greatest(at, j), F.when(at <= j, 0).otherwise(1))),
+                  F.transform(upto("above"), lambda j: place(band, at, band + 1, j, 0)),
+                  F.transform(upto("below"), lambda j: place(band - 1, j, band, at, 1))))))
+    pairs = (spread.groupBy("component", "to.low", "to.i", "to.high", "to.j")
+             .agg(F.collect_list(F.struct(F.col("to.side").alias("side"), "sid", "copies", "h")).alias("sets"))
+             .select(((F.col("low") == F.col("high")) & (F.col("i") == F.col("j"))).alias("alone"), "sets"))
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "16")   # rows carry up to two blocks of sets
+    try:
+        return written(pairs.mapInArrow(_count_links, "sid long, linked long").groupBy("sid").agg(F.sum("linked").alias("linked")), "jaccard-counts")
+    finally:
+        spark.conf.set(limit, before)
+
+
+def _set_id():  # noqa: ANN202  a Column
+    return F.xxhash64("n", "s1", "s2")
+
+
 def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row.
+    """(doc_id, n_shingles, component_id, n_links) of every row.
 
     The component is the smallest id reachable by links; a row without words is alone in its own. Rows
     that repeat an id count as one document that has all their links. Null ids count as the greatest
-    one; their component is null unless it has another id. An empty table gives an empty one.
+    one; their component is null unless it has another id. n_links is the number of other rows whose
+    text links with this row's. An empty table gives an empty one.
     """
+    docs, found = _with_components(df, id_col, text_col)
+    found = written(found.withColumn("sid", _set_id()), "jaccard-found")
+    sets = (found.where("n > 0").groupBy("sid").agg(F.first("n").alias("n"), F.first("component").alias("component"),
+                                                    F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("rep")))
+    sets = written(sets, "jaccard-copies")
+    links_of = sets.join(_link_counts(docs, sets), "sid", "left").select("sid", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
+    known = lambda c: F.when(c != NO_ID, c)
+    return found.join(links_of, "sid", "left").select(
+        known(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), known(F.col("component")).alias("component_id"),
+        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+
+
+def _with_components(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The documents (doc_id, text), and (doc_id, n, s1, s2, component) of each, NO_ID for a missing id."""
     spark = df.sparkSession
     docs = df.select(F.coalesce(named(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), text_of(named(text_col)).alias("text"))
     rows = written(_rows(docs), "jaccard-rows")
     classes = rows.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("node"))
     nodes = written(rows.join(classes, ["n", "s1", "s2"], "left")
-                    .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("node", "doc_id").alias("node")), "jaccard-nodes")
+                    .select("doc_id", "n", "s1", "s2", F.coalesce("node", "doc_id").alias("node")), "jaccard-nodes")
     node_of = nodes.select("doc_id", "node").distinct()
 
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -386,13 +502,12 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
               .select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct())
     rest = written(across.join(tested, ["a", "b"], "left_anti"), "jaccard-rest")
     group = components(linked.union(_verified(docs, rows, rest)))
-    reached = F.coalesce("component", "node")
-    known = lambda c: F.when(c != NO_ID, c)
-    return (nodes.join(group.withColumnRenamed("id", "node"), "node", "left")
-            .select(known(F.col("doc_id")).alias("doc_id"), "n_shingles", known(reached).alias("component_id")))
+    return docs, (nodes.join(group.withColumnRenamed("id", "node"), "node", "left")
+                  .select("doc_id", "n", "s1", "s2", F.coalesce("component", "node").alias("component")))
 
 
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows whose id is the smallest of their component, with the columns of `df`; rows without id stay."""
-    found = near_copies(df, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    _, found = _with_components(df, id_col, text_col)
+    found = found.where((F.col("doc_id") != F.col("component")) & (F.col("doc_id") != NO_ID)).select(F.col("doc_id").alias("_gone")).distinct()
     return df.join(found, named(id_col).cast("long") == F.col("_gone"), "left_anti")
