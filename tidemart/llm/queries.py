@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import exact_dedup, jaccard, language, mixing, pieces, pii, quality, sharding, suffix_tree, topk
+from tidemart.llm import (exact_dedup, fill_middle, jaccard, language, lexical, mixing, pieces, pii, quality, sharding, suffix_tree,
+                          token_files, topk)
 from tidemart.llm.common import id_remainder, table, written
 from tidemart.session import new_workdir
 
@@ -70,12 +71,32 @@ def op10_suffix_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score(docs, suffix_tree.fit(train))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_workdir(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    rows = token_files.digests(token_files.read_documents(spark, path))
+    return token_files.with_start(rows, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op12_range_maximum_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical.top_documents(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+def op13_rotated_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(back, 256).alias("restored_sha256"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {q.__name__: q for q in (
         op1_slot_sharding, op2_combination_jaccard, op3_surrogate_pii, op4_random_index_quality, op5_pivot_topk, op6_content_sort_dedup, op7_viterbi_language, op8_gumbel_pieces, op9_water_filling_mix,
-        op10_suffix_tree_score)}
+        op10_suffix_tree_score, op11_token_files, op12_range_maximum_search, op13_rotated_middle)}
 
 
 def llm_oracle_sql() -> dict[str, str]:
     return {"op5_pivot_topk": topk.ORACLE, "op6_content_sort_dedup": exact_dedup.ORACLE,
-            "op9_water_filling_mix": mixing.ORACLE}
+            "op9_water_filling_mix": mixing.ORACLE, "op12_range_maximum_search": lexical.ORACLE,
+            "op13_rotated_middle": fill_middle.ORACLE}
