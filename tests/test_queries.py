@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
-from check import TABLES, normal
+from check import TABLES, collected, normal
 from tidemart.plans.batch import batch_queries
 from tidemart.plans.streams import stream_queries
 
@@ -30,7 +30,7 @@ def duck():
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in SLOW])
 def test_query_equals_sql(spark, duck, name):
-    got = normal(QUERIES[name](spark, FOLDER).toPandas())
+    got = normal(collected(QUERIES[name](spark, FOLDER)))
     want = normal(duck.execute(entry_points.oracle_sql()[name]).df())
     assert list(got.columns) == list(want.columns)
     assert len(got) > 0
