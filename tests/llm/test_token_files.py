@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -14,11 +15,9 @@ from tokenizers import Tokenizer
 from tidemart.llm import queries, token_files
 from tidemart.llm.text import slices
 
-import pyarrow as pa
-
 SIGNS = ["a", "b", "Z", "é", "é", "İ", "Σ", "'s", "'t", "'", "’", ".", ",", "!", "?", ":", ";", "1", "22", "²", "<|endoftext|>",
          "<|startoftext|>", "<", ">", "|", " ", "\n", "\t", "\x0b", "\x0c", "\r", " ", " ", "\x85", "中", "한", "̸", "́", "=",
-         "‍", "😀", "-", "_", "\x00", "\x1c", "ﬁ", "ς"]
+         "‍", "😀", "der", "éauß", "ÿ", "ж", "Ё", "ё", "÷", "ª", "H", "ẖ", "̱", "-", "_", "\x00", "\x1c", "ﬁ", "ς"]
 
 
 @pytest.fixture(scope="module")

@@ -12,8 +12,8 @@ delta encoded. Row groups and pages are kept small on purpose and every column h
 Rows are dealt to files by sampled splitters over the id and sorted with spilling. Encoding takes slices of
 text and looks words up: between two white spaces, and between a letter and a following stop, the tokenizer
 carries nothing over, so each distinct word is encoded once by the library and its ids are copied. Memory:
-a slice of SLICE_BYTES or one longer text, and CACHE_WORDS words of at most WORD_BYTES bytes; both only save
-time, results are those of the library over the whole text.
+a slice of SLICE_BYTES or one longer text, and CACHE_WORDS words (with eight times as many ids) and those of a
+slice; the words known only save time, results are those of the library over the whole text.
 
 Defined results: null and empty texts hold the end id alone; rows without an id come first; rows of one id
 lie behind one another, ordered by a hash of their text; other columns of the input are not stored.
@@ -22,8 +22,10 @@ lie behind one another, ordered by a hash of their text; other columns of the in
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -33,14 +35,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemart.llm.common import named, text_of
-from tidemart.llm.text import Texts, list_array, slices
+from tidemart.llm.text import _LOWER, Texts, list_array, slices
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
 
 SLICE_BYTES = 4 << 20
-CACHE_WORDS = 200_000
-WORD_BYTES = 64
+CACHE_WORDS = 400_000
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 64 << 10
 PAGE_ROWS = 2_000
@@ -52,7 +53,8 @@ _STOP[[ord(c) for c in ".,;:!?"]] = True
 
 
 def chunks(texts: Texts) -> tuple[pa.Array, np.ndarray]:
-    """Words of a slice, and how many each row has."""
+    """Words of a slice, and how many each row has. Capitals of words in ASCII are lowered, as the normaliser
+    will do, unless a `|` shows that they may be a special token's."""
     data = texts.data
     if not len(data):
         return pa.array([], pa.large_binary()), np.zeros(len(texts), np.int64)
@@ -64,45 +66,86 @@ def chunks(texts: Texts) -> tuple[pa.Array, np.ndarray]:
     starts = np.flatnonzero(first)
     kept = np.ascontiguousarray(data[inside])
     offsets = np.append((np.cumsum(inside) - 1)[starts], len(kept)).astype(np.int64)
+    if len(starts):
+        other = np.logical_or.reduceat((kept >= 0x80) | (kept == ord("|")), offsets[:-1])
+        kept = np.where(np.repeat(other, np.diff(offsets)), kept, _LOWER[kept])
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(kept)])
     return words, np.diff(np.searchsorted(starts, texts.offsets))
 
 
+def _byte_signs() -> dict[int, str]:
+    """The sign a byte-level vocabulary writes a byte as: itself if it prints, else the next free one from 256."""
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in prints]
+    return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+# Small letters that the normaliser leaves as they are, and ideographs: a word of these is one piece for the model.
+PLAIN = re.compile("(?:[a-z\u00df-\u00f6\u00f8-\u00ff\u0430-\u044f]|[\u4e00-\u9fff])+").fullmatch
+
+
 class Encoder:
-    """Ids of texts by a tokenizer file of the `tokenizers` library, without special tokens."""
+    """Ids of texts by a tokenizer file of the `tokenizers` library, without special tokens.
+
+    Words the normaliser and the splitter would hand on as they are go to the library's model at once; all
+    others take the whole way.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, np.ndarray] = {}
-
-    def _word_ids(self, words: list[bytes]) -> list[np.ndarray]:
-        new = [w for w in words if w not in self.known]
-        found = dict(zip(new, (np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch(
-            [w.decode() for w in new], add_special_tokens=False)), strict=True))
-        out = [found[w] if w in found else self.known[w] for w in words]
-        if len(self.known) + len(found) > CACHE_WORDS:
-            self.known = {}
-        self.known.update((w, ids) for w, ids in found.items() if len(w) <= WORD_BYTES)
+        self.signs = _byte_signs()
+        self._clear()
+
+    def _clear(self) -> None:
+        """Known words: their places in arrays of where their ids begin in `values` and how many there are."""
+        self.place: dict[bytes, int] = {}
+        self.begin, self.size, self.values = (np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32))
+
+    def _ids(self, words: list[bytes]) -> list[list[int]]:
+        model, out, rest = self.tokenizer.model, [], []
+        for i, word in enumerate(words):
+            text = word.decode()
+            if PLAIN(text):
+                signs = text if text.isascii() else "".join(self.signs[b] for b in word)
+                out.append([t.id for t in model.tokenize(signs)])
+            else:
+                rest.append(i)
+                out.append(text)
+        for i, found in zip(rest, self.tokenizer.encode_batch([out[i] for i in rest], add_special_tokens=False), strict=True):
+            out[i] = found.ids
         return out
 
+    def _places(self, words: list[bytes]) -> np.ndarray:
+        if len(self.place) > CACHE_WORDS or len(self.values) > 8 * CACHE_WORDS:
+            self._clear()
+        new = [w for w in words if w not in self.place]
+        if new:
+            ids = self._ids(new)
+            size = np.fromiter(map(len, ids), np.int32, len(ids))
+            self.place.update(zip(new, range(len(self.size), len(self.size) + len(new)), strict=True))
+            self.begin = np.concatenate([self.begin, len(self.values) + np.cumsum(size) - size])
+            self.size = np.concatenate([self.size, size])
+            self.values = np.concatenate([self.values, np.fromiter(chain.from_iterable(ids), np.int32)])
+        return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+
     def encode(self, texts: Texts, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a slice behind one another, `end_id` after each row's, and each row's number of them."""
         words, per_row = chunks(texts)
         coded = words.dictionary_encode()
-        ids = self._word_ids(coded.dictionary.to_pylist()) + [np.array([end_id], np.int32)]
-        # each row's words, then the end
-        row_end = np.cumsum(per_row)
-        which = np.insert(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), row_end, len(ids) - 1)
-        size = np.array([len(x) for x in ids], np.int64)
-        begin = np.cumsum(size) - size
-        length = size[which]
-        upto = np.cumsum(length)
-        values = np.concatenate(ids)[np.repeat(begin[which] - (upto - length), length) + np.arange(upto[-1] if len(upto) else 0)]
-        ends = upto[row_end + np.arange(len(row_end))]
-        return values, np.diff(np.concatenate([[0], ends]))
+        place = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
+        size = self.size[place]
+        upto = np.cumsum(size, dtype=np.int64)
+        total = int(upto[-1]) if len(upto) else 0
+        # ids of words lie behind one another, with one place free after each row's
+        free = np.concatenate([[0], upto])[np.cumsum(per_row)] + np.arange(len(per_row))
+        out = np.full(total + len(per_row), end_id, np.int32)
+        inside = np.ones(len(out), bool)
+        inside[free] = False
+        out[inside] = self.values[np.repeat(self.begin[place] - (upto - size), size) + np.arange(total)]
+        return out, np.diff(np.concatenate([[-1], free]))
 
 
 def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER, end_id: int = END_ID,
