@@ -11,7 +11,7 @@ def order_rows(spark, *rows):
 def wide_rows(spark, *lines):
     """(order, line id, price, count, listed, paid)"""
     df = spark.createDataFrame([(o, i, float(p), n, float(li), float(pa)) for o, i, p, n, li, pa in lines],
-                               "order_id long, order_detail_id string, sku_price double, sku_num long, "
+                               "order_id long, order_detail_id long, sku_price double, sku_num long, "
                                "original_total_amount double, final_total_amount double")
     for f in schemas.ORDER_WIDE:
         if f.name not in df.columns:
@@ -55,14 +55,14 @@ def test_unknown_province_user_and_sku_leave_nulls(spark, rows):
 
 def test_apportioned_cents_add_up(spark, rows):
     w = wide_rows(spark,
-                  (1, "1", 10, 1, 30, 10), (1, "2", 10, 1, 30, 10), (1, "3", 10, 1, 30, 10),
-                  (2, "1", 5, 2, 10, 7.77),
-                  (3, "1", 1, 1, 1, 0.99), (3, "2", 0, 1, 1, 0.99),
-                  (4, "1", 0, 1, 0, 3.5))
+                  (1, 1, 10, 1, 30, 10), (1, 2, 10, 1, 30, 10), (1, 3, 10, 1, 30, 10),
+                  (2, 1, 5, 2, 10, 7.77),
+                  (3, 1, 1, 1, 1, 0.99), (3, 2, 0, 1, 1, 0.99),
+                  (4, 1, 0, 1, 0, 3.5))
     out = wide.apportion(w)
     assert rows(out, "order_id", "order_detail_id", "final_detail_amount") == [
-        (1, "1", 3.33), (1, "2", 3.33), (1, "3", 3.34), (2, "1", 7.77), (3, "1", 0.99), (3, "2", 0.0),
-        (4, "1", 3.5)]
+        (1, 1, 3.33), (1, 2, 3.33), (1, 3, 3.34), (2, 1, 7.77), (3, 1, 0.99), (3, 2, 0.0),
+        (4, 1, 3.5)]
 
 
 def test_running_totals_over_stretches(spark, rows):
@@ -75,12 +75,33 @@ def test_running_totals_over_stretches(spark, rows):
     assert sorted(rows(out, "id", "total")) == want
 
 
+def test_running_totals_at_sampled_splitters(spark):
+    """A key with a third of all rows is cut into stretches of about the wanted size; small keys stay whole."""
+    df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 100 + 1).alias("k"),
+                                  (F.col("id") * 7919 % 9001 * 1000).alias("o"), (F.col("id") % 11).alias("v"))
+    cut = wide.stretches(df, "k", "o", 200).groupBy("k", "_chunk").count().collect()
+    hot = [r["count"] for r in cut if r["k"] == 0]
+    assert len(hot) == 15 and max(hot) < 260 and all(r["_chunk"] == 0 for r in cut if r["k"] != 0)
+    out = wide.running_totals(df, "k", "o", {"total": F.col("v")}, rows_each=200).collect()
+    want, sums = {}, {}
+    for k, o, v in sorted(tuple(r) for r in df.collect()):
+        sums[k] = sums.get(k, 0) + v
+        want[k, o] = sums[k]
+    assert len(out) == 9000 and {(r["k"], r["o"]): r["total"] for r in out} == want
+
+
+def test_shares_by_each_column_at_once(spark, rows):
+    df = spark.createDataFrame([("m", "x", 3), ("f", "x", 1), (None, "y", 4)], "g string, a string, n long")
+    assert rows(stats.shares_by_each(df, ["g", "a"], F.col("n"))) == [
+        ("a", "x", 4, 0.5), ("a", "y", 4, 0.5), ("g", "f", 1, 0.125), ("g", "m", 3, 0.375), ("g", None, 4, 0.5)]
+
+
 def test_hot_order_is_split_and_right(spark):
     """One order with a third of all lines: the join is split and the sums hold."""
     base = spark.range(0, 60000, numPartitions=8)
     lines = base.select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("order_id"),
-        F.col("id").cast("string").alias("order_detail_id"), F.lit(1.0).alias("sku_price"),
+        F.col("id").alias("order_detail_id"), F.lit(1.0).alias("sku_price"),
         F.lit(1).cast("long").alias("sku_num"))
     heads = base.where((F.col("id") % 3 != 0) | (F.col("id") == 0)).select(
         F.col("id").alias("_o"), F.when(F.col("id") == 0, 20000.0).otherwise(1.0).alias("original_total_amount"),

@@ -60,3 +60,28 @@ def province_sales(wide: DataFrame, band: int = 100) -> DataFrame:
     total = sum_amount("final_detail_amount")
     return (wide.groupBy("province_name", "province_area_code").agg(total.alias("amount"))
             .withColumn("band", F.floor(F.col("amount") / band)))
+
+
+def province_sales_of_orders(orders: DataFrame, province: DataFrame, band: int = 100) -> DataFrame:
+    """The same from the orders that have lines: the shares of an order's lines add up to what was paid for it.
+    Orders are summed by province id first, so that only the sums are joined with the names."""
+    sums = orders.groupBy("province_id").agg(F.sum(to_cents(F.col("final_total_amount"))).alias("_cents"))
+    names = province.select(F.col("id").cast("long").alias("province_id"), F.col("name").alias("province_name"),
+                            F.col("area_code").alias("province_area_code"))
+    return (sums.join(names, "province_id", "left").groupBy("province_name", "province_area_code")
+            .agg(from_cents(F.sum("_cents")).alias("amount")).withColumn("band", F.floor(F.col("amount") / band)))
+
+
+def shares_by_each(df: DataFrame, groups: list[str], count: Column) -> DataFrame:
+    """(kind, value, n, share): for each of the columns the rows per value and their part of all, from one
+    aggregate over grouping sets; `count` sums rows counted before."""
+    sets = df.groupingSets([[g] for g in groups], *groups).agg(
+        F.sum(count).alias("n"), F.grouping_id().cast("long").alias("_set"))
+    # the k-th of m columns alone leaves a 0 at its bit of the grouping id
+    bits = {g: (1 << len(groups)) - 1 - (1 << (len(groups) - 1 - i)) for i, g in enumerate(groups)}
+    kind, value = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for g, b in bits.items():
+        kind = F.when(F.col("_set") == b, g).otherwise(kind)
+        value = F.when(F.col("_set") == b, F.col(g)).otherwise(value)
+    total = F.sum("n").over(Window.partitionBy("kind"))
+    return sets.select(kind.alias("kind"), value.alias("value"), "n").withColumn("share", round_half_up(F.col("n") / total, 6))

@@ -67,16 +67,36 @@ def apportion(wide: DataFrame, rests: DataFrame | None = None) -> DataFrame:
             .select(*wide.columns))
 
 
+def stretches(df: DataFrame, key: str, order: str, rows_each: int = 100_000) -> DataFrame:
+    """`df` with `_chunk`, the number of the stretch of its key a row lies in: 0 for keys of up to `rows_each` rows,
+    else cut at quantiles of the numeric column `order`, so that a stretch has about that many rows.
+
+    The quantiles come from one aggregate over the rows of large keys, which keeps a sketch of bounded size per
+    key and task and so never brings a key's rows together.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_each)
+    large = df.select(key, order).join(F.broadcast(counts) if counts.limit(10_001).count() <= 10_000 else counts, key)
+    parts = F.ceil(F.col("_n") / rows_each)
+    # at most a thousand cuts; a key of more stretches than that has larger ones
+    shares = F.lit([i / 1000 for i in range(1, 1000)])
+    cuts = (large.groupBy(key).agg(F.percentile_approx(order, shares, 20_000).alias("_all"), F.max("_n").alias("_n"))
+            .select(key, F.transform(F.sequence(F.lit(1), F.least(parts, F.lit(1000)) - 1),
+                                     lambda i: F.get("_all", F.floor(i * 1000 / F.least(parts, F.lit(1000))).cast("int") - 1))
+                    .alias("_cuts")))
+    chunk = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(order))), F.lit(0))
+    return df.join(cuts, key, "left").withColumn("_chunk", F.when(F.col("_cuts").isNull(), 0).otherwise(chunk)).drop("_cuts")
+
+
 def running_totals(df: DataFrame, key: str, order: str, sums: dict[str, Column],
-                   chunk: Column) -> DataFrame:
+                   chunk: Column | None = None, rows_each: int = 100_000) -> DataFrame:
     """Running sums per key in the order of a unique column.
 
-    `chunk` cuts the order into stretches (it must never fall as `order` rises).
-    Sums run inside a stretch, and each stretch starts from the total of the ones
-    before it, so a key with very many rows is spread over its stretches. Only
-    the stretch totals of a key meet in one task.
+    The order is cut into stretches, by `chunk` (which must never fall as `order` rises) or at sampled
+    splitters of the keys with more than `rows_each` rows. Sums run inside a stretch, and each stretch
+    starts from the total of the ones before it, so a key with very many rows is spread over its stretches.
+    Only the stretch totals of a key meet in one task.
     """
-    rows = df.withColumn("_chunk", chunk)
+    rows = stretches(df, key, order, rows_each) if chunk is None else df.withColumn("_chunk", chunk)
     for name, value in sums.items():
         rows = rows.withColumn(f"_v_{name}", value)
     earlier = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)

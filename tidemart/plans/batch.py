@@ -18,6 +18,7 @@ from tidemart.sources.tables import Tables, parquet_tables
 
 SALES_DAY = "1998-06-15"
 VISIT_DAY = "2024-01-15"
+KEYWORD = "x1 x2 x3 x4 x5 x6 x7 x8 x9 x10 x11 x12"
 
 _QUERIES = {}
 
@@ -287,12 +288,8 @@ def order_running_sum(t):
         "order_id", "order_detail_id",
         line_cents(F.col("sku_price"), F.col("sku_num")).alias("origin"),
         to_cents(F.col("final_detail_amount")).alias("split"))
-    # the id starts with the order, the line number and the part: stretches of an
-    # order are its lines with equal line number and leading two part digits
-    head = F.length(F.substring_index("order_detail_id", "-", 2))
-    stretch = F.col("order_detail_id").substr(F.lit(1), head + 3)
     ran = wide.running_totals(lines, "order_id", "order_detail_id",
-                              {"origin_sum": F.col("origin"), "split_sum": F.col("split")}, stretch)
+                              {"origin_sum": F.col("origin"), "split_sum": F.col("split")})
     return ran.select("order_id", "order_detail_id", from_cents(F.col("origin_sum")).alias("origin_sum"),
                       from_cents(F.col("split_sum")).alias("split_sum"))
 
@@ -345,9 +342,9 @@ def order_amount_hour(t):
 
 @query
 def province_sales(t):
-    head = orders.join_province(dated_orders(t, province=True), fixtures.base_province(t))
-    rows = wide.to_wide(with_nulls(head, ORDER_DIMS), with_nulls(fixtures.order_detail(t), SKU_DIMS))
-    return stats.province_sales(wide.apportion(rows, wide.order_rests(plain_wide(t))))
+    bought = fixtures.order_info(t).select("id", "province_id", "final_total_amount").join(
+        fixtures.order_detail(t).select(F.col("order_id").alias("id")), "id", "left_semi")
+    return stats.province_sales_of_orders(bought, fixtures.base_province(t))
 
 
 def _buyers(t: Tables) -> DataFrame:
@@ -369,11 +366,15 @@ def age_share(t):
 
 @query
 def sale_detail_page(t):
-    days = _one_day(SALES_DAY)
-    head = orders.join_user(dated_orders(t, days), users(t))
-    rows = wide.to_wide(with_nulls(head, ORDER_DIMS), orders.join_sku(fixtures.order_detail(t, days), sku(t)))
     people = users(t).withColumn("user_age", age_years(F.to_date("birthday"), as_of()))
-    return reports.sale_detail_page(rows, people, SALES_DAY, "item", start_page=1, size=20)
+    return reports.sale_detail_page(plain_wide(t, _one_day(SALES_DAY)), people, SALES_DAY, KEYWORD, start_page=1, size=5,
+                                    sku=fixtures.sku_info(t))
+
+
+@query
+def hit_shares(t):
+    """Who bought what a keyword finds: lines by gender and by age group, from one aggregate."""
+    return reports.hit_shares(plain_wide(t), users(t), KEYWORD)
 
 
 # --- daily active devices --------------------------------------------------

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 _BASE = """
 WITH order_detail AS (
-  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT),
-                   CAST(floor(l_extendedprice * 100.0::DOUBLE + 0.5::DOUBLE) AS BIGINT)) AS id,
+  SELECT l_orderkey * 1000000000 + l_linenumber * 100000000 + (l_partkey * 1009 + l_suppkey) % 100000000 AS id,
          l_orderkey AS order_id, l_partkey AS sku_id, l_extendedprice / l_quantity AS order_price,
-         CAST(l_quantity AS BIGINT) AS sku_num, concat('item ', l_partkey) AS sku_name,
+         CAST(l_quantity AS BIGINT) AS sku_num, concat('item ', l_partkey, ' x', CAST(l_quantity AS BIGINT)) AS sku_name,
          CAST(floor(l_extendedprice / l_quantity * CAST(l_quantity AS BIGINT) * 100.0::DOUBLE
                     + 0.5::DOUBLE) AS BIGINT) AS line,
          l_linenumber, l_returnflag
@@ -105,6 +104,9 @@ LEFT JOIN ({per_hour}) y ON y.hr = h.hr AND y.dt = '{yesterday}'"""
 
 _WORDS = r"string_split_regex(lower(text), '[^\p{L}\p{N}]+')"
 
+_KEYWORD = (r"list_has_any(string_split_regex(lower({0}), '[^\p{{L}}\p{{N}}]+'), "
+            "['x1', 'x2', 'x3', 'x4', 'x5', 'x6', 'x7', 'x8', 'x9', 'x10', 'x11', 'x12'])")
+
 _AMOUNT_HOUR = f"SELECT dt, hr, {_sum()} AS {{0}} FROM split GROUP BY dt, hr"
 _BRAND_SUM = f"SELECT tm_id, tm_name, {_sum()} AS amount FROM split JOIN sku_info ON sku_id = sku_info.id GROUP BY ALL"
 _SPLIT_ROWS = "SELECT order_id, order_detail_id, final_total_amount, final_cents / 1e2 AS final_detail_amount FROM split"
@@ -125,9 +127,9 @@ _OVER_BASE = {
         floor(l_extendedprice * l_discount * 100.0::DOUBLE + 0.5::DOUBLE) / 1e2 AS up,
         floor(-(l_extendedprice * l_discount) * 100.0::DOUBLE + 0.5::DOUBLE) / 1e2 AS down FROM lineitem""",
     "line_amount": "SELECT id, line / 1e2 AS amount FROM order_detail",
-    "cdc_canal_split": """SELECT 'ods_order_detail' AS topic, id FROM order_detail
+    "cdc_canal_split": """SELECT 'ods_order_detail' AS topic, CAST(id AS VARCHAR) AS id FROM order_detail
         UNION ALL SELECT 'ods_order_info', CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderstatus <> 'P'""",
-    "cdc_maxwell_split": """SELECT 'ods_order_detail' AS topic, id FROM order_detail
+    "cdc_maxwell_split": """SELECT 'ods_order_detail' AS topic, CAST(id AS VARCHAR) AS id FROM order_detail
         UNION ALL SELECT 'ods_order_info', CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderstatus = 'O'
         UNION ALL SELECT 'ods_user_info', CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal >= 0
         UNION ALL SELECT 'ods_base_province', CAST(id AS VARCHAR) FROM base_province
@@ -186,7 +188,12 @@ _OVER_BASE = {
         d.sku_name, k.tm_id AS sku_tm_id, s.dt, count(*) OVER () AS total
         FROM split s JOIN order_info o ON s.order_id = o.id JOIN order_detail d ON s.order_detail_id = d.id
         LEFT JOIN user_info u ON o.user_id = u.id LEFT JOIN sku_info k ON s.sku_id = k.id
-        WHERE s.dt = '1998-06-15' ORDER BY order_detail_id LIMIT 20""",
+        WHERE s.dt = '1998-06-15' AND """ + _KEYWORD.format("d.sku_name") + """ ORDER BY order_detail_id LIMIT 5""",
+    "hit_shares": """SELECT kind, value, n, floor(n / CAST(sum(n) OVER (PARTITION BY kind) AS DOUBLE) * 1e6 + 0.5::DOUBLE) / 1e6 AS share
+        FROM (SELECT CASE WHEN grouping(gender_name) = 0 THEN 'gender' ELSE 'age' END AS kind,
+                     CASE WHEN grouping(gender_name) = 0 THEN gender_name ELSE age_group END AS value, count(*) AS n
+              FROM order_detail d JOIN order_info o ON d.order_id = o.id JOIN user_info u ON o.user_id = u.id
+              WHERE """ + _KEYWORD.format("d.sku_name") + """ GROUP BY GROUPING SETS ((gender_name), (age_group)))""",
     "dau_first_visit": "SELECT * FROM visit",
     "dau_total": "SELECT count(*) AS n FROM visit WHERE dt = '2024-01-15'",
     "dau_hour": "SELECT dt, hr, count(*) AS n FROM visit GROUP BY dt, hr",

@@ -66,15 +66,36 @@ def realtime_hour(kind: str, day: str, visits: DataFrame | None = None,
     return None
 
 
+def lines_with(wide: DataFrame, keyword: str) -> DataFrame:
+    """Lines whose SKU name holds a word of the keyword; an empty keyword matches all."""
+    return wide.where(matches_any_word(F.col("sku_name"), keyword)) if keyword.strip() else wide
+
+
 def sale_detail_page(wide: DataFrame, users: DataFrame, day: str, keyword: str,
-                     start_page: int, size: int) -> DataFrame:
+                     start_page: int, size: int, sku: DataFrame | None = None) -> DataFrame:
     """Lines of a day whose SKU name holds a word of the keyword, one page of them
-    with the number of all. Pages count from 1; an empty keyword matches all."""
-    hits = wide.where(F.col("dt") == day)
-    if keyword.strip():
-        hits = hits.where(matches_any_word(F.col("sku_name"), keyword))
-    dim = users.select(F.col("id").cast("long").alias("user_id"), "user_age", "user_level")
+    with the number of all. Pages count from 1.
+
+    The page is cut first: users, and with `sku` the brands, are joined to its rows only. Without
+    `sku` the lines have brand and gender themselves.
+    """
+    hits = lines_with(wide.where(F.col("dt") == day), keyword)
     rows = page_with_total(hits, [F.col("order_detail_id")], (start_page - 1) * size, size)
+    names = ["user_age", "user_level"]
+    if sku is not None:
+        brands = sku.select(F.col("id").cast("long").alias("sku_id"), "tm_id")
+        rows = rows.drop("tm_id", "user_gender").join(brands, "sku_id", "left")
+        users, names = users.withColumn("user_gender", F.col("gender_name")), [*names, "user_gender"]
+    dim = users.select(F.col("id").cast("long").alias("user_id"), *names)
     return rows.join(dim, "user_id", "left").select(
         "order_detail_id", "order_id", "user_id", "sku_id", "user_gender", "user_age", "user_level",
         "sku_price", "sku_name", F.col("tm_id").alias("sku_tm_id"), "dt", "total")
+
+
+def hit_shares(wide: DataFrame, users: DataFrame, keyword: str) -> DataFrame:
+    """(kind, value, n, share): the lines a keyword finds by gender and by age group. Hits are counted per user
+    first, so that only these counts are joined with the users."""
+    hits = lines_with(wide, keyword).groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
+    people = users.select(F.col("id").cast("long").alias("user_id"), F.col("gender_name").alias("gender"),
+                          F.col("age_group").alias("age"))
+    return stats.shares_by_each(hits.join(people, "user_id"), ["gender", "age"], F.col("_n"))

@@ -144,7 +144,7 @@ def stream_interval_join(spark, t, work):
             F.from_json("value", "id long, create_time string").alias("r")).select(
             F.col("r.id").alias("order_id"), event_time(F.col("r.create_time")).alias("_order_time"))
         right = file_topic(spark, f"{work}/lines").select(
-            F.from_json("value", "id string, order_id long, create_time string").alias("r")).select(
+            F.from_json("value", "id long, order_id long, create_time string").alias("r")).select(
             F.col("r.order_id").alias("order_id"), F.col("r.id").alias("order_detail_id"),
             event_time(F.col("r.create_time")).alias("_line_time"))
         pairs = jobs.pair_within(left.withWatermark("_order_time", jobs.LATENESS),
@@ -152,7 +152,7 @@ def stream_interval_join(spark, t, work):
         writer = pairs.select("order_id", "order_detail_id").writeStream.format("parquet") \
             .option("path", f"{work}/pairs")
         run_once(writer, f"{work}/cp")
-    return spark.read.schema("order_id long, order_detail_id string").parquet(f"{work}/pairs")
+    return spark.read.schema("order_id long, order_detail_id long").parquet(f"{work}/pairs")
 
 
 def _dwd_topics(t: Tables, work: str, twice: bool = False) -> dict[str, list[DataFrame]]:

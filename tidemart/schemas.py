@@ -1,7 +1,7 @@
 """Record schemas. Fixed here, never inferred from data.
 
-Keys of orders and users are longs. Ids of order lines and of the small
-dimensions are opaque strings: they are only compared, never computed with.
+Keys of orders, lines and users are longs. Ids of the dimensions are opaque
+strings: they are only compared, never computed with.
 """
 
 from __future__ import annotations
@@ -34,14 +34,14 @@ ORDER_INFO_ENRICHED = _struct(
     user_age_group=_s, user_gender=_s)
 
 ORDER_DETAIL = _struct(
-    id=_s, order_id=_l, sku_id=_l, order_price=_d, sku_num=_l, sku_name=_s, create_time=_s)
+    id=_l, order_id=_l, sku_id=_l, order_price=_d, sku_num=_l, sku_name=_s, create_time=_s)
 
 ORDER_DETAIL_ENRICHED = _struct(
-    id=_s, order_id=_l, sku_id=_l, order_price=_d, sku_num=_l, sku_name=_s, create_time=_s,
+    id=_l, order_id=_l, sku_id=_l, order_price=_d, sku_num=_l, sku_name=_s, create_time=_s,
     spu_id=_s, tm_id=_s, category3_id=_s, spu_name=_s, tm_name=_s, category3_name=_s)
 
 ORDER_WIDE = _struct(
-    order_detail_id=_s, order_id=_l, order_status=_s, create_time=_s, user_id=_l,
+    order_detail_id=_l, order_id=_l, order_status=_s, create_time=_s, user_id=_l,
     sku_id=_l, sku_price=_d, sku_num=_l, sku_name=_s,
     benefit_reduce_amount=_d, feight_fee=_d, original_total_amount=_d, final_total_amount=_d,
     final_detail_amount=_d, if_first_order=_s,
@@ -58,7 +58,7 @@ SKU = _struct(id=_s, spu_id=_s, price=_s, sku_name=_s, tm_id=_s, category3_id=_s
 
 USER_DESCRIBED = extended(USER, age_group=_s, gender_name=_s)
 SKU_ENRICHED = extended(SKU, category3_name=_s, spu_name=_s, tm_name=_s)
-DONE_ORDER = _struct(order_id=_l, last_id=_s, rest=_l, tm_id=_s, tm_name=_s, dt=_s, month=_s)
+DONE_ORDER = _struct(order_id=_l, last_id=_l, rest=_l, tm_id=_s, tm_name=_s, dt=_s, month=_s)
 ORDER_DOCUMENT = extended(ORDER_INFO_ENRICHED, month=_s)
 STORED_WIDE = extended(ORDER_WIDE, month=_s)
 WINDOW_COUNT = _struct(window_start=TimestampType(), n=_l)

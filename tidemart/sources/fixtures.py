@@ -35,20 +35,29 @@ def _orders(t: Tables, days: Days) -> DataFrame:
     return orders if days is None else orders.where(_between(F.col("o_orderdate"), days))
 
 
+def line_id() -> Column:
+    """A number from the columns that tell lines apart; it rises with the order, then with the line number."""
+    tail = (F.col("l_partkey") * 1009 + F.col("l_suppkey")) % 100_000_000
+    return F.col("l_orderkey") * 1_000_000_000 + F.col("l_linenumber") * 100_000_000 + tail
+
+
+def line_name() -> Column:
+    """What the line says was bought: the SKU and how many of it."""
+    return F.concat(F.lit("item "), F.col("l_partkey"), F.lit(" x"), F.col("l_quantity").cast("long"))
+
+
 def order_detail(t: Tables, days: Days = None, spread: bool = False) -> DataFrame:
-    """Order lines; an id is the text of the columns that tell lines apart."""
+    """Order lines."""
     lines = t.spread("lineitem") if spread else t("lineitem")
     if days is not None:
         wanted = _orders(t, days).select(F.col("o_orderkey").alias("l_orderkey"))
         lines = lines.join(wanted, "l_orderkey", "left_semi")
     count = F.col("l_quantity").cast("long")
     return lines.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", count,
-                    to_cents(F.col("l_extendedprice"))).alias("id"),
+        line_id().alias("id"),
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("sku_id"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("order_price"),
-        count.alias("sku_num"),
-        F.concat(F.lit("item "), F.col("l_partkey")).alias("sku_name"))
+        count.alias("sku_num"), line_name().alias("sku_name"))
 
 
 def order_info(t: Tables, days: Days = None, province: bool = True) -> DataFrame:
@@ -81,8 +90,8 @@ def timed_detail(t: Tables, delay_returned: bool = False) -> DataFrame:
     """Lines with a `create_time`: five seconds per line number after the order.
     With `delay_returned`, returned lines come two minutes later instead."""
     keys = t("lineitem").select(
-        F.col("l_orderkey").alias("order_id"), "l_linenumber", "l_returnflag",
-        "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+        F.col("l_orderkey").alias("order_id"), line_id().alias("id"), line_name().alias("sku_name"), "l_linenumber",
+        "l_returnflag", "l_partkey", "l_quantity", "l_extendedprice")
     after = F.col("l_linenumber") * 5
     if delay_returned:
         after = F.when(F.col("l_returnflag") == "R", 120).otherwise(after)
@@ -90,12 +99,9 @@ def timed_detail(t: Tables, delay_returned: bool = False) -> DataFrame:
     moment = F.col("_t") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), after)
     count = F.col("l_quantity").cast("long")
     return keys.join(orders, "order_id").select(
-        F.concat_ws("-", "order_id", "l_linenumber", "l_partkey", "l_suppkey", count,
-                    to_cents(F.col("l_extendedprice"))).alias("id"),
-        "order_id", F.col("l_partkey").alias("sku_id"),
+        "id", "order_id", F.col("l_partkey").alias("sku_id"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("order_price"),
-        count.alias("sku_num"),
-        F.concat(F.lit("item "), F.col("l_partkey")).alias("sku_name"),
+        count.alias("sku_num"), "sku_name",
         moment.cast("string").alias("create_time"))
 
 
