@@ -53,6 +53,15 @@ def unreadable_records(df: DataFrame, schema: StructType, value: str = "value")
     return _parsed(df, schema, value, value).where(_unreadable(schema)).select(value)
 
 
+def split_readable(df: DataFrame, schema: StructType, value: str = "value", *keep: str) -> tuple[DataFrame, DataFrame]:
+    """`parse_records`, and beside it (value, reason) of the messages left out: `broken` JSON, or
+    `number` where a text stands that is none."""
+    number = F.col("_record").isNotNull() & F.col(f"_record.{_BAD}").isNull()
+    out = _parsed(df, schema, value, value).where(_unreadable(schema)).select(
+        F.col(value).alias("value"), F.when(number, "number").otherwise("broken").alias("reason"))
+    return parse_records(df, schema, value, *keep), out
+
+
 def to_record(df: DataFrame, *columns: str) -> Column:
     """One JSON object of the named columns (all of them by default)."""
     return F.to_json(F.struct(*(columns or df.columns)))

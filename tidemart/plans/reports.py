@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemart.functions.money import from_cents
 from tidemart.functions.text import matches_any_word
 from tidemart.functions.times import day_before, hour_of_text
 from tidemart.operators import dau, stats
@@ -41,6 +42,20 @@ def realtime_total(visits: DataFrame, wide: DataFrame, day: str) -> DataFrame:
     return active.unionByName(new).unionByName(sales)
 
 
+def day_cards(active: DataFrame, new: DataFrame, sales: DataFrame, day: str) -> DataFrame:
+    """The cards of `realtime_total` from sums kept per day and hour (see `sources.rollups`): devices, new devices
+    and cents."""
+    def card(name: str, sums: DataFrame, value) -> DataFrame:
+        total = sums.where(F.col("dt") == day).agg(F.sum("value").alias("v"))
+        return total.select(F.lit(name).alias("id"), value(F.col("v")).alias("value"))
+
+    def count(v):
+        return F.coalesce(v, F.lit(0)).cast("double")
+
+    return card("dau", active, count).unionByName(card("new_mid", new, count)).unionByName(
+        card("order_amount", sales, from_cents))
+
+
 def today_and_yesterday(hourly: DataFrame, value: str, day: str) -> DataFrame:
     """24 rows: both days' values of every hour, 0 where a day has none."""
     hours = hourly.sparkSession.range(24).select(F.lpad(F.col("id").cast("string"), 2, "0").alias("hr"))

@@ -18,7 +18,7 @@ from tidemart.operators import cdc, stats
 from tidemart.plans import batch
 from tidemart.session import configure, new_workdir
 from tidemart.sources import fixtures
-from tidemart.sources.sinks import append_batch, latest_documents, read_batches, upsert_dim
+from tidemart.sources.sinks import append_keyed, latest_documents, read_batches, read_documents, upsert_dim
 from tidemart.sources.tables import Tables, parquet_tables
 from tidemart.sources.topics import append_file_topic, file_topic
 from tidemart.streaming import jobs
@@ -84,7 +84,7 @@ def _order_messages(t: Tables) -> DataFrame:
 def _put_dims(t: Tables, dims: str) -> None:
     """Dimension tables as their jobs would have left them."""
     upsert_dim(fixtures.base_province(t), 0, f"{dims}/base_province", schemas.PROVINCE)
-    append_batch(batch.users(t), 0, f"{dims}/user_info")
+    append_keyed(batch.users(t), "id", 0, f"{dims}/user_info")
 
 
 @query
@@ -104,8 +104,7 @@ def stream_first_order(spark, t, work):
     for _ in _rounds({f"{work}/orders": parts}):
         run_once(jobs.enrich_orders(file_topic(spark, f"{work}/orders"), f"{work}/dims", f"{work}/status",
                                     f"{work}/docs", f"{work}/dwd"), f"{work}/cp")
-    docs = read_batches(spark, f"{work}/docs", schemas.ORDER_DOCUMENT)
-    return docs.select("id", "user_id", "if_first_order")
+    return read_documents(spark, f"{work}/docs", schemas.ORDER_DOCUMENT).select("id", "user_id", "if_first_order")
 
 
 @query

@@ -6,7 +6,8 @@ strings: they are only compared, never computed with.
 
 from __future__ import annotations
 
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import (BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
+                               TimestampType)
 
 
 def _struct(**fields) -> StructType:
@@ -20,6 +21,20 @@ def extended(base: StructType, **fields) -> StructType:
 
 _s, _l, _d = StringType(), LongType(), DoubleType()
 
+# When a change was made: the source's time, its place in the topic, its place in its record.
+VERSION = ("_ts", "_seq", "_pos")
+
+
+def arriving(base: StructType) -> StructType:
+    """A record with its place in the order of changes and the kind of change (see `cdc`)."""
+    return extended(base, **dict.fromkeys(VERSION, _l), _op=_s)
+
+
+def versioned(base: StructType) -> StructType:
+    """A stored row with the change it comes from; a deleted one stays as a mark."""
+    return extended(base, **dict.fromkeys(VERSION, _l), _deleted=BooleanType())
+
+
 ORDER_INFO = _struct(
     id=_l, province_id=_l, order_status=_s, user_id=_l,
     final_total_amount=_d, benefit_reduce_amount=_d, original_total_amount=_d, feight_fee=_d,
@@ -58,12 +73,21 @@ SKU = _struct(id=_s, spu_id=_s, price=_s, sku_name=_s, tm_id=_s, category3_id=_s
 
 USER_DESCRIBED = extended(USER, age_group=_s, gender_name=_s)
 SKU_ENRICHED = extended(SKU, category3_name=_s, spu_name=_s, tm_name=_s)
-DONE_ORDER = _struct(order_id=_l, last_id=_l, rest=_l, tm_id=_s, tm_name=_s, dt=_s, month=_s)
-ORDER_DOCUMENT = extended(ORDER_INFO_ENRICHED, month=_s)
-STORED_WIDE = extended(ORDER_WIDE, month=_s)
+DONE_ORDER = _struct(order_id=_l, last_id=_l, rest=_l, tm_id=_s, tm_name=_s, dt=_s, hr=_s)
+UNFINISHED_ORDER = _struct(order_id=_l, dt=_s, hr=_s, lines=_l, came=_l, listed=_l, paid=_l, shared=_l)
+ORDER_DOCUMENT = extended(ORDER_INFO_ENRICHED, dt=_s)
+STORED_WIDE = ORDER_WIDE
 WINDOW_COUNT = _struct(window_start=TimestampType(), n=_l)
 
 USER_STATUS = _struct(user_id=_l, if_consumed=_s)
+FIRST_SEEN = _struct(mid=_s, dt=_s)
+BUCKET, LONG = IntegerType(), LongType()
+
+# Sums a stream keeps: of whole numbers (rows or cents) per day and hour, hour null for whole days.
+HOUR_SUM = _struct(dt=_s, hr=_s, value=_l)
+
+# A message a job leaves out, and why.
+LEFT_OUT = _struct(value=_s, reason=_s)
 
 START_LOG = StructType([
     StructField("common", _struct(mid=_s, uid=_s, ar=_s, ch=_s, vc=_s)),

@@ -7,12 +7,17 @@ counts exactly once, also when it is run again after a lost driver or executor.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructType
 
-from tidemart.schemas import extended
+from tidemart.schemas import BUCKET, VERSION, extended, versioned
 
 BATCH = "batch_id"
+BUCKETS = 64            # key ranges of a compacted log
+COMPACT_EVERY = 100     # batches between two compactions of a log
+FOLDERS = 1000          # folders opened one by one; beyond, the whole table is listed
 
 
 def _fs_path(spark: SparkSession, path: str):
@@ -57,16 +62,20 @@ def read_batches(spark: SparkSession, path: str, schema: StructType,
 
 
 def compact_batches(spark: SparkSession, path: str, schema: StructType, upto: int,
-                    key: str | None = None, partitions: tuple[str, ...] = ()) -> None:
+                    key: str | None = None, partitions: tuple[str, ...] = (),
+                    merge: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Put the rows of all batches up to `upto` into few files, with a `key` only the
-    newest row of each. `upto` must be a batch that has been committed.
+    newest row of each, or what `merge` makes of them (with the batch column kept). `upto`
+    must be a batch that has been committed.
 
     Readers change over when the new base is complete. Batch folders the base before
     this one already covered are dropped; the others stay for readers under way.
     """
     done = _versions(spark, f"{path}.base")
     rows = read_batches(spark, path, schema, before=upto + 1)
-    rows = latest_by_key(rows, key, BATCH) if key else rows
+    if key:
+        rows = latest_by_key(rows, key, (*[c for c in VERSION if c in rows.columns], BATCH))
+    rows = merge(rows) if merge else rows
     writer = rows.hint("rebalance", *partitions).write.mode("overwrite")
     if partitions:
         writer = writer.partitionBy(*partitions)
@@ -79,21 +88,90 @@ def compact_batches(spark: SparkSession, path: str, schema: StructType, upto: in
                 fs.delete(status.getPath(), True)
 
 
+def keep_short(spark: SparkSession, path: str, schema: StructType, batch_id: int, every: int = COMPACT_EVERY,
+               **options) -> None:
+    """Compact a log on every `every`-th batch, before that batch adds to it: a running batch means that
+    the one before it has been committed."""
+    if batch_id and batch_id % every == 0 and _exists(spark, path):
+        compact_batches(spark, path, schema, batch_id - 1, **options)
+
+
+# --- logs by key ------------------------------------------------------------
+# What each batch adds is one small folder; compaction keeps the rest by key bucket. A
+# lookup reads the few latest folders and only the buckets its keys fall into.
+
+def bucket_of(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int").alias("bucket")
+
+
+def append_keyed(rows: DataFrame, key: str, batch_id: int, path: str) -> None:
+    append_batch(rows.select("*", bucket_of(key)), batch_id, path)
+
+
+def rows_of_keys(spark: SparkSession, path: str, schema: StructType, keys: DataFrame, before: int | None = None) -> DataFrame:
+    """The log's rows of the keys in a one-column frame. Rows added without a bucket are looked at, too."""
+    key = keys.columns[0]
+    buckets = [r[0] for r in keys.select(bucket_of(key)).distinct().collect()]
+    rows = read_batches(spark, path, extended(schema, bucket=BUCKET), before)
+    return rows.where(F.col("bucket").isin(buckets) | F.col("bucket").isNull()).join(keys, key, "left_semi")
+
+
 def latest_rows(spark: SparkSession, path: str, schema: StructType, key: str = "id",
                 of: DataFrame | None = None) -> DataFrame:
-    """The newest row per key of an append log, or of only the keys in `of` (a
-    one-column frame), which are picked before rows are compared."""
-    rows = read_batches(spark, path, schema)
-    if of is not None:
-        rows = rows.join(of, key, "left_semi")
-    return latest_by_key(rows, key, BATCH).select(*schema.fieldNames())
+    """The newest row per key of an append log, or of only the keys in `of` (a one-column frame), which are
+    picked before rows are compared. The change made last counts, whichever batch it came in; changes that say
+    nothing about that are older than others and follow their batches. Deleted keys have no row."""
+    full = versioned(schema)
+    rows = read_batches(spark, path, full) if of is None else rows_of_keys(spark, path, full, of)
+    return _living(latest_by_key(rows, key, (*VERSION, BATCH))).select(*schema.fieldNames())
+
+
+def _living(rows: DataFrame) -> DataFrame:
+    return rows.where(~F.coalesce("_deleted", F.lit(False)))
+
+
+# --- tables by folder ---------------------------------------------------------
+# Large tables by day: `<column>=<value>/batch_id=<n>`. A batch opens the folders of its own days only.
+
+def append_folders(df: DataFrame, batch_id: int, path: str, column: str) -> None:
+    """Add one micro-batch's rows under each value's own folder, replacing a former attempt of the batch."""
+    (df.withColumn(BATCH, F.lit(batch_id).cast("long")).hint("rebalance", column)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column, BATCH).parquet(path))
+
+
+def read_folders(spark: SparkSession, path: str, schema: StructType, column: str, values: list[str | None],
+                 before: int | None = None) -> DataFrame:
+    """The rows under some values of the folder column; other folders are not even listed."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    folders = [f"{path}/{escape(column, v)}" for v in values]
+    folders = [f for f in folders if _exists(spark, f)]
+    full = extended(schema, **{BATCH: LongType()})
+    if not folders:
+        return spark.createDataFrame([], full)
+    df = spark.read.schema(full).option("basePath", path).parquet(*folders)
+    return df if before is None else df.where(F.col(BATCH) < before)
+
+
+def folders_of(spark: SparkSession, path: str, schema: StructType, rows: DataFrame, column: str, before: int) -> DataFrame:
+    """What earlier batches stored under the values `rows` have; the whole table where they have very many."""
+    values = [r[0] for r in rows.select(column).distinct().limit(FOLDERS + 1).collect()]
+    if len(values) > FOLDERS:
+        return read_batches(spark, path, schema, before)
+    return read_folders(spark, path, schema, column, values, before)
 
 
 # --- documents by id ------------------------------------------------------
 
 def upsert_documents(df: DataFrame, batch_id: int, path: str) -> None:
     """Documents with `dt` and `id`, stored under each row's own day."""
-    append_batch(df, batch_id, path, "dt")
+    append_folders(df, batch_id, path, "dt")
+
+
+def read_documents(spark: SparkSession, path: str, schema: StructType, days: list[str] | None = None) -> DataFrame:
+    """One document per day and id, the one of the latest batch; of some days only if named, and then
+    no other day's folder is opened."""
+    docs = read_batches(spark, path, schema) if days is None else read_folders(spark, path, schema, "dt", days)
+    return latest_documents(docs).select(*schema.fieldNames())
 
 
 def latest_documents(docs: DataFrame, key: tuple[str, ...] = ("dt", "id"),
@@ -119,38 +197,49 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(v for v in found if _exists(spark, f"{path}/v={v}/_SUCCESS"))
 
 
+def _dim_rows(spark: SparkSession, path: str, schema: StructType, before: int | None = None) -> DataFrame:
+    """The newest complete version with its marks of deleted keys."""
+    done = [v for v in _versions(spark, path) if before is None or v < before]
+    if not done:
+        return spark.createDataFrame([], versioned(schema))
+    return spark.read.schema(versioned(schema)).parquet(f"{path}/v={done[-1]}")
+
+
 def read_dim(spark: SparkSession, path: str, schema: StructType,
              before: int | None = None) -> DataFrame:
     """Newest complete version of a dimension table; empty before the first write."""
-    done = [v for v in _versions(spark, path) if before is None or v < before]
-    if not done:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/v={done[-1]}")
+    return _living(_dim_rows(spark, path, schema, before)).select(*schema.fieldNames())
 
 
 def upsert_dim(rows: DataFrame, batch_id: int, path: str, schema: StructType, key: str = "id",
-               version: str | None = None, keep: int = 3) -> None:
-    """Last write per key wins. Writes version `v=<batch_id>` from the newest older
-    one; readers switch when its _SUCCESS mark appears. Older versions beyond
-    `keep` are dropped, so a reader that has just opened one can finish."""
+               keep: int = 3) -> None:
+    """The change made last per key wins, within the batch and against what is stored; rows may have the
+    columns of `schemas.versioned`. A deletion stays as a mark, so that an older change that comes
+    later does not bring the key back. Changes that say nothing about their order are older than others,
+    and the later batch's counts.
+
+    Writes version `v=<batch_id>` from the newest older one; readers switch when its _SUCCESS mark appears.
+    Older versions beyond `keep` are dropped, so a reader that has just opened one can finish."""
     spark = rows.sparkSession
-    changed = latest_by_key(rows, key, version).select(*schema.fieldNames())
-    kept = read_dim(spark, path, schema, before=batch_id).join(
-        changed.select(key), key, "left_anti")
-    kept.select(*schema.fieldNames()).unionByName(changed) \
+    full = versioned(schema)
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in full if f.name not in rows.columns}
+    changed = rows.withColumns(missing).select(*full.fieldNames(), F.lit(1).alias("_new"))
+    kept = _dim_rows(spark, path, schema, before=batch_id).withColumn("_new", F.lit(0))
+    latest_by_key(kept.unionByName(changed), key, (*VERSION, "_new")).drop("_new") \
         .write.mode("overwrite").parquet(f"{path}/v={batch_id}")
     fs, _ = _fs_path(spark, path)
     for old in [v for v in _versions(spark, path) if v < batch_id][:-keep]:
         fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v={old}"), True)
 
 
-def latest_by_key(rows: DataFrame, key: str | tuple[str, ...], version: str | None = None) -> DataFrame:
-    """The row of the highest version per key; without a version, one row per key
-    chosen by its values, the same one on every run."""
+def latest_by_key(rows: DataFrame, key: str | tuple[str, ...], version: str | tuple[str, ...] = ()) -> DataFrame:
+    """The row of the highest version per key, a missing version being the lowest; among equal versions and
+    without any, one row per key chosen by its values, the same one on every run."""
     keys = (key,) if isinstance(key, str) else key
+    version = (version,) if isinstance(version, str) else version
     values = [c for c in rows.columns if c not in keys]
     body = F.struct(*values)
-    rank = F.struct(F.col(version), body) if version else body
+    rank = F.struct(*version, body)
     return rows.groupBy(*keys).agg(F.max_by(body, rank).alias("_row")) \
         .select(*keys, "_row.*").select(*rows.columns)
 

@@ -31,6 +31,11 @@ def run_once(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
     return query
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows the batches of a run dropped because they came after the watermark."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
 def each_batch(stream: DataFrame, sink: Callable[[DataFrame, int], None],
                mode: str = "append") -> DataStreamWriter:
     """A sink function per micro-batch; empty batches are skipped. The batch is
