@@ -208,6 +208,3 @@ def test_keys_are_broadcast_only_when_few(spark, rows):
         return df.count(), "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
     assert joined(5) == (5, True)
     assert joined(4) == (5, False)
-    picked = table.where(F.col("d") < 2)
-    assert dims.in_folders_of(table, picked, "d", 2).count() == 20
-    assert dims.in_folders_of(table, picked, "d", 1).count() == 100

@@ -25,11 +25,6 @@ def hour_of_text(moment: Column) -> Column:
     return F.split(F.get(F.split(moment, " "), F.lit(1)), ":")[0]
 
 
-def month_of(day: Column) -> Column:
-    """`yyyy-MM` of a day text: the folder key of tables that span years."""
-    return F.substring(day, 1, 7)
-
-
 def event_time(moment: Column) -> Column:
     """Text to a zoned timestamp, the type watermarks need; null where unreadable."""
     return F.try_to_timestamp(moment, F.lit("yyyy-MM-dd HH:mm:ss"))

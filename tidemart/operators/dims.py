@@ -45,10 +45,3 @@ def broadcast_if_few(keys: DataFrame, most: int = 500_000) -> DataFrame:
     """Keys marked for broadcast when counted to be few, so that the large table they
     are looked up in is not shuffled; more keys take the shuffled join."""
     return F.broadcast(keys) if keys.limit(most + 1).count() <= most else keys
-
-
-def in_folders_of(table: DataFrame, rows: DataFrame, column: str, most: int = 1000) -> DataFrame:
-    """The table cut to the partition values `rows` have, so that other folders are
-    not read; the whole table where they have very many."""
-    values = [r[0] for r in rows.select(column).distinct().limit(most + 1).collect()]
-    return table.where(F.col(column).isin(values)) if len(values) <= most else table

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 _BASE = """
 WITH order_detail AS (
-  SELECT l_orderkey * 1000000000 + l_linenumber * 100000000 + (l_partkey * 1009 + l_suppkey) % 100000000 AS id,
+  SELECT l_orderkey * 1000000000 + l_linenumber * 100000000 + ((l_partkey * 1009 + l_suppkey) * 51 + CAST(l_quantity AS BIGINT)) % 100000000 AS id,
          l_orderkey AS order_id, l_partkey AS sku_id, l_extendedprice / l_quantity AS order_price,
          CAST(l_quantity AS BIGINT) AS sku_num, concat('item ', l_partkey, ' x', CAST(l_quantity AS BIGINT)) AS sku_name,
          CAST(floor(l_extendedprice / l_quantity * CAST(l_quantity AS BIGINT) * 100.0::DOUBLE
@@ -218,6 +218,41 @@ _OVER_BASE = {
         WHERE abs(epoch(o.moment + to_seconds(CASE WHEN l_returnflag = 'R' THEN 120 ELSE 5 * l_linenumber END)
                         - o.moment)) <= 50""",
     "stream_apportion": _SPLIT_ROWS,
+    "stream_dim_versions": r"""SELECT 'user' AS dim, CAST(c_custkey AS VARCHAR) AS id, c_mktsegment AS name FROM customer WHERE c_acctbal >= 0
+        UNION ALL SELECT 'sku', CAST(p_partkey AS VARCHAR), concat('item ', p_partkey) FROM part WHERE p_size <= 45
+        UNION ALL SELECT DISTINCT 'brand', regexp_extract(p_brand, '(\d+)', 1), p_brand FROM part WHERE p_brand < 'Brand#5'""",
+    "stream_doc_upsert": "SELECT create_date AS dt, id, user_id, order_status, if_first_order FROM first_day",
+    "stream_dead_letters": """SELECT 'split' AS job, 'taken' AS outcome,
+            (SELECT count(*) FROM orders WHERE o_orderstatus <> 'F') + (SELECT count(*) FROM lineitem)
+            + (SELECT count(*) FROM customer WHERE c_acctbal >= 0) AS n
+        UNION ALL SELECT 'split', 'kind', count(*) FROM orders WHERE o_orderstatus = 'F'
+        UNION ALL SELECT 'split', 'empty', count(*) FROM customer WHERE c_acctbal < 0
+        UNION ALL SELECT 'split', 'table', count(*) FROM supplier
+        UNION ALL SELECT 'split', 'broken', count(*) FROM nation
+        UNION ALL SELECT 'users', 'taken', count(*) FROM customer WHERE c_acctbal >= 0
+        UNION ALL SELECT 'orders', 'taken', count(*) FROM orders WHERE o_orderstatus = 'O'
+        UNION ALL SELECT 'orders', 'number', count(*) FROM orders WHERE o_orderstatus = 'P'
+        UNION ALL SELECT 'details', CASE WHEN l_quantity > 40 THEN 'number' ELSE 'taken' END, count(*) FROM lineitem GROUP BY 2
+        UNION ALL SELECT 'shares', CASE WHEN l_quantity > 40 THEN 'number' ELSE 'taken' END, count(*) FROM lineitem GROUP BY 2
+        UNION ALL SELECT 'visits', 'broken', count(*) FROM events WHERE event_type = 'error'""",
+    "stream_hour_rollup": _AMOUNT_HOUR.format("amount"),
+    "stream_new_devices": """SELECT d AS dt, count(*) AS new_mid FROM
+        (SELECT mid, min(dt) AS d FROM visit GROUP BY mid) GROUP BY d""",
+    "stream_day_cards": " UNION ALL ".join(f"""
+        SELECT 'cards' AS request, id AS key, value AS today, CAST(NULL AS DOUBLE) AS yesterday, '{day}' AS day FROM ({_CARDS.format(day=day)})
+        UNION ALL SELECT 'dau', hr, CAST(today AS DOUBLE), CAST(yesterday AS DOUBLE), '{day}' FROM ({_SERIES.format(
+            per_hour="SELECT dt, hr, count(*) AS v FROM visit GROUP BY dt, hr", today=day, yesterday=before)})
+        UNION ALL SELECT 'order_amount', hr, CAST(today AS DOUBLE), CAST(yesterday AS DOUBLE), '{day}' FROM ({_SERIES.format(
+            per_hour=_AMOUNT_HOUR.format("v"), today=day, yesterday=before)})"""
+        for day, before in (("1998-06-15", "1998-06-14"), ("2024-01-15", "2024-01-14"))),
+    "stream_unmatched_lines": """SELECT order_id, id AS order_detail_id,
+        CASE l_returnflag WHEN 'R' THEN 'unmatched' WHEN 'A' THEN 'late' ELSE 'matched' END AS outcome FROM order_detail""",
+    "stream_unfinished_orders": """SELECT order_id, CASE WHEN came = listed THEN 'complete' ELSE 'unfinished' END AS state,
+        (listed - came) / 1e2 AS open_amount, (paid - shared) / 1e2 AS unshared
+        FROM (SELECT s.order_id, CAST(sum(s.line) AS BIGINT) AS came, CAST(sum(part) AS BIGINT) AS shared, max(s.paid) AS paid,
+                     max(s.listed) AS listed
+              FROM share s JOIN order_detail d ON s.order_detail_id = d.id
+              WHERE l_returnflag <> 'R' AND (s.line <> 0 OR s.listed = 0) GROUP BY s.order_id)""",
     "stream_sliding_window": """SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n FROM
         (SELECT time_bucket(INTERVAL 5 SECOND, ts) - to_seconds(5 * range) AS w FROM events, range(10))
         GROUP BY 1""",

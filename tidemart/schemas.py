@@ -86,6 +86,9 @@ BUCKET, LONG = IntegerType(), LongType()
 # Sums a stream keeps: of whole numbers (rows or cents) per day and hour, hour null for whole days.
 HOUR_SUM = _struct(dt=_s, hr=_s, value=_l)
 
+# A line with its order, or without one.
+LINE_OUTCOME = _struct(order_id=_l, order_detail_id=_l, matched=BooleanType())
+
 # A message a job leaves out, and why.
 LEFT_OUT = _struct(value=_s, reason=_s)
 

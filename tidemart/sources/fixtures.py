@@ -37,7 +37,8 @@ def _orders(t: Tables, days: Days) -> DataFrame:
 
 def line_id() -> Column:
     """A number from the columns that tell lines apart; it rises with the order, then with the line number."""
-    tail = (F.col("l_partkey") * 1009 + F.col("l_suppkey")) % 100_000_000
+    what = (F.col("l_partkey") * 1009 + F.col("l_suppkey")) * 51 + F.col("l_quantity").cast("long")
+    tail = what % 100_000_000
     return F.col("l_orderkey") * 1_000_000_000 + F.col("l_linenumber") * 100_000_000 + tail
 
 
@@ -206,6 +207,25 @@ def envelope(df: DataFrame, table: str, kind: Column, data: Column | None = None
     return out.select(once(to_record(out)).alias("value"))
 
 
+def numbered_changes(df: DataFrame, table: str, name: str, gone: Column, rounds: int = 3) -> DataFrame:
+    """(value, round): three changes of every row, in envelopes with their time and number. The first has another
+    `name` that sorts behind the right one, the second the right one; where `gone` holds, the third deletes the row.
+    Half of the rows send all their changes in one round, the others each in another one, later ones also first."""
+    key = F.crc32(F.coalesce(*[c for c in ("id", "tm_id") if c in df.columns]))
+    columns = [c for c in df.columns if not c.startswith("_")]
+    out = None
+    for number, (kind, ts) in enumerate((("insert", 1000), ("update", 1000), ("delete", 1001)), 1):
+        rows = df.where(gone) if kind == "delete" else df
+        rows = rows if kind == "update" else rows.withColumn(name, F.concat(F.lit("zz "), name))
+        body = rows.select(
+            F.struct(F.lit(table).alias("table"), F.lit(kind).alias("type"), F.lit(ts).alias("ts"), F.lit(number).alias("seq"),
+                     F.struct(*columns).alias("data")).alias("r"),
+            F.when(key % 2 == 0, key % rounds).otherwise((key + 2 * number) % rounds).cast("int").alias("round"))
+        body = body.select(once(F.to_json("r")).alias("value"), "round")
+        out = body if out is None else out.unionByName(body)
+    return out
+
+
 def maxwell_envelopes(t: Tables) -> DataFrame:
     """Change records of all tables: orders in three kinds, users with an empty
     record where the balance is below zero, and a table nobody wants."""

@@ -53,10 +53,10 @@ def read_batches(spark: SparkSession, path: str, schema: StructType,
     full = extended(schema, **{BATCH: LongType()})
     if not _exists(spark, path):
         return spark.createDataFrame([], full)
-    df = spark.read.schema(full).parquet(path)
+    df = spark.read.schema(full).parquet(path).select(*full.fieldNames())
     bases = _versions(spark, f"{path}.base")
     if bases:
-        base = spark.read.schema(full).parquet(f"{path}.base/v={bases[-1]}")
+        base = spark.read.schema(full).parquet(f"{path}.base/v={bases[-1]}").select(*full.fieldNames())
         df = df.where(F.col(BATCH) > bases[-1]).unionByName(base)
     return df if before is None else df.where(F.col(BATCH) < before)
 
@@ -131,46 +131,62 @@ def _living(rows: DataFrame) -> DataFrame:
 
 
 # --- tables by folder ---------------------------------------------------------
-# Large tables by day: `<column>=<value>/batch_id=<n>`. A batch opens the folders of its own days only.
+# Large tables by day: `dt=<day>/batch_id=<n>`. A batch opens the folders of its own days only. Where batches span
+# years (a replay of old topics), `by="month"` keeps their number low.
 
-def append_folders(df: DataFrame, batch_id: int, path: str, column: str) -> None:
-    """Add one micro-batch's rows under each value's own folder, replacing a former attempt of the batch."""
-    (df.withColumn(BATCH, F.lit(batch_id).cast("long")).hint("rebalance", column)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column, BATCH).parquet(path))
+def by_folder(df: DataFrame, by: str) -> DataFrame:
+    return df.withColumn("month", F.substring("dt", 1, 7)) if by == "month" else df
 
 
-def read_folders(spark: SparkSession, path: str, schema: StructType, column: str, values: list[str | None],
+def append_folders(df: DataFrame, batch_id: int, path: str, by: str = "dt") -> None:
+    """Add one micro-batch's rows under each value's own folder, replacing a former attempt of the batch.
+
+    A batch of very many even folders is written by all tasks; otherwise few tasks write, and a folder with a large
+    part of the rows is split over several (rebalance)."""
+    df = by_folder(df, by)
+    sizes = df.groupBy(by).agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)), F.max("n"), F.sum("n")).first()
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    even = sizes[0] > tasks and sizes[1] * tasks <= 4 * sizes[2]
+    (df.withColumn(BATCH, F.lit(batch_id).cast("long")).transform(
+        lambda d: d.repartition(tasks, by) if even else d.hint("rebalance", by))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by, BATCH).parquet(path))
+
+
+def read_folders(spark: SparkSession, path: str, schema: StructType, values: list[str | None], by: str = "dt",
                  before: int | None = None) -> DataFrame:
-    """The rows under some values of the folder column; other folders are not even listed."""
-    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
-    folders = [f"{path}/{escape(column, v)}" for v in values]
-    folders = [f for f in folders if _exists(spark, f)]
+    """The rows under some folders; what lies in other ones is not listed."""
     full = extended(schema, **{BATCH: LongType()})
+    fs, root = _fs_path(spark, path)
+    there = {s.getPath().getName() for s in fs.listStatus(root)} if fs.exists(root) else set()
+    name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    folders = [f"{path}/{f}" for f in {name(by, v) for v in values} & there] if there else []
     if not folders:
         return spark.createDataFrame([], full)
-    df = spark.read.schema(full).option("basePath", path).parquet(*folders)
+    df = spark.read.schema(full).option("basePath", path).parquet(*folders).select(*full.fieldNames())
     return df if before is None else df.where(F.col(BATCH) < before)
 
 
-def folders_of(spark: SparkSession, path: str, schema: StructType, rows: DataFrame, column: str, before: int) -> DataFrame:
-    """What earlier batches stored under the values `rows` have; the whole table where they have very many."""
-    values = [r[0] for r in rows.select(column).distinct().limit(FOLDERS + 1).collect()]
+def folders_of(spark: SparkSession, path: str, schema: StructType, rows: DataFrame, before: int, by: str = "dt") -> DataFrame:
+    """What earlier batches stored in the folders `rows` belong to; the whole table where these are very many."""
+    if not _exists(spark, path):
+        return read_batches(spark, path, schema, before)
+    values = [r[0] for r in by_folder(rows, by).select(by).distinct().limit(FOLDERS + 1).collect()]
     if len(values) > FOLDERS:
         return read_batches(spark, path, schema, before)
-    return read_folders(spark, path, schema, column, values, before)
+    return read_folders(spark, path, schema, values, by, before)
 
 
 # --- documents by id ------------------------------------------------------
 
 def upsert_documents(df: DataFrame, batch_id: int, path: str) -> None:
     """Documents with `dt` and `id`, stored under each row's own day."""
-    append_folders(df, batch_id, path, "dt")
+    append_folders(df, batch_id, path)
 
 
 def read_documents(spark: SparkSession, path: str, schema: StructType, days: list[str] | None = None) -> DataFrame:
     """One document per day and id, the one of the latest batch; of some days only if named, and then
     no other day's folder is opened."""
-    docs = read_batches(spark, path, schema) if days is None else read_folders(spark, path, schema, "dt", days)
+    docs = read_batches(spark, path, schema) if days is None else read_folders(spark, path, schema, days)
     return latest_documents(docs).select(*schema.fieldNames())
 
 

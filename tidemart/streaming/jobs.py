@@ -136,15 +136,15 @@ def _one_status(rows: DataFrame) -> DataFrame:
     return rows.groupBy("user_id", "bucket").agg(F.max("if_consumed").alias("if_consumed"), F.max("batch_id").alias("batch_id"))
 
 
-def _flags_given(rows: DataFrame, docs: str, before: int) -> DataFrame:
+def _flags_given(rows: DataFrame, docs: str, before: int, by: str) -> DataFrame:
     """(dt, id, flag) of the batch's orders that were stored before: an order sent again keeps its flag."""
-    stored = folders_of(rows.sparkSession, docs, schemas.ORDER_DOCUMENT, rows, "dt", before)
+    stored = folders_of(rows.sparkSession, docs, schemas.ORDER_DOCUMENT, rows, before, by)
     stored = stored.join(broadcast_if_few(rows.select("dt", "id")), ["dt", "id"], "left_semi")
     return stored.groupBy("dt", "id").agg(F.max("if_first_order").alias("_given"))
 
 
 def enrich_orders(messages: DataFrame, dims: str, status: str, docs: str, topic: str,
-                  dead: str | None = None) -> DataStreamWriter:
+                  dead: str | None = None, by: str = "dt") -> DataStreamWriter:
     """Flag first orders, add province and user, then store the new users' status,
     the order documents by day and id, and the messages for the next layer.
 
@@ -160,7 +160,7 @@ def enrich_orders(messages: DataFrame, dims: str, status: str, docs: str, topic:
             .withColumn("dt", F.coalesce("create_date", F.lit("none"))).persist()
         keep_short(spark, status, schemas.extended(schemas.USER_STATUS, bucket=schemas.BUCKET), batch_id,
                    partitions=("bucket",), merge=_one_status)
-        given = _flags_given(rows, docs, batch_id)
+        given = _flags_given(rows, docs, batch_id, by)
         flagged = order_rules.flag_first_order(rows, known_users(rows, status, batch_id))
         flagged = order_rules.keep_one_first_order(flagged).join(given, ["dt", "id"], "left") \
             .withColumn("if_first_order", F.coalesce("_given", "if_first_order"))
@@ -171,7 +171,7 @@ def enrich_orders(messages: DataFrame, dims: str, status: str, docs: str, topic:
             .select(*schemas.ORDER_DOCUMENT.fieldNames()).persist()
         try:
             append_keyed(order_rules.first_order_users(full), "user_id", batch_id, status)
-            append_folders(full, batch_id, docs, "dt")
+            append_folders(full, batch_id, docs, by)
             publish_batch(full.drop("dt"), batch_id, topic)
         finally:
             full.unpersist()
@@ -262,7 +262,7 @@ def publish(rows: DataFrame, topic: str) -> DataStreamWriter:
 
 
 def store_shares(wide: DataFrame, out: str, brand_stat: str | None = None, hours: str | None = None,
-                 dead: str | None = None) -> DataStreamWriter:
+                 dead: str | None = None, by: str = "dt") -> DataStreamWriter:
     """Wide messages to stored rows with each line's rounded share, by day, and the batch's
     sums by brand and by hour. Needs no state: a share depends on its own row only."""
     def sink(df: DataFrame, batch_id: int) -> None:
@@ -270,7 +270,7 @@ def store_shares(wide: DataFrame, out: str, brand_stat: str | None = None, hours
             .withColumn("final_detail_amount", from_cents(F.col("_share"))) \
             .select(*schemas.ORDER_WIDE.fieldNames()).persist()
         try:
-            append_folders(rows, batch_id, out, "dt")
+            append_folders(rows, batch_id, out, by)
             if brand_stat:
                 store_brand_stat(rows, batch_id, f"{brand_stat}/part=lines")
             if hours:
@@ -302,15 +302,16 @@ def complete_orders(wide: DataFrame, lateness: str = LATENESS) -> DataFrame:
         F.date_format("_time", "HH").alias("hr"))
 
 
-def store_complete(done: DataFrame, out: str, brand_stat: str | None = None, hours: str | None = None) -> DataStreamWriter:
+def store_complete(done: DataFrame, out: str, brand_stat: str | None = None, hours: str | None = None,
+                   by: str = "dt") -> DataStreamWriter:
     """Store each order's completion once, by day, and its rest in the sums by brand and by hour."""
     def sink(df: DataFrame, batch_id: int) -> None:
         keys = ["dt", "order_id"]
-        before = folders_of(df.sparkSession, out, schemas.DONE_ORDER, df, "dt", batch_id)
+        before = folders_of(df.sparkSession, out, schemas.DONE_ORDER, df, batch_id, by)
         before = before.join(broadcast_if_few(df.select(*keys)), keys, "left_semi").select(*keys)
         fresh = df.join(before, keys, "left_anti").select(*schemas.DONE_ORDER.fieldNames()).persist()
         try:
-            append_folders(fresh, batch_id, out, "dt")
+            append_folders(fresh, batch_id, out, by)
             if brand_stat:
                 rest = fresh.withColumn("final_detail_amount", from_cents(F.col("rest")))
                 store_brand_stat(rest, batch_id, f"{brand_stat}/part=rest")
@@ -333,9 +334,9 @@ def unfinished_orders(wide: DataFrame, lateness: str = LATENESS) -> DataFrame:
         F.col("_listed").alias("listed"), F.col("_paid").alias("paid"), F.col("_shared").alias("shared"))
 
 
-def store_unfinished(rows: DataFrame, out: str) -> DataStreamWriter:
+def store_unfinished(rows: DataFrame, out: str, by: str = "dt") -> DataStreamWriter:
     """Each unfinished order once, by day."""
-    return each_batch(rows, lambda df, n: append_folders(df, n, out, "dt"))
+    return each_batch(rows, lambda df, n: append_folders(df, n, out, by))
 
 
 def paid_rows(shares: DataFrame, done: DataFrame) -> DataFrame:
@@ -399,11 +400,11 @@ def store_visits(messages: DataFrame, out: str, hours: str | None = None, seen:
         rows = dau.flatten_start_logs(_taken(df, schemas.START_LOG, batch_id, dead, "visits"))
         firsts = dau.first_visits(rows).persist()
         keys = ["dt", "mid"]
-        stored = folders_of(df.sparkSession, out, schemas.DAU, firsts, "dt", batch_id)
+        stored = folders_of(df.sparkSession, out, schemas.DAU, firsts, batch_id)
         stored = stored.join(broadcast_if_few(firsts.select(*keys)), keys, "left_semi").select(*keys)
         fresh = firsts.join(stored, keys, "left_anti").persist()
         try:
-            append_folders(fresh, batch_id, out, "dt")
+            append_folders(fresh, batch_id, out)
             if hours:
                 add_sums(fresh, batch_id, f"{hours}/visits", F.lit(1), F.col("hr"))
             if seen:
