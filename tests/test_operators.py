@@ -1,3 +1,5 @@
+import re
+
 from pyspark.sql import functions as F
 
 from tidemart import schemas
@@ -194,6 +196,59 @@ def test_search_page(spark):
     assert search.get_by_id(df, "id", 4).count() == 1
 
 
+def test_nested_values_must_be_of_one_entry(spark):
+    df = spark.createDataFrame([(1, "ring", [(7, "a"), (8, "b")]), (2, "ring", [(7, "b")]), (3, "ring", []), (4, "ring", None),
+                                (5, "bolt", [(7, "a")]), (6, "ring", [(None, "a")])],
+                               "id long, name string, actors array<struct<id:int,role:string>>")
+
+    def found(values):
+        return sorted(r["id"] for r in search.search(df, "name", "ring", {}, {"actors": values}).collect())
+    assert found({"id": 7, "role": "a"}) == [1] and found({"id": 7}) == [1, 2] and found({"role": "a"}) == [1, 6]
+    assert found({"id": None}) == [6]
+
+
+def test_term_index_finds_what_a_scan_finds(spark, tmp_path):
+    texts = ["Red ring", "ring", "rings", "it's a ring.", "RING-bolt", None, "", "\u4e2d\u6587\u8bd7", "abc\u4e2dx", "\u6587\u4e2d", "s it",
+             "Ring ring ring", "caf\u00e9 RING"] + [f"filler {i}" for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, name string").withColumn("kind", F.col("id") % 2)
+    path = str(tmp_path / "terms")
+    search.write_term_index(search.term_index(docs, "id", "name"), path)
+    for query in ("ring", "it's", "\u4e2d\u6587", "\u4e2d", "caf\u00e9 filler", "ring-bolt", "nothing", "abc x"):
+        want = sorted(r["id"] for r in search.search(docs, "name", query, {"kind": 0}).collect())
+        hits = search.search_index(spark, path, docs, "id", "name", query, {"kind": 0})
+        assert sorted(r["id"] for r in hits.collect()) == want, query
+    one = spark.read.parquet(path).where(F.col("term") == "ring").select("bucket").distinct().collect()
+    assert len(one) == 1
+
+
+def test_deep_pages_equal_the_sorted_list(spark):
+    df = spark.range(3000, numPartitions=5).select(F.col("id").alias("k"), F.when(F.col("id") % 3 == 0, 5)
+                                                   .when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 50).alias("v"))
+    for order in ({"v": False, "k": True}, {"v": True, "k": False}):
+        full = [tuple(r) for r in df.orderBy(*search.sorting(order)).collect()]
+        for start in (0, 1, 1490, 2700, 2995, 3000, 5000):
+            got = [tuple(r) for r in search.page_deep(df, order, start, 10, most=100, ranges=8, sample=200).collect()]
+            assert got == full[start: start + 10], (order, start)
+        last = None
+        for start in range(0, 60, 20):
+            got = [tuple(r) for r in search.page_after(df, order, last, 20).collect()]
+            assert got == full[start: start + 20]
+            last = {"k": got[-1][0], "v": got[-1][1]}
+        at = full[2900]
+        got = [tuple(r) for r in search.page_after(df, order, {"k": at[0], "v": at[1]}, 20).collect()]
+        assert got == full[2901: 2921]
+
+
+def test_a_deep_page_sorts_few_rows(spark):
+    """The rows that are sorted for the page are the range's, not all that come before it."""
+    df = spark.range(20000).select(F.col("id").alias("k"))
+    page = search.page_deep(df, {"k": True}, 18000, 20, most=500, ranges=16, sample=800)
+    assert [r["k"] for r in page.collect()] == list(range(18000, 18020))
+    inner = page._jdf.queryExecution().optimizedPlan().toString()
+    offset = int(re.search(r"(?:Offset|TakeOrdered\w*\(offset=) ?(\d+)", inner).group(1))
+    assert offset < 1500
+
+
 def test_only_dimension_rows_in_use(spark, rows):
     sku = spark.createDataFrame([("1",), ("2",)], "id string")
     facts = spark.createDataFrame([(2,), (2,), (7,), (None,)], "sku_id long")

@@ -31,6 +31,23 @@ def _pattern(query: str) -> str:
     return rf"(?iu)(?:{'|'.join(words)})"
 
 
+# A run of letters and digits of the spaced scripts, or one sign of the others.
+TERM = WORD + "+|[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in UNSPACED) + "]"
+
+
+def terms_of(text: Column) -> Column:
+    """The terms of a text in lower case, in order, with repeats."""
+    return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
+
+
+def terms_of_query(query: str) -> list[list[str]]:
+    """For each word of the query the terms a text that holds it must have; words without any have none."""
+    unspaced = "".join(f"{chr(a)}-{chr(b)}" for a, b in UNSPACED)
+    pattern = re.compile(rf"(?:(?![{unspaced}])[^\W_])+|[{unspaced}]")
+    words = [pattern.findall(w.lower()) for w in query.split()]
+    return [w for w in words if w]
+
+
 def matches_any_word(text: Column, query: str) -> Column:
     """True where the text holds at least one of the query's words."""
     return text.rlike(_pattern(query))

@@ -11,7 +11,7 @@ from tidemart.functions.records import as_messages, parse_records, unreadable_re
 from tidemart.functions.times import day_after, day_before
 from tidemart.operators import cdc, dau, dims, orders, search, stats, wide
 from tidemart.plans import reports
-from tidemart.session import configure
+from tidemart.session import configure, new_workdir
 from tidemart.sources import fixtures
 from tidemart.sources.sinks import latest_by_key, latest_documents
 from tidemart.sources.tables import Tables, parquet_tables
@@ -442,6 +442,41 @@ def doc_search(t):
                               [F.desc("n_chars"), F.col("doc_id")], 0, 20)
 
 
+@query
+def doc_search_nested(t):
+    """Texts with a word, of which one label entry says good and not toxic."""
+    labels = t("labels").groupBy("doc_id").agg(F.collect_list(F.struct("quality", "toxic")).alias("labels"))
+    docs = t("documents").join(labels, "doc_id")
+    return search.search_page(docs, "text", "the tion", {"lang": "en"}, [F.desc("n_chars"), F.col("doc_id")], 0, 20,
+                              {"labels": {"quality": 1, "toxic": 0}}).drop("labels")
+
+
+@query
+def doc_search_index(t):
+    """The search through a stored term index."""
+    docs, path = t("documents"), new_workdir(t.spark, "terms")
+    search.write_term_index(search.term_index(docs, "doc_id", "text"), path)
+    hits = search.search_index(t.spark, path, docs, "doc_id", "text", "the tion", {"lang": "en", "source": "src3"})
+    return search.page(hits, [F.desc("n_chars"), F.col("doc_id")], 0, 20)
+
+
+BY_LENGTH = {"n_chars": False, "doc_id": True}
+
+
+@query
+def doc_page_deep(t):
+    """Twenty documents by length from nine tenths down the list; ranges are cut until they hold a hundred rows."""
+    docs = t("documents")
+    start = docs.count() * 9 // 10
+    return search.page_deep(docs, BY_LENGTH, start, 20, most=100, ranges=16, sample=1_024).select("doc_id", "n_chars", "lang", "source")
+
+
+@query
+def doc_page_after(t):
+    """Twenty documents behind the last key seen."""
+    return search.page_after(t("documents"), BY_LENGTH, {"n_chars": 500, "doc_id": 42}, 20).select("doc_id", "n_chars", "lang", "source")
+
+
 @query
 def doc_search_ascending(t):
     return search.search_page(t("documents"), "text", "the", {"lang": "en"},

@@ -272,6 +272,16 @@ _PLAIN = {
     "doc_search": rf"""SELECT *, regexp_replace(text, '(?i)\b(the|tion)\b', '<em>\1</em>', 'g') AS highlight
         FROM documents WHERE lang = 'en' AND source = 'src3' AND list_has_any({_WORDS}, ['the', 'tion'])
         ORDER BY n_chars DESC, doc_id LIMIT 20""",
+    "doc_search_nested": rf"""SELECT *, regexp_replace(text, '(?i)\b(the|tion)\b', '<em>\1</em>', 'g') AS highlight
+        FROM documents d WHERE lang = 'en' AND list_has_any({_WORDS}, ['the', 'tion'])
+        AND EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND quality = 1 AND toxic = 0)
+        ORDER BY n_chars DESC, doc_id LIMIT 20""",
+    "doc_search_index": rf"""SELECT * FROM documents WHERE lang = 'en' AND source = 'src3'
+        AND list_has_any({_WORDS}, ['the', 'tion']) ORDER BY n_chars DESC, doc_id LIMIT 20""",
+    "doc_page_deep": """SELECT doc_id, n_chars, lang, source FROM (SELECT *, row_number() OVER (ORDER BY n_chars DESC, doc_id) AS rn,
+            count(*) OVER () AS n FROM documents) WHERE rn > n * 9 // 10 AND rn <= n * 9 // 10 + 20""",
+    "doc_page_after": """SELECT doc_id, n_chars, lang, source FROM documents WHERE n_chars < 500 OR (n_chars = 500 AND doc_id > 42)
+        ORDER BY n_chars DESC, doc_id LIMIT 20""",
     "doc_search_ascending": rf"""SELECT *, regexp_replace(text, '(?i)\b(the)\b', '<em>\1</em>', 'g') AS highlight
         FROM documents WHERE lang = 'en' AND list_has_any({_WORDS}, ['the'])
         ORDER BY n_chars, doc_id LIMIT 10""",
