@@ -10,7 +10,7 @@ from tidemart.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[4]", **{
+    session = build_session("tests", "local[8]", **{
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g"})
     session.sparkContext.setLogLevel("OFF")

@@ -96,3 +96,100 @@ def test_compacted_log_keeps_its_partitions(spark, rows):
     sinks.compact_batches(spark, path, df.schema, 0, partitions=("dt",))
     got = read_batches(spark, path, df.schema)
     assert rows(got.where(F.col("dt") == "2024-01-02"), "mid", "batch_id") == [("m2", 0), ("m2", 1)]
+
+
+def change(i, name, ts, seq, pos=0, gone=False):
+    return (i, name, ts, seq, pos, gone)
+
+
+def test_changes_count_in_the_order_they_were_made(spark, rows):
+    path = new_workdir(spark, "t")
+    full = schemas.versioned(schemas.TRADEMARK)
+
+    def put(n, *changes):
+        upsert_dim(spark.createDataFrame(list(changes), full), n, path, schemas.TRADEMARK)
+        return rows(read_dim(spark, path, schemas.TRADEMARK))
+    # "9" beats the later "1" by its value only; the place in a record decides last
+    assert put(0, change("1", "9", 5, 1), change("1", "1", 5, 2), change("2", "a", 5, 1, 0), change("2", "b", 5, 1, 1)) == [
+        ("1", "1"), ("2", "b")]
+    # an older change that comes later, a deletion, and a change older than the deletion
+    assert put(1, change("1", "old", 4, 9), change("2", None, 6, 1, gone=True)) == [("1", "1")]
+    assert put(2, change("2", "back", 5, 9)) == [("1", "1")]
+    assert put(2, change("2", "back", 5, 9)) == [("1", "1")]
+    # a newer one brings the key back; changes that say nothing about their order are older than others
+    assert put(3, change("2", "new", 7, 1), change("3", "plain", None, None, None, None)) == [("1", "1"), ("2", "new"), ("3", "plain")]
+    assert put(4, change("1", "unknown", None, None, None, None), change("3", "later", None, None, None, None)) == [
+        ("1", "1"), ("2", "new"), ("3", "later")]
+
+
+def test_log_of_changes_in_any_order_and_compacted(spark, rows):
+    path = new_workdir(spark, "t")
+    full = schemas.versioned(schemas.TRADEMARK)
+
+    def put(n, *changes):
+        sinks.keep_short(spark, path, schemas.extended(full, bucket=schemas.BUCKET), n, every=2, key="id", partitions=("bucket",))
+        sinks.append_keyed(spark.createDataFrame(list(changes), full), "id", n, path)
+
+    def state(*keys):
+        of = spark.createDataFrame([(k,) for k in keys], "id string") if keys else None
+        return rows(sinks.latest_rows(spark, path, schemas.TRADEMARK, of=of))
+    put(0, change("1", "b", 2, 1), change("2", "x", 1, 1))
+    put(1, change("1", "a", 1, 1), change("2", None, 9, 1, gone=True))
+    assert state() == [("1", "b")] and state("1") == [("1", "b")] and state("2") == []
+    put(2, change("2", "y", 3, 1), change("3", "c", 1, 1))
+    put(3, change("1", "z", 2, 2))
+    put(4, change("4", "d", 1, 1))
+    assert state() == [("1", "z"), ("3", "c"), ("4", "d")] and state("1", "2", "9") == [("1", "z")]
+    assert sinks._versions(spark, f"{path}.base") == [1, 3]
+
+
+def test_lookup_opens_only_the_buckets_of_its_keys(spark, rows):
+    path = new_workdir(spark, "t")
+    schema = schemas.extended(schemas.FIRST_SEEN, bucket=schemas.BUCKET)
+    many = spark.range(2000).select(F.concat(F.lit("m"), "id").alias("mid"), F.lit("2024-01-01").alias("dt"))
+    sinks.append_keyed(many, "mid", 0, path)
+    sinks.compact_batches(spark, path, schema, 0, partitions=("bucket",))
+    found = sinks.rows_of_keys(spark, path, schemas.FIRST_SEEN, spark.createDataFrame([("m7",), ("m8",), ("none",)], "mid string"))
+    assert rows(found, "mid") == [("m7",), ("m8",)]
+    scans = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line]
+    assert any("PartitionFilters: [" in line and "bucket" in line.split("PartitionFilters: [")[1].split("]")[0] for line in scans)
+
+
+def test_documents_lie_under_their_own_day(spark, rows):
+    path = new_workdir(spark, "t")
+    schema = "id string, body string, dt string"
+    sinks.upsert_documents(spark.createDataFrame([("1", "a", "2024-01-01"), ("2", "b", "2024-01-02"), ("3", "c", None)], schema), 0, path)
+    for _ in range(2):
+        sinks.upsert_documents(spark.createDataFrame([("1", "A", "2024-01-01"), ("4", "d", "2024-01-09")], schema), 1, path)
+    kind = spark.createDataFrame([], schema).schema
+    assert rows(sinks.read_documents(spark, path, kind, ["2024-01-01", "1999-01-01"])) == [("1", "A", "2024-01-01")]
+    assert rows(sinks.read_documents(spark, path, kind), "id", "body") == [("1", "A"), ("2", "b"), ("3", "c"), ("4", "d")]
+    files = sinks.read_folders(spark, path, kind, ["2024-01-09"]).inputFiles()
+    assert files and all("/dt=2024-01-09/batch_id=1/" in f for f in files)
+    before = sinks.folders_of(spark, path, kind, spark.createDataFrame([("1", "", "2024-01-01")], schema), 1)
+    assert rows(before, "id", "body") == [("1", "a")]
+    # a replay over months
+    sinks.append_folders(spark.createDataFrame([("1", "a", "2024-01-01"), ("2", "b", "2024-02-02")], schema), 0, f"{path}-m", "month")
+    month = spark.createDataFrame([("9", "", "2024-02-20")], schema)
+    assert rows(sinks.folders_of(spark, f"{path}-m", kind, month, 1, "month"), "id") == [("2",)]
+
+
+def test_sums_of_batches_replayed_and_compacted(spark, rows):
+    from tidemart.sources import rollups
+    path = new_workdir(spark, "t")
+
+    def put(n, *values):
+        df = spark.createDataFrame(list(values), "dt string, hr string, v long")
+        rollups.add_sums(df, n, path, F.col("v"), F.col("hr"), every=2)
+
+    put(0, ("d1", "00", 1), ("d1", "00", 2), ("d1", "01", 5))
+    put(1, ("d1", "00", 10))
+    put(1, ("d1", "00", 10))
+    want = [("d1", "00", 13), ("d1", "01", 5)]
+    assert rows(rollups.read_sums(spark, path)) == want
+    put(2, ("d2", None, 7))
+    put(3, ("d2", None, -7))
+    put(4, ("d1", "01", 1))
+    assert rows(rollups.read_sums(spark, path, days=["d1"])) == [("d1", "00", 13), ("d1", "01", 6)]
+    assert rows(rollups.read_sums(spark, path, path, days=["d2"])) == [("d2", None, 0)]
+    assert sinks._versions(spark, f"{path}.base") == [1, 3]

@@ -7,10 +7,11 @@ from tidemart import schemas
 from tidemart.functions.times import event_time
 from tidemart.operators import cdc
 from tidemart.session import new_workdir
-from tidemart.sources.sinks import latest_rows, read_batches, upsert_dim
+from tidemart.sources.rollups import read_sums
+from tidemart.sources.sinks import latest_rows, read_batches, read_dim, read_documents, upsert_dim
 from tidemart.sources.topics import append_file_topic, file_topic, to_console
 from tidemart.streaming import jobs
-from tidemart.streaming.run import each_batch, run_once
+from tidemart.streaming.run import each_batch, late_rows, run_once
 
 
 @pytest.fixture
@@ -198,3 +199,148 @@ def test_raw_logs_by_day_and_console(spark, work, rows):
     assert rows(back.groupBy("dt").count()) == [("1970-01-01", 1), ("1970-01-02", 1)]
     shown = run_once(to_console(file_topic(spark, f"{work}/in")), f"{work}/cp2")
     assert shown.lastProgress["numInputRows"] == 2
+
+
+def test_change_records_carry_their_order_through_the_split(spark, work, rows):
+    """Two changes of one user in one batch: the later one counts, though the earlier one's values sort higher."""
+    def env(kind, ts, seq, **data):
+        return {"table": "user_info", "type": kind, "ts": ts, "seq": seq, "data": data}
+
+    def run():
+        run_once(jobs.split_topics(file_topic(spark, f"{work}/db"), lambda m: cdc.split_maxwell(m, arrival=True), f"{work}/ods"),
+                 f"{work}/cp1")
+        topic = spark.readStream.schema("value string, topic string").format("text").load(f"{work}/ods")
+        run_once(jobs.keep_users(topic.select("value"), f"{work}/out", "2021-01-01"), f"{work}/cp2")
+        return rows(latest_rows(spark, f"{work}/out", schemas.USER_DESCRIBED), "id", "user_level")
+    put(spark, f"{work}/db", env("update", 10, 2, id="1", user_level="1"), env("insert", 10, 1, id="1", user_level="9"),
+        env("insert", 10, 3, id="2", user_level="x"))
+    assert run() == [("1", "1"), ("2", "x")]
+    put(spark, f"{work}/db", env("delete", 30, 5, id="2"), env("update", 9, 9, id="1", user_level="late"))
+    assert run() == [("1", "1")]
+    put(spark, f"{work}/db", env("update", 20, 4, id="2", user_level="before the deletion"), env("insert", 40, 6, id="2", user_level="n"))
+    assert run() == [("1", "1"), ("2", "n")]
+
+
+def test_canal_rows_keep_their_place_and_topic_offsets_count(spark, rows):
+    df = spark.createDataFrame([('{"table":"x","type":"INSERT","ts":3,"data":[{"id":1},{"id":2},{}]}', 7),
+                                ('{"table":"x","type":"INSERT","data":[{"id":3}]}', 8)], "value string, offset long")
+    assert rows(cdc.split_canal(df, arrival=True), "value") == [
+        ('{"_seq":8,"_pos":0,"_op":"insert","id":3}',), ('{"_ts":3,"_seq":7,"_pos":0,"_op":"insert","id":1}',),
+        ('{"_ts":3,"_seq":7,"_pos":1,"_op":"insert","id":2}',)]
+
+
+def test_brand_topic_with_times_and_offsets(spark, work, rows):
+    def frame(*messages):
+        df = spark.createDataFrame(list(messages), "value string, t long, offset long")
+        return df.select("value", F.timestamp_millis("t").alias("timestamp"), "offset")
+    changes = jobs._changes(frame(('{"tm_id":"1","tm_name":"z"}', 5, 1), ('{"tm_id":"1","tm_name":"a","_op":"DELETE"}', 5, 2)),
+                            schemas.TRADEMARK_MESSAGE, 0, None, "dim")
+    assert rows(changes, "tm_name", "_ts", "_seq", "_deleted") == [("a", 5, 2, True), ("z", 5, 1, False)]
+
+
+def test_order_sent_again_keeps_flag_and_has_one_document(spark, work, rows):
+    def run():
+        run_once(jobs.enrich_orders(file_topic(spark, f"{work}/in"), f"{work}/dims", f"{work}/status",
+                                    f"{work}/docs", f"{work}/dwd"), f"{work}/cp")
+        return rows(read_documents(spark, f"{work}/docs", schemas.ORDER_DOCUMENT), "dt", "id", "order_status", "if_first_order")
+
+    def sent(i, user, time, status, seq):
+        return {**order(i, user, time), "order_status": status, "_seq": seq}
+    put(spark, f"{work}/in", sent(1, 7, "2022-01-01 10:00:00", "paid", 2), sent(1, 7, "2022-01-01 10:00:00", "zz new", 1),
+        sent(2, 7, "2022-01-01 11:00:00", "new", 1), {"id": 9, "user_id": 8})
+    first = [("2022-01-01", 1, "paid", "1"), ("2022-01-01", 2, "new", "0"), ("none", 9, None, "1")]
+    assert run() == first
+    put(spark, f"{work}/in", sent(1, 7, "2022-01-01 10:00:00", "done", 1), sent(3, 7, "2022-01-02 10:00:00", "new", 1),
+        {"id": 9, "user_id": 8, "order_status": "x"})
+    assert run() == [("2022-01-01", 1, "done", "1"), ("2022-01-01", 2, "new", "0"), ("2022-01-02", 3, "new", "0"),
+                     ("none", 9, "x", "1")]
+
+
+def test_left_out_messages_count_once_also_when_a_batch_runs_again(spark, work, rows):
+    lost = []
+
+    def run(fail=False):
+        writer = jobs.store_visits(file_topic(spark, f"{work}/in"), f"{work}/out", f"{work}/hours", dead=f"{work}/dead")
+        original = jobs.add_sums
+        if fail:
+            def broken(*a, **k):
+                original(*a, **k)
+                lost.append(1)
+                raise RuntimeError("lost")
+            jobs.add_sums = broken
+        try:
+            run_once(writer, f"{work}/cp")
+        finally:
+            jobs.add_sums = original
+    put(spark, f"{work}/in", log("m1", 1000), "{bad", '{"ts":"noon"}', log("m2", 2000))
+    with pytest.raises(Exception, match="lost"):
+        run(fail=True)
+    run()
+    run()
+    assert lost and rows(read_batches(spark, f"{work}/dead/visits", schemas.LEFT_OUT), "value", "reason") == [
+        ('{"ts":"noon"}', "number"), ("{bad", "broken")]
+    assert rows(read_sums(spark, f"{work}/hours/visits")) == [("1970-01-01", "00", 2)]
+
+
+def test_reasons_why_a_change_record_is_left_out(spark, rows):
+    def env(table, kind, data):
+        return (f'{{"table":"{table}","type":"{kind}","data":{data}}}',)
+    df = spark.createDataFrame([
+        env("order_info", "insert", '{"id":1}'), env("order_info", "update", '{"id":2}'), env("user_info", "delete", '{"id":4}'),
+        env("sku_info", "insert", "{}"), env("cart_info", "insert", '{"id":6}'), ("{bad",), ("7",), ("",), (None,)], "value string")
+    left = cdc.left_out_maxwell(df)
+    assert rows(left.groupBy("reason").count()) == [("broken", 4), ("empty", 1), ("kind", 1), ("table", 1)]
+    assert left.count() + cdc.split_maxwell(df).count() == df.count()
+
+
+def test_register_of_devices_and_their_first_days(spark, work, rows):
+    day = 86400000
+
+    def run():
+        run_once(jobs.store_visits(file_topic(spark, f"{work}/in"), f"{work}/out", f"{work}/hours", f"{work}/seen"), f"{work}/cp")
+        return [r for r in rows(read_sums(spark, f"{work}/hours/new"), "dt", "value") if r[1]]
+    put(spark, f"{work}/in", log("m1", 5 * day), log("m2", 5 * day), log("m1", 6 * day))
+    assert run() == [("1970-01-06", 2)]
+    put(spark, f"{work}/in", log("m1", 5 * day + 9), log("m3", 6 * day))
+    assert run() == [("1970-01-06", 2), ("1970-01-07", 1)]
+    put(spark, f"{work}/in", log("m2", 2 * day), log("m3", 7 * day))
+    assert run() == [("1970-01-03", 1), ("1970-01-06", 1), ("1970-01-07", 1)]
+
+
+def test_lines_without_an_order_are_given_out_and_late_ones_counted(spark, work, rows):
+    def enriched(i, time):
+        return {"id": i, "user_id": 1, "create_time": time, "create_date": time[:10], "create_hour": "10"}
+
+    def line(i, o, time):
+        return {"id": i, "order_id": o, "order_price": 1.0, "sku_num": 1, "create_time": time}
+
+    def run():
+        out = jobs.widen_orders(file_topic(spark, f"{work}/o"), file_topic(spark, f"{work}/d"), salts=3, leave=True)
+        query = run_once(jobs.store_matches(out, f"{work}/wide", f"{work}/left"), f"{work}/cp")
+        return (rows(read_batches(spark, f"{work}/left", schemas.ORDER_WIDE), "order_id", "order_detail_id"), late_rows(query))
+    put(spark, f"{work}/o", enriched(1, "2022-01-01 10:00:00"))
+    put(spark, f"{work}/d", line(1, 1, "2022-01-01 10:00:50"), line(2, 1, "2022-01-01 10:00:51"), line(3, 3, "2022-01-01 10:00:00"))
+    assert run() == ([], 0)
+    put(spark, f"{work}/o", enriched(8, "2022-01-01 12:00:00"))
+    put(spark, f"{work}/d", line(8, 8, "2022-01-01 12:00:00"))
+    assert run() == ([(1, 2), (3, 3)], 0)
+    put(spark, f"{work}/d", line(9, 1, "2022-01-01 10:00:05"), line(10, 8, "2022-01-01 12:00:10"))
+    assert run() == ([(1, 2), (3, 3)], 1)
+    wide = spark.read.text(f"{work}/wide", recursiveFileLookup=True).select(F.get_json_object("value", "$.order_detail_id").alias("i"))
+    assert rows(wide) == [("1",), ("10",), ("8",)]
+
+
+def test_unfinished_orders_are_given_out_once(spark, work, rows):
+    def run():
+        topic = f"{work}/in"
+        run_once(jobs.store_complete(jobs.complete_orders(file_topic(spark, topic)), f"{work}/done"), f"{work}/cp1")
+        run_once(jobs.store_unfinished(jobs.unfinished_orders(file_topic(spark, topic)), f"{work}/open"), f"{work}/cp2")
+        return rows(read_batches(spark, f"{work}/open", schemas.UNFINISHED_ORDER), "order_id", "lines", "came", "listed", "paid", "shared")
+    put(spark, f"{work}/in", wide_message(1, 1, 10, 30, 9), wide_message(1, 2, 10, 30, 9), wide_message(2, 1, 1, 2, 1))
+    assert run() == []
+    put(spark, f"{work}/in", wide_message(2, 2, 1, 2, 1), wide_message(3, 1, 5, 5, 5, time="2022-01-01 10:10:01"))
+    want = [(1, 2, 2000, 3000, 900, 600)]
+    assert run() == want
+    put(spark, f"{work}/in", wide_message(4, 1, 5, 5, 5, time="2022-01-01 12:00:00"))
+    assert run() == want
+    assert rows(read_batches(spark, f"{work}/done", schemas.DONE_ORDER), "order_id", "rest") == [(2, 0), (3, 0), (4, 0)]
