@@ -265,6 +265,32 @@ def test_top_k(spark):
     assert topk.top_k(df.limit(0), F.lit(True)).count() == 0
 
 
+def brute_top_k(rows, asked, k=5):
+    import math
+    vectors = {}
+    for i, v in rows:
+        if v is not None and all(x is not None and math.isfinite(x) for x in v):
+            vectors.setdefault(i, []).append([math.floor(256 * x) for x in v])
+    out = set()
+    for q in vectors:
+        if asked(q):
+            mine = min(vectors[q])
+            scores = sorted((-max(sum(a * b for a, b in zip(mine, v)) for v in vs), i) for i, vs in vectors.items() if i != q)
+            out |= {(q, rank, i, -s) for rank, (s, i) in enumerate(scores[:k], 1)}
+    return out
+
+
+@pytest.mark.parametrize("block, pivots", [(4, 2), (64, 8)])
+def test_top_k_with_repeated_ids_and_large_components(spark, block, pivots):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=4)]) for i in range(60)]
+    rows += [(7, [9.0, 9.0, 9.0, 9.0])] * 6 + [(8, [-3.0, 1.0, 0.0, 2.0]), (10, [0.5, 0.5, 0.5, 0.5]), (20, [3e7, 1.0, 1.0, 1.0]),
+             (21, [-3e7, 2.0, 0.0, 1.0]), (30, None), (31, [float("inf"), 0.0, 0.0, 0.0]), (32, [1.0, None, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit("x"))
+    found = topk.top_k(df.repartition(3), F.col("vec_id") % 10 == 0, pivots=pivots, annuli=2, block=block).collect()
+    assert {tuple(r) for r in found} == brute_top_k(rows, lambda i: i % 10 == 0) and len(found) == len({tuple(r) for r in found})
+
+
 def test_top_k_of_copies_in_the_querys_own_block(spark):
     rows = [(i, [4.0, 0.0]) for i in range(6)] + [(i, [-1.0, -float(i)]) for i in range(6, 40)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")

@@ -9,7 +9,8 @@ reach the bound are left out, the others are searched. Ties at the bound are sea
 
 Queries and vectors meet as packed blocks (annulus by annulus), scored by integer matrix products, and
 only each block's k best leave it. No side is broadcast or collected but the pivots and annuli, whose
-number is a parameter. A large annulus, or one vector repeated many times, is many blocks.
+number is a parameter. A large annulus, or one vector repeated many times, is many blocks; they meet the
+queries by annulus and run of CHUNK blocks, so that no annulus is one task's work.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ PIVOTS = 32         # rows with the smallest seeded hashes of their ids
 ANNULI = 8          # of each pivot, by quantiles of the distance
 BLOCK = 1024        # vectors or queries in a block, about
 FIRST = 2           # annuli searched first, nearest lower bound first
+CHUNK = 16          # blocks of an annulus that meet its queries under one key
+LARGE = 9.2e18      # components and scores beyond 64 bits count as the nearest number inside
 
 
 def usable(vector: Column) -> Column:
@@ -37,7 +40,9 @@ def usable(vector: Column) -> Column:
 
 def quantised(vector: Column, scale: int = 256) -> Column:
     """floor(scale * x) of each component."""
-    return F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long"))
+    def whole(x: Column) -> Column:
+        return F.floor(F.greatest(F.least(x.cast("double") * scale, F.lit(LARGE)), F.lit(-LARGE))).cast("long")
+    return F.transform(vector, whole)
 
 
 def _matrix(vectors: pd.Series | list, dim: int) -> np.ndarray:
@@ -60,28 +65,31 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id
 
     Vectors that are null or hold null or non-finite components take no part; shorter ones count as
     padded with zeros. A row is not its own candidate: rows that repeat the query's id are none either.
+    Of several rows of one id the best score counts for a candidate, and the smallest vector asks for a query.
     Ties go to the smaller id. Fewer candidates than k give fewer rows; an empty table gives none.
     """
     rows = written(
         vectors.where(usable(named(vec_col)) & named(id_col).isNotNull())
         .select(named(id_col).cast("long").alias("vec_id"), quantised(named(vec_col)).alias("x"), queries.alias("is_query"))
-        .withColumn("norm", F.aggregate("x", F.lit(0).cast("long"), lambda a, b: a + b * b)), "topk-rows")
+        .withColumn("norm", F.aggregate("x", F.lit(0.0), lambda a, b: a + b.cast("double") * b.cast("double"))), "topk-rows")
     spark = rows.sparkSession
     head = rows.agg(F.max("norm"), F.max(F.size("x"))).first()
     out = "query_id long, rank int, vec_id long, score long"
     if head[0] is None:
         return spark.createDataFrame([], out)
-    most, dim = int(head[0]), int(head[1])
+    most, dim = float(head[0]), int(head[1])
+    # what rounding can take from a distance and from a score's bound
+    near, far = 1e-6 * most**0.5 + 1e-6, 1e-9 * most + 1e-3
     sample = [r[0] for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").select("x").limit(pivots).collect()]
-    base = _matrix(sample, dim)
-    base = np.unique(np.column_stack([base, np.sqrt(most - (base**2).sum(1))]), axis=0)
+    base = _matrix(sample, dim).astype(np.float64)
+    base = np.unique(np.column_stack([base, np.sqrt(np.maximum(most - (base**2).sum(1), 0))]), axis=0)
 
     def key(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            d = _distances(_matrix(b["x"], dim), np.sqrt(most - b["norm"].to_numpy().astype(float)), base)
+            d = _distances(_matrix(b["x"], dim), np.sqrt(np.maximum(most - b["norm"].to_numpy(float), 0)), base)
             yield b.assign(pivot=d.argmin(1).astype("int32"), distance=d.min(1))
 
-    index = written(rows.mapInPandas(key, "vec_id long, x array<long>, is_query boolean, norm long, pivot int, distance double"), "topk-index")
+    index = written(rows.mapInPandas(key, "vec_id long, x array<long>, is_query boolean, norm double, pivot int, distance double"), "topk-index")
     cuts = [i / annuli for i in range(1, annuli)]
     bounds = {r[0]: r[1] for r in index.groupBy("pivot").agg(F.percentile_approx("distance", cuts)).collect()}
     edges = spark.createDataFrame([(p, [float(x) for x in sorted(set(b))]) for p, b in bounds.items()], "pivot int, edges array<double>")
@@ -94,8 +102,10 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id
     counts = spark.createDataFrame([(r["ring"], max(1, -(-r["n"] // block))) for r in rings], "ring int, blocks int")
     data = (ringed.join(F.broadcast(counts), "ring")
             .groupBy("ring", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("blocks")).alias("block"))
-            .agg(F.collect_list(F.struct("vec_id", "x")).alias("rows")))
+            .agg(F.collect_list(F.struct("vec_id", "x")).alias("rows"))
+            .withColumn("chunk", F.floor(F.col("block") / CHUNK).cast("int")))
     data = written(data, "topk-blocks")
+    chunks = spark.createDataFrame([(r["ring"], max(0, -(-r["n"] // block) - 1) // CHUNK) for r in rings], "ring int, last int")
 
     def ring_bounds(b: pd.DataFrame) -> np.ndarray:
         """For each query and annulus, a distance that no vector in it falls below."""
@@ -112,7 +122,8 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id
         for b in batches:
             least = ring_bounds(b)
             order = np.argsort(least, axis=1, kind="stable")
-            reach = (b["norm"].to_numpy(float)[:, None] + most - np.maximum(least - 1e-6, 0) ** 2) / 2 + 1e-3
+            norm = b["norm"].to_numpy(float)[:, None]
+            reach = (norm + most - np.maximum(least - near, 0) ** 2) / 2 + far + 1e-9 * norm
             wanted = reach >= b["bound"].to_numpy(float)[:, None]
             np.put_along_axis(wanted, order[:, :FIRST], False, axis=1)
             yield b[["vec_id", "x"]].assign(ring=[ring_ids[w] for w in wanted]).explode("ring").dropna(subset=["ring"]).astype({"ring": "int32"})
@@ -125,6 +136,9 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id
                 ids, m = ids[order], _matrix([r["x"] for r in found], dim)[order]
                 q_ids, q = np.array([r["vec_id"] for r in asked]), _matrix([r["x"] for r in asked], dim)
                 products = _products(q, m)
+                new = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+                if len(new) < len(ids):
+                    ids, products = ids[new], np.maximum.reduceat(products, new, axis=1)
                 own = q_ids[:, None] == ids[None]
                 products[own] = np.iinfo(np.int64).min
                 best = np.argsort(~products, axis=1, kind="stable")[:, :k]   # ~x falls as x grows, as -x, but cannot overflow
@@ -135,15 +149,18 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id
 
     def search(asked: DataFrame) -> DataFrame:
         packed = (asked.withColumn("part", F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(parts)))
-                  .groupBy("ring", "part").agg(F.collect_list(F.struct("vec_id", "x")).alias("queries")))
-        scored = packed.join(data, "ring").select("rows", "queries").mapInPandas(score, "query_id long, vec_id long, score long")
+                  .groupBy("ring", "part").agg(F.collect_list(F.struct("vec_id", "x")).alias("queries"))
+                  .join(F.broadcast(chunks), "ring").withColumn("chunk", F.explode(F.sequence(F.lit(0), "last"))))
+        scored = packed.join(data, ["ring", "chunk"]).select("rows", "queries").mapInPandas(score, "query_id long, vec_id long, score long")
         return best_of(scored)
 
     def best_of(scored: DataFrame) -> DataFrame:
         place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        scored = scored.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
         return scored.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
 
-    asked = index.where("is_query").dropDuplicates(["vec_id"])
+    asked = (index.where("is_query").groupBy("vec_id").agg(F.min(F.struct("x", "norm")).alias("least"))
+             .select("vec_id", "least.x", "least.norm"))
     parts = max(1, -(-asked.count() // block))
     pair = "vec_id long, x array<long>, ring int"
     first = written(search(asked.select("vec_id", "x", "norm").mapInPandas(nearest, pair)).select("query_id", "vec_id", "score"), "topk-first")
@@ -153,14 +170,19 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id
              .select("vec_id", "x", "norm", F.coalesce(F.col("bound").cast("double"), F.lit(-float("inf"))).alias("bound"))
              .mapInPandas(remaining, pair))
     rest = search(later).select("query_id", "vec_id", "score")
-    return best_of(first.unionByName(rest).dropDuplicates(["query_id", "vec_id", "score"])).select("query_id", "rank", "vec_id", "score")
+    return best_of(first.unionByName(rest)).select("query_id", "rank", "vec_id", "score")
 
 
 def _products(q: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """Exact integer products; through floating point where every sum is below 2^53."""
-    if m.size and q.size and float(np.abs(q).max()) * float(np.abs(m).max()) * q.shape[1] < 2**53:
+    """Exact integer products: through floating point where every sum is below 2^53, in whole numbers of any size
+    where one could leave 64 bits."""
+    reach = float(np.abs(q.astype(np.float64)).max()) * float(np.abs(m.astype(np.float64)).max()) * q.shape[1] if m.size and q.size else 0.0
+    if reach < 2**53:
         return (q.astype(np.float64) @ m.T.astype(np.float64)).astype(np.int64)
-    return q @ m.T
+    if reach < 2**62:
+        return q @ m.T
+    most = int(LARGE)
+    return np.clip(q.astype(object) @ m.T.astype(object), -most, most).astype(np.int64)
 
 
 ORACLE = """
