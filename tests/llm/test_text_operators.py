@@ -144,9 +144,9 @@ def test_surrogates_keep_format_gender_and_stay_distinct(spark):
 def test_fast_test_of_numbers_skips_none():
     for secret in ("AKIA" + "QWERTYUIOPASDFGH", "+٩٦٦ ٥٠ ١٢٣ ٤٥٦٧", "abcdef" * 6, "ABCDEF" * 6, "sk-" + "a" * 20):
         for text in (secret, f"the key {secret} here"):
-            assert pii.NUMBERS.search(text) and [m.group() for m in pii.entities(text)] == [secret]
+            assert pii.NUMBERS.search(text) and [text[a:b] for a, b, _ in pii.entities(text)] == [secret]
     for long_key in ("0a" * 128, "AB" * 200):
-        assert [m.group() for m in pii.entities(f"key {long_key}.")] == [long_key]
+        assert [a for _, _, a in pii.entities(f"key {long_key}.")] == [[("secret", long_key, "")]]
         assert long_key not in pii.replace(f"key {long_key}.", "k", {})[0]
 
 
@@ -265,6 +265,44 @@ def test_top_k(spark):
     assert topk.top_k(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_surrogates_of_all_short_values_end_and_are_distinct(spark):
+    import itertools
+    import string
+    letters = string.ascii_lowercase
+    locals_ = [*letters, *("".join(p) for p in itertools.product(letters, repeat=2))]
+    rows = [(i, f"{x}@example.org") for i, x in enumerate(locals_)] + [(1000, None), (1001, "a@example.org"), (1001, "a@example.org")]
+    new = pii.with_surrogates(spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, _row int, _attempts int"))
+    assert new.columns == ["doc_id", "_row", "_attempts", "text", "kinds", "n_entities"]
+    found = {}
+    for r in new.collect():
+        found.setdefault(r["doc_id"], set()).add(r["text"])
+    assert all(len(v) == 1 for v in found.values()) and found[1001] == found[0]
+    made = [next(iter(found[i])).split("@")[0] for i in range(len(locals_))]
+    assert len(set(made)) == len(locals_) and not set(made) & set(locals_)
+
+
+def test_a_full_format_is_left_after_the_last_round(spark, monkeypatch):
+    monkeypatch.setattr(pii, "ROUNDS", 2)
+    monkeypatch.setattr(pii, "_surrogate", lambda kind, value, d, attempt: f"{d.below(3)}")
+    new = pii.with_surrogates(spark.createDataFrame([(i, f"{i}@example.org") for i in range(3)], "doc_id long, text string")).collect()
+    assert len({r["text"] for r in new}) == 3
+
+
+def test_names_of_several_words_and_their_bare_mentions():
+    for text, left in [("John Smith met Mary Jones. Smith paid Jones.", "Smith Jones John Mary"), ("Sarah Connor", "Sarah Connor"),
+                       ("JOHN SMITH", "JOHN SMITH"), ("Mr Paul Smith came. Smith said so; Paul left.", "Paul Smith"),
+                       ("Anna Maria Schmidt", "Anna Maria Schmidt"), ("Dr. Michael O'Brien and Jean-Luc", "Michael O'Brien"),
+                       ("Frau Müller-Lüdenscheidt", "Müller Lüdenscheidt"), ("at 2001:db8:85a3:0:0:8a2e:370:7334", "8a2e"),
+                       ("at fe80::1ff:fe23:4567:890a", "fe23"), ("mac 00:1B:44:11:3A:B7.", "1B:44")]:
+        new, kinds = pii.replace(text, "k", {})
+        assert kinds and not [w for w in left.split() if re.search(rf"(?<!\w){re.escape(w)}(?!\w)", new)], (text, new)
+    new, _ = pii.replace("Mr Paul Smith came. Smith said so.", "k", {})
+    surname = re.match(r"Mr \w+ (\w+) came\. (\w+) said so\.", new)
+    assert surname and surname[1] == surname[2]
+    for plain in ("A Smith is a trade. Time 10:20:30, a::b? No: std::vector at 3:4", "The Paul", "mary jones"):
+        assert pii.replace(plain, "k", {}) == (plain, [])
+
+
 def brute_top_k(rows, asked, k=5):
     import math
     vectors = {}
