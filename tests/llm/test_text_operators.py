@@ -223,10 +223,11 @@ def test_pieces(docs, none):
 
 def test_pieces_are_a_sample_without_replacement():
     v = pieces.load()
-    lattices = pieces.Lattices(v, [pieces.symbols("end▁ \U0001F600\n")])
+    lattices = pieces.Lattices(v)
+    kinds, _ = lattices.add([pieces.symbols("end▁ \U0001F600\n")])
     tally = {}
     for seed in range(1500):
-        found = pieces.segmentations(lattices, lattices.kind, 2, np.random.default_rng(seed))
+        found = pieces.segmentations(lattices, [kinds], 2, [np.random.default_rng(seed)])[0]
         for edges, logp, _, inclusion in found:
             n, p = tally.get(tuple(edges), (0.0, 0))
             tally[tuple(edges)] = (n + 1 / inclusion, np.exp(logp))
@@ -265,6 +266,23 @@ def test_top_k(spark):
     assert topk.top_k(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_piece_draws_do_not_depend_on_the_other_texts(monkeypatch):
+    v = pieces.load()
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda".split()
+    texts = [" ".join(words[(i * j) % 11] for j in range(i % 17)) + "é\u2581 x" * (i % 3) for i in range(60)]
+    keys = list(range(60))
+
+    def drawn(parts):
+        lattices = pieces.Lattices(v)
+        return [[(ids.tolist(), round(a, 9), round(b, 9)) for ids, a, b, _ in found]
+                for part in parts for _, found in pieces.encode(lattices, keys[part], texts[part], 3, 17)]
+    alone = drawn([slice(i, i + 1) for i in range(60)])
+    assert drawn([slice(0, 60)]) == alone and drawn([slice(0, 7), slice(7, 60)]) == alone
+    monkeypatch.setattr(pieces, "KEPT_UNITS", 5)
+    assert drawn([slice(i, i + 10) for i in range(0, 60, 10)]) == alone
+    assert all(len({tuple(ids) for ids, _, _ in found}) == len(found) for found in alone)
+
+
 def test_surrogates_of_all_short_values_end_and_are_distinct(spark):
     import itertools
     import string

@@ -35,7 +35,10 @@ SEED = 17
 SPACE = 0x2581          # stands for a space
 LITERAL = 0x110000      # stands for the character SPACE itself, which is written as bytes
 NO_MASS = 760.0         # exp(-NO_MASS) is 0
+BUCKET_BITS = 17
+KEPT_UNITS = 40_000     # lattices of units kept for the next slices of a task
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_TURN = np.uint64(0xD1B54A32D192ED03)
 
 
 @dataclass
@@ -50,6 +53,20 @@ class Vocabulary:
     first_byte: int
     byte_weight: float
     written: list[bytes]    # what each id stands for, spaces as such
+    bucket: np.ndarray      # where hashes with the same first bits begin
+    fullest: int            # most hashes of one bucket
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Place of each hash, -1 if it is not there."""
+        first = (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+        at, end = self.bucket[first], self.bucket[first + 1]
+        out = np.where(self.hashes[np.minimum(at, len(self.hashes) - 1)] == h, at, -1)
+        for j in range(1, self.fullest):
+            open_ = np.flatnonzero((out < 0) & (at + j < end))
+            hit = self.hashes[at[open_] + j] == h[open_]
+            out[open_[hit]] = at[open_[hit]] + j
+        out[at >= end] = -1
+        return out
 
     def decode(self, ids: list[int]) -> str:
         """The text of a segmentation."""
@@ -85,8 +102,10 @@ def load(path: str = MODEL) -> Vocabulary:
     single[[c[0] for c in codes if len(c) == 1]] = True
     first_byte = next(i for i, p in enumerate(model.pieces) if p.piece == "<0x00>")
     written = [bytes([i - first_byte]) if 0 <= i - first_byte < 256 else p.piece.replace(chr(SPACE), " ").encode() for i, p in enumerate(model.pieces)]
+    edges = np.arange(1 << BUCKET_BITS, dtype=np.uint64) << np.uint64(64 - BUCKET_BITS)
+    bucket = np.append(np.searchsorted(hashes, edges), len(hashes))
     return Vocabulary(hashes, piece, weight, single, max(map(len, codes)), first_byte,
-                      -float(np.log(len(model.pieces))), written)
+                      -float(np.log(len(model.pieces))), written, bucket, int(np.diff(bucket).max()))
 
 
 def _beginnings(codes: list[np.ndarray], ids: list[int], weights: list[float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -114,15 +133,29 @@ def symbols(text: str) -> np.ndarray:
 
 
 class Lattices:
-    """The lattices of the distinct units of some texts.
+    """The lattices of the distinct units of a task's texts, kept for its next slices up to KEPT_UNITS.
 
-    Places number the units' characters one after another. Edges are ordered by place; `upto` has at
-    each edge its place plus the probability of the place's edges up to it, likeliest first: a draw
-    takes the first edge that reaches it.
+    Places number the units' characters one after another. Edges are ordered by place, likeliest first; `upto` is
+    the probability of a place's edges up to this one: a draw takes the first edge that reaches it.
     """
 
-    def __init__(self, vocabulary: Vocabulary, texts: list[np.ndarray]) -> None:
-        v = vocabulary
+    PER_EDGE = ("place", "size", "piece", "logp", "p", "upto")
+    PER_PLACE = ("first", "options", "top")
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        self.vocabulary = vocabulary
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known = np.zeros(0, np.uint64)        # hashes of the units, ascending, and which unit each is
+        self.number = np.zeros(0, np.int64)
+        self.start = self.end = np.zeros(0, np.int64)
+        for name in (*self.PER_EDGE, *self.PER_PLACE):
+            setattr(self, name, np.zeros(0, np.float64 if name in ("logp", "p", "upto", "top") else np.int64))
+
+    def add(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The unit numbers of some texts in order, and where each text's begin (one more at the end)."""
+        v = self.vocabulary
         sizes = np.array([len(t) for t in texts])
         code = np.concatenate(texts) if texts else np.zeros(0, np.int64)
         loose = ~v.single[code]
@@ -137,25 +170,43 @@ class Lattices:
         upto = np.zeros(len(code) + 1, np.uint64)
         np.cumsum(sign * power[np.arange(len(code)) - np.repeat(begin, length)], out=upto[1:])
         h = mix((upto[begin + length] - upto[begin]) ^ number_hash(length))
-        _, first, kind = np.unique(h, return_index=True, return_inverse=True)
-        self.kind = kind                                   # of each unit of all texts in order
-        self.unit_edge = np.searchsorted(begin, np.concatenate([[0], np.cumsum(sizes)]))
-        n = length[first]
-        self.start = np.concatenate([[0], np.cumsum(n)[:-1]]).astype(np.int64)
-        self.end = self.start + n
-        at = np.repeat(begin[first] - self.start, n) + np.arange(n.sum())
-        self._edges(v, code[at], np.repeat(self.end, n))
-
-    def _edges(self, v: Vocabulary, code: np.ndarray, end: np.ndarray) -> None:
-        place = np.arange(len(code))
+        distinct, first, kind = np.unique(h, return_index=True, return_inverse=True)
+        if len(self.start) > KEPT_UNITS:
+            self._clear()
+        at = find(self.known, distinct)
+        new = np.flatnonzero(at < 0)
+        number = np.where(at >= 0, self.number[np.maximum(at, 0)] if len(self.number) else 0, 0)
+        if len(new):
+            number[new] = len(self.start) + np.arange(len(new))
+            n = length[first[new]]
+            begin_new = np.concatenate([[0], np.cumsum(n)[:-1]]).astype(np.int64)
+            chars = np.repeat(begin[first[new]] - begin_new, n) + np.arange(n.sum())
+            self._append(begin_new, n, self._edges(v, code[chars], np.repeat(begin_new + n, n)))
+            known = np.concatenate([self.known, distinct[new]])
+            order = np.argsort(known, kind="stable")
+            self.known, self.number = known[order], np.concatenate([self.number, number[new]])[order]
+        return number[kind], np.searchsorted(begin, np.concatenate([[0], np.cumsum(sizes)]))
+
+    def _append(self, begin: np.ndarray, n: np.ndarray, made: dict[str, np.ndarray]) -> None:
+        places, edges = len(self.options), len(self.place)
+        made["place"] = made["place"] + places
+        made["first"] = made["first"] + edges
+        for name in (*self.PER_EDGE, *self.PER_PLACE):
+            setattr(self, name, np.concatenate([getattr(self, name)[: places if name == "first" else None], made[name]]))
+        self.start = np.concatenate([self.start, begin + places])
+        self.end = np.concatenate([self.end, begin + places + n])
+
+    @staticmethod
+    def _edges(v: Vocabulary, code: np.ndarray, end: np.ndarray) -> dict[str, np.ndarray]:
+        """All edges and places of some units laid end to end."""
         where, sizes, ids, weights = [], [], [], []
-        h, live = np.zeros(len(code), np.uint64), place
+        h, live = np.zeros(len(code), np.uint64), np.arange(len(code))
         for size in range(1, v.longest + 1):
             live = live[live + size <= end[live]]
             if not len(live):
                 break
             h[live] = mix(h[live] * _STEP + code[live + size - 1].astype(np.uint64))
-            hit = find(v.hashes, h[live])
+            hit = v.find(h[live])
             live, hit = live[hit >= 0], hit[hit >= 0]     # no piece begins like the others
             got = v.ids[hit] >= 0
             where.append(live[got])
@@ -171,35 +222,31 @@ class Lattices:
         weights.append(n_bytes * v.byte_weight)
         place, size, piece, weight = (np.concatenate(x) for x in (where, sizes, ids, weights))
         order = np.argsort(place, kind="stable")
-        self.place, self.size, self.piece, weight = place[order], size[order], piece[order], weight[order]
-        self.first = np.searchsorted(self.place, np.arange(len(code) + 1))
+        place, size, piece, weight = place[order], size[order], piece[order], weight[order]
+        first = np.searchsorted(place, np.arange(len(code) + 1))
         beta = np.zeros(len(code) + 1)
         distance = end - np.arange(len(code))
         by_distance = np.argsort(distance, kind="stable")
         cut = np.searchsorted(distance[by_distance], np.arange(1, (distance.max() if len(code) else 0) + 2))
-        target = self.place + self.size
-        last = target == end[self.place]
+        target = place + size
+        last = target == end[place]
         for a, b in zip(cut[:-1], cut[1:], strict=True):
             at = by_distance[a:b]
-            n = self.first[at + 1] - self.first[at]
+            n = first[at + 1] - first[at]
             head = np.concatenate([[0], np.cumsum(n)[:-1]])
-            e = np.repeat(self.first[at] - head, n) + np.arange(n.sum())
+            e = np.repeat(first[at] - head, n) + np.arange(n.sum())
             beta[at] = np.logaddexp.reduceat(weight[e] + np.where(last[e], 0.0, beta[target[e]]), head)
-        self.logp = np.minimum(weight + np.where(last, 0.0, beta[target]) - beta[self.place], 0.0)
-        p = self._likeliest_first(np.exp(self.logp))
+        logp = np.minimum(weight + np.where(last, 0.0, beta[target]) - beta[place], 0.0)
+        p = np.exp(logp)
+        # each place's edges from the likeliest on, as most draws end with the first two
+        order = np.argsort(place - 0.5 * p, kind="stable")
+        size, piece, logp, p = size[order], piece[order], logp[order], p[order]
         total = np.concatenate([[0.0], np.cumsum(p)])
-        inside = total[1:] - total[self.first[self.place]]
-        self.upto = self.place + np.minimum(inside, 1.0)
-        self.upto[self.first[1:] - 1] = np.arange(len(code)) + 1.0
-        self.options = np.diff(self.first)
-        self.p = p
-        self.top = np.where(self.options > 1, p[self.first[:-1]], 1.0) if len(code) else p
-
-    def _likeliest_first(self, p: np.ndarray) -> np.ndarray:
-        """Order each place's edges from the likeliest on, as most draws end with the first two."""
-        order = np.argsort(self.place - 0.5 * p, kind="stable")
-        self.size, self.piece, self.logp = self.size[order], self.piece[order], self.logp[order]
-        return p[order]
+        upto = np.minimum(total[1:] - total[first[place]], 1.0)
+        upto[first[1:] - 1] = 1.0
+        options = np.diff(first)
+        top = np.where(options > 1, p[first[:-1]], 1.0) if len(code) else p
+        return {"place": place, "size": size, "piece": piece, "logp": logp, "p": p, "upto": upto, "first": first, "options": options, "top": top}
 
     def draw(self, place: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge from each place."""
@@ -207,7 +254,7 @@ class Lattices:
         other = np.flatnonzero(u >= self.top[place])
         if len(other):
             start = place[other]
-            want, at, end = start + u[other], e[other] + 1, self.first[start + 1] - 1
+            want, at, end = u[other], e[other] + 1, self.first[start + 1] - 1
             on = np.flatnonzero((self.upto[at] <= want) & (at < end))
             while len(on):
                 at[on] += 1
@@ -215,19 +262,23 @@ class Lattices:
             e[other] = at
         return e
 
-    def sample(self, kinds: np.ndarray, places: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
-        """Edges from the given places to the ends of their units, in order, and the unit of each."""
+    def sample(self, kinds: np.ndarray, places: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Edges from the given places to the ends of their units, in order, and the unit of each. A draw follows from the
+        unit's seed and the number of the step alone."""
         unit, steps, units = np.arange(len(kinds)), [], []
-        place, end = places.copy(), self.end[kinds]
+        place, end = places, self.end[kinds]
         live = place < end
-        unit, place, end = unit[live], place[live], end[live]
-        while len(unit):
-            e = self.draw(place, rng.random(len(unit)))
+        turn = np.zeros(1, np.uint64)
+        while True:
+            unit, place, end = unit[live], place[live], end[live]
+            if not len(unit):
+                break
+            turn = turn + _TURN
+            e = self.draw(place, (mix(seeds[unit] + turn) >> np.uint64(11)) * 2.0**-53)
             steps.append(e)
             units.append(unit)
             place = place + self.size[e]
             live = place < end
-            unit, place, end = unit[live], place[live], end[live]
         if not steps:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         edges, of = np.concatenate(steps), np.concatenate(units)
@@ -245,62 +296,115 @@ class _Path:
     taken: dict[int, list[int]]   # edges besides the path's that a region must avoid, too
 
 
-def segmentations(lattices: Lattices, kinds: np.ndarray, k: int, rng: np.random.Generator) -> list[tuple[np.ndarray, float, float, float]]:
-    """Up to k distinct segmentations of a chain of units: edges, log probability, perturbed one, inclusion."""
-    paths: list[_Path] = []
-    queue: list[tuple[float, int, int]] = []
+class _Search:
+    """The search for one text's segmentations; its draws of paths are made together with those of others."""
 
-    def gumbel(n: int | None = None) -> np.ndarray | float:
-        return -np.log(rng.standard_exponential(n) + 1e-300)
+    def __init__(self, lattices: Lattices, kinds: np.ndarray, k: int, rng: np.random.Generator) -> None:
+        self.lattices, self.kinds, self.k, self.rng = lattices, kinds, k, rng
+        self.paths: list[_Path] = []
+        self.queue: list[tuple[float, int, int]] = []
+        self.seed = rng.integers(0, 1 << 63, dtype=np.uint64)
 
-    def add(edges: np.ndarray, units: np.ndarray, bound: float, since: int, taken: list[int]) -> None:
-        logp = lattices.logp[edges]
-        upto = np.concatenate([[0.0], np.cumsum(logp)])
-        room = lattices.options[lattices.place[edges]] > 1
-        # regions beyond have no mass a double holds; cut only where k others come before them
-        n = int(np.searchsorted(-upto[:-1], NO_MASS))
-        n = n if n > since and np.count_nonzero(room[since + 1: n]) >= k else len(edges)
-        rest, room = 1 - lattices.p[edges[:n]], room[:n]
-        if taken:
-            rest[since] -= lattices.p[taken].sum()
-            room[since] = lattices.options[lattices.place[edges[since]]] > 1 + len(taken)
-        mass = np.where(room, upto[:n] + np.log(np.maximum(rest, 1e-300)), -np.inf)
-        mass[:since] = -np.inf
-        with np.errstate(over="ignore"):
-            left = -np.log(np.exp(-bound) + np.exp(-(mass + gumbel(n))))
-        left[~np.isfinite(mass)] = -np.inf
-        paths.append(_Path(edges, units, bound, left, upto, {since: taken} if taken else {}))
-        push(len(paths) - 1)
-
-    def push(i: int) -> None:
-        if len(paths[i].left):
-            j = int(paths[i].left.argmax())
-            if paths[i].left[j] > -np.inf:
-                heapq.heappush(queue, (-float(paths[i].left[j]), i, j))
-
-    add(*lattices.sample(kinds, lattices.start[kinds], rng), float(gumbel()), 0, [])
-    while queue and len(paths) < k:
-        bound, i, j = heapq.heappop(queue)
-        path = paths[i]
+    def seeds(self, unit: int) -> np.ndarray:
+        """The seeds of the next path's units from `unit` on."""
+        turn = number_hash(np.array([len(self.paths)])) ^ self.seed
+        return mix(turn) + np.arange(unit, len(self.kinds), dtype=np.uint64) * _STEP
+
+    def _gumbel(self, n: int | None = None) -> np.ndarray | float:
+        return -np.log(self.rng.standard_exponential(n) + 1e-300)
+
+    def first(self, edges: np.ndarray, units: np.ndarray) -> None:
+        self._add(edges, units, float(self._gumbel()), 0, [])
+
+    def leave(self) -> tuple[int, np.ndarray] | None:
+        """Take the region with the greatest bound: the unit at which its paths leave a known one, and from where the units
+        from there on are to be drawn. None when all are found."""
+        if not self.queue or len(self.paths) >= self.k:
+            return None
+        bound, i, j = heapq.heappop(self.queue)
+        lattices, path = self.lattices, self.paths[i]
         avoid = [*path.taken.get(j, []), int(path.edges[j])]
         place, unit = lattices.place[path.edges[j]], int(path.units[j])
-        options = np.setdiff1d(np.arange(lattices.first[place], lattices.first[place + 1]), avoid)
+        options = np.arange(lattices.first[place], lattices.first[place + 1])
+        options = options[~np.isin(options, avoid)]
         p = lattices.p[options]
-        e = int(options[min(np.searchsorted(np.cumsum(p), rng.random() * p.sum()), len(options) - 1)])
-        begin = lattices.start[kinds[unit:]].copy()
+        e = int(options[min(np.searchsorted(np.cumsum(p), self.rng.random() * p.sum()), len(options) - 1)])
+        begin = lattices.start[self.kinds[unit:]]
         begin[0] = place + lattices.size[e]
-        more, of = lattices.sample(kinds[unit:], begin, rng)
         path.left[j] = -np.inf
-        push(i)
-        add(np.concatenate([path.edges[:j], [e], more]).astype(np.int64), np.concatenate([path.units[:j], [unit], of + unit]).astype(np.int64),
-            -bound, j, avoid)
-    threshold = -queue[0][0] if queue else -np.inf
-    out = []
-    for path in paths:
-        logp = float(path.upto[-1])
-        kept = 1.0 if threshold == -np.inf else float(-np.expm1(-np.exp(min(logp - threshold, 50.0))))
-        out.append((path.edges, logp, path.bound, kept))
-    return out
+        self._push(i)
+        self.leaving = (-bound, path, j, unit, e, avoid)
+        return unit, begin
+
+    def onwards(self, edges: np.ndarray, units: np.ndarray) -> None:
+        """The path of the region taken, given what was drawn for its units."""
+        bound, path, j, unit, e, avoid = self.leaving
+        self._add(np.concatenate([path.edges[:j], [e], edges]).astype(np.int64),
+                  np.concatenate([path.units[:j], [unit], units + unit]).astype(np.int64), bound, j, avoid)
+
+    def _add(self, edges: np.ndarray, units: np.ndarray, bound: float, since: int, taken: list[int]) -> None:
+        lattices = self.lattices
+        upto = np.concatenate([[0.0], np.cumsum(lattices.logp[edges])])
+        options = lattices.options[lattices.place[edges]]
+        room = np.flatnonzero(options[since:] > 1) + since
+        # regions beyond have no mass a double holds; cut only where k others come before them
+        n = int(np.searchsorted(-upto[:-1], NO_MASS))
+        if n > since and np.count_nonzero((room > since) & (room < n)) >= self.k:
+            room = room[room < n]
+        rest = 1 - lattices.p[edges[room]]
+        if taken and len(room) and room[0] == since:
+            rest[0] -= lattices.p[taken].sum()
+            if options[since] <= 1 + len(taken):
+                room, rest = room[1:], rest[1:]
+        mass = upto[room] + np.log(np.maximum(rest, 1e-300))
+        left = np.full(len(edges), -np.inf)
+        with np.errstate(over="ignore"):
+            left[room] = -np.log(np.exp(-bound) + np.exp(-(mass + self._gumbel(len(room)))))
+        self.paths.append(_Path(edges, units, bound, left, upto, {since: taken} if taken else {}))
+        self._push(len(self.paths) - 1)
+
+    def _push(self, i: int) -> None:
+        left = self.paths[i].left
+        if len(left):
+            j = int(left.argmax())
+            if left[j] > -np.inf:
+                heapq.heappush(self.queue, (-float(left[j]), i, j))
+
+    def found(self) -> list[tuple[np.ndarray, float, float, float]]:
+        threshold = -self.queue[0][0] if self.queue else -np.inf
+        out = []
+        for path in self.paths:
+            logp = float(path.upto[-1])
+            kept = 1.0 if threshold == -np.inf else float(-np.expm1(-np.exp(min(logp - threshold, 50.0))))
+            out.append((path.edges, logp, path.bound, kept))
+        return out
+
+
+def _drawn(lattices: Lattices, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each (kinds, places, seeds) its edges and units, all drawn at once."""
+    if not parts:
+        return
+    ends = np.cumsum([len(p[0]) for p in parts])
+    edges, units = lattices.sample(*(np.concatenate([p[i] for p in parts]) for i in range(3)))
+    cut = np.searchsorted(units, np.concatenate([[0], ends]))
+    for a, b, end, part in zip(cut[:-1], cut[1:], ends, parts, strict=True):
+        yield edges[a:b], units[a:b] - (end - len(part[0]))
+
+
+def segmentations(lattices: Lattices, texts: list[np.ndarray], k: int, rngs: list[np.random.Generator]) -> list[list[tuple]]:
+    """For each chain of units up to k distinct segmentations: edges, log probability, perturbed one, inclusion."""
+    searches = [_Search(lattices, kinds, k, rng) for kinds, rng in zip(texts, rngs, strict=True)]
+    firsts = _drawn(lattices, [(s.kinds, lattices.start[s.kinds], s.seeds(0)) for s in searches])
+    for search, (edges, units) in zip(searches, firsts, strict=True):
+        search.first(edges, units)
+    open_ = searches
+    while open_:
+        leaving = [(s, way) for s in open_ if (way := s.leave())]
+        parts = [(s.kinds[unit:], begin, s.seeds(unit)) for s, (unit, begin) in leaving]
+        for (search, _), (edges, units) in zip(leaving, _drawn(lattices, parts), strict=True):
+            search.onwards(edges, units)
+        open_ = [s for s, _ in leaving]
+    return [s.found() for s in searches]
 
 
 def _ids(v: Vocabulary, piece: np.ndarray) -> np.ndarray:
@@ -321,20 +425,20 @@ def _ids(v: Vocabulary, piece: np.ndarray) -> np.ndarray:
     return np.concatenate([*parts, piece[at:]])
 
 
-def encode(v: Vocabulary, keys: list, texts: list[str], k: int, seed: int) -> Iterator[tuple[int, list]]:
+def encode(lattices: Lattices, keys: list, texts: list[str], k: int, seed: int) -> Iterator[tuple[int, list]]:
     """For each text its place and [(ids, log probability, perturbed, inclusion)], best first."""
+    v = lattices.vocabulary
     code = [symbols(t) if t else np.zeros(0, np.int64) for t in texts]
-    full = [c for c in code if len(c)]
-    lattices = Lattices(v, full) if full else None
-    j = 0
-    for i, (key, c) in enumerate(zip(keys, code, strict=True)):
-        if not len(c):
+    full = [i for i, c in enumerate(code) if len(c)]
+    if full:
+        kinds, edge = lattices.add([code[i] for i in full])
+        rngs = [np.random.Generator(np.random.Philox(key=[seed, zlib.crc32(repr(keys[i]).encode())])) for i in full]
+        found = dict(zip(full, segmentations(lattices, [kinds[a:b] for a, b in zip(edge[:-1], edge[1:])], k, rngs), strict=True))
+    for i in range(len(code)):
+        if not len(code[i]):
             yield i, [(np.zeros(0, np.int64), 0.0, 0.0, 1.0)]
-            continue
-        rng = np.random.Generator(np.random.Philox(key=[seed, zlib.crc32(repr(key).encode())]))
-        kinds = lattices.kind[lattices.unit_edge[j]: lattices.unit_edge[j + 1]]
-        j += 1
-        yield i, [(_ids(v, lattices.piece[e]), a, b, q) for e, a, b, q in segmentations(lattices, kinds, k, rng)]
+        else:
+            yield i, [(_ids(v, lattices.piece[e]), a, b, q) for e, a, b, q in found[i]]
 
 
 def sample(df: DataFrame, k: int = SAMPLES, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL, seed: int = SEED) -> DataFrame:
@@ -348,11 +452,12 @@ def sample(df: DataFrame, k: int = SAMPLES, id_col: str = "doc_id", text_col: st
     schema = f"doc_id {kind.simpleString()}, rank int, ids array<int>, log_prob double, perturbed double, inclusion double, round_trip boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattices = Lattices(v)
         for batch in batches:
             for first, last, _ in slices(batch.column(1), SLICE_BYTES // 2):
                 keys, texts = batch.column(0)[first:last], batch.column(1)[first:last].to_pylist()
                 rows, ranks, ids, numbers = [], [], [], []
-                for i, found in encode(v, keys.to_pylist(), texts, k, seed):
+                for i, found in encode(lattices, keys.to_pylist(), texts, k, seed):
                     for rank, (piece_ids, *scores) in enumerate(found, 1):
                         rows.append(i)
                         ranks.append(rank)
