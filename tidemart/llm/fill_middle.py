@@ -7,7 +7,7 @@ psm, the first two together with the last for spm. Restoring finds the sentinels
 them out. A text that is empty or holds a sentinel itself stays plain, so a sentinel found is always ours:
 no sentinel begins with what another one ends with.
 
-Units are found over the bytes of a slice of texts at once; memory is a slice and a copy of its longest text.
+Units are found over the bytes of a slice of texts at once; memory is an Arrow batch of texts and its outputs.
 
 Defined results: null counts as the empty text and comes out empty; a row without an id takes the hash of
 the bare seed; equal rows give equal results; other columns stay, those named like a result are replaced.

@@ -37,6 +37,7 @@ LITERAL = 0x110000      # stands for the character SPACE itself, which is writte
 NO_MASS = 760.0         # exp(-NO_MASS) is 0
 BUCKET_BITS = 17
 KEPT_UNITS = 40_000     # lattices of units kept for the next slices of a task
+BUILT = 4_000           # units whose lattices are built at a time
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _TURN = np.uint64(0xD1B54A32D192ED03)
 
@@ -178,10 +179,11 @@ class Lattices:
         number = np.where(at >= 0, self.number[np.maximum(at, 0)] if len(self.number) else 0, 0)
         if len(new):
             number[new] = len(self.start) + np.arange(len(new))
-            n = length[first[new]]
-            begin_new = np.concatenate([[0], np.cumsum(n)[:-1]]).astype(np.int64)
-            chars = np.repeat(begin[first[new]] - begin_new, n) + np.arange(n.sum())
-            self._append(begin_new, n, self._edges(v, code[chars], np.repeat(begin_new + n, n)))
+            for some in (new[i: i + BUILT] for i in range(0, len(new), BUILT)):
+                n = length[first[some]]
+                begin_new = np.concatenate([[0], np.cumsum(n)[:-1]]).astype(np.int64)
+                chars = np.repeat(begin[first[some]] - begin_new, n) + np.arange(n.sum())
+                self._append(begin_new, n, self._edges(v, code[chars], np.repeat(begin_new + n, n)))
             known = np.concatenate([self.known, distinct[new]])
             order = np.argsort(known, kind="stable")
             self.known, self.number = known[order], np.concatenate([self.number, number[new]])[order]
