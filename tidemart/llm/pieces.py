@@ -37,7 +37,7 @@ LITERAL = 0x110000      # stands for the character SPACE itself, which is writte
 NO_MASS = 760.0         # exp(-NO_MASS) is 0
 BUCKET_BITS = 17
 KEPT_UNITS = 40_000     # lattices of units kept for the next slices of a task
-BUILT = 4_000           # units whose lattices are built at a time
+BUILT = 8_000           # units whose lattices are built at a time
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _TURN = np.uint64(0xD1B54A32D192ED03)
 
