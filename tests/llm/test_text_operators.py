@@ -1,6 +1,8 @@
 """Each operator on small rows: nulls, empty and long texts, ties, repeated rows, empty tables, clashing names."""
 
 import itertools
+import math
+import random
 import re
 import zlib
 
@@ -242,14 +244,101 @@ def test_suffix_tree(docs, none):
     assert suffix_tree.score(docs, suffix_tree.fit(none)).where("n_known > 0").count() == 0
 
 
-def test_suffix_tree_probabilities_sum_to_one():
-    common, counts = np.array([3, 5, 8, 9]), np.array([40, 30, 20, 10])
-    tree = suffix_tree.Tree(common, counts, 100, 5)      # 5 symbols in all, so one share is left for a new one
-    tree.grow(np.array([3]), np.array([0]), np.array([40.0]), np.array([0, 0]), np.array([1, 2]), np.array([30.0, 5.0]))
-    p = 10 ** tree.log10(np.ones(4, np.int64), np.arange(4))[0]
-    root = (counts + 1) / 106
-    rest = 10 ** tree.rest[1] * (1 - root.sum())
-    assert len(tree.parent) == 2 and p.sum() + rest == pytest.approx(1)
+def _plain_suffix_tree(texts, least):
+    """The tree in plain Python: {context: {symbol: p}}, what is left to the suffix, the root's counts."""
+    counts = {}
+    for text in texts:
+        symbols = ["<end>", *text.split(), "<end>"]
+        for i in range(1, len(symbols)):
+            for d in range(1, i + 1):
+                after = counts.setdefault(tuple(symbols[i - d:i]), {})
+                after[symbols[i]] = after.get(symbols[i], 0) + 1
+    root = {}
+    for context, after in counts.items():
+        if len(context) == 1:
+            for symbol, n in after.items():
+                root[symbol] = root.get(symbol, 0) + n
+    total = sum(root.values()) + len(root) + 1
+    stated, rest, depth = {}, {}, 1
+    while True:
+        tried = [c for c, after in counts.items() if len(c) == depth and sum(after.values()) >= least and (depth == 1 or c[1:] in stated)]
+        kept = 0
+        for c in tried:
+            after = counts[c]
+            below = {s: stated[c[1:]][s] if depth > 1 else (root[s] + 1) / total for s in after}
+            occurs, kinds, gain = sum(after.values()), len(after), 0.0
+            for s, n in after.items():
+                own = max(n - 1 - 0.75, 0) + 0.75 * (kinds if n > 1 else kinds - 1) * below[s]
+                gain += n * math.log(own / (occurs - 1) / below[s])
+            if gain > 0.5 * math.log(occurs):
+                stated[c] = {s: (n - 0.75 + 0.75 * kinds * below[s]) / occurs for s, n in after.items()}
+                rest[c] = 0.75 * kinds / occurs
+                kept += 1
+        if not kept:
+            return stated, rest, root, total
+        depth += 1
+
+
+def _plain_p(tree, context, symbol):
+    stated, rest, root, total = tree
+    while context and context not in stated:
+        context = context[1:]
+    p = 1.0
+    while context:
+        if symbol in stated[context]:
+            return p * stated[context][symbol]
+        p *= rest[context]
+        context = context[1:]
+    return p * (root.get(symbol, 0) + 1) / total
+
+
+def _chained_texts(n):
+    """Texts of words that depend on up to four words before them, and passages that many share."""
+    rng = random.Random(7)
+    out = []
+    for i in range(n):
+        w = ["a", "b"]
+        while len(w) < 5 + i % 40:
+            deep = len(w) > 3 and w[-3:] == ["b", "b", "a"] and w[-4] in "abc" and rng.random() < 0.9
+            w.append({"a": "x", "b": "y", "c": "z"}[w[-4]] if deep else rng.choice("abc") if rng.random() < 0.997 else f"w{rng.randrange(50)}")
+        out.append(" ".join(w + "one shared passage of words in a row".split() * (i % 3 == 0)))
+    return [*out, "", "x", "never seen words"]
+
+
+@pytest.mark.parametrize("cached", [0, 60, suffix_tree.CACHED])
+def test_suffix_tree_as_in_plain_python(spark, cached, monkeypatch):
+    texts = _chained_texts(400)
+    if cached < suffix_tree.CACHED:
+        monkeypatch.setattr(suffix_tree, "COMMON", 50)      # most words then come by the join
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    model = suffix_tree.fit(df.where("doc_id % 5 <> 0"), least=5)
+    tree = _plain_suffix_tree([t for i, t in enumerate(texts) if i % 5], 5)
+    depth = max(map(len, tree[0]))
+    assert model.depth == depth >= 4
+    assert model.kept.count() == len(tree[0]) and model.pairs.count() == sum(map(len, tree[0].values()))
+    for r in suffix_tree.score(df, model, cached=cached).collect():
+        symbols = ["<end>", *texts[r["doc_id"]].split(), "<end>"]
+        base = sum(math.log10((tree[2].get(s, 0) + 1) / tree[3]) for s in symbols[1:])
+        p = sum(math.log10(_plain_p(tree, tuple(symbols[max(0, i - depth):i]), symbols[i])) for i in range(1, len(symbols)))
+        assert r["base_score"] == pytest.approx(base, abs=1e-9) and r["score"] == pytest.approx(p, abs=1e-9)
+        assert r["n_tokens"] == len(symbols) - 1 and r["n_known"] == sum(s in tree[2] for s in symbols[1:])
+    for context in list(tree[0])[:50]:
+        assert sum(_plain_p(tree, context, s) for s in tree[2]) + _plain_p(tree, context, "new") == pytest.approx(1)
+
+
+def test_suffix_tree_grows_with_the_input(spark):
+    """A context is kept for what follows it, however much other text there is."""
+    rng = random.Random(3)
+    phrase = ["red green blue stop"] * 30
+    other = [" ".join("w%d" % rng.randrange(300) for _ in range(100)) for _ in range(400)]
+    sizes = []
+    for texts in (phrase + other[:40], phrase + other):
+        model = suffix_tree.fit(spark.createDataFrame([(t,) for t in texts], "text string"))
+        kept = {r["context"] for r in model.kept.collect()}
+        red = suffix_tree.words(suffix_tree.Texts(np.frombuffer(b"red", np.uint8), np.array([0, 3]))).hash.view(np.int64)[0]
+        assert red in kept
+        sizes.append(model.n_tokens)
+    assert sizes[1] > 5 * sizes[0]
 
 
 def test_top_k(spark):
