@@ -265,14 +265,20 @@ def _plain_suffix_tree(texts, least):
         kept = 0
         for c in tried:
             after = counts[c]
-            below = {s: stated[c[1:]][s] if depth > 1 else (root[s] + 1) / total for s in after}
-            occurs, kinds, gain = sum(after.values()), len(after), 0.0
+            below = {s: stated[c[1:]][s] if depth > 1 else (root[s] + 1) / total for s, n in after.items() if n > 1}
+            occurs, once, gain = sum(after.values()), sum(n == 1 for n in after.values()), 0.0
+            if not below:
+                continue
+            free = 0.75 * len(below) + once
             for s, n in after.items():
-                own = max(n - 1 - 0.75, 0) + 0.75 * (kinds if n > 1 else kinds - 1) * below[s]
-                gain += n * math.log(own / (occurs - 1) / below[s])
+                if n == 1:
+                    gain += math.log((free - 1) / (occurs - 1))
+                else:
+                    own = n - 1.75 + free * below[s] if n > 2 else (free - 0.75 + 1) * below[s]
+                    gain += n * math.log(own / (occurs - 1) / below[s])
             if gain > 0.5 * math.log(occurs):
-                stated[c] = {s: (n - 0.75 + 0.75 * kinds * below[s]) / occurs for s, n in after.items()}
-                rest[c] = 0.75 * kinds / occurs
+                stated[c] = {s: (after[s] - 0.75 + free * below[s]) / occurs for s in below}
+                rest[c] = free / occurs
                 kept += 1
         if not kept:
             return stated, rest, root, total
@@ -335,8 +341,8 @@ def test_suffix_tree_grows_with_the_input(spark):
     for texts in (phrase + other[:40], phrase + other):
         model = suffix_tree.fit(spark.createDataFrame([(t,) for t in texts], "text string"))
         kept = {r["context"] for r in model.kept.collect()}
-        red = suffix_tree.words(suffix_tree.Texts(np.frombuffer(b"red", np.uint8), np.array([0, 3]))).hash.view(np.int64)[0]
-        assert red in kept
+        red = suffix_tree.words(suffix_tree.Texts(np.frombuffer(b"red", np.uint8), np.array([0, 3]))).hash.view(np.int64)
+        assert suffix_tree.coded(model.common, red)[0] in kept
         sizes.append(model.n_tokens)
     assert sizes[1] > 5 * sizes[0]
 
