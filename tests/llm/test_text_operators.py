@@ -311,13 +311,13 @@ def _chained_texts(n):
     return [*out, "", "x", "never seen words"]
 
 
-@pytest.mark.parametrize("cached", [0, 60, suffix_tree.CACHED])
-def test_suffix_tree_as_in_plain_python(spark, cached, monkeypatch):
+@pytest.mark.parametrize("cached, bits", [(0, 26), (60, 8), (suffix_tree.CACHED, 26)])
+def test_suffix_tree_as_in_plain_python(spark, cached, bits, monkeypatch):
     texts = _chained_texts(400)
     if cached < suffix_tree.CACHED:
         monkeypatch.setattr(suffix_tree, "COMMON", 50)      # most words then come by the join
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
-    model = suffix_tree.fit(df.where("doc_id % 5 <> 0"), least=5)
+    model = suffix_tree.fit(df.where("doc_id % 5 <> 0"), least=5, bits=bits)      # with few bits most contexts look kept
     tree = _plain_suffix_tree([t for i, t in enumerate(texts) if i % 5], 5)
     depth = max(map(len, tree[0]))
     assert model.depth == depth >= 4
