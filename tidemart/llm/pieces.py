@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm.common import named, text_of
-from tidemart.llm.text import SLICE_BYTES, find, list_array, mix, number_hash, slices
+from tidemart.llm.text import SLICE_BYTES, find, list_array, mix, number_hash, release, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
@@ -127,6 +127,11 @@ def _beginnings(codes: list[np.ndarray], ids: list[int], weights: list[float]) -
     return np.array(keys, np.uint64), np.array([found[k][0] for k in keys]), np.array([found[k][1] for k in keys])
 
 
+def _ranges(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """begin .. begin + n - 1 of each, one after another."""
+    return np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
 def symbols(text: str) -> np.ndarray:
     """Code points with spaces as SPACE and one in front."""
     code = np.frombuffer((" " + text).encode("utf-32-le"), np.uint32).astype(np.int64)
@@ -134,25 +139,46 @@ def symbols(text: str) -> np.ndarray:
 
 
 class Lattices:
-    """The lattices of the distinct units of a task's texts, kept for its next slices up to KEPT_UNITS.
+    """The lattices of the distinct units of a task's texts, kept for its next slices. Beyond KEPT_UNITS only those
+    that several slices had are kept on, half as many at most.
 
     Places number the units' characters one after another. Edges are ordered by place, likeliest first; `upto` is
-    the probability of a place's edges up to this one: a draw takes the first edge that reaches it.
+    the probability of a place's edges up to this one: a draw takes the first edge that reaches it. `rest` is the
+    probability of a place's other edges, 0 if it has none.
     """
 
-    PER_EDGE = ("place", "size", "piece", "logp", "p", "upto")
+    PER_EDGE = ("place", "size", "piece", "logp", "p", "upto", "rest")
+    SMALL = ("place", "size", "piece")
     PER_PLACE = ("first", "options", "top")
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
-        self._clear()
-
-    def _clear(self) -> None:
         self.known = np.zeros(0, np.uint64)        # hashes of the units, ascending, and which unit each is
         self.number = np.zeros(0, np.int64)
         self.start = self.end = np.zeros(0, np.int64)
+        self.slices = np.zeros(0, np.int64)        # how many slices had the unit, halved whenever some are dropped
         for name in (*self.PER_EDGE, *self.PER_PLACE):
-            setattr(self, name, np.zeros(0, np.float64 if name in ("logp", "p", "upto", "top") else np.int64))
+            setattr(self, name, np.zeros(0, np.int32 if name in self.SMALL else np.int64 if name in ("first", "options") else np.float64))
+
+    def _drop(self) -> None:
+        """Keep the units that two slices or more had, of these the most frequent ones."""
+        kept = np.flatnonzero(self.slices > 1)
+        kept = np.sort(kept[np.argsort(-self.slices[kept], kind="stable")[: KEPT_UNITS // 2]])
+        rank = np.full(len(self.start), -1)
+        rank[kept] = np.arange(len(kept))
+        left = rank[self.number] >= 0
+        self.known, self.number = self.known[left], rank[self.number[left]]
+        n = self.end[kept] - self.start[kept]
+        places = _ranges(self.start[kept], n)
+        edges = _ranges(self.first[places], self.options[places])
+        self.end = np.cumsum(n)
+        self.start = self.end - n
+        self.slices = self.slices[kept] // 2
+        self.options, self.top = self.options[places], self.top[places]
+        self.first = np.concatenate([[0], np.cumsum(self.options)]).astype(np.int64)
+        for name in self.PER_EDGE[1:]:
+            setattr(self, name, getattr(self, name)[edges])
+        self.place = np.repeat(np.arange(len(places), dtype=np.int32), self.options)
 
     def add(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """The unit numbers of some texts in order, and where each text's begin (one more at the end)."""
@@ -173,36 +199,45 @@ class Lattices:
         h = mix((upto[begin + length] - upto[begin]) ^ number_hash(length))
         distinct, first, kind = np.unique(h, return_index=True, return_inverse=True)
         if len(self.start) > KEPT_UNITS:
-            self._clear()
+            self._drop()
         at = find(self.known, distinct)
         new = np.flatnonzero(at < 0)
         number = np.where(at >= 0, self.number[np.maximum(at, 0)] if len(self.number) else 0, 0)
         if len(new):
             number[new] = len(self.start) + np.arange(len(new))
+            parts = []
             for some in (new[i: i + BUILT] for i in range(0, len(new), BUILT)):
                 n = length[first[some]]
                 begin_new = np.concatenate([[0], np.cumsum(n)[:-1]]).astype(np.int64)
                 chars = np.repeat(begin[first[some]] - begin_new, n) + np.arange(n.sum())
-                self._append(begin_new, n, self._edges(v, code[chars], np.repeat(begin_new + n, n)))
+                parts.append((begin_new, n, self._edges(v, code[chars], np.repeat(begin_new + n, n))))
+            self._append(parts)
             known = np.concatenate([self.known, distinct[new]])
             order = np.argsort(known, kind="stable")
             self.known, self.number = known[order], np.concatenate([self.number, number[new]])[order]
+        self.slices[number] += 1
         return number[kind], np.searchsorted(begin, np.concatenate([[0], np.cumsum(sizes)]))
 
-    def _append(self, begin: np.ndarray, n: np.ndarray, made: dict[str, np.ndarray]) -> None:
+    def _append(self, parts: list[tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]]) -> None:
         places, edges = len(self.options), len(self.place)
-        made["place"] = made["place"] + places
-        made["first"] = made["first"] + edges
+        self.first = self.first[:places]
+        starts, ends = [self.start], [self.end]
+        for begin, n, made in parts:
+            made["place"] += places
+            made["first"] = (made["first"] + edges)[: None if made is parts[-1][2] else -1]
+            starts.append(begin + places)
+            ends.append(begin + places + n)
+            places, edges = places + len(made["options"]), edges + len(made["place"])
+        self.start, self.end = np.concatenate(starts), np.concatenate(ends)
+        self.slices = np.concatenate([self.slices, np.zeros(len(self.start) - len(self.slices), np.int64)])
         for name in (*self.PER_EDGE, *self.PER_PLACE):
-            setattr(self, name, np.concatenate([getattr(self, name)[: places if name == "first" else None], made[name]]))
-        self.start = np.concatenate([self.start, begin + places])
-        self.end = np.concatenate([self.end, begin + places + n])
+            setattr(self, name, np.concatenate([getattr(self, name), *(made.pop(name) for _, _, made in parts)]))
 
     @staticmethod
     def _edges(v: Vocabulary, code: np.ndarray, end: np.ndarray) -> dict[str, np.ndarray]:
         """All edges and places of some units laid end to end."""
-        where, sizes, ids, weights = [], [], [], []
-        h, live = np.zeros(len(code), np.uint64), np.arange(len(code))
+        where, sizes, ids, weights, ranks = [], [], [], [], []
+        h, live, count = np.zeros(len(code), np.uint64), np.arange(len(code)), np.zeros(len(code), np.int64)
         for size in range(1, v.longest + 1):
             live = live[live + size <= end[live]]
             if not len(live):
@@ -211,10 +246,13 @@ class Lattices:
             hit = v.find(h[live])
             live, hit = live[hit >= 0], hit[hit >= 0]     # no piece begins like the others
             got = v.ids[hit] >= 0
-            where.append(live[got])
-            sizes.append(np.full(got.sum(), size))
-            ids.append(v.ids[hit[got]])
-            weights.append(v.weights[hit[got]])
+            here, hit = live[got], hit[got]
+            where.append(here)
+            sizes.append(np.full(len(here), size))
+            ids.append(v.ids[hit])
+            weights.append(v.weights[hit])
+            ranks.append(count[here])
+            count[here] += 1
         loose = np.flatnonzero(~v.single[code])
         n_bytes = 1 + (code[loose] > 0x7F) + (code[loose] > 0x7FF) + (code[loose] > 0xFFFF)
         n_bytes[code[loose] == LITERAL] = 3
@@ -222,10 +260,14 @@ class Lattices:
         sizes.append(np.ones(len(loose), np.int64))
         ids.append(-1 - code[loose])
         weights.append(n_bytes * v.byte_weight)
-        place, size, piece, weight = (np.concatenate(x) for x in (where, sizes, ids, weights))
-        order = np.argsort(place, kind="stable")
-        place, size, piece, weight = place[order], size[order], piece[order], weight[order]
-        first = np.searchsorted(place, np.arange(len(code) + 1))
+        ranks.append(count[loose])
+        count[loose] += 1
+        first = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
+        place = np.repeat(np.arange(len(code)), count)
+        order = np.empty(len(place), np.int64)     # by place, and there by size
+        at = first[np.concatenate(where)] + np.concatenate(ranks)
+        order[at] = np.arange(len(place))
+        size, piece, weight = (np.concatenate(x)[order] for x in (sizes, ids, weights))
         beta = np.zeros(len(code) + 1)
         distance = end - np.arange(len(code))
         by_distance = np.argsort(distance, kind="stable")
@@ -248,7 +290,9 @@ class Lattices:
         upto[first[1:] - 1] = 1.0
         options = np.diff(first)
         top = np.where(options > 1, p[first[:-1]], 1.0) if len(code) else p
-        return {"place": place, "size": size, "piece": piece, "logp": logp, "p": p, "upto": upto, "first": first, "options": options, "top": top}
+        rest = np.where(options[place] > 1, np.maximum(1 - p, 1e-300), 0.0)
+        return {"place": place.astype(np.int32), "size": size.astype(np.int32), "piece": piece.astype(np.int32), "logp": logp, "p": p,
+                "upto": upto, "rest": rest, "first": first, "options": options, "top": top}
 
     def draw(self, place: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge from each place."""
@@ -293,7 +337,7 @@ class _Path:
     edges: np.ndarray
     units: np.ndarray
     bound: float
-    left: np.ndarray        # bounds of the regions that leave the path at each edge, as far as they have mass
+    loss: np.ndarray        # what exp(-bound) of the regions that leave the path at each edge has above the path's; inf without mass
     upto: np.ndarray        # log probability before each edge
     taken: dict[int, list[int]]   # edges besides the path's that a region must avoid, too
 
@@ -312,11 +356,8 @@ class _Search:
         turn = number_hash(np.array([len(self.paths)])) ^ self.seed
         return mix(turn) + np.arange(unit, len(self.kinds), dtype=np.uint64) * _STEP
 
-    def _gumbel(self, n: int | None = None) -> np.ndarray | float:
-        return -np.log(self.rng.standard_exponential(n) + 1e-300)
-
     def first(self, edges: np.ndarray, units: np.ndarray) -> None:
-        self._add(edges, units, float(self._gumbel()), 0, [])
+        self._add(edges, units, float(-np.log(self.rng.standard_exponential() + 1e-300)), 0, [])
 
     def leave(self) -> tuple[int, np.ndarray] | None:
         """Take the region with the greatest bound: the unit at which its paths leave a known one, and from where the units
@@ -328,12 +369,12 @@ class _Search:
         avoid = [*path.taken.get(j, []), int(path.edges[j])]
         place, unit = lattices.place[path.edges[j]], int(path.units[j])
         options = np.arange(lattices.first[place], lattices.first[place + 1])
-        options = options[~np.isin(options, avoid)]
+        options = np.delete(options, np.array(avoid) - options[0])
         p = lattices.p[options]
         e = int(options[min(np.searchsorted(np.cumsum(p), self.rng.random() * p.sum()), len(options) - 1)])
         begin = lattices.start[self.kinds[unit:]]
         begin[0] = place + lattices.size[e]
-        path.left[j] = -np.inf
+        path.loss[j] = np.inf
         self._push(i)
         self.leaving = (-bound, path, j, unit, e, avoid)
         return unit, begin
@@ -347,30 +388,31 @@ class _Search:
     def _add(self, edges: np.ndarray, units: np.ndarray, bound: float, since: int, taken: list[int]) -> None:
         lattices = self.lattices
         upto = np.concatenate([[0.0], np.cumsum(lattices.logp[edges])])
-        options = lattices.options[lattices.place[edges]]
-        room = np.flatnonzero(options[since:] > 1) + since
+        rest = lattices.rest[edges[since:]]
+        room = np.flatnonzero(rest)
+        rest, room = rest[room], room + since
         # regions beyond have no mass a double holds; cut only where k others come before them
         n = int(np.searchsorted(-upto[:-1], NO_MASS))
         if n > since and np.count_nonzero((room > since) & (room < n)) >= self.k:
-            room = room[room < n]
-        rest = 1 - lattices.p[edges[room]]
+            room = room[: np.searchsorted(room, n)]
+            rest = rest[: len(room)]
         if taken and len(room) and room[0] == since:
             rest[0] -= lattices.p[taken].sum()
-            if options[since] <= 1 + len(taken):
+            if lattices.options[lattices.place[edges[since]]] <= 1 + len(taken):
                 room, rest = room[1:], rest[1:]
-        mass = upto[room] + np.log(np.maximum(rest, 1e-300))
-        left = np.full(len(edges), -np.inf)
+        # a Gumbel draw at mass m is -ln(e / m) for an exponential e; cut at the bound b it is -ln(exp(-b) + e / m)
+        loss = np.full(len(edges), np.inf)
         with np.errstate(over="ignore"):
-            left[room] = -np.log(np.exp(-bound) + np.exp(-(mass + self._gumbel(len(room)))))
-        self.paths.append(_Path(edges, units, bound, left, upto, {since: taken} if taken else {}))
+            loss[room] = (self.rng.standard_exponential(len(room)) + 1e-300) * np.exp(-upto[room]) / np.maximum(rest, 1e-300)
+        self.paths.append(_Path(edges, units, bound, loss, upto, {since: taken} if taken else {}))
         self._push(len(self.paths) - 1)
 
     def _push(self, i: int) -> None:
-        left = self.paths[i].left
-        if len(left):
-            j = int(left.argmax())
-            if left[j] > -np.inf:
-                heapq.heappush(self.queue, (-float(left[j]), i, j))
+        path = self.paths[i]
+        if len(path.loss):
+            j = int(path.loss.argmin())
+            if path.loss[j] < np.inf:
+                heapq.heappush(self.queue, (float(np.log(np.exp(-path.bound) + path.loss[j])), i, j))
 
     def found(self) -> list[tuple[np.ndarray, float, float, float]]:
         threshold = -self.queue[0][0] if self.queue else -np.inf
@@ -472,5 +514,7 @@ def sample(df: DataFrame, k: int = SAMPLES, id_col: str = "doc_id", text_col: st
                     [keys.take(pa.array(rows, pa.int64())), pa.array(ranks, pa.int32()), list_array(flat, sizes, pa.int32())]
                     + [pa.array(c, pa.float64()) for c in columns] + [pa.array(good, pa.bool_())],
                     ["doc_id", "rank", "ids", "log_prob", "perturbed", "inclusion", "round_trip"])
+        del lattices
+        release()
 
     return df.select(named(id_col), text_of(named(text_col))).mapInArrow(run, schema)

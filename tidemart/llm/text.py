@@ -6,6 +6,7 @@ not the batch. Words are runs of bytes other than white space (space and 0x09 to
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -64,6 +65,13 @@ def slices(column: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) -> Iter
         first = last
 
 
+def release() -> None:
+    """Give freed memory back to the system when a task is done, as workers stay for the stages that follow."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def powers(n: int, base: np.uint64) -> np.ndarray:
     """base^0 .. base^(n-1) modulo 2^64."""
     out = np.full(n, base, np.uint64)
