@@ -458,3 +458,30 @@ def test_pipeline(spark):
     assert found.where("NOT round_trip").count() == 0 and ids and ids <= {r[0] for r in docs.select("doc_id").collect()}
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, folder).columns == docs.columns
+
+
+def test_helper_columns_give_way_to_those_of_the_input(docs):
+    """A caller's columns named like an operator's own stay as they are, and results do not change."""
+    names = ["whole", "cut", "extra", "_hash", "_source", "_text_hash", "_heavy", "_before", "_inside", "_sha", "_salt", "_salts",
+             "_norm", "_place", "_first", "_count", "_hot_size", "_hot_id", "_prefix", "_gone", "_row", "_attempts", "_new", "Whole_"]
+    more = docs.drop("keep_id", "shard").select("*", *[F.lit(f"mine {n}").alias(n) for n in names])
+    slotted = sharding.with_slots(more, 4)
+    totals = sharding.slot_totals(slotted)
+    slot_map = more.sparkSession.createDataFrame([(1, s, s % 4, *totals[s]) for s in sorted(totals)], sharding.MAP_SCHEMA)
+    for found, plain, results in [
+            (mixing.mix(more), mixing.mix(docs), ["size", "target", "taken"]),
+            (exact_dedup.mark_copies(more), exact_dedup.mark_copies(docs), ["keep_id", "group_size", "kept"]),
+            (slotted, sharding.with_slots(docs, 4), ["size", "text_crc32", "virtual_slot"]),
+            (sharding.place(slotted, slot_map), None, ["shard", "slot"]),
+            (jaccard.keep_first(more), jaccard.keep_first(docs), ["text", "lang"]),
+            (pii.with_surrogates(more), pii.with_surrogates(docs), ["text", "n_entities"])]:
+        rows = found.collect()
+        assert all(r[n] == f"mine {n}" for r in rows for n in names)
+        assert plain is None or by_id(found, *results) == by_id(plain, *results)
+
+
+def test_a_text_of_many_rows_and_few_bytes_is_spread_over_slots(spark):
+    rows = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("some longer text "), "id")).alias("text"))
+    slotted = sharding.with_slots(rows, 16)
+    assert slotted.groupBy("virtual_slot").count().agg(F.max("count")).first()[0] < 30
+    assert slotted.count() == 3000 and slotted.select("text").where("text IS NULL").count() == 1000

@@ -28,6 +28,17 @@ def others(df: DataFrame, taken: Iterable[str]) -> list[Column]:
     return [named(c) for c in df.columns if c.lower() not in names]
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names like the given ones that no column of `df` has."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def text_of(column: Column) -> Column:
     """A text with null as the empty one."""
     return F.coalesce(column.cast("string"), F.lit(""))

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import SPACE, named, others, text_of
+from tidemart.llm.common import SPACE, free_names, named, others, text_of
 
 PARTS = 4096        # a text with more than 1/PARTS of all rows is split
 LEAST_HOT = 100     # and has at least so many rows
@@ -33,30 +33,32 @@ def mark_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     of `df` named like a result are replaced.
     """
     norm = F.regexp_replace(text_of(named(text_col)), SPACE, " ")
-    sha = F.unhex(F.sha2(norm, 256))
+    digest = F.unhex(F.sha2(norm, 256))
+    sha, prefix, salt, salts, full, place, first, count, hot_size, hot_id = free_names(
+        df, "_sha", "_prefix", "_salt", "_salts", "_norm", "_place", "_first", "_count", "_hot_size", "_hot_id")
     limit = max(df.count() / PARTS, LEAST_HOT)
-    hot = (df.select(sha.alias("_sha"), named(id_col).alias("_id"))
-           .groupBy("_sha").agg(F.count(F.lit(1)).alias("_hot_size"), F.min("_id").alias("_hot_id"))
-           .where(F.col("_hot_size") > limit)
-           .withColumn("_salts", F.ceil(F.col("_hot_size") / limit)))
-    dealt = (df.select(*others(df, RESULTS), sha.alias("_sha"),
-                       F.substring(norm.cast("binary"), 1, PREFIX_BYTES).alias("_prefix"))
-             .join(F.broadcast(hot), "_sha", "left")
-             .withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(named(id_col)), F.col("_salts")), F.lit(0)))
-             .repartitionByRange("_prefix", "_sha", "_salt")
-             .withColumn("_norm", norm))
-    equal = Window.partitionBy("_prefix", "_sha", "_salt", "_norm").orderBy(named(id_col).asc_nulls_last())
+    hot = (df.select(digest.alias(sha), named(id_col).alias("id"))
+           .groupBy(sha).agg(F.count(F.lit(1)).alias(hot_size), F.min("id").alias(hot_id))
+           .where(F.col(hot_size) > limit)
+           .withColumn(salts, F.ceil(F.col(hot_size) / limit)))
+    dealt = (df.select(*others(df, RESULTS), digest.alias(sha),
+                       F.substring(norm.cast("binary"), 1, PREFIX_BYTES).alias(prefix))
+             .join(F.broadcast(hot), sha, "left")
+             .withColumn(salt, F.coalesce(F.pmod(F.xxhash64(named(id_col)), F.col(salts)), F.lit(0)))
+             .repartitionByRange(prefix, sha, salt)
+             .withColumn(full, norm))
+    equal = Window.partitionBy(prefix, sha, salt, full).orderBy(named(id_col).asc_nulls_last())
     whole = equal.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    seen = (dealt.withColumn("_place", F.row_number().over(equal))
-            .withColumn("_first", F.first(named(id_col)).over(whole))
-            .withColumn("_count", F.count(F.lit(1)).over(whole)))
-    is_hot = F.col("_hot_size").isNotNull()
-    keep = F.when(is_hot, F.col("_hot_id")).otherwise(F.col("_first"))
+    seen = (dealt.withColumn(place, F.row_number().over(equal))
+            .withColumn(first, F.first(named(id_col)).over(whole))
+            .withColumn(count, F.count(F.lit(1)).over(whole)))
+    is_hot = F.col(hot_size).isNotNull()
+    keep = F.when(is_hot, F.col(hot_id)).otherwise(F.col(first))
     return seen.select(
         *others(df, RESULTS), keep.alias("keep_id"),
-        F.when(is_hot, F.col("_hot_size")).otherwise(F.col("_count")).alias("group_size"),
-        ((F.col("_place") == 1) & keep.eqNullSafe(named(id_col))).alias("kept"),
-        F.lower(F.hex("_sha")).alias("text_sha256"))
+        F.when(is_hot, F.col(hot_size)).otherwise(F.col(count)).alias("group_size"),
+        ((F.col(place) == 1) & keep.eqNullSafe(named(id_col))).alias("kept"),
+        F.lower(F.hex(sha)).alias("text_sha256"))
 
 
 def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

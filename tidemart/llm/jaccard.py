@@ -35,9 +35,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import named, text_of, written
+from tidemart.llm.common import free_names, named, text_of, written
 from tidemart.llm.components import components
-from tidemart.llm.text import Counter, Texts, bounds, find, list_array, mix, number_hash, slices, words
+from tidemart.llm.text import Counter, Texts, bounds, find, list_array, mix, number_hash, release, slices, words
 
 WORDS = 5
 LEAST_RARE = 32         # a word or shingle with at most so many occurrences is rare
@@ -48,6 +48,7 @@ NO_ID = 2**63 - 1       # stands for a missing id
 LINK_BLOCK = 128        # sets in a block of a large component, about
 LINK_BYTES = 4 << 20    # and bytes of their hashes
 LINK_BAND = 1.34        # ratio of a link band's bounds; above 4/3, so linked sets are at most one band apart
+MOST_BANDS = 100        # link bands of sets of up to 10^12 shingles, about
 PAIR_BIT = np.int64(1)  # lowest bit of a key made of two frequent shingles
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -178,6 +179,7 @@ def _rows(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0)[first:last], pa.array([len(h) for h in sets], pa.int64()),
                                                   pa.array(signs[:, 0]), pa.array(signs[:, 1]), pa.array([sketch(h) for h in sets], pa.binary())],
                                                  ["doc_id", "n", "s1", "s2", "bits"])
+        release()
 
     return docs.mapInArrow(read, "doc_id long, n long, s1 long, s2 long, bits binary")
 
@@ -207,6 +209,8 @@ def _word_counts(docs: DataFrame) -> DataFrame:
             for _, _, texts in slices(batch.column(1)):
                 seen.add(words(texts).hash.view(np.int64))
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in seen.merge()], ["value", "n"])
+        del seen
+        release()
 
     return docs.mapInArrow(count, "value long, n long")
 
@@ -219,6 +223,8 @@ def _shingle_counts(docs: DataFrame, common) -> DataFrame:  # noqa: ANN001  a br
             if rare.sum() <= len(h) // 4:
                 seen.add(h[~rare].view(np.int64))
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in seen.merge()], ["value", "n"])
+        del seen
+        release()
 
     return docs.mapInArrow(count, "value long, n long")
 
@@ -239,6 +245,7 @@ def _entries(docs: DataFrame, common, frequent) -> DataFrame:  # noqa: ANN001  b
                 ids, wns, keys, size = [], [], [], 0
         if ids:
             yield _entry_batch(ids, wns, keys)
+        release()
 
     return (docs.mapInArrow(index, "id long, wn long, keys array<long>")
             .select(F.explode("keys").alias("key"), "wn", "id"))
@@ -336,6 +343,7 @@ def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame) -> DataFrame:
                     same = [links(x, y) for x, (y, _) in zip(sets[a:b], shingles(right), strict=True)]
                     keep = pa.array(same, pa.bool_())
                     yield pa.RecordBatch.from_arrays([batch.column(i)[first + a: first + b].filter(keep) for i in (0, 1)], ["a", "b"])
+        release()
 
     limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(limit)
@@ -409,14 +417,15 @@ def _link_counts(docs: DataFrame, sets: DataFrame) -> DataFrame:
               .select(_set_id().alias("sid"), "h").groupBy("sid").agg(F.first("h").alias("h")))
     held = written(wanted.join(hashes, "sid").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / float(np.log(LINK_BAND))).cast("int")), "jaccard-sets")
 
+    known = lambda frame: F.broadcast(frame) if frame.count() <= BROADCAST_IDS // MOST_BANDS else frame
     large = held.where((F.col("g") > LINK_BLOCK) | (F.col("all") * 8 > LINK_BYTES))
-    blocks = (large.groupBy("component", "band").agg(F.greatest(F.ceil(F.count(F.lit(1)) / LINK_BLOCK), F.ceil(F.sum("n") * 8 / LINK_BYTES)).cast("int").alias("blocks"))
-              .groupBy("component").agg(F.map_from_entries(F.collect_list(F.struct("band", "blocks"))).alias("blocks")))
+    blocks = written(large.groupBy("component", "band").agg(F.greatest(F.ceil(F.count(F.lit(1)) / LINK_BLOCK), F.ceil(F.sum("n") * 8 / LINK_BYTES)).cast("int").alias("blocks"))
+              .groupBy("component").agg(F.map_from_entries(F.collect_list(F.struct("band", "blocks"))).alias("blocks")), "jaccard-blocks")
     upto = lambda c: F.when(F.col(c) > 0, F.sequence(F.lit(0), F.col(c) - 1)).otherwise(F.array().cast("array<int>"))
     place = lambda low, i, high, j, side: F.struct(low.alias("low"), i.alias("i"), high.alias("high"), j.alias("j"), F.lit(side).alias("side") if isinstance(side, int) else side.alias("side"))
     at, band = F.col("at"), F.col("band")
     of = lambda k: F.coalesce(F.element_at("blocks", k), F.lit(0))
-    spread = (held.join(F.broadcast(blocks), "component", "left")
+    spread = (held.join(known(blocks), "component", "left")
               .withColumn("same", F.when(F.col("blocks").isNull(), 1).otherwise(of(band))).withColumn("above", of(band + 1)).withColumn("below", of(band - 1))
               .withColumn("band", F.when(F.col("blocks").isNull(), 0).otherwise(band))
               .withColumn("at", F.pmod(F.xxhash64("sid", F.lit(7)), F.col("same")).cast("int"))
@@ -509,5 +518,6 @@ def _with_components(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFra
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows whose id is the smallest of their component, with the columns of `df`; rows without id stay."""
     _, found = _with_components(df, id_col, text_col)
-    found = found.where((F.col("doc_id") != F.col("component")) & (F.col("doc_id") != NO_ID)).select(F.col("doc_id").alias("_gone")).distinct()
-    return df.join(found, named(id_col).cast("long") == F.col("_gone"), "left_anti")
+    gone, = free_names(df, "_gone")
+    found = found.where((F.col("doc_id") != F.col("component")) & (F.col("doc_id") != NO_ID)).select(F.col("doc_id").alias(gone)).distinct()
+    return df.join(found, named(id_col).cast("long") == F.col(gone), "left_anti")

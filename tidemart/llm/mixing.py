@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import n_words, named, others, text_of, written
+from tidemart.llm.common import free_names, n_words, named, others, text_of, written
 
 SHARE = 1.5         # of all words
 MOST = 2            # passes over a source
@@ -120,13 +120,15 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     hashed = row_hash(named(id_col), named(text_col), seed)
     narrow = written(df.select(named(source_col).alias("source"), n_words(named(text_col)).alias("size"),
                                hashed.alias("hash")), "mix-sizes")
-    plan = plan_mix(narrow, weights, share, most).withColumnRenamed("source", "_source")
-    rows = df.select(*others(df, set(RESULTS) - {id_col, text_col, source_col}), hashed.alias("_hash"),
+    hash_, source, whole, cut = free_names(df, "_hash", "_source", "_whole", "_cut")
+    plan = plan_mix(narrow, weights, share, most).select(F.col("source").alias(source), "source_size", "target",
+                                                         F.col("whole").alias(whole), F.col("cut").alias(cut))
+    rows = df.select(*others(df, set(RESULTS) - {id_col, text_col, source_col}), hashed.alias(hash_),
                      n_words(named(text_col)).alias("size"))
-    return (rows.join(plan, named(source_col).eqNullSafe(F.col("_source")))
-            .withColumn("copies", F.col("whole") + (F.col("_hash") <= F.col("cut")).cast("long"))
+    return (rows.join(plan, named(source_col).eqNullSafe(F.col(source)))
+            .withColumn("copies", F.col(whole) + (F.col(hash_) <= F.col(cut)).cast("long"))
             .withColumn("taken", F.col("size") * F.col("copies"))
-            .drop("_hash", "_source", "whole", "cut", "extra"))
+            .drop(hash_, source, whole, cut))
 
 
 def mixed_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:

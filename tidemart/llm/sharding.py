@@ -13,10 +13,10 @@ import heapq
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import named, others, text_of, written
+from tidemart.llm.common import free_names, named, others, text_of, written
 
 SLOTS = 4096
-SPREAD = 8          # a text with more than 1/SPREAD of a shard's bytes is spread
+SPREAD = 8          # a text with more than 1/SPREAD of a shard's bytes or rows is spread
 
 RESULTS = ["size", "text_crc32", "virtual_slot", "shard", "slot"]
 MAP_SCHEMA = "version int, virtual_slot int, shard int, bytes long, n_rows long"
@@ -30,15 +30,17 @@ def with_slots(df: DataFrame, shards: int, slots: int = SLOTS, id_col: str = "do
     text = text_of(named(text_col))
     size = (F.octet_length(text) + 1).cast("long")
     same = F.xxhash64(text)
-    copies = (df.select(same.alias("_text_hash"), size.alias("size")).groupBy("_text_hash").agg(F.sum("size").alias("bytes")))
+    hash_, heavy_ = free_names(df, "_text_hash", "_heavy")
+    copies = (df.select(same.alias(hash_), size.alias("size")).groupBy(hash_).agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")))
     copies = written(copies, "shard-texts")
-    total = copies.agg(F.sum("bytes")).first()[0] or 0
-    heavy = copies.where(F.col("bytes") > total / (shards * SPREAD)).select("_text_hash", F.lit(True).alias("_heavy"))
-    spread = F.when(F.col("_heavy"), F.xxhash64("_text_hash", named(id_col))).otherwise(F.xxhash64("_text_hash"))
-    return (df.select(*others(df, RESULTS), same.alias("_text_hash"), size.alias("size"), F.crc32(text).alias("text_crc32"))
-            .join(F.broadcast(heavy), "_text_hash", "left")
+    total, rows = (x or 0 for x in copies.agg(F.sum("bytes"), F.sum("n")).first())
+    parts = shards * SPREAD
+    heavy = copies.where((F.col("bytes") > total / parts) | (F.col("n") > max(rows / parts, 1))).select(hash_, F.lit(True).alias(heavy_))
+    spread = F.when(F.col(heavy_), F.xxhash64(hash_, named(id_col))).otherwise(F.xxhash64(hash_))
+    return (df.select(*others(df, RESULTS), same.alias(hash_), size.alias("size"), F.crc32(text).alias("text_crc32"))
+            .join(F.broadcast(heavy), hash_, "left")
             .withColumn("virtual_slot", F.pmod(spread, F.lit(slots)).cast("int"))
-            .drop("_text_hash", "_heavy"))
+            .drop(hash_, heavy_))
 
 
 def slot_totals(slotted: DataFrame, slots: int = SLOTS) -> dict[int, tuple[int, int]]:
@@ -136,11 +138,12 @@ def place(slotted: DataFrame, slot_map: DataFrame, id_col: str = "doc_id") -> Da
     before it in the shard end. The map has a fixed number of rows and is broadcast.
     """
     before = F.sum("n_rows").over(Window.partitionBy("shard").orderBy("virtual_slot")) - F.col("n_rows")
-    starts = slot_map.select("virtual_slot", "shard", before.alias("_before"))
+    before_, inside_ = free_names(slotted, "_before", "_inside")
+    starts = slot_map.select("virtual_slot", "shard", before.alias(before_))
     inside = F.row_number().over(Window.partitionBy("virtual_slot").orderBy(named(id_col).asc_nulls_last(), "text_crc32"))
-    return (slotted.withColumn("_inside", inside).join(F.broadcast(starts), "virtual_slot")
-            .withColumn("slot", (F.col("_before") + F.col("_inside") - 1).cast("long"))
-            .drop("_before", "_inside"))
+    return (slotted.withColumn(inside_, inside).join(F.broadcast(starts), "virtual_slot")
+            .withColumn("slot", (F.col(before_) + F.col(inside_) - 1).cast("long"))
+            .drop(before_, inside_))
 
 
 def write_shards(placed: DataFrame, path: str) -> None:
