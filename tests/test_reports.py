@@ -1,7 +1,9 @@
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from tidemart import schemas
-from tidemart.plans import reports
+from tidemart.plans import batch, reports
 
 
 def visits(spark, *rows):
@@ -40,3 +42,19 @@ def test_detail_page_counts_all_hits(spark):
     got = reports.sale_detail_page(wide, users, "2022-01-01", "ring", 3, 20).collect()
     assert [(r["order_detail_id"], r["total"], r["user_age"]) for r in got] == [("040", 41, 33)]
     assert reports.sale_detail_page(wide, users, "2022-01-01", "", 1, 100).count() == 45
+
+
+def test_registered_detail_page_has_twenty_of_all_lines_of_the_day(spark, tmp_path):
+    day = datetime(1998, 6, 15)
+    tables = {
+        "orders": spark.createDataFrame([(n, 1, "O", 100.0, day, "1") for n in range(5)], "o_orderkey long, o_custkey long, o_orderstatus string, "
+                                        "o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"),
+        "lineitem": spark.createDataFrame([(n % 5, 3, 2, n // 5, 40.0, 4.0) for n in range(25)], "l_orderkey long, l_partkey long, "
+                                          "l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double"),
+        "customer": spark.createDataFrame([(1, 5, 1.0, "S")], "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        "part": spark.createDataFrame([(3, "a b", "Brand#12", "T", 1.0)], "p_partkey long, p_name string, p_brand string, "
+                                      "p_type string, p_retailprice double")}
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    got = batch.batch_queries()["sale_detail_page"](spark, str(tmp_path)).collect()
+    assert len(got) == 20 and {(r["total"], r["sku_tm_id"]) for r in got} == {(25, "12")}
