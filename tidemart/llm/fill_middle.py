@@ -7,7 +7,8 @@ psm, the first two together with the last for spm. Restoring finds the sentinels
 them out. A text that is empty or holds a sentinel itself stays plain, so a sentinel found is always ours:
 no sentinel begins with what another one ends with.
 
-Units are found over the bytes of a slice of texts at once; memory is an Arrow batch of texts and its outputs.
+Units are found over the bytes of a slice of texts at once; memory is an Arrow batch of texts, its outputs and what a
+slice needs (some fifty bytes a byte of text). Freed memory goes back to the system after every batch.
 
 Defined results: null counts as the empty text and comes out empty; a row without an id takes the hash of
 the bare seed; equal rows give equal results; other columns stay, those named like a result are replaced.
@@ -24,10 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm.common import named, others, text_of
-from tidemart.llm.text import Texts, slices
+from tidemart.llm.text import Texts, release, slices
 
 PREFIX, SUFFIX, MIDDLE = b"<P>", b"<S>", b"<M>"
 SEED = 1
+SLICE = 1 << 20   # bytes of texts worked on at once
 FIM_PERCENT = 90
 SPM_PERCENT = 20
 
@@ -111,16 +113,17 @@ def transform(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", see
     """`df` with `n` (units), `form` (plain, psm or spm), `prefix_chars`, `middle_chars` (null if plain) and `output`."""
     result = "struct<n:bigint,form:string,prefix_chars:bigint,middle_chars:bigint,output:string>"
 
+    kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary())
+
     @F.arrow_udf(result)
     def make(ids: pa.Array, text: pa.Array) -> pa.Array:
-        keys, columns = ids.to_pylist(), [[] for _ in RESULTS]
-        for first, last, texts in slices(text):
-            for row in transformed(keys[first:last], texts, seed, fim_percent, spm_percent):
-                for column, value in zip(columns, row, strict=True):
-                    column.append(value)
-        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary())
-        arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-        return pa.StructArray.from_arrays([*arrays[:-1], arrays[-1].cast(pa.string())], list(RESULTS))
+        parts = []
+        for first, last, texts in slices(text, SLICE):
+            rows = transformed(ids[first:last].to_pylist(), texts, seed, fim_percent, spm_percent)
+            arrays = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+            parts.append(pa.StructArray.from_arrays([*arrays[:-1], arrays[-1].cast(pa.string())], list(RESULTS)))
+        release()
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.struct([*zip(RESULTS, (*kinds[:-1], pa.string()), strict=True)]))
 
     made = make(named(id_col).cast("string"), text_of(named(text_col)))
     return df.select(F.struct(*others(df, RESULTS)).alias("_row"), made.alias("_made")).select(
@@ -131,9 +134,11 @@ def restored(output, form):
     """The text of an output, as a column."""
     @F.arrow_udf("string")
     def back(outputs: pa.Array, forms: pa.Array) -> pa.Array:
-        texts = (restore(texts.data[a:b].tobytes(), f) for first, last, texts in slices(outputs)
-                 for a, b, f in zip(texts.offsets[:-1], texts.offsets[1:], forms[first:last].to_pylist(), strict=True))
-        return pa.array(list(texts), pa.binary()).cast(pa.string())
+        parts = [pa.array([restore(texts.data[a:b].tobytes(), f) for a, b, f in
+                           zip(texts.offsets[:-1], texts.offsets[1:], forms[first:last].to_pylist(), strict=True)],
+                          pa.binary()).cast(pa.string()) for first, last, texts in slices(outputs, SLICE)]
+        release()
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
     return back(output, form)
 
