@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemart import schemas
 from tidemart.functions.times import event_time
 from tidemart.operators import cdc
+from tidemart.plans import streams
 from tidemart.session import new_workdir
 from tidemart.sources.rollups import read_sums
 from tidemart.sources.sinks import latest_rows, read_batches, read_dim, read_documents, upsert_dim
@@ -344,3 +346,29 @@ def test_unfinished_orders_are_given_out_once(spark, work, rows):
     put(spark, f"{work}/in", wide_message(4, 1, 5, 5, 5, time="2022-01-01 12:00:00"))
     assert run() == want
     assert rows(read_batches(spark, f"{work}/done", schemas.DONE_ORDER), "order_id", "rest") == [(2, 0), (3, 0), (4, 0)]
+
+
+def test_staged_rounds_go_into_a_topic_packed_and_without_a_copy(spark, work, rows):
+    df = spark.createDataFrame([("a", 0), ("b", 0), ("c", 2)], "value string, round int")
+    parts = streams._staged(df, 3, f"{work}/staged")
+    tick = spark.createDataFrame([("tick",)], "value string")
+    seen = []
+    for _ in streams._rounds(spark, {f"{work}/topic": [(parts[0], tick), *parts[1:]]}):
+        run_once(jobs.store_counts(file_topic(spark, f"{work}/topic"), f"{work}/out"), f"{work}/cp")
+        seen.append(spark.read.text(f"{work}/topic", recursiveFileLookup=True).count())
+    assert seen == [3, 3, 4]
+    files = [f for folder in ("topic", "staged") for _, _, fs in os.walk(f"{work}/{folder}") for f in fs if f.startswith("part-")]
+    assert files and all(f.endswith(".gz") for f in files)
+    assert not [f for _, _, fs in os.walk(f"{work}/staged") for f in fs if f.startswith("part-")]
+
+
+def test_a_batch_of_messages_is_not_kept_beside_its_topic(spark, work):
+    kept = []
+
+    def sink(df, n):
+        kept.append(df.storageLevel.useMemory)
+
+    put(spark, f"{work}/in", {"a": 1})
+    run_once(each_batch(file_topic(spark, f"{work}/in"), sink), f"{work}/cp1")
+    run_once(each_batch(file_topic(spark, f"{work}/in"), sink, keep=False), f"{work}/cp2")
+    assert kept == [True, False]
