@@ -372,3 +372,12 @@ def test_a_batch_of_messages_is_not_kept_beside_its_topic(spark, work):
     run_once(each_batch(file_topic(spark, f"{work}/in"), sink), f"{work}/cp1")
     run_once(each_batch(file_topic(spark, f"{work}/in"), sink, keep=False), f"{work}/cp2")
     assert kept == [True, False]
+
+
+def test_a_join_keeps_one_store_a_partition(spark, work):
+    put(spark, f"{work}/o", {"id": 1, "create_time": "2022-01-01 10:00:00"})
+    put(spark, f"{work}/d", {"id": 5, "order_id": 1, "create_time": "2022-01-01 10:00:01"})
+    out = jobs.widen_orders(file_topic(spark, f"{work}/o"), file_topic(spark, f"{work}/d"), salts=2)
+    run_once(out.writeStream.format("parquet").option("path", f"{work}/wide"), f"{work}/cp")
+    assert spark.read.parquet(f"{work}/wide").count() == 1
+    assert not [d for d, _, _ in os.walk(f"{work}/cp/state") if d.endswith(("-keyToNumValues", "-keyWithIndexToValue"))]
