@@ -63,3 +63,21 @@ def test_query_equals_sql(spark):
     duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{FOLDER}/documents.parquet'")
     got = normal(collected(queries.op13_rotated_middle(spark, FOLDER)))
     assert got.equals(normal(duck.execute(fill_middle.ORACLE).df()))
+
+
+def test_a_batch_of_texts_is_worked_on_in_small_slices():
+    """Beside the texts and the outputs a slice's arrays are all that is held, however many texts a batch has."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tidemart.llm.text import slices
+
+    column = pa.array(["some words, and 12 signs. " * 100] * 3000)
+    tracemalloc.start()
+    n = 0
+    for first, last, texts in slices(column, fill_middle.SLICE):
+        n += sum(1 for _ in fill_middle.transformed([*range(first, last)], texts, 1, 90, 20))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 3000 and peak < 64 << 20
