@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from tidemart import schemas
 from tidemart.functions import money, people, text, times
-from tidemart.functions.records import as_messages, parse_records, unreadable_records
+from tidemart.functions.records import as_messages, parse_records, split_readable, unreadable_records
 
 
 def one(spark, column):
@@ -77,6 +77,22 @@ def test_numbers_sent_as_text(spark, rows):
     assert rows(unreadable_records(df, schemas.ORDER_INFO)) == [('{"id":"seven"}',), ('{"id":',)]
 
 
+def test_numbers_are_read_as_numbers_and_odd_ones_by_their_text(spark, rows, capsys):
+    sent = ['{"id":1,"final_total_amount":1.50,"order_status":"O"}', '{"id":"2","final_total_amount":"NaN"}',
+            '{"id":3,"final_total_amount":NaN}', '{"id":4,"final_total_amount":1e999}', '{"id":5.5}', '{"id":"6","id":7}',
+            '{"id":99999999999999999999}', '{"id":true}', '{"id":""}', '{"id":8,"order_status":9}', '[{"id":10}]', "null"]
+    df = spark.createDataFrame([(v,) for v in sent], "value string")
+    good = parse_records(df, schemas.ORDER_INFO)
+    assert rows(good.selectExpr("id", "string(final_total_amount)", "order_status")) == [
+        (1, "1.5", "O"), (2, "NaN", None), (7, None, None), (8, None, "9")]
+    left = {r[0] for r in unreadable_records(df, schemas.ORDER_INFO).collect()}
+    assert left == {sent[i] for i in (2, 3, 4, 6, 7, 8, 10, 11)}
+    out = split_readable(df, schemas.ORDER_INFO)[1]
+    assert {sent[i] for i in (2, 4, 6, 7, 8)} <= {r["value"] for r in out.where("reason = 'number'").collect()}
+    good.explain()
+    assert "StructField(id,LongType" in capsys.readouterr().out
+
+
 def test_words_of_scripts_without_spaces(spark):
     def found(title, query):
         return one(spark, text.matches_any_word(F.lit(title), query))

@@ -332,6 +332,25 @@ def test_lines_without_an_order_are_given_out_and_late_ones_counted(spark, work,
     assert rows(wide) == [("1",), ("10",), ("8",)]
 
 
+def test_a_batch_writes_down_the_changes_of_its_state(spark, work, rows):
+    """Not the whole stores; a restarted query finds the state of the runs before."""
+    topic = f"{work}/wide"
+
+    def run():
+        run_once(jobs.store_complete(jobs.complete_orders(file_topic(spark, topic)), f"{work}/done"), f"{work}/cp")
+
+    def line(order_id, detail_id):
+        return {"order_id": order_id, "order_detail_id": detail_id, "sku_price": 5.0, "sku_num": 1, "original_total_amount": 10.0,
+                "final_total_amount": 9.0, "create_time": "2020-01-01 10:00:00", "dt": "2020-01-01"}
+    put(spark, topic, line(1, 11), line(2, 21))
+    run()
+    put(spark, topic, line(1, 12))
+    run()
+    assert rows(read_batches(spark, f"{work}/done", schemas.DONE_ORDER), "order_id", "last_id", "rest") == [(1, 12, 0)]
+    kept = [f for _, _, files in os.walk(f"{work}/cp/state") for f in files]
+    assert any(f.endswith(".changelog") for f in kept)
+
+
 def test_unfinished_orders_are_given_out_once(spark, work, rows):
     def run():
         topic = f"{work}/in"
