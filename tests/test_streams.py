@@ -9,8 +9,10 @@ from tidemart.functions.times import event_time
 from tidemart.operators import cdc
 from tidemart.plans import streams
 from tidemart.session import new_workdir
+from tidemart.sources import fixtures
 from tidemart.sources.rollups import read_sums
 from tidemart.sources.sinks import latest_rows, read_batches, read_dim, read_documents, upsert_dim
+from tidemart.sources.tables import parquet_tables
 from tidemart.sources.topics import append_file_topic, file_topic, to_console
 from tidemart.streaming import jobs
 from tidemart.streaming.run import each_batch, late_rows, run_once
@@ -332,6 +334,21 @@ def test_lines_without_an_order_are_given_out_and_late_ones_counted(spark, work,
     assert rows(wide) == [("1",), ("10",), ("8",)]
 
 
+def test_lines_are_read_once_and_sku_messages_by_all_cores(spark, work, rows):
+    lines = [{"id": i, "order_id": i, "sku_id": i % 3, "order_price": 1.0, "sku_num": 1} for i in range(50)]
+    put(spark, f"{work}/in", *lines)
+    query = run_once(jobs.enrich_details(file_topic(spark, f"{work}/in"), f"{work}/dims", f"{work}/out"), f"{work}/cp")
+    assert spark.read.text(f"{work}/out", recursiveFileLookup=True).count() == 50
+    assert sum(p["numInputRows"] for p in query.recentProgress) < 100
+    spark.createDataFrame([(i, "a b", "Brand#1", "T", 1.5) for i in range(9)],
+                          "p_partkey long, p_name string, p_brand string, p_type string, p_retailprice double") \
+        .coalesce(1).write.parquet(f"{work}/t/part.parquet")
+    tables = parquet_tables(spark, f"{work}/t")
+    spread = fixtures.sku_info(tables, spread=True)
+    assert spread.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert rows(spread) == rows(fixtures.sku_info(tables))
+
+
 def test_a_batch_writes_down_the_changes_of_its_state(spark, work, rows):
     """Not the whole stores; a restarted query finds the state of the runs before."""
     topic = f"{work}/wide"
