@@ -1,9 +1,11 @@
 import re
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from tidemart import schemas
 from tidemart.operators import cdc, dau, dims, orders, search, stats, wide
+from tidemart.plans import batch
 
 
 def order_rows(spark, *rows):
@@ -263,3 +265,33 @@ def test_keys_are_broadcast_only_when_few(spark, rows):
         return df.count(), "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
     assert joined(5) == (5, True)
     assert joined(4) == (5, False)
+
+
+def test_order_wide_deals_orders_twice_and_lines_without_names(spark, tmp_path):
+    """Its exchanges, none saved by a broadcast of a large table: names of products, brands and categories stay out of them."""
+    def table(name, columns, *data):
+        spark.createDataFrame(list(data), columns).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    day = datetime(1998, 1, 1)
+    table("region", "r_regionkey int, r_name string", (0, "R"))
+    table("nation", "n_nationkey int, n_name string, n_regionkey int", (0, "N", 0))
+    table("customer", "c_custkey long, c_nationkey int, c_mktsegment string", (1, 0, "S"), (2, None, "S"))
+    table("part", "p_partkey long, p_name string, p_brand string, p_type string, p_retailprice double",
+          (1, "red ring", "Brand#7", "LARGE", 1.0), (2, None, None, None, None))
+    table("orders", "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz",
+          (1, 1, "O", 10.0, day), (2, 1, "O", 5.0, day), (3, 9, "F", 1.0, day), (4, 2, "F", 0.0, day))
+    table("lineitem", "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double",
+          (1, 1, 1, 1, 1.0, 10.0), (1, 2, 1, 2, 1.0, 10.0), (1, 1, 1, 3, 1.0, 10.0), (2, 8, 1, 1, 2.0, 5.0), (3, 1, 1, 1, 1.0, 1.0))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        df = batch.batch_queries()["order_wide"](spark, str(tmp_path))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(threshold, before)
+    assert plan.count("Exchange hashpartitioning(user_id") + plan.count("Exchange hashpartitioning(province_id") == 2   # users, first orders
+    assert [(r.order_id, r.order_detail_id // 100_000_000 % 10, r.final_detail_amount, r.if_first_order, r.province_name, r.tm_name, r.category3_name,
+             r.spu_name, r.dt) for r in df.orderBy("order_detail_id").collect()] == [
+        (1, 1, 3.33, "0", "N", "Brand#7", "LARGE", "red ring", "1998-01-01"), (1, 2, 3.33, "0", "N", None, None, None, "1998-01-01"),
+        (1, 3, 3.34, "0", "N", "Brand#7", "LARGE", "red ring", "1998-01-01"), (2, 1, 5.0, "1", "N", None, None, None, "1998-01-01"),
+        (3, 1, 1.0, "1", None, "Brand#7", "LARGE", "red ring", "1998-01-01")]
