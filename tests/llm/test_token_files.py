@@ -38,6 +38,24 @@ def test_words_give_what_the_library_gives_over_whole_texts(library, monkeypatch
     assert got == want
 
 
+def test_words_end_at_signs_and_digits_after_letters_and_are_lowered(library):
+    """Few distinct words, so that few are encoded; what is not surely one of the normaliser's letters stays as it is."""
+    texts = pa.array(["Réré, ÉA&&& éa×b Ab12 x|Y, <|endoftext|>É", "e\u0301, \u00c9\u0323. É"], pa.string())
+    (_, _, part), = slices(texts)
+    words, per_row = token_files.chunks(part)
+    assert [w.decode() for w in words.to_pylist()] == ["réré", ",", "éa", "&&&", "éa×b", "ab", "12", "x|Y", ",", "<|endoftext|>É",
+                                                       "e\u0301,", "\u00c9\u0323.", "é"]
+    assert per_row.tolist() == [10, 3]
+    draw = random.Random(9)
+    signs = ["É", "À", "Þ", "ß", "×", "÷", "ÿ", "&&", "#", "a", "K", "1", "'s", "\u0301", "|", "<|endoftext|>", " ", ",", "\u0338", "Ж", "Ÿ"]
+    texts = ["".join(draw.choice(signs) for _ in range(draw.randint(0, 12))) for _ in range(4000)]
+    encoder, got = token_files.Encoder(token_files.TOKENIZER), []
+    for _, _, part in slices(pa.array(texts, pa.string()), 3000):
+        ids, size = encoder.encode(part, 1)
+        got += [x.tolist() for x in np.split(ids, np.cumsum(size)[:-1])]
+    assert got == [e.ids + [1] for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 def brute(library, rows):
     out, start = {}, 0
     for i, text in sorted(rows):

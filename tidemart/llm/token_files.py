@@ -11,7 +11,7 @@ delta encoded. Row groups and pages are kept small on purpose and every column h
 
 Rows are dealt to files by sampled splitters over the id and sorted with spilling. Encoding takes slices of
 text and looks words up: between two white spaces, and between a letter and a following stop, the tokenizer
-carries nothing over, so each distinct word is encoded once by the library and its ids are copied. Memory:
+of TOKENIZER carries nothing over, so each distinct word is encoded once by the library and its ids are copied. Memory:
 a slice of SLICE_BYTES or one longer text, and CACHE_WORDS words (with eight times as many ids) and those of a
 slice; the words known only save time, results are those of the library over the whole text.
 
@@ -24,8 +24,10 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
+from functools import lru_cache
+from itertools import chain, count, pairwise, repeat
 
 import numpy as np
 import public_tokenizers
@@ -46,44 +48,74 @@ ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 64 << 10
 PAGE_ROWS = 2_000
 
-_SPACE, _LETTER, _STOP = (np.zeros(256, bool) for _ in range(3))
+_SPACE, _LETTER, _STOP, _LATIN = (np.zeros(256, bool) for _ in range(4))
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
-_STOP[[ord(c) for c in ".,;:!?"]] = True
+_STOP[[b for b in range(0x21, 0x7F) if not chr(b).isalpha() and chr(b) != "|"]] = True
+_LATIN[[b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)]] = True     # after LATIN: letters of Latin-1
+LATIN = 0xC3
+_LOWER_LATIN = np.arange(256, dtype=np.uint8)
+_LOWER_LATIN[0x80:0x9F] += 0x20
+
+
+def _latin(data: np.ndarray) -> np.ndarray:
+    """Which bytes are the second one of a letter of Latin-1."""
+    out = np.zeros(len(data), bool)
+    at = np.flatnonzero(data[:-1] == LATIN) + 1
+    out[at] = _LATIN[data[at]]
+    return out
 
 
 def chunks(texts: Texts) -> tuple[pa.Array, np.ndarray]:
-    """Words of a slice, and how many each row has. Capitals of words in ASCII are lowered, as the normaliser
-    will do, unless a `|` shows that they may be a special token's."""
+    """Words of a slice, and how many each row has. Capitals of words in ASCII and Latin-1 letters are lowered, as the
+    normaliser will do, unless a `|` shows that they may be a special token's."""
     data = texts.data
     if not len(data):
         return pa.array([], pa.large_binary()), np.zeros(len(texts), np.int64)
     inside = ~_SPACE[data]
+    latin = _latin(data)
     first = inside.copy()
-    first[1:] &= ~inside[:-1] | (_STOP[data[1:]] & _LETTER[data[:-1]])
+    first[1:] &= ~inside[:-1] | (_STOP[data[1:]] & (_LETTER[data[:-1]] | latin[:-1]))
     edge = texts.offsets[:-1][texts.offsets[:-1] < len(data)]
     first[edge] |= inside[edge]
     starts = np.flatnonzero(first)
-    kept = np.ascontiguousarray(data[inside])
+    kept, latin = data[inside], latin[inside]
     offsets = np.append((np.cumsum(inside) - 1)[starts], len(kept)).astype(np.int64)
     if len(starts):
-        other = np.logical_or.reduceat((kept >= 0x80) | (kept == ord("|")), offsets[:-1])
-        kept = np.where(np.repeat(other, np.diff(offsets)), kept, _LOWER[kept])
+        other = (kept >= 0x80) & ~latin
+        other[:-1] &= ~latin[1:]
+        other |= kept == ord("|")
+        lower = np.where(latin, _LOWER_LATIN[kept], _LOWER[kept])
+        at = np.flatnonzero(other)
+        if len(at):     # the words these bytes are in stay as they are
+            words = np.unique(np.searchsorted(offsets, at, side="right") - 1)
+            size = offsets[words + 1] - offsets[words]
+            at = np.repeat(offsets[words] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            lower[at] = kept[at]
+        kept = lower
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(kept)])
     return words, np.diff(np.searchsorted(starts, texts.offsets))
 
 
-def _byte_signs() -> dict[int, str]:
-    """The sign a byte-level vocabulary writes a byte as: itself if it prints, else the next free one from 256."""
-    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in prints]
-    return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(rest)}
+def _byte_signs() -> str:
+    """The signs a byte-level vocabulary writes the bytes as: itself if it prints, else the next free one from 256."""
+    prints = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    free = count(256)
+    return "".join(chr(b) if b in prints else chr(next(free)) for b in range(256))
 
 
 # Small letters that the normaliser leaves as they are, and ideographs: a word of these is one piece for the model.
 PLAIN = re.compile("(?:[a-z\u00df-\u00f6\u00f8-\u00ff\u0430-\u044f]|[\u4e00-\u9fff])+").fullmatch
 
 
+@lru_cache(maxsize=2)
+def _tokenizer(path: str):  # noqa: ANN202  a Tokenizer, read once by a process
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 class Encoder:
     """Ids of texts by a tokenizer file of the `tokenizers` library, without special tokens.
 
@@ -92,10 +124,7 @@ class Encoder:
     """
 
     def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = _tokenizer(path)
         self.signs = _byte_signs()
         self._clear()
 
@@ -104,38 +133,46 @@ class Encoder:
         self.place: dict[bytes, int] = {}
         self.begin, self.size, self.values = (np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32))
 
-    def _ids(self, words: list[bytes]) -> list[list[int]]:
-        model, out, rest = self.tokenizer.model, [], []
-        for i, word in enumerate(words):
-            text = word.decode()
-            if PLAIN(text):
-                signs = text if text.isascii() else "".join(self.signs[b] for b in word)
-                out.append([t.id for t in model.tokenize(signs)])
-            else:
-                rest.append(i)
-                out.append(text)
-        for i, found in zip(rest, self.tokenizer.encode_batch([out[i] for i in rest], add_special_tokens=False), strict=True):
-            out[i] = found.ids
-        return out
-
-    def _places(self, words: list[bytes]) -> np.ndarray:
+    def _learn(self, words: list[bytes]) -> None:
+        """Find the ids of new words."""
+        tokenize, plain, rest = self.tokenizer.model.tokenize, [], []
+        for word in words:
+            (plain if PLAIN(word.decode()) else rest).append(word)
+        ids, size = array("i"), array("i")
+        for word in plain:
+            found = tokenize(word.decode() if word.isascii() else word.decode("latin-1").translate(self.signs))
+            ids.extend([t.id for t in found])
+            size.append(len(found))
+        for found in self.tokenizer.encode_batch([w.decode() for w in rest], add_special_tokens=False):
+            ids.extend(found.ids)
+            size.append(len(found.ids))
+        size = np.frombuffer(size, np.int32)
+        self.place.update(zip(chain(plain, rest), range(len(self.size), len(self.size) + len(size)), strict=True))
+        self.begin = np.concatenate([self.begin, len(self.values) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.values = np.concatenate([self.values, np.frombuffer(ids, np.int32)])
+
+    def _places(self, words: pa.Array) -> np.ndarray:
         if len(self.place) > CACHE_WORDS or len(self.values) > 8 * CACHE_WORDS:
             self._clear()
-        new = [w for w in words if w not in self.place]
-        if new:
-            ids = self._ids(new)
-            size = np.fromiter(map(len, ids), np.int32, len(ids))
-            self.place.update(zip(new, range(len(self.size), len(self.size) + len(new)), strict=True))
-            self.begin = np.concatenate([self.begin, len(self.values) + np.cumsum(size) - size])
-            self.size = np.concatenate([self.size, size])
-            self.values = np.concatenate([self.values, np.fromiter(chain.from_iterable(ids), np.int32)])
-        return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        if not len(words):
+            return np.zeros(0, np.int64)
+        ends = np.frombuffer(words.buffers()[1], np.int64)[: len(words) + 1].tolist()
+        data = words.buffers()[2].to_pybytes()
+        keys = [data[a:b] for a, b in pairwise(ends)]
+        out = np.fromiter(map(self.place.get, keys, repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero(out < 0)
+        if len(new):
+            keys = [keys[i] for i in new.tolist()]
+            self._learn(keys)
+            out[new] = np.fromiter(map(self.place.__getitem__, keys), np.int64, len(keys))
+        return out
 
     def encode(self, texts: Texts, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a slice behind one another, `end_id` after each row's, and each row's number of them."""
         words, per_row = chunks(texts)
         coded = words.dictionary_encode()
-        place = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
+        place = self._places(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
         size = self.size[place]
         upto = np.cumsum(size, dtype=np.int64)
         total = int(upto[-1]) if len(upto) else 0
