@@ -7,10 +7,11 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemart.llm import exact_dedup, jaccard, language, mixing, pieces, pii, quality, sharding, suffix_tree, topk
+from tidemart.llm import exact_dedup, jaccard, language, mixing, pieces, pii, quality, sharding, suffix_tree, text, topk
 
 SCHEMA = "doc_id long, text string, lang string, source string, keep_id string, shard string"
 LONG = " ".join(f"w{i % 97}x{i}" for i in range(3000))
@@ -485,3 +486,22 @@ def test_a_text_of_many_rows_and_few_bytes_is_spread_over_slots(spark):
     slotted = sharding.with_slots(rows, 16)
     assert slotted.groupBy("virtual_slot").count().agg(F.max("count")).first()[0] < 30
     assert slotted.count() == 3000 and slotted.select("text").where("text IS NULL").count() == 1000
+
+
+def test_one_pass_gives_sets_and_word_counts_and_members_are_found(spark):
+    draw = random.Random(4)
+    texts = [" ".join(draw.choice("Ab c dd eee Ü 中 f1".split()) for _ in range(draw.randint(0, 30))) for _ in range(60)] + [None, "", "  "]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    rows, counts = jaccard._rows(docs)
+    (_, _, part), = text.slices(pa.array(texts, pa.string()))
+    sets = [h for h, _ in jaccard.shingles(part)]
+    signs = jaccard.signatures(sets).tolist()
+    assert [(r.doc_id, r.n, [r.s1, r.s2], r.bits) for r in rows.orderBy("doc_id").collect()] == [
+        (i, len(h), s, jaccard.sketch(h)) for i, (h, s) in enumerate(zip(sets, signs, strict=True))]
+    assert signs[-1] == signs[-2] == [0, 0]
+    value, n = np.unique(text.words(part).hash.view(np.int64), return_counts=True)
+    assert sorted(map(tuple, counts.groupBy("value").sum("n").collect())) == sorted(zip(value.tolist(), n.tolist(), strict=True))
+    many = text.number_hash(np.arange(5000)).view(np.int64)
+    for held in (many[:0], many[:1], many[::3], np.concatenate([many[:9], many[:9] + 1, np.array([0, -1])])):
+        asked = np.concatenate([many, many + 1, np.array([0, -1, 2**63 - 1, -2**63])])
+        assert (text.Members(held).holds(asked) == np.isin(asked, held)).all()

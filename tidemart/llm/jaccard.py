@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tidemart.llm.common import free_names, named, text_of, written
 from tidemart.llm.components import components
-from tidemart.llm.text import Counter, Texts, bounds, find, list_array, mix, number_hash, release, slices, words
+from tidemart.llm.text import Counter, Members, Texts, Words, bounds, find, list_array, mix, number_hash, release, slices, words
 
 WORDS = 5
 LEAST_RARE = 32         # a word or shingle with at most so many occurrences is rare
@@ -54,11 +54,14 @@ PAIR_BIT = np.int64(1)  # lowest bit of a key made of two frequent shingles
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingles(texts: Texts, common: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+def shingles(texts: Texts, common: Members | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each row its distinct shingle hashes in order, and which contain a word not in `common`."""
     w = words(texts)
-    rare = np.ones(len(w.hash), bool) if common is None else find(common, w.hash.view(np.int64)) < 0
-    edge = bounds(w.row, len(texts))
+    return _shingles(w, len(texts), np.ones(len(w.hash), bool) if common is None else ~common.holds(w.hash))
+
+
+def _shingles(w: Words, n_rows: int, rare: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    edge = bounds(w.row, n_rows)
     n = max(len(w.hash) - WORDS + 1, 0)
     whole, has_rare = np.zeros(n, np.uint64), np.zeros(n, bool)
     for k in range(WORDS):
@@ -79,9 +82,14 @@ def shingles(texts: Texts, common: np.ndarray | None = None) -> list[tuple[np.nd
     return out
 
 
-def signature(h: np.ndarray) -> tuple[int, int]:
-    """Two 64-bit sums that tell sets apart."""
-    return int(mix(h).sum(dtype=np.uint64).view(np.int64)), int(mix(h * _STEP ^ np.uint64(0x5BF03635)).sum(dtype=np.uint64).view(np.int64))
+def signatures(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set two 64-bit sums that tell sets apart."""
+    h = np.concatenate([np.zeros(0, np.uint64), *sets])
+    ends = np.cumsum([0, *map(len, sets)])
+    sums = np.zeros((len(h) + 1, 2), np.uint64)
+    np.cumsum(mix(h), out=sums[1:, 0])
+    np.cumsum(mix(h * _STEP ^ np.uint64(0x5BF03635)), out=sums[1:, 1])
+    return (sums[ends[1:]] - sums[ends[:-1]]).view(np.int64)
 
 
 def links(a: np.ndarray, b: np.ndarray) -> bool:
@@ -169,19 +177,31 @@ def _pair_keys(n: int, n_single: int, often: np.ndarray) -> Iterator[np.ndarray]
             yield mix(mix(token[:-step][same] * _STEP + token[step:][same]) ^ salt)
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, s1, s2, bits): size, signature and bitmap of each document's set."""
+def _rows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, s1, s2, bits): size, signature and bitmap of each document's set; and (value, n): counts of the words.
+    One pass over the texts makes both."""
+    names = ["doc_id", "n", "s1", "s2", "bits", "value", "times"]
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = Counter()
         for batch in batches:
             for first, last, texts in slices(batch.column(1)):
-                sets = [h for h, _ in shingles(texts)]
-                signs = np.array([signature(h) for h in sets], np.int64).reshape(-1, 2)
+                w = words(texts)
+                seen.add(w.hash.view(np.int64))
+                sets = [h for h, _ in _shingles(w, len(texts), np.ones(len(w.hash), bool))]
+                signs = signatures(sets)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[first:last], pa.array([len(h) for h in sets], pa.int64()),
-                                                  pa.array(signs[:, 0]), pa.array(signs[:, 1]), pa.array([sketch(h) for h in sets], pa.binary())],
-                                                 ["doc_id", "n", "s1", "s2", "bits"])
+                                                  pa.array(signs[:, 0]), pa.array(signs[:, 1]), pa.array([sketch(h) for h in sets], pa.binary()),
+                                                  *[pa.nulls(last - first, pa.int64())] * 2], names)
+        value, times = seen.merge()
+        none = [pa.nulls(len(value), kind) for kind in (*[pa.int64()] * 4, pa.binary())]
+        yield pa.RecordBatch.from_arrays([*none, pa.array(value), pa.array(times)], names)
+        del seen
         release()
 
-    return docs.mapInArrow(read, "doc_id long, n long, s1 long, s2 long, bits binary")
+    both = written(docs.mapInArrow(read, "doc_id long, n long, s1 long, s2 long, bits binary, value long, times long"), "jaccard-rows")
+    return (both.where("n IS NOT NULL").select("doc_id", "n", "s1", "s2", "bits"),
+            both.where("value IS NOT NULL").select("value", F.col("times").alias("n")))
 
 
 def _common(counts: DataFrame, least: float) -> np.ndarray:
@@ -190,33 +210,21 @@ def _common(counts: DataFrame, least: float) -> np.ndarray:
     return np.sort(found["value"].to_numpy(np.int64))
 
 
-def _new_sets(batches: Iterator[pa.RecordBatch], common: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _new_sets(batches: Iterator[pa.RecordBatch], common: Members) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Id, set and rare shingles of each row whose set this task has not met before."""
     met = set()
     for batch in batches:
         ids = batch.column(0).to_pylist()
         for first, _, texts in slices(batch.column(1)):
-            for i, (h, rare) in enumerate(shingles(texts, common)):
-                if len(h) > 1 and (sign := signature(h)) not in met:
+            sets = shingles(texts, common)
+            for i, ((h, rare), sign) in enumerate(zip(sets, map(tuple, signatures([h for h, _ in sets]).tolist()), strict=True)):
+                if len(h) > 1 and sign not in met:
                     met.add(sign)
                     yield ids[first + i], h, rare
 
 
-def _word_counts(docs: DataFrame) -> DataFrame:
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = Counter()
-        for batch in batches:
-            for _, _, texts in slices(batch.column(1)):
-                seen.add(words(texts).hash.view(np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in seen.merge()], ["value", "n"])
-        del seen
-        release()
-
-    return docs.mapInArrow(count, "value long, n long")
-
-
 def _shingle_counts(docs: DataFrame, common) -> DataFrame:  # noqa: ANN001  a broadcast array
-    """Counts of shingles without rare words, from documents whose prefix needs some of them."""
+    """(value, n): counts of shingles without rare words, from documents whose prefix needs some of them."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = Counter()
         for _, h, rare in _new_sets(batches, common.value):
@@ -408,10 +416,10 @@ def _link_counts(docs: DataFrame, sets: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, texts in slices(batch.column(0)):
-                found = [(*signature(h), h) for h, _ in shingles(texts)]
-                yield pa.RecordBatch.from_arrays([pa.array([len(h) for _, _, h in found], pa.int64()), pa.array([x for x, _, _ in found], pa.int64()),
-                                                  pa.array([y for _, y, _ in found], pa.int64()), pa.array([h.tobytes() for _, _, h in found], pa.binary())],
-                                                 ["n", "s1", "s2", "h"])
+                sets = [h for h, _ in shingles(texts)]
+                signs = signatures(sets)
+                yield pa.RecordBatch.from_arrays([pa.array([len(h) for h in sets], pa.int64()), pa.array(signs[:, 0]), pa.array(signs[:, 1]),
+                                                  pa.array([h.tobytes() for h in sets], pa.binary())], ["n", "s1", "s2", "h"])
 
     hashes = (docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").select("text").mapInArrow(read, "n long, s1 long, s2 long, h binary")
               .select(_set_id().alias("sid"), "h").groupBy("sid").agg(F.first("h").alias("h")))
@@ -473,7 +481,7 @@ def _with_components(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFra
     """The documents (doc_id, text), and (doc_id, n, s1, s2, component) of each, NO_ID for a missing id."""
     spark = df.sparkSession
     docs = df.select(F.coalesce(named(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), text_of(named(text_col)).alias("text"))
-    rows = written(_rows(docs), "jaccard-rows")
+    rows, word_counts = _rows(docs)
     classes = rows.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("node"))
     nodes = written(rows.join(classes, ["n", "s1", "s2"], "left")
                     .select("doc_id", "n", "s1", "s2", F.coalesce("node", "doc_id").alias("node")), "jaccard-nodes")
@@ -481,7 +489,7 @@ def _with_components(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFra
 
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     least = max(LEAST_RARE, size / 2 / MOST_COMMON)   # words take two bytes at least, with their space
-    common = spark.sparkContext.broadcast(_common(_word_counts(docs), least))
+    common = spark.sparkContext.broadcast(Members(_common(word_counts, least)))
     frequent = spark.sparkContext.broadcast(_common(_shingle_counts(docs, common), least))
     found = written(_entries(docs, common, frequent).repartitionByRange("key", "wn", "id")
                     .sortWithinPartitions("key", "wn", "id").mapInArrow(_stars, _STAR), "jaccard-stars")
