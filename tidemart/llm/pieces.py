@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import named, text_of
+from tidemart.llm.common import bounded_batches, named, text_of
 from tidemart.llm.text import SLICE_BYTES, find, list_array, mix, number_hash, release, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -35,7 +35,7 @@ SEED = 17
 SPACE = 0x2581          # stands for a space
 LITERAL = 0x110000      # stands for the character SPACE itself, which is written as bytes
 NO_MASS = 760.0         # exp(-NO_MASS) is 0
-BUCKET_BITS = 17
+BUCKET_BITS = 18
 KEPT_UNITS = 40_000     # lattices of units kept for the next slices of a task
 BUILT = 8_000           # units whose lattices are built at a time
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -44,29 +44,31 @@ _TURN = np.uint64(0xD1B54A32D192ED03)
 
 @dataclass
 class Vocabulary:
-    """Beginnings of pieces as hashes of their code points, with ids (-1: no whole piece) and log weights,
-    and which code points have a piece."""
+    """Beginnings of pieces as hashes of their code points, with ids (-1: no whole piece), log weights and whether
+    longer pieces begin so, and which code points have a piece."""
     hashes: np.ndarray
     ids: np.ndarray
     weights: np.ndarray
+    longer: np.ndarray
     single: np.ndarray
     longest: int
     first_byte: int
     byte_weight: float
     written: list[bytes]    # what each id stands for, spaces as such
     bucket: np.ndarray      # where hashes with the same first bits begin
-    fullest: int            # most hashes of one bucket
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Place of each hash, -1 if it is not there."""
         first = (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
         at, end = self.bucket[first], self.bucket[first + 1]
         out = np.where(self.hashes[np.minimum(at, len(self.hashes) - 1)] == h, at, -1)
-        for j in range(1, self.fullest):
-            open_ = np.flatnonzero((out < 0) & (at + j < end))
-            hit = self.hashes[at[open_] + j] == h[open_]
-            out[open_[hit]] = at[open_[hit]] + j
-        out[at >= end] = -1
+        left = np.flatnonzero((out < 0) & (at + 1 < end))
+        at, end, h = at[left] + 1, end[left], h[left]
+        while len(left):
+            hit = self.hashes[at] == h
+            out[left[hit]] = at[hit]
+            on = ~hit & (at + 1 < end)
+            left, at, end, h = left[on], at[on] + 1, end[on], h[on]
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -98,24 +100,25 @@ def load(path: str = MODEL) -> Vocabulary:
             codes.append(np.array([ord(c) for c in p.piece], np.int64))
             ids.append(i)
             weights.append(-np.log(2.0 - p.score))
-    hashes, piece, weight = _beginnings(codes, ids, weights)
+    hashes, piece, weight, longer = _beginnings(codes, ids, weights)
     single = np.zeros(LITERAL + 1, bool)
     single[[c[0] for c in codes if len(c) == 1]] = True
     first_byte = next(i for i, p in enumerate(model.pieces) if p.piece == "<0x00>")
     written = [bytes([i - first_byte]) if 0 <= i - first_byte < 256 else p.piece.replace(chr(SPACE), " ").encode() for i, p in enumerate(model.pieces)]
     edges = np.arange(1 << BUCKET_BITS, dtype=np.uint64) << np.uint64(64 - BUCKET_BITS)
-    bucket = np.append(np.searchsorted(hashes, edges), len(hashes))
-    return Vocabulary(hashes, piece, weight, single, max(map(len, codes)), first_byte,
-                      -float(np.log(len(model.pieces))), written, bucket, int(np.diff(bucket).max()))
+    bucket = np.append(np.searchsorted(hashes, edges), len(hashes)).astype(np.int32)
+    return Vocabulary(hashes, piece, weight, longer, single, max(map(len, codes)), first_byte,
+                      -float(np.log(len(model.pieces))), written, bucket)
 
 
-def _beginnings(codes: list[np.ndarray], ids: list[int], weights: list[float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct beginnings of the pieces by their hash, the whole pieces with id and weight."""
+def _beginnings(codes: list[np.ndarray], ids: list[int], weights: list[float]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct beginnings of the pieces by their hash, the whole pieces with id and weight; whether longer pieces begin so."""
     size = np.array([len(c) for c in codes])
     padded = np.zeros((len(codes), size.max()), np.uint64)
     for row, c in zip(padded, codes, strict=True):
         row[: len(c)] = c
     found: dict[int, tuple[int, float]] = {}
+    longer: set[int] = set()
     h = np.zeros(len(codes), np.uint64)
     for n in range(1, int(size.max()) + 1):
         h = mix(h * _STEP + padded[:, n - 1])
@@ -123,8 +126,10 @@ def _beginnings(codes: list[np.ndarray], ids: list[int], weights: list[float]) -
             whole = (ids[i], weights[i]) if size[i] == n else (-1, 0.0)
             if whole[0] >= 0 or int(h[i]) not in found:
                 found[int(h[i])] = whole
+        longer.update(h[size > n].tolist())
     keys = sorted(found)
-    return np.array(keys, np.uint64), np.array([found[k][0] for k in keys]), np.array([found[k][1] for k in keys])
+    return (np.array(keys, np.uint64), np.array([found[k][0] for k in keys]), np.array([found[k][1] for k in keys]),
+            np.array([k in longer for k in keys]))
 
 
 def _ranges(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -157,9 +162,22 @@ class Lattices:
         self.number = np.zeros(0, np.int64)
         self.start = self.end = np.zeros(0, np.int64)
         self.slices = np.zeros(0, np.int64)        # how many slices had the unit, halved whenever some are dropped
+        self.room: dict[str, np.ndarray] = {}      # arrays that the ones below are the beginnings of
         for name in (*self.PER_EDGE, *self.PER_PLACE):
             setattr(self, name, np.zeros(0, np.int32 if name in self.SMALL else np.int64 if name in ("first", "options") else np.float64))
 
+    def _put(self, name: str, kept: int, parts: list[np.ndarray]) -> None:
+        """Lay parts behind the first values of an array."""
+        old, n = getattr(self, name), kept + sum(map(len, parts))
+        room = self.room.get(name)
+        if room is None or n > len(room):
+            room = self.room[name] = np.empty(n + n // 4, old.dtype)
+            room[:kept] = old[:kept]
+        for part in parts:
+            room[kept: kept + len(part)] = part
+            kept += len(part)
+        setattr(self, name, room[:n])
+
     def _drop(self) -> None:
         """Keep the units that two slices or more had, of these the most frequent ones."""
         kept = np.flatnonzero(self.slices > 1)
@@ -174,11 +192,12 @@ class Lattices:
         self.end = np.cumsum(n)
         self.start = self.end - n
         self.slices = self.slices[kept] // 2
-        self.options, self.top = self.options[places], self.top[places]
-        self.first = np.concatenate([[0], np.cumsum(self.options)]).astype(np.int64)
         for name in self.PER_EDGE[1:]:
-            setattr(self, name, getattr(self, name)[edges])
-        self.place = np.repeat(np.arange(len(places), dtype=np.int32), self.options)
+            self._put(name, 0, [getattr(self, name)[edges]])
+        for name in ("options", "top"):
+            self._put(name, 0, [getattr(self, name)[places]])
+        self._put("first", 0, [np.concatenate([[0], np.cumsum(self.options)])])
+        self._put("place", 0, [np.repeat(np.arange(len(places), dtype=np.int32), self.options)])
 
     def add(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """The unit numbers of some texts in order, and where each text's begin (one more at the end)."""
@@ -192,12 +211,19 @@ class Lattices:
         starts[1:] |= (code[1:] == SPACE) & (code[:-1] != SPACE) | loose[1:] | loose[:-1]
         begin = np.flatnonzero(starts)
         length = np.diff(np.append(begin, len(code)))
-        sign = number_hash(np.arange(code.max() + 1 if len(code) else 1))[code] if len(code) > 1 << 16 else number_hash(code)
+        # few different signs are hashed once
+        sign = number_hash(np.arange(code.max() + 1))[code] if len(code) and code.max() < len(code) // 2 else number_hash(code)
         power = number_hash(np.arange(length.max() if len(length) else 0)) | np.uint64(1)
         upto = np.zeros(len(code) + 1, np.uint64)
         np.cumsum(sign * power[np.arange(len(code)) - np.repeat(begin, length)], out=upto[1:])
         h = mix((upto[begin + length] - upto[begin]) ^ number_hash(length))
-        distinct, first, kind = np.unique(h, return_index=True, return_inverse=True)
+        order = np.argsort(h)
+        distinct = h[order]
+        changes = np.ones(len(h), bool)
+        changes[1:] = distinct[1:] != distinct[:-1]
+        distinct, first = distinct[changes], order[changes]
+        kind = np.empty(len(h), np.int64)
+        kind[order] = np.cumsum(changes) - 1
         if len(self.start) > KEPT_UNITS:
             self._drop()
         at = find(self.known, distinct)
@@ -212,15 +238,14 @@ class Lattices:
                 chars = np.repeat(begin[first[some]] - begin_new, n) + np.arange(n.sum())
                 parts.append((begin_new, n, self._edges(v, code[chars], np.repeat(begin_new + n, n))))
             self._append(parts)
-            known = np.concatenate([self.known, distinct[new]])
-            order = np.argsort(known, kind="stable")
-            self.known, self.number = known[order], np.concatenate([self.number, number[new]])[order]
+            at = np.searchsorted(self.known, distinct[new])
+            self.known, self.number = np.insert(self.known, at, distinct[new]), np.insert(self.number, at, number[new])
         self.slices[number] += 1
         return number[kind], np.searchsorted(begin, np.concatenate([[0], np.cumsum(sizes)]))
 
     def _append(self, parts: list[tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]]) -> None:
         places, edges = len(self.options), len(self.place)
-        self.first = self.first[:places]
+        known = {"first": places}      # its last value is where the new ones begin
         starts, ends = [self.start], [self.end]
         for begin, n, made in parts:
             made["place"] += places
@@ -231,59 +256,72 @@ class Lattices:
         self.start, self.end = np.concatenate(starts), np.concatenate(ends)
         self.slices = np.concatenate([self.slices, np.zeros(len(self.start) - len(self.slices), np.int64)])
         for name in (*self.PER_EDGE, *self.PER_PLACE):
-            setattr(self, name, np.concatenate([getattr(self, name), *(made.pop(name) for _, _, made in parts)]))
+            self._put(name, known.get(name, len(getattr(self, name))), [made.pop(name) for _, _, made in parts])
 
     @staticmethod
     def _edges(v: Vocabulary, code: np.ndarray, end: np.ndarray) -> dict[str, np.ndarray]:
         """All edges and places of some units laid end to end."""
         where, sizes, ids, weights, ranks = [], [], [], [], []
-        h, live, count = np.zeros(len(code), np.uint64), np.arange(len(code)), np.zeros(len(code), np.int64)
+        signs, live, count = code.astype(np.uint64), np.arange(len(code)), np.zeros(len(code), np.int64)
+        h = np.zeros(len(code), np.uint64)
         for size in range(1, v.longest + 1):
-            live = live[live + size <= end[live]]
+            inside = live + size <= end[live]
+            live, h = live[inside], h[inside]
             if not len(live):
                 break
-            h[live] = mix(h[live] * _STEP + code[live + size - 1].astype(np.uint64))
-            hit = v.find(h[live])
-            live, hit = live[hit >= 0], hit[hit >= 0]     # no piece begins like the others
-            got = v.ids[hit] >= 0
-            here, hit = live[got], hit[got]
+            h = mix(h * _STEP + signs[live + size - 1])
+            hit = v.find(h)
+            begun = hit >= 0
+            piece = np.where(begun, v.ids[hit], -1)
+            got = np.flatnonzero(piece >= 0)
+            here = live[got]
             where.append(here)
-            sizes.append(np.full(len(here), size))
-            ids.append(v.ids[hit])
-            weights.append(v.weights[hit])
+            sizes.append(np.full(len(here), size, np.int32))
+            ids.append(piece[got])
+            weights.append(v.weights[hit[got]])
             ranks.append(count[here])
             count[here] += 1
+            on = np.flatnonzero(begun & v.longer[hit])     # no longer piece begins like the others
+            live, h = live[on], h[on]
         loose = np.flatnonzero(~v.single[code])
         n_bytes = 1 + (code[loose] > 0x7F) + (code[loose] > 0x7FF) + (code[loose] > 0xFFFF)
         n_bytes[code[loose] == LITERAL] = 3
         where.append(loose)
-        sizes.append(np.ones(len(loose), np.int64))
+        sizes.append(np.ones(len(loose), np.int32))
         ids.append(-1 - code[loose])
         weights.append(n_bytes * v.byte_weight)
         ranks.append(count[loose])
         count[loose] += 1
         first = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
         place = np.repeat(np.arange(len(code)), count)
-        order = np.empty(len(place), np.int64)     # by place, and there by size
-        at = first[np.concatenate(where)] + np.concatenate(ranks)
-        order[at] = np.arange(len(place))
-        size, piece, weight = (np.concatenate(x)[order] for x in (sizes, ids, weights))
+        at = first[np.concatenate(where)] + np.concatenate(ranks)     # by place, and there by size
+        size, piece, weight = np.empty(len(place), np.int32), np.empty(len(place), np.int32), np.empty(len(place))
+        size[at], piece[at], weight[at] = (np.concatenate(x) for x in (sizes, ids, weights))
         beta = np.zeros(len(code) + 1)
         distance = end - np.arange(len(code))
-        by_distance = np.argsort(distance, kind="stable")
-        cut = np.searchsorted(distance[by_distance], np.arange(1, (distance.max() if len(code) else 0) + 2))
+        longest = int(distance.max()) if len(code) else 0
+        by_distance = np.argsort(distance.astype(np.uint16) if longest < 1 << 16 else distance, kind="stable")
+        cut = np.searchsorted(distance[by_distance], np.arange(1, longest + 2))
         target = place + size
-        last = target == end[place]
+        target[target == end[place]] = len(code)     # where beta stays 0
+        n = count[by_distance]
+        edges = _ranges(first[by_distance], n)
+        weights_by, target_by = weight[edges], target[edges]
+        begin = np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
         for a, b in zip(cut[:-1], cut[1:], strict=True):
-            at = by_distance[a:b]
-            n = first[at + 1] - first[at]
-            head = np.concatenate([[0], np.cumsum(n)[:-1]])
-            e = np.repeat(first[at] - head, n) + np.arange(n.sum())
-            beta[at] = np.logaddexp.reduceat(weight[e] + np.where(last[e], 0.0, beta[target[e]]), head)
-        logp = np.minimum(weight + np.where(last, 0.0, beta[target]) - beta[place], 0.0)
+            some = slice(begin[a], begin[b])
+            beta[by_distance[a:b]] = np.logaddexp.reduceat(weights_by[some] + beta[target_by[some]], begin[a:b] - begin[a])
+        logp = np.minimum(weight + beta[target] - beta[place], 0.0)
         p = np.exp(logp)
         # each place's edges from the likeliest on, as most draws end with the first two
-        order = np.argsort(place - 0.5 * p, kind="stable")
+        key = place - 0.5 * p
+        order = np.arange(len(place))
+        two = first[:-1][count == 2]
+        two = two[key[two + 1] < key[two]]
+        order[two], order[two + 1] = two + 1, two
+        several = np.flatnonzero(count > 2)
+        several = _ranges(first[several], count[several])
+        order[several] = several[np.argsort(key[several], kind="stable")]
         size, piece, logp, p = size[order], piece[order], logp[order], p[order]
         total = np.concatenate([[0.0], np.cumsum(p)])
         upto = np.minimum(total[1:] - total[first[place]], 1.0)
@@ -291,7 +329,7 @@ class Lattices:
         options = np.diff(first)
         top = np.where(options > 1, p[first[:-1]], 1.0) if len(code) else p
         rest = np.where(options[place] > 1, np.maximum(1 - p, 1e-300), 0.0)
-        return {"place": place.astype(np.int32), "size": size.astype(np.int32), "piece": piece.astype(np.int32), "logp": logp, "p": p,
+        return {"place": place.astype(np.int32), "size": size, "piece": piece, "logp": logp, "p": p,
                 "upto": upto, "rest": rest, "first": first, "options": options, "top": top}
 
     def draw(self, place: np.ndarray, u: np.ndarray) -> np.ndarray:
@@ -311,25 +349,28 @@ class Lattices:
     def sample(self, kinds: np.ndarray, places: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Edges from the given places to the ends of their units, in order, and the unit of each. A draw follows from the
         unit's seed and the number of the step alone."""
-        unit, steps, units = np.arange(len(kinds)), [], []
+        unit, steps, units, count = np.arange(len(kinds)), [], [], np.zeros(len(kinds), np.int64)
+        seed = seeds
         place, end = places, self.end[kinds]
         live = place < end
         turn = np.zeros(1, np.uint64)
         while True:
-            unit, place, end = unit[live], place[live], end[live]
+            live = np.flatnonzero(live)
+            unit, place, end, seed = unit[live], place[live], end[live], seed[live]
             if not len(unit):
                 break
             turn = turn + _TURN
-            e = self.draw(place, (mix(seeds[unit] + turn) >> np.uint64(11)) * 2.0**-53)
+            e = self.draw(place, (mix(seed + turn) >> np.uint64(11)) * 2.0**-53)
             steps.append(e)
             units.append(unit)
+            count[unit] += 1
             place = place + self.size[e]
             live = place < end
-        if not steps:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        edges, of = np.concatenate(steps), np.concatenate(units)
-        order = np.argsort(of, kind="stable")
-        return edges[order], of[order]
+        begin = np.cumsum(count) - count
+        edges = np.empty(int(count.sum()), np.int64)
+        for i, (e, unit) in enumerate(zip(steps, units, strict=True)):     # a unit's steps follow one another
+            edges[begin[unit] + i] = e
+        return edges, np.repeat(np.arange(len(kinds)), count)
 
 
 @dataclass
@@ -387,15 +428,17 @@ class _Search:
 
     def _add(self, edges: np.ndarray, units: np.ndarray, bound: float, since: int, taken: list[int]) -> None:
         lattices = self.lattices
-        upto = np.concatenate([[0.0], np.cumsum(lattices.logp[edges])])
+        upto = np.zeros(len(edges) + 1)
+        np.cumsum(lattices.logp[edges], out=upto[1:])
         rest = lattices.rest[edges[since:]]
         room = np.flatnonzero(rest)
         rest, room = rest[room], room + since
         # regions beyond have no mass a double holds; cut only where k others come before them
-        n = int(np.searchsorted(-upto[:-1], NO_MASS))
-        if n > since and np.count_nonzero((room > since) & (room < n)) >= self.k:
-            room = room[: np.searchsorted(room, n)]
-            rest = rest[: len(room)]
+        if len(edges) and upto[-2] <= -NO_MASS:
+            n = int(np.searchsorted(-upto[:-1], NO_MASS))
+            inside = int(np.searchsorted(room, n))
+            if n > since and inside - np.searchsorted(room, since, side="right") >= self.k:
+                room, rest = room[:inside], rest[:inside]
         if taken and len(room) and room[0] == since:
             rest[0] -= lattices.p[taken].sum()
             if lattices.options[lattices.place[edges[since]]] <= 1 + len(taken):
@@ -492,6 +535,7 @@ def sample(df: DataFrame, k: int = SAMPLES, id_col: str = "doc_id", text_col: st
     alone, so repeated rows agree. round_trip says whether decoding gives the text back.
     """
     v = load(model)
+    df = bounded_batches(df)
     kind = df.select(named(id_col)).schema[0].dataType
     schema = f"doc_id {kind.simpleString()}, rank int, ids array<int>, log_prob double, perturbed double, inclusion double, round_trip boolean"
 
