@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.llm import exact_dedup, jaccard, mixing, pieces, quality
-from tidemart.llm.common import table, written
+from tidemart.llm.common import bounded_batches, table, written
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, fitted on the labelled ones of them, does not reject."""
+    docs = bounded_batches(docs)
     return quality.keep_good(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
@@ -20,7 +21,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id."""
-    return jaccard.keep_first(docs)
+    return jaccard.keep_first(bounded_batches(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
