@@ -1,15 +1,19 @@
-"""How often the jobs read their topics."""
+"""How often the jobs read their topics, and what streams leave on disk."""
 
 import json
+import os
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemart import schemas
+from tidemart.plans import streams
 from tidemart.session import new_workdir
 from tidemart.sources.sinks import read_batches
 from tidemart.sources.topics import append_file_topic, file_topic
 from tidemart.streaming import jobs
-from tidemart.streaming.run import run_once
+from tidemart.streaming.run import CHANGELOGS, run_once
 
 
 @pytest.fixture
@@ -46,3 +50,38 @@ def test_what_is_taken_and_left_out_comes_from_one_reading(spark, work, rows):
     assert read_batches(spark, f"{work}/shares", schemas.STORED_WIDE).count() == 50
     for job, n in (("details", 10), ("orders", 10), ("shares", 1)):
         assert rows(read_batches(spark, f"{dead}/{job}", schemas.LEFT_OUT), "reason") == [("number",)] * n
+
+
+def test_stores_of_joins_are_put_by_whole(spark, work, rows):
+    """No changes to play back; a restarted query finds the state of the runs before, and settings stay as they were."""
+    before = spark.conf.get(CHANGELOGS)
+
+    def pairs(n):
+        out = jobs.widen_orders(file_topic(spark, f"{work}/o"), file_topic(spark, f"{work}/d"), salts=2)
+        run_once(out.writeStream.format("parquet").option("path", f"{work}/wide"), f"{work}/cp", changelogs=False)
+        assert spark.read.schema("order_detail_id long").parquet(f"{work}/wide").count() == n
+    put(spark, f"{work}/o", {"id": 1, "create_time": "2022-01-01 10:00:00"})
+    put(spark, f"{work}/d", {"id": 5, "order_id": 1, "create_time": "2022-01-01 10:00:01"})
+    pairs(1)
+    put(spark, f"{work}/d", {"id": 6, "order_id": 1, "create_time": "2022-01-01 10:00:02"})
+    pairs(2)
+    kept = [f for _, _, files in os.walk(f"{work}/cp/state") for f in files]
+    assert any(f.endswith(".zip") for f in kept) and not any(f.endswith(".changelog") for f in kept)
+    assert spark.conf.get(CHANGELOGS) == before
+
+
+def test_shuffle_files_go_between_rounds(spark, work):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def files():
+        return sum(f.startswith("shuffle_") for folder in folders for _, _, found in os.walk(folder) for f in found)
+    for n in range(3):
+        spark.range(1000).groupBy((F.col("id") % 100).alias("k")).count().collect()
+    had = files()
+    assert had
+    for _ in streams._rounds(spark, {f"{work}/topic": [spark.createDataFrame([("a",)], "value string")]}):
+        for _ in range(50):
+            if files() < had:
+                break
+            time.sleep(0.1)
+        assert files() < had
